@@ -48,3 +48,53 @@ def future_fact_leaks(spark, sf_dir):
                                 F.count_if(F.col("fact_date") > F.col("decision_date")).alias("leak_count"),
                                 F.count(F.lit(1)).alias("rows_checked")))
     return V.union_all(parts)
+
+
+def rounded(df: DataFrame, columns: list[str] | None = None, digits: int = 6) -> DataFrame:
+    """Round the named double columns (default: all doubles).
+
+    Only for values built from sums, whose order (and so last ulp) differs
+    between engines; values computed by the same IEEE operations are left
+    exact, because two rounding routines disagree near half-way points.
+    """
+    def pick(f):
+        return f.dataType.typeName() == "double" and (columns is None or f.name in columns)
+    return df.select(*[F.round(F.col(f"`{f.name}`"), digits).alias(f.name) if pick(f) else F.col(f"`{f.name}`")
+                       for f in df.schema.fields])
+
+
+# ---------------------------------------------------------------- scores, valuation, validation
+
+from dealsieve.operators import scores, validate, valuation  # noqa: E402
+
+
+@query("distress_scores")
+def distress_scores(spark, sf_dir):
+    return rounded(scores.distress_scores(V.balance_sheets(spark, sf_dir)))
+
+
+@query("revenue_cross_check")
+def revenue_cross_check(spark, sf_dir):
+    return scores.revenue_cross_checks(V.headcounts(spark, sf_dir), V.benchmarks(spark, sf_dir))
+
+
+@query("peer_widening")
+def peer_widening(spark, sf_dir):
+    return valuation.peer_widening(V.valuation_targets(spark, sf_dir), V.peers(spark, sf_dir)) \
+        .select("company_number", "industry_code", "code_length_used", "peer_count")
+
+
+@query("value_distribution")
+def value_distribution(spark, sf_dir):
+    return valuation.value_distribution(V.valuation_targets(spark, sf_dir), V.peers(spark, sf_dir))
+
+
+@query("valuation_quantiles")
+def valuation_quantiles(spark, sf_dir):
+    return valuation.valuation_quantiles(V.valuation_targets(spark, sf_dir), V.peers(spark, sf_dir))
+
+
+@query("validation_report")
+def validation_report(spark, sf_dir):
+    return rounded(validate.validation_report(V.estimates(spark, sf_dir)),
+                   ["mean_error", "error_standard_deviation", "observed_coverage"])

@@ -72,6 +72,163 @@ def register(name: str, sql: str) -> None:
     ORACLE[name] = sql
 
 
+def quantiles_sql(source: str, group_cols: list[str], value: str, probs: list[float], names: list[str]) -> str:
+    """Linear quantiles spelled out: position (n-1)*p, neighbours by row number,
+    a + (b-a)*t below t = 0.5 and b - (b-a)*(1-t) from there (the array-library rule)."""
+    g = ", ".join(group_cols)
+    on = " AND ".join(f"{{a}}.{c} = p.{c}" for c in group_cols)
+    probs_sql = ", ".join(f"({i}, CAST({p!r} AS DOUBLE))" for i, p in enumerate(probs))
+    pivots = ", ".join(f"MAX(CASE WHEN i = {i} THEN qv END) AS {n}" for i, n in enumerate(names))
+    return f"""
+        WITH v AS (SELECT {g}, {value} AS x,
+                          ROW_NUMBER() OVER (PARTITION BY {g} ORDER BY {value}) - 1 AS r,
+                          COUNT(*) OVER (PARTITION BY {g}) AS n
+                   FROM ({source}) WHERE {value} IS NOT NULL),
+             p AS (SELECT k.*, pr.i, CAST(k.n - 1 AS DOUBLE) * pr.p AS pos
+                   FROM (SELECT DISTINCT {g}, n FROM v) k, (VALUES {probs_sql}) AS pr(i, p)),
+             ab AS (SELECT p.*, a.x AS a, b.x AS b, p.pos - FLOOR(p.pos) AS t
+                    FROM p JOIN v a ON {on.format(a="a")} AND a.r = CAST(FLOOR(p.pos) AS BIGINT)
+                           JOIN v b ON {on.format(a="b")} AND b.r = LEAST(CAST(FLOOR(p.pos) AS BIGINT) + 1, p.n - 1))
+        SELECT {g}, {pivots} FROM (
+            SELECT {g}, i, CASE WHEN t >= 0.5 THEN b - (b - a) * (1.0 - t) ELSE a + (b - a) * t END AS qv FROM ab)
+        GROUP BY {g}"""
+
+
 register("asof_latest_fact", as_of_sql("filings"))
 register("decision_rows", decision_rows_sql())
 register("future_fact_leaks", future_fact_leaks_sql())
+
+
+# ---------------------------------------------------------------- scores, valuation, validation
+
+BALANCE_SHEETS_SQL = """
+    SELECT CAST(s.s_suppkey AS VARCHAR) AS company_number,
+           x.net - x.gross * 0.5 AS working_capital,
+           s.s_acctbal * 10 AS retained_earnings,
+           CASE WHEN s.s_acctbal >= 0 THEN x.disc END AS ebit,
+           x.qty * 10 AS book_value_of_equity,
+           x.tax AS total_liabilities,
+           CASE WHEN s.s_nationkey = 7 THEN 0.0 ELSE x.gross END AS total_assets
+    FROM supplier s LEFT JOIN (
+        SELECT l_suppkey, SUM(l_extendedprice * (1 - l_discount)) AS net, SUM(l_extendedprice) AS gross,
+               SUM(l_extendedprice * l_tax) AS tax, SUM(l_extendedprice * l_discount) AS disc,
+               SUM(l_quantity) AS qty
+        FROM lineitem GROUP BY l_suppkey) x ON s.s_suppkey = x.l_suppkey"""
+
+register("distress_scores", f"""
+    SELECT company_number,
+           ROUND(CASE WHEN total_assets IS NULL OR total_assets = 0
+                        OR total_liabilities IS NULL OR total_liabilities = 0 THEN NULL
+                      WHEN ebit IS NOT NULL THEN 6.56 * (working_capital / total_assets)
+                           + 3.26 * (retained_earnings / total_assets) + 6.72 * (ebit / total_assets)
+                           + 1.05 * (book_value_of_equity / total_liabilities)
+                      ELSE 6.56 * (working_capital / total_assets) + 3.26 * (retained_earnings / total_assets)
+                           + 1.05 * (book_value_of_equity / total_liabilities) END, 6) AS distress_score,
+           CASE WHEN ebit IS NOT NULL THEN 'full' ELSE 'reduced_no_ebit' END AS score_form
+    FROM ({BALANCE_SHEETS_SQL})""")
+
+HEADCOUNTS_SQL = """
+    SELECT CAST(c_custkey AS VARCHAR) AS company_number, CAST(c_nationkey AS VARCHAR) AS industry_code,
+           CAST(CASE WHEN c_acctbal >= 0 THEN FLOOR(c_acctbal / 100) + 1 END AS DOUBLE) AS filed_headcount,
+           c_acctbal * ((c_nationkey % 5) + 1) * 400 AS multiples_revenue_estimate
+    FROM customer"""
+
+BENCHMARKS_SQL = """
+    SELECT CAST(n_nationkey AS VARCHAR) AS industry_code, 50000.0 + n_nationkey * 1000 AS revenue_per_employee,
+           1 AS benchmark_order
+    FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name <> 'MIDDLE EAST'
+    UNION ALL
+    SELECT CAST(n_nationkey AS VARCHAR), 999.0, 2
+    FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'EUROPE'"""
+
+register("revenue_cross_check", f"""
+    WITH b AS (SELECT industry_code, revenue_per_employee FROM (
+                 SELECT *, ROW_NUMBER() OVER (PARTITION BY industry_code ORDER BY benchmark_order) AS rn
+                 FROM ({BENCHMARKS_SQL})) WHERE rn = 1),
+         e AS (SELECT h.company_number, h.filed_headcount * b.revenue_per_employee AS hc_est,
+                      h.multiples_revenue_estimate AS m_est
+               FROM ({HEADCOUNTS_SQL}) h LEFT JOIN b ON h.industry_code = b.industry_code),
+         r AS (SELECT *, CASE WHEN hc_est > 0 AND m_est > 0
+                              THEN GREATEST(hc_est, m_est) / LEAST(hc_est, m_est) END AS ratio FROM e)
+    SELECT company_number, hc_est AS headcount_revenue_estimate,
+           m_est AS multiples_revenue_estimate, ratio AS disagreement_ratio,
+           COALESCE(ratio <= 2.0, FALSE) AS revenue_usable
+    FROM r""")
+
+PEERS_SQL = ("SELECT LPAD(CAST((p_size * 97) % 1000 AS VARCHAR), 3, '0') AS industry_code, "
+             "p_retailprice / 100 AS multiple FROM part")
+TARGETS_SQL = """
+    SELECT CAST(s_suppkey AS VARCHAR) AS company_number,
+           CASE WHEN s_nationkey = 0 THEN SUBSTR(code, 1, 2) WHEN s_nationkey = 1 THEN ''
+                WHEN s_nationkey = 2 THEN 'X' || code ELSE code END AS industry_code,
+           s_acctbal AS scaling_value
+    FROM (SELECT *, LPAD(CAST((s_suppkey * 37) % 1000 AS VARCHAR), 3, '0') AS code FROM supplier)"""
+
+# Brute force: count peers by startswith for each tried length, pick the first with >= 8.
+WIDENING_SQL = f"""
+    WITH p AS ({PEERS_SQL}), t AS ({TARGETS_SQL}),
+    n AS (SELECT t.company_number,
+                 (SELECT COUNT(*) FROM p WHERE starts_with(p.industry_code, LEFT(t.industry_code, 3))) AS n3,
+                 (SELECT COUNT(*) FROM p WHERE starts_with(p.industry_code, LEFT(t.industry_code, 2))) AS n2,
+                 (SELECT COUNT(*) FROM p WHERE starts_with(p.industry_code, LEFT(t.industry_code, 1))) AS n1,
+                 (SELECT COUNT(*) FROM p) AS n0
+          FROM t)
+    SELECT t.company_number, t.industry_code, t.scaling_value,
+           CASE WHEN n3 >= 8 THEN 3 WHEN n2 >= 8 THEN 2 WHEN n1 >= 8 THEN 1 ELSE 0 END AS code_length_used,
+           CASE WHEN n3 >= 8 THEN n3 WHEN n2 >= 8 THEN n2 WHEN n1 >= 8 THEN n1 ELSE n0 END AS peer_count
+    FROM t JOIN n ON t.company_number = n.company_number"""
+
+register("peer_widening", f"""
+    SELECT company_number, industry_code, CAST(code_length_used AS INTEGER) AS code_length_used, peer_count
+    FROM ({WIDENING_SQL})""")
+
+MATCHED_PEERS_SQL = f"""
+    SELECT w.company_number, w.code_length_used, w.scaling_value, w.peer_count, p.multiple
+    FROM ({WIDENING_SQL}) w JOIN ({PEERS_SQL}) p
+      ON w.code_length_used = 0 OR starts_with(p.industry_code, LEFT(w.industry_code, w.code_length_used))"""
+
+register("value_distribution", f"""
+    SELECT company_number, CAST(code_length_used AS INTEGER) AS code_length_used, multiple,
+           scaling_value * multiple AS estimated_value
+    FROM ({MATCHED_PEERS_SQL})""")
+
+VQ_NAMES = ["value_quantile_10", "value_quantile_25", "value_quantile_50", "value_quantile_75", "value_quantile_90"]
+register("valuation_quantiles", f"""
+    WITH q AS ({quantiles_sql(MATCHED_PEERS_SQL, ["company_number"], "multiple",
+                              [0.10, 0.25, 0.50, 0.75, 0.90], ["m10", "m25", "m50", "m75", "m90"])}),
+         w AS (SELECT DISTINCT company_number, peer_count, code_length_used, scaling_value FROM ({MATCHED_PEERS_SQL}))
+    SELECT w.company_number, w.peer_count, CAST(w.code_length_used AS INTEGER) AS code_length_used,
+           (CASE WHEN scaling_value >= 0 THEN scaling_value * m10 ELSE scaling_value * m90 END) AS value_quantile_10,
+           (CASE WHEN scaling_value >= 0 THEN scaling_value * m25 ELSE scaling_value * m75 END) AS value_quantile_25,
+           scaling_value * m50 AS value_quantile_50,
+           (CASE WHEN scaling_value >= 0 THEN scaling_value * m75 ELSE scaling_value * m25 END) AS value_quantile_75,
+           (CASE WHEN scaling_value >= 0 THEN scaling_value * m90 ELSE scaling_value * m10 END) AS value_quantile_90
+    FROM w LEFT JOIN q ON w.company_number = q.company_number""")
+
+ESTIMATES_SQL = """
+    SELECT l_returnflag AS method_name, l_extendedprice * (1 - l_discount) AS estimated_value,
+           l_extendedprice * (1 - l_tax) AS filed_value,
+           l_extendedprice * (1 - l_discount) * (1 - CASE WHEN l_returnflag = 'R' THEN 0.10 ELSE 0.05 END)
+               AS interval_lower,
+           l_extendedprice * (1 - l_discount) * (1 + CASE WHEN l_returnflag = 'R' THEN 0.10 ELSE 0.05 END)
+               AS interval_upper
+    FROM lineitem"""
+
+EQ_NAMES = ["error_quantile_5", "error_quantile_25", "error_quantile_50", "error_quantile_75", "error_quantile_95"]
+register("validation_report", f"""
+    WITH e AS (SELECT *, estimated_value - filed_value AS e FROM ({ESTIMATES_SQL})),
+         q AS ({quantiles_sql("SELECT * FROM e", ["method_name"], "e", [0.05, 0.25, 0.50, 0.75, 0.95], EQ_NAMES)}),
+         s AS (SELECT method_name, COUNT(*) AS sample_size, AVG(e) AS mean_error,
+                      STDDEV_SAMP(e) AS error_standard_deviation, MAX(ABS(e)) AS worst_case_error,
+                      AVG(CASE WHEN filed_value >= interval_lower AND filed_value <= interval_upper
+                               THEN 1.0 ELSE 0.0 END) AS observed_coverage
+               FROM e GROUP BY method_name)
+    SELECT s.method_name, sample_size, ROUND(mean_error, 6) AS mean_error,
+           ROUND(error_standard_deviation, 6) AS error_standard_deviation,
+           worst_case_error,
+           CASE WHEN mean_error > 0 THEN 'overestimates' WHEN mean_error IS NOT NULL THEN 'underestimates' END
+               AS bias_direction,
+           {", ".join(EQ_NAMES)},
+           ROUND(observed_coverage, 6) AS observed_coverage, 0.8 AS target_coverage,
+           observed_coverage >= 0.8 AS calibrated
+    FROM s LEFT JOIN q ON s.method_name = q.method_name""")

@@ -85,3 +85,81 @@ def fact_tables(spark, sf_dir) -> dict:
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
+
+
+# ---------------------------------------------------------------- scores, valuation, validation
+
+def balance_sheets(spark, sf_dir) -> DataFrame:
+    """Per-supplier figures summed from its line items.
+
+    EBIT is withheld (null) by suppliers with a negative balance, and suppliers
+    of nation 7 file zero total assets, so both score forms and the null
+    score are exercised.
+    """
+    sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
+    li = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_extendedprice", "l_discount", "l_tax", "l_quantity")
+    sums = li.groupBy("l_suppkey").agg(
+        F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("net"),
+        F.sum("l_extendedprice").alias("gross"),
+        F.sum(F.col("l_extendedprice") * F.col("l_tax")).alias("tax"),
+        F.sum(F.col("l_extendedprice") * F.col("l_discount")).alias("disc"),
+        F.sum("l_quantity").alias("qty"))
+    j = sup.join(sums, sup.s_suppkey == sums.l_suppkey, "left")
+    return j.select(
+        company_id("s_suppkey").alias("company_number"),
+        (F.col("net") - F.col("gross") * 0.5).alias("working_capital"),
+        (F.col("s_acctbal") * 10).alias("retained_earnings"),
+        F.when(F.col("s_acctbal") >= 0, F.col("disc")).alias("ebit"),
+        (F.col("qty") * 10).alias("book_value_of_equity"),
+        F.col("tax").alias("total_liabilities"),
+        F.when(F.col("s_nationkey") == 7, F.lit(0.0)).otherwise(F.col("gross")).alias("total_assets"))
+
+
+def headcounts(spark, sf_dir) -> DataFrame:
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    return c.select(
+        company_id("c_custkey").alias("company_number"),
+        company_id("c_nationkey").alias("industry_code"),
+        F.when(F.col("c_acctbal") >= 0, F.floor(F.col("c_acctbal") / 100) + 1).cast("double").alias("filed_headcount"),
+        (F.col("c_acctbal") * ((F.col("c_nationkey") % 5) + 1) * 400).alias("multiples_revenue_estimate"))
+
+
+def benchmarks(spark, sf_dir) -> DataFrame:
+    """Revenue per employee per nation; MIDDLE EAST nations have none, EUROPE nations two."""
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    j = n.join(r, n.n_regionkey == r.r_regionkey).where(F.col("r_name") != "MIDDLE EAST")
+    first = j.select(company_id("n_nationkey").alias("industry_code"),
+                     (F.lit(50000.0) + F.col("n_nationkey") * 1000).alias("revenue_per_employee"),
+                     F.lit(1).cast("long").alias("benchmark_order"))
+    second = j.where(F.col("r_name") == "EUROPE").select(
+        company_id("n_nationkey").alias("industry_code"), F.lit(999.0).alias("revenue_per_employee"),
+        F.lit(2).cast("long").alias("benchmark_order"))
+    return first.unionByName(second)
+
+
+def peers(spark, sf_dir) -> DataFrame:
+    p = table(spark, sf_dir, "part").select("p_size", "p_retailprice")
+    return p.select(F.lpad(((F.col("p_size") * 97) % 1000).cast("string"), 3, "0").alias("industry_code"),
+                    (F.col("p_retailprice") / 100).alias("multiple"))
+
+
+def valuation_targets(spark, sf_dir) -> DataFrame:
+    """Suppliers with a derived code: nation 0 short codes, nation 1 empty, nation 2 unknown letters."""
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
+    code = F.lpad(((F.col("s_suppkey") * 37) % 1000).cast("string"), 3, "0")
+    industry = (F.when(F.col("s_nationkey") == 0, F.substring(code, 1, 2))
+                .when(F.col("s_nationkey") == 1, F.lit(""))
+                .when(F.col("s_nationkey") == 2, F.concat(F.lit("X"), code))
+                .otherwise(code))
+    return s.select(company_id("s_suppkey").alias("company_number"), industry.alias("industry_code"),
+                    F.col("s_acctbal").alias("scaling_value"))
+
+
+def estimates(spark, sf_dir) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_extendedprice", "l_discount", "l_tax")
+    est = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    width = F.when(F.col("l_returnflag") == "R", F.lit(0.10)).otherwise(F.lit(0.05))
+    return li.select(F.col("l_returnflag").alias("method_name"), est.alias("estimated_value"),
+                     (F.col("l_extendedprice") * (1 - F.col("l_tax"))).alias("filed_value"),
+                     (est * (1 - width)).alias("interval_lower"), (est * (1 + width)).alias("interval_upper"))
