@@ -98,3 +98,73 @@ def valuation_quantiles(spark, sf_dir):
 def validation_report(spark, sf_dir):
     return rounded(validate.validation_report(V.estimates(spark, sf_dir)),
                    ["mean_error", "error_standard_deviation", "observed_coverage"])
+
+
+# ---------------------------------------------------------------- facts, landing, candidates, web
+
+from dealsieve.operators import facts, web  # noqa: E402
+from dealsieve.sources import landing, register as reg  # noqa: E402
+
+
+@query("filing_records")
+def filing_records(spark, sf_dir):
+    return facts.filing_records(V.profile_docs(spark, sf_dir), V.officer_docs(spark, sf_dir),
+                                V.filing_history_docs(spark, sf_dir))
+
+
+@query("charges_flatten")
+def charges_flatten(spark, sf_dir):
+    return facts.charges(V.charge_docs(spark, sf_dir))
+
+
+@query("ownership_flags")
+def ownership_flags(spark, sf_dir):
+    return facts.ownership(V.controller_docs(spark, sf_dir))
+
+
+@query("award_summary")
+def award_summary(spark, sf_dir):
+    return facts.award_summary(V.companies(spark, sf_dir), facts.notices(V.notice_docs(spark, sf_dir)))
+
+
+@query("latest_pull")
+def latest_pull(spark, sf_dir):
+    return landing.latest_pull(V.raw_pulls(spark, sf_dir))
+
+
+@query("pull_changes")
+def pull_changes(spark, sf_dir):
+    return landing.pull_changes(V.raw_pulls(spark, sf_dir))
+
+
+@query("landing_gaps")
+def landing_gaps(spark, sf_dir):
+    fails = landing.parse_failure_log(V.failure_log_lines(spark, sf_dir), V.LANDING_SOURCES)
+    return landing.landing_gaps(V.expected_pulls(spark, sf_dir), V.raw_pulls(spark, sf_dir), fails)
+
+
+@query("candidate_select")
+def candidate_select(spark, sf_dir):
+    return reg.register_search(V.register(spark, sf_dir), V.SEARCH_SIC_CODES, V.SEARCH_LOCATION)
+
+
+@query("selection_criteria")
+def selection_criteria(spark, sf_dir):
+    cands, route = reg.build_candidate_list(None, V.register(spark, sf_dir), V.SEARCH_SIC_CODES, V.SEARCH_LOCATION)
+    return reg.selection_criteria(cands, route, V.SEARCH_SIC_CODES, V.SEARCH_LOCATION).drop("drawn_at")
+
+
+@query("page_text")
+def page_text(spark, sf_dir):
+    return web.page_texts(V.table(spark, sf_dir, "pages"))
+
+
+@query("accreditation_wide")
+def accreditation_wide(spark, sf_dir):
+    return web.accreditation_wide(V.web_companies(spark, sf_dir), V.WEB_TERMS)
+
+
+@query("accreditation_long")
+def accreditation_long(spark, sf_dir):
+    wide = web.accreditation_wide(V.web_companies(spark, sf_dir), V.WEB_TERMS)
+    return web.accreditation_long(wide, list(V.WEB_TERMS))

@@ -232,3 +232,132 @@ register("validation_report", f"""
            ROUND(observed_coverage, 6) AS observed_coverage, 0.8 AS target_coverage,
            observed_coverage >= 0.8 AS calibrated
     FROM s LEFT JOIN q ON s.method_name = q.method_name""")
+
+
+# ---------------------------------------------------------------- facts, landing, candidates, web
+
+MKT_SIC_SQL = ("CASE c_mktsegment " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in V.MKT_SIC.items()) + " END")
+EMPTY = "CAST([] AS VARCHAR[])"
+
+register("filing_records", f"""
+    SELECT CAST(c.c_custkey AS VARCHAR) AS company_number, c.c_name AS company_name,
+           'Unit ' || CAST(c.c_custkey AS VARCHAR) AS registered_address,
+           'PC' || CAST(c.c_nationkey AS VARCHAR) AS registered_postcode,
+           '19' || CAST(c.c_nationkey + 70 AS VARCHAR) || '-01-15' AS incorporation_date,
+           CASE WHEN c.c_mktsegment <> 'HOUSEHOLD'
+                THEN ['4' || LPAD(CAST(c.c_nationkey AS VARCHAR), 2, '0'), {MKT_SIC_SQL}] ELSE {EMPTY} END AS sic_codes,
+           CASE WHEN c.c_mktsegment <> 'AUTOMOBILE'
+                THEN [c.c_name || ' director', 'Secretary ' || c.c_mktsegment] ELSE {EMPTY} END AS officer_names,
+           COALESCE(o.cnt, 0) AS filing_count
+    FROM customer c LEFT JOIN (SELECT o_custkey, COUNT(*) AS cnt FROM orders GROUP BY o_custkey) o
+      ON c.c_custkey = o.o_custkey""")
+
+register("charges_flatten", """
+    SELECT CAST(o.o_custkey AS VARCHAR) AS company_number, strftime(l.l_shipdate, '%Y-%m-%d') AS created_on,
+           CASE WHEN l.l_linestatus = 'O' THEN 'outstanding' ELSE 'fully-satisfied' END AS status,
+           CASE WHEN l.l_returnflag <> 'N' THEN 'flag ' || l.l_returnflag END AS classification,
+           [CASE WHEN l.l_linenumber <> 1 THEN 'Supplier#' || CAST(l.l_suppkey AS VARCHAR) ELSE '' END]
+               AS persons_entitled,
+           CASE WHEN l.l_quantity > 25 THEN 'qty ' || CAST(CAST(TRUNC(l.l_quantity) AS INTEGER) AS VARCHAR) END
+               AS description
+    FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""")
+
+register("ownership_flags", f"""
+    SELECT CAST(c_custkey AS VARCHAR) AS company_number,
+           CASE WHEN c_acctbal > 5000 THEN [c_mktsegment || ' Holdings'] ELSE {EMPTY} END AS corporate_controllers,
+           c_acctbal > 5000 AS part_of_group
+    FROM customer""")
+
+register("award_summary", f"""
+    WITH n AS (SELECT CAST(user_id AS VARCHAR) AS company_number,
+                      CASE WHEN event_type IN ('purchase', 'signup') THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') END AS awarded,
+                      CASE WHEN event_type <> 'signup' THEN 'Authority ' || json_extract_string(props, '$.k') END AS org
+               FROM events),
+         a AS (SELECT company_number, COUNT(*) AS award_count, MAX(awarded) AS most_recent,
+                      list_sort(list_distinct(list(COALESCE(org, '')))) AS auth
+               FROM n WHERE awarded IS NOT NULL AND awarded <> '' GROUP BY company_number)
+    SELECT CAST(c.c_custkey AS VARCHAR) AS company_number, c.c_name AS company_name,
+           COALESCE(a.award_count, 0) AS award_count, a.most_recent AS most_recent_award_date,
+           COALESCE(a.auth, {EMPTY}) AS buying_authorities
+    FROM customer c LEFT JOIN a ON CAST(c.c_custkey AS VARCHAR) = a.company_number""")
+
+SOURCES_SQL = ", ".join(f"'{s}'" for s in V.LANDING_SOURCES)
+PULLS_SQL = (f"SELECT event_type AS source, CAST(user_id AS VARCHAR) AS record_key, ts AS pulled_at, "
+             f"props AS payload FROM events WHERE event_type IN ({SOURCES_SQL})")
+
+register("latest_pull", f"""
+    SELECT source, record_key, pulled_at, payload FROM (
+        SELECT *, ROW_NUMBER() OVER (PARTITION BY source, record_key ORDER BY pulled_at DESC, payload DESC) AS rn
+        FROM ({PULLS_SQL})) WHERE rn = 1""")
+
+register("pull_changes", f"""
+    SELECT source, record_key, pulled_at, h AS payload_hash, prev IS NULL AS first_pull,
+           COALESCE(prev <> h, FALSE) AS changed
+    FROM (SELECT source, record_key, pulled_at, md5(payload) AS h,
+                 LAG(md5(payload)) OVER (PARTITION BY source, record_key ORDER BY pulled_at, md5(payload)) AS prev
+          FROM ({PULLS_SQL}))""")
+
+register("landing_gaps", f"""
+    WITH ex AS (SELECT s.source, CAST(c.c_custkey AS VARCHAR) AS record_key
+                FROM customer c, (VALUES {", ".join(f"('{s}')" for s in V.LANDING_SOURCES)}) AS s(source)),
+         got AS (SELECT DISTINCT source, record_key FROM ({PULLS_SQL})),
+         gaps AS (SELECT * FROM ex WHERE NOT EXISTS (
+                    SELECT 1 FROM got WHERE got.source = ex.source AND got.record_key = ex.record_key)),
+         f AS (SELECT ([{SOURCES_SQL}])[CAST(json_extract_string(props, '$.k') AS INTEGER) % 4 + 1] AS source,
+                      CAST(user_id AS VARCHAR) AS record_key, date_trunc('second', ts) AS failed_at,
+                      'HTTP ' || CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) % 4 + 500 AS VARCHAR)
+                          || ' Server Error' AS reason
+               FROM events WHERE event_type = 'error'),
+         lf AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY source, record_key
+                                                           ORDER BY failed_at DESC, reason DESC) AS rn FROM f)
+                WHERE rn = 1)
+    SELECT g.source, g.record_key, lf.failed_at AS last_failed_at, lf.reason
+    FROM gaps g LEFT JOIN lf ON g.source = lf.source AND g.record_key = lf.record_key""")
+
+CANDIDATES_SQL = f"""
+    SELECT LPAD(CAST(c_custkey AS VARCHAR), 8, '0') AS company_number, c_name AS company_name,
+           'PC' || CAST(c_nationkey AS VARCHAR) AS postcode,
+           '4' || LPAD(CAST(c_nationkey AS VARCHAR), 2, '0') AS sic_code, CAST(NULL AS VARCHAR) AS website_url
+    FROM customer JOIN nation ON c_nationkey = n_nationkey
+    WHERE c_acctbal >= 0
+      AND ('4' || LPAD(CAST(c_nationkey AS VARCHAR), 2, '0') IN ({", ".join(f"'{c}'" for c in V.SEARCH_SIC_CODES)})
+           OR {MKT_SIC_SQL} IN ({", ".join(f"'{c}'" for c in V.SEARCH_SIC_CODES)}))
+      AND contains(lower(n_name), '{V.SEARCH_LOCATION}')
+    ORDER BY company_number LIMIT 500"""
+
+register("candidate_select", CANDIDATES_SQL)
+register("selection_criteria", f"""
+    SELECT 'companies_house_advanced_search' AS route, '{",".join(V.SEARCH_SIC_CODES)}' AS sic_codes,
+           '{V.SEARCH_LOCATION}' AS location, COUNT(*) AS candidate_count FROM ({CANDIDATES_SQL})""")
+
+PAGE_TEXT_SQL = "lower(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g'))"
+register("page_text", f"SELECT page_id, {PAGE_TEXT_SQL} AS page_text FROM pages")
+
+
+def _snippet(term: str) -> str:
+    pos = f"instr(t, '{term}')"
+    start = f"GREATEST({pos} - 120, 1)"
+    return f"CASE WHEN {pos} > 0 THEN substring(t, {start}, {pos} + {len(term)} + 120 - {start}) END"
+
+
+def _accreditation_wide_sql() -> str:
+    cols = []
+    for name, variants in V.WEB_TERMS.items():
+        cite = "COALESCE(" + ", ".join(_snippet(v) for v in variants) + ")"
+        cols.append(f"CASE WHEN {cite} IS NOT NULL THEN 'claimed on site' ELSE 'not found on site' END AS {name}_status")
+        cols.append(f"{cite} AS {name}_citation")
+    return f"""
+        SELECT company_number, company_name, website_url, {", ".join(cols)}
+        FROM (SELECT CAST(page_id AS VARCHAR) AS company_number,
+                     regexp_extract(url, '^https?://([^/]+)', 1) AS company_name, url AS website_url,
+                     {PAGE_TEXT_SQL} AS t
+              FROM pages)"""
+
+
+register("accreditation_wide", _accreditation_wide_sql())
+register("accreditation_long", " UNION ALL ".join(
+    f"""SELECT company_number, '{n}' AS accreditation, {n}_status AS status, {n}_citation AS citation,
+               CASE WHEN {n}_status = 'not found on site'
+                    THEN '{n.replace("_", " ")}: not found on the site, which is not proof it is not held'
+                    ELSE '{n.replace("_", " ")}: ' || {n}_status END AS statement
+        FROM ({_accreditation_wide_sql()})""" for n in V.WEB_TERMS))

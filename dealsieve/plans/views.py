@@ -163,3 +163,167 @@ def estimates(spark, sf_dir) -> DataFrame:
     return li.select(F.col("l_returnflag").alias("method_name"), est.alias("estimated_value"),
                      (F.col("l_extendedprice") * (1 - F.col("l_tax"))).alias("filed_value"),
                      (est * (1 - width)).alias("interval_lower"), (est * (1 + width)).alias("interval_upper"))
+
+
+# ---------------------------------------------------------------- register and portal documents
+
+MKT_SIC = {"AUTOMOBILE": "29100", "BUILDING": "41201", "FURNITURE": "31090",
+           "HOUSEHOLD": "47590", "MACHINERY": "28990"}
+
+
+def _mkt_sic():
+    expr = None
+    for seg, code in MKT_SIC.items():
+        expr = (F.when(F.col("c_mktsegment") == seg, F.lit(code)) if expr is None
+                else expr.when(F.col("c_mktsegment") == seg, F.lit(code)))
+    return expr
+
+
+def companies(spark, sf_dir) -> DataFrame:
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    return c.select(company_id("c_custkey").alias("company_number"), F.col("c_name").alias("company_name"))
+
+
+def profile_docs(spark, sf_dir) -> DataFrame:
+    """Register profile per customer; HOUSEHOLD profiles carry no SIC codes."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    sic = F.when(F.col("c_mktsegment") != "HOUSEHOLD",
+                 F.array(F.concat(F.lit("4"), F.lpad(F.col("c_nationkey").cast("string"), 2, "0")), _mkt_sic()))
+    doc = F.struct(
+        F.col("c_name").alias("company_name"),
+        F.concat(F.lit("19"), (F.col("c_nationkey") + 70).cast("string"), F.lit("-01-15")).alias("date_of_creation"),
+        sic.alias("sic_codes"),
+        F.struct(F.concat(F.lit("Unit "), F.col("c_custkey").cast("string")).alias("address_line_1"),
+                 F.concat(F.lit("PC"), F.col("c_nationkey").cast("string")).alias("postal_code"))
+        .alias("registered_office_address"))
+    return c.select(company_id("c_custkey").alias("company_number"), F.to_json(doc).alias("payload"))
+
+
+def officer_docs(spark, sf_dir) -> DataFrame:
+    """Officer lists; AUTOMOBILE customers have no officers document at all."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment") \
+        .where(F.col("c_mktsegment") != "AUTOMOBILE")
+    items = F.array(F.struct(F.concat(F.col("c_name"), F.lit(" director")).alias("name")),
+                    F.struct(F.concat(F.lit("Secretary "), F.col("c_mktsegment")).alias("name")))
+    return c.select(company_id("c_custkey").alias("company_number"),
+                    F.to_json(F.struct(items.alias("items"))).alias("payload"))
+
+
+def filing_history_docs(spark, sf_dir) -> DataFrame:
+    """Filing count per customer = its number of orders; customers without orders have no document."""
+    o = table(spark, sf_dir, "orders").select("o_custkey")
+    cnt = o.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("total_count"))
+    return cnt.select(company_id("o_custkey").alias("company_number"),
+                      F.to_json(F.struct("total_count")).alias("payload"))
+
+
+def charge_docs(spark, sf_dir) -> DataFrame:
+    """One charges document per order, one charge per line item (an order has at most 7)."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity",
+                                                 "l_returnflag", "l_linestatus", "l_shipdate")
+    charge = F.struct(
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("created_on"),
+        F.when(F.col("l_linestatus") == "O", F.lit("outstanding")).otherwise(F.lit("fully-satisfied")).alias("status"),
+        F.when(F.col("l_returnflag") != "N",
+               F.struct(F.concat(F.lit("flag "), F.col("l_returnflag")).alias("description"))).alias("classification"),
+        F.array(F.struct(F.when(F.col("l_linenumber") != 1,
+                                F.concat(F.lit("Supplier#"), F.col("l_suppkey").cast("string"))).alias("name")))
+        .alias("persons_entitled"),
+        F.when(F.col("l_quantity") > 25,
+               F.struct(F.concat(F.lit("qty "), F.col("l_quantity").cast("int").cast("string")).alias("description")))
+        .alias("particulars"))
+    per_order = li.groupBy("l_orderkey").agg(F.collect_list(charge).alias("items"))
+    return per_order.join(o, per_order.l_orderkey == o.o_orderkey).select(
+        company_id("o_custkey").alias("company_number"), F.to_json(F.struct("items")).alias("payload"))
+
+
+def controller_docs(spark, sf_dir) -> DataFrame:
+    """A corporate controller for customers with balance above 5000; always one individual."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    corp = F.when(F.col("c_acctbal") > 5000, F.struct(
+        F.concat(F.col("c_mktsegment"), F.lit(" Holdings")).alias("name"),
+        F.lit("corporate-entity-person-with-significant-control").alias("kind")))
+    person = F.struct(F.concat(F.lit("Person "), F.col("c_custkey").cast("string")).alias("name"),
+                      F.lit("individual-person-with-significant-control").alias("kind"))
+    items = F.filter(F.array(corp, person), lambda x: x.isNotNull())
+    return c.select(company_id("c_custkey").alias("company_number"),
+                    F.to_json(F.struct(items.alias("items"))).alias("payload"))
+
+
+def notice_docs(spark, sf_dir) -> DataFrame:
+    """Every event is a portal notice of its user: purchases and signups are awards
+    (signups without an authority name); purchase and view notices come wrapped in ``item``."""
+    e = table(spark, sf_dir, "events").select("user_id", "ts", "event_type", "props")
+    k = F.get_json_object("props", "$.k")
+    awarded = F.col("event_type").isin("purchase", "signup")
+    fields = F.struct(F.when(awarded, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")).alias("awardedDate"),
+                      F.when(F.col("event_type") != "signup", F.concat(F.lit("Authority "), k)).alias("organisationName"))
+    wrapped = F.col("event_type").isin("purchase", "view")
+    notice = F.struct(F.when(wrapped, fields).alias("item"),
+                      F.when(~wrapped, fields["awardedDate"]).alias("awardedDate"),
+                      F.when(~wrapped, fields["organisationName"]).alias("organisationName"))
+    return e.select(company_id("user_id").alias("company_number"),
+                    F.to_json(F.struct(F.array(notice).alias("noticeList"))).alias("payload"))
+
+
+# ---------------------------------------------------------------- landing zone
+
+LANDING_SOURCES = ["click", "view", "purchase", "signup"]
+
+
+def raw_pulls(spark, sf_dir) -> DataFrame:
+    e = table(spark, sf_dir, "events").select("event_type", "user_id", "ts", "props") \
+        .where(F.col("event_type").isin(LANDING_SOURCES))
+    return e.select(F.col("event_type").alias("source"), company_id("user_id").alias("record_key"),
+                    F.col("ts").alias("pulled_at"), F.col("props").alias("payload"))
+
+
+def expected_pulls(spark, sf_dir) -> DataFrame:
+    """Every customer is expected from every landing source (a generator over a fixed list)."""
+    return companies(spark, sf_dir).select(
+        F.explode(F.array(*[F.lit(s) for s in LANDING_SOURCES])).alias("source"),
+        F.col("company_number").alias("record_key"))
+
+
+def failure_log_lines(spark, sf_dir) -> DataFrame:
+    """Error events written as failure-log lines (reasons contain spaces)."""
+    e = table(spark, sf_dir, "events").select("event_type", "user_id", "ts", "props") \
+        .where(F.col("event_type") == "error")
+    k = F.get_json_object("props", "$.k").cast("int")
+    source = F.element_at(F.array(*[F.lit(s) for s in LANDING_SOURCES]), (k % 4) + 1)
+    reason = F.concat(F.lit("HTTP "), (k % 4 + 500).cast("string"), F.lit(" Server Error"))
+    line = F.concat_ws(" ", F.date_format("ts", "yyyyMMdd'T'HHmmss'Z'"), source, F.col("user_id").cast("string"), reason)
+    return e.select(line.alias("value"))
+
+
+# ---------------------------------------------------------------- register search, websites
+
+SEARCH_SIC_CODES = ["41201", "28990"]
+SEARCH_LOCATION = "nation_1"
+WEB_TERMS = {
+    "open_license": ["mit license", "apache license", "license"],
+    "licensed_use": ["licensed under"],
+    "tracking_script": ["track("],
+    "example_host": ["example.com", "example.org"],
+}
+
+
+def register(spark, sf_dir) -> DataFrame:
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    j = c.join(n, c.c_nationkey == n.n_nationkey)
+    return j.select(
+        F.lpad(F.col("c_custkey").cast("string"), 8, "0").alias("company_number"),
+        F.col("c_name").alias("company_name"),
+        F.when(F.col("c_acctbal") < 0, F.lit("dissolved")).otherwise(F.lit("active")).alias("company_status"),
+        F.array(F.concat(F.lit("4"), F.lpad(F.col("c_nationkey").cast("string"), 2, "0")), _mkt_sic()).alias("sic_codes"),
+        F.struct(F.concat(F.lit("PC"), F.col("c_nationkey").cast("string")).alias("postal_code"),
+                 F.col("n_name").alias("locality")).alias("registered_office_address"))
+
+
+def web_companies(spark, sf_dir) -> DataFrame:
+    p = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return p.select(company_id("page_id").alias("company_number"),
+                    F.regexp_extract("url", r"^https?://([^/]+)", 1).alias("company_name"),
+                    F.col("url").alias("website_url"), "html")
