@@ -168,3 +168,57 @@ def accreditation_wide(spark, sf_dir):
 def accreditation_long(spark, sf_dir):
     wide = web.accreditation_wide(V.web_companies(spark, sf_dir), V.WEB_TERMS)
     return web.accreditation_long(wide, list(V.WEB_TERMS))
+
+
+# ---------------------------------------------------------------- names and resolution
+
+from dealsieve.functions import names as N  # noqa: E402
+from dealsieve.operators import resolve  # noqa: E402
+
+
+@query("name_normalise")
+def name_normalise(spark, sf_dir):
+    r = V.name_records(spark, sf_dir)
+    return r.select("doc_id", "company_name", N.normalise_name("company_name").alias("normalised"))
+
+
+@query("name_shingles")
+def name_shingles(spark, sf_dir):
+    r = V.name_records(spark, sf_dir)
+    return r.select("doc_id", F.explode_outer(N.shingles(N.normalise_name("company_name"))).alias("shingle"))
+
+
+@query("minhash_signature")
+def minhash_signature(spark, sf_dir):
+    r = V.name_records(spark, sf_dir).select("doc_id", N.normalise_name("company_name").alias("norm"))
+    sigs = resolve.norm_signatures(r.withColumnRenamed("norm", "company_name"), "company_name")
+    # posexplode_outer: signatures always have 64 slots; the inner form would infer a
+    # size(sig) > 0 filter and push the whole signature expression down to the scan.
+    return r.join(sigs, "norm").select("doc_id", F.posexplode_outer("sig").alias("slot", "min_hash"))
+
+
+@query("minhash_candidates")
+def minhash_candidates(spark, sf_dir):
+    r = V.name_records(spark, sf_dir).select("doc_id", "company_name")
+    pairs = resolve.candidate_pairs(r, r, "doc_id", "doc_id")
+    return pairs.where(F.col("doc_id_one") < F.col("doc_id_two")).select(
+        F.col("doc_id_one").alias("id_one"), F.col("doc_id_two").alias("id_two"), "similarity")
+
+
+@query("match_scored")
+def match_scored(spark, sf_dir):
+    r = V.name_records(spark, sf_dir)
+    m = resolve.match_records(r, r, "doc_id", "doc_id")
+    return m.where(F.col("id_one") < F.col("id_two"))
+
+
+@query("resolve_partition")
+def resolve_partition(spark, sf_dir):
+    out = resolve.resolve_candidates(V.resolution_candidates(spark, sf_dir), V.register_records(spark, sf_dir))
+    return out["flags"]
+
+
+@query("match_recall")
+def match_recall(spark, sf_dir):
+    out = resolve.resolve_candidates(V.resolution_candidates(spark, sf_dir), V.register_records(spark, sf_dir))
+    return resolve.match_recall(out["flags"], V.resolution_truth(spark, sf_dir), "candidate_id")

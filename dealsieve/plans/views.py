@@ -327,3 +327,44 @@ def web_companies(spark, sf_dir) -> DataFrame:
     return p.select(company_id("page_id").alias("company_number"),
                     F.regexp_extract("url", r"^https?://([^/]+)", 1).alias("company_name"),
                     F.col("url").alias("website_url"), "html")
+
+
+# ---------------------------------------------------------------- names and resolution
+
+NAME_LENGTH = 48
+
+
+def name_records(spark, sf_dir) -> DataFrame:
+    """Company-like records from documents: the first sentence (48 characters) is the name."""
+    from dealsieve.functions.text import first_sentence
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    return d.select("doc_id", first_sentence("text", NAME_LENGTH).alias("company_name"),
+                    F.col("source").alias("postcode"), F.col("lang").alias("sic_code"))
+
+
+def register_records(spark, sf_dir) -> DataFrame:
+    r = name_records(spark, sf_dir)
+    return r.select(F.concat(F.lit("DOC"), F.lpad(F.col("doc_id").cast("string"), 7, "0")).alias("company_number"),
+                    "company_name", "postcode", "sic_code", F.lit(None).cast("string").alias("website_url"))
+
+
+def resolution_candidates(spark, sf_dir) -> DataFrame:
+    """Planted name variants of the register records, by language: English adds a legal
+    suffix, French is upper-cased, German loses its first character, Spanish loses its
+    postcode.  Candidates from sources src0 and src1 already carry their number."""
+    r = name_records(spark, sf_dir)
+    name = (F.when(F.col("sic_code") == "en", F.concat(F.col("company_name"), F.lit(" Ltd")))
+            .when(F.col("sic_code") == "fr", F.upper("company_name"))
+            .when(F.col("sic_code") == "de", F.expr("substring(company_name, 2)"))
+            .otherwise(F.col("company_name")))
+    number = F.when(F.col("postcode").isin("src0", "src1"),
+                    F.concat(F.lit("DOC"), F.lpad(F.col("doc_id").cast("string"), 7, "0")))
+    return r.select(F.col("doc_id").alias("candidate_id"), number.alias("company_number"), name.alias("company_name"),
+                    F.when(F.col("sic_code") != "es", F.col("postcode")).alias("postcode"), "sic_code",
+                    F.lit(None).cast("string").alias("website_url"))
+
+
+def resolution_truth(spark, sf_dir) -> DataFrame:
+    r = name_records(spark, sf_dir)
+    return r.select(F.col("doc_id").alias("candidate_id"),
+                    F.concat(F.lit("DOC"), F.lpad(F.col("doc_id").cast("string"), 7, "0")).alias("true_number"))

@@ -65,3 +65,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="dealsieve-ckpt-")
     spark.sparkContext.setCheckpointDir(folder)
     return spark.sparkContext.getCheckpointDir()
+
+
+def cpu_partitions(spark: SparkSession) -> int:
+    """Partition count for CPU-heavy steps on small data.
+
+    AQE coalesces shuffle partitions by bytes, which would put a small but
+    expensive input (say, distinct names to hash 64 times each) into one task.
+    An explicit ``repartition(n, key)`` is left as is, so such steps use the
+    configured parallelism instead: executors x cores, at least the shuffle
+    partition setting.
+    """
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(spark.sparkContext.defaultParallelism, shuffle)
