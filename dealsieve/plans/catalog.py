@@ -222,3 +222,72 @@ def resolve_partition(spark, sf_dir):
 def match_recall(spark, sf_dir):
     out = resolve.resolve_candidates(V.resolution_candidates(spark, sf_dir), V.register_records(spark, sf_dir))
     return resolve.match_recall(out["flags"], V.resolution_truth(spark, sf_dir), "candidate_id")
+
+
+# ---------------------------------------------------------------- text, credit, similar companies
+
+from dealsieve.operators import credit, similar, text_models as TM  # noqa: E402
+
+
+def _classified(spark, sf_dir):
+    labelled = V.labelled_text(spark, sf_dir)
+    model = TM.fit_industry_classifier(labelled)
+    return TM.review_routing(TM.classify(model, labelled))
+
+
+@query("industry_classify")
+def industry_classify(spark, sf_dir):
+    return _classified(spark, sf_dir)
+
+
+@query("review_routing")
+def review_routing(spark, sf_dir):
+    return _classified(spark, sf_dir).where(F.col("needs_review"))
+
+
+@query("tfidf_terms")
+def tfidf_terms(spark, sf_dir):
+    docs = V.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return rounded(TM.key_terms(docs, "doc_id", "text", 5), ["weight"])
+
+
+@query("keyword_onehot")
+def keyword_onehot(spark, sf_dir):
+    return TM.keyword_onehot(V.table(spark, sf_dir, "documents"), V.KEYWORDS)
+
+
+@query("text_features")
+def text_features(spark, sf_dir):
+    return TM.text_features(V.table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("credit_split")
+def credit_split(spark, sf_dir):
+    return credit.hash_split(V.credit_training(spark, sf_dir), "doc_id").select("doc_id", "is_test")
+
+
+@query("auc_exact")
+def auc_exact(spark, sf_dir):
+    return credit.auc_exact(V.auc_scores(spark, sf_dir), "label", "score")
+
+
+@query("text_lift")
+def text_lift(spark, sf_dir):
+    return credit.text_feature_lift(V.credit_training(spark, sf_dir), "doc_id")
+
+
+SIMILAR_NUMERIC, SIMILAR_CATEGORICAL = ["size", "price"], ["p_brand", "p_type"]
+
+
+@query("nearest_companies")
+def nearest_companies(spark, sf_dir):
+    return similar.nearest(V.similar_items(spark, sf_dir), V.similar_references(spark, sf_dir), "p_partkey",
+                           SIMILAR_NUMERIC, SIMILAR_CATEGORICAL, V.NEAREST_K)
+
+
+@query("portfolio_similar")
+def portfolio_similar(spark, sf_dir):
+    return similar.portfolio_similar(V.similar_items(spark, sf_dir), V.portfolio(spark, sf_dir),
+                                     V.similar_references(spark, sf_dir), "p_partkey",
+                                     SIMILAR_NUMERIC, SIMILAR_CATEGORICAL, V.NEAREST_K,
+                                     suitable=F.col("size") <= 30)

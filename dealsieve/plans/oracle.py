@@ -391,3 +391,71 @@ register("minhash_candidates", f"""
     SELECT a.doc_id AS id_one, b.doc_id AS id_two, CAST(COUNT(*) AS DOUBLE) / 64.0 AS similarity
     FROM m a JOIN m b ON a.slot = b.slot AND a.min_hash = b.min_hash AND a.doc_id < b.doc_id
     GROUP BY a.doc_id, b.doc_id HAVING COUNT(*) >= 32""")
+
+
+# ---------------------------------------------------------------- text, credit, similar companies
+
+TOKENS_SQL = "regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]{2,}')"
+
+register("tfidf_terms", f"""
+    WITH t AS (SELECT doc_id, unnest({TOKENS_SQL}) AS term FROM documents),
+         tf AS (SELECT doc_id, term, COUNT(*) AS tf FROM t GROUP BY doc_id, term),
+         df AS (SELECT term, COUNT(*) AS df FROM tf GROUP BY term),
+         n AS (SELECT COUNT(*) AS n FROM documents),
+         w AS (SELECT tf.doc_id, tf.term, tf.tf * (ln((1.0 + CAST(n.n AS DOUBLE)) / (1.0 + df.df)) + 1.0) AS raw
+               FROM tf JOIN df ON tf.term = df.term, n),
+         r AS (SELECT doc_id, term, raw, raw / SQRT(SUM(raw * raw) OVER (PARTITION BY doc_id)) AS weight,
+                      ROW_NUMBER() OVER (PARTITION BY doc_id ORDER BY raw DESC, term) AS rank FROM w)
+    SELECT doc_id, term, CAST(rank AS INTEGER) AS rank, ROUND(weight, 6) AS weight FROM r WHERE rank <= 5""")
+
+register("keyword_onehot", "SELECT doc_id, " + ", ".join(
+    f"CAST(list_contains({TOKENS_SQL}, '{kw}') AS INTEGER) AS kw_{kw}" for kw in V.KEYWORDS) + " FROM documents")
+
+NEG_SQL = ", ".join(f"'{w}'" for w in ["not", "no", "nicht", "pas", "never"])
+TEXT_FEATURES_SQL = f"""
+    SELECT doc_id, CAST(len({TOKENS_SQL}) AS INTEGER) AS n_tokens,
+           CAST(len(list_distinct({TOKENS_SQL})) AS INTEGER) AS n_distinct_tokens,
+           CAST(len(string_split(text, chr(10))) AS INTEGER) AS n_lines,
+           CAST(len(list_intersect({TOKENS_SQL}, [{NEG_SQL}])) > 0 AS INTEGER) AS report_negative_language_flag,
+           CAST(instr(lower(text), 'licen') > 0 AS INTEGER) AS going_concern_flag
+    FROM documents"""
+register("text_features", TEXT_FEATURES_SQL)
+
+register("credit_split", """
+    SELECT l.doc_id, substr(md5(CAST(l.doc_id AS VARCHAR)), 1, 2) < '40' AS is_test
+    FROM labels l JOIN documents d ON l.doc_id = d.doc_id""")
+
+register("auc_exact", """
+    WITH s AS (SELECT l.quality AS label, CAST(d.n_chars AS DOUBLE) / CAST(d.n_chars + 1000 AS DOUBLE) AS score
+               FROM labels l JOIN documents d ON l.doc_id = d.doc_id),
+         r AS (SELECT label, CAST(RANK() OVER (ORDER BY score) AS DOUBLE)
+                            + CAST(COUNT(*) OVER (PARTITION BY score) - 1 AS DOUBLE) / 2.0 AS mr FROM s),
+         a AS (SELECT SUM(CASE WHEN label = 1 THEN mr ELSE 0 END) AS rs,
+                      SUM(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS p, SUM(CASE WHEN label = 1 THEN 0 ELSE 1 END) AS q
+               FROM r)
+    SELECT (rs - CAST(p AS DOUBLE) * (CAST(p AS DOUBLE) + 1.0) / 2.0) / (CAST(p AS DOUBLE) * CAST(q AS DOUBLE)) AS auc,
+           p AS positives, q AS negatives FROM a""")
+
+ITEMS_SQL = ("SELECT p_partkey, CAST(p_size AS DOUBLE) AS size, p_retailprice / 100 AS price, p_brand, p_type "
+             "FROM part")
+
+
+def _nearest_sql(pool: str) -> str:
+    return f"""
+        WITH i AS ({ITEMS_SQL}),
+             refs AS (SELECT * FROM i ORDER BY price DESC, p_partkey LIMIT {V.REFERENCE_COUNT}),
+             d AS (SELECT r.p_partkey AS reference_id, x.p_partkey AS item_id,
+                          SQRT(0.0 + (x.size - r.size) * (x.size - r.size) + (x.price - r.price) * (x.price - r.price)
+                               + CASE WHEN x.p_brand = r.p_brand THEN 0.0 ELSE 2.0 END
+                               + CASE WHEN x.p_type = r.p_type THEN 0.0 ELSE 2.0 END) AS distance
+                   FROM ({pool}) x, refs r WHERE x.p_partkey <> r.p_partkey)
+        SELECT reference_id, item_id, distance, rank FROM (
+            SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY reference_id ORDER BY distance, item_id) AS INTEGER) AS rank
+            FROM d) WHERE rank <= {V.NEAREST_K}"""
+
+
+register("nearest_companies", _nearest_sql("SELECT * FROM i"))
+register("portfolio_similar", f"""
+    SELECT n.*, i2.size <= 30 AS suitable
+    FROM ({_nearest_sql("SELECT * FROM i WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R')")}) n
+    JOIN ({ITEMS_SQL}) i2 ON n.item_id = i2.p_partkey""")

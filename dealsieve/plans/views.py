@@ -368,3 +368,60 @@ def resolution_truth(spark, sf_dir) -> DataFrame:
     r = name_records(spark, sf_dir)
     return r.select(F.col("doc_id").alias("candidate_id"),
                     F.concat(F.lit("DOC"), F.lpad(F.col("doc_id").cast("string"), 7, "0")).alias("true_number"))
+
+
+# ---------------------------------------------------------------- text, credit, similar companies
+
+KEYWORDS = ["the", "and", "de", "der", "que", "license"]
+NEAREST_K = 5
+REFERENCE_COUNT = 3
+
+
+def labelled_text(spark, sf_dir) -> DataFrame:
+    """Documents labelled by language; sources src3/src7 file a wrong code, src5 none."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    filed = (F.when(F.col("source").isin("src3", "src7"), F.lit("xx"))
+             .when(F.col("source") == "src5", F.lit(None).cast("string")).otherwise(F.col("lang")))
+    return d.select(company_id("doc_id").alias("company_number"), F.col("text").alias("website_text"),
+                    F.col("lang").alias("industry_code"), filed.alias("filed_sic_code"))
+
+
+def credit_training(spark, sf_dir) -> DataFrame:
+    """Labelled documents as borrowers: length and layout ratios, two text flags, default = low quality."""
+    from dealsieve.operators.text_models import text_features
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    lab = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    j = lab.join(d, "doc_id")
+    feats = text_features(j.select("doc_id", "text"))
+    return j.join(feats, "doc_id").select(
+        "doc_id",
+        (F.col("n_chars") / 1000.0).alias("current_ratio"),
+        F.try_divide(F.col("n_tokens").cast("double"), F.col("n_chars").cast("double")).alias("gearing"),
+        (F.col("n_lines") / 10.0).alias("retained_earnings_to_assets"),
+        "report_negative_language_flag", "going_concern_flag",
+        (1 - F.col("quality")).alias("defaulted_within_year"))
+
+
+def auc_scores(spark, sf_dir) -> DataFrame:
+    d = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    lab = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    return lab.join(d, "doc_id").select(
+        "doc_id", F.col("quality").alias("label"),
+        (F.col("n_chars").cast("double") / (F.col("n_chars") + 1000).cast("double")).alias("score"))
+
+
+def similar_items(spark, sf_dir) -> DataFrame:
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice", "p_brand", "p_type")
+    return p.select("p_partkey", F.col("p_size").cast("double").alias("size"),
+                    (F.col("p_retailprice") / 100).alias("price"), "p_brand", "p_type")
+
+
+def similar_references(spark, sf_dir) -> DataFrame:
+    """The companies under investigation: the most expensive parts (a top-k by construction)."""
+    return similar_items(spark, sf_dir).orderBy(F.desc("price"), "p_partkey").limit(REFERENCE_COUNT)
+
+
+def portfolio(spark, sf_dir) -> DataFrame:
+    """Parts the firm has worked with: those on returned line items."""
+    li = table(spark, sf_dir, "lineitem").select("l_partkey", "l_returnflag")
+    return li.where(F.col("l_returnflag") == "R").select(F.col("l_partkey").alias("p_partkey"))
