@@ -291,3 +291,52 @@ def portfolio_similar(spark, sf_dir):
                                      V.similar_references(spark, sf_dir), "p_partkey",
                                      SIMILAR_NUMERIC, SIMILAR_CATEGORICAL, V.NEAREST_K,
                                      suitable=F.col("size") <= 30)
+
+
+# ---------------------------------------------------------------- briefs, dossier
+
+from dealsieve.operators import briefs, coverage  # noqa: E402
+
+
+@query("brief_render")
+def brief_render(spark, sf_dir):
+    accepted, _ = briefs.read_screened(V.screened_lines(spark, sf_dir))
+    return briefs.render_briefs(accepted)
+
+
+@query("csv_quarantine")
+def csv_quarantine(spark, sf_dir):
+    _, quarantined = briefs.read_screened(V.screened_lines(spark, sf_dir))
+    return quarantined
+
+
+@query("dispatch_queue")
+def dispatch_queue(spark, sf_dir):
+    accepted, _ = briefs.read_screened(V.screened_lines(spark, sf_dir))
+    return briefs.dispatch_queue(briefs.render_briefs(accepted), V.recipients(spark, sf_dir))
+
+
+def _modules(spark, sf_dir):
+    charge_counts = facts.charges(V.charge_docs(spark, sf_dir)).groupBy("company_number") \
+        .agg(F.count(F.lit(1)).alias("charge_count"))
+    return {
+        "filings": (facts.filing_records(V.profile_docs(spark, sf_dir), V.officer_docs(spark, sf_dir),
+                                         V.filing_history_docs(spark, sf_dir)), ["filing_count"]),
+        "tenders": (facts.award_summary(V.companies(spark, sf_dir), facts.notices(V.notice_docs(spark, sf_dir)))
+                    .where(F.col("award_count") > 0), ["award_count"]),
+        "charges": (charge_counts, ["charge_count"]),
+        "ownership": (facts.ownership(V.controller_docs(spark, sf_dir)), ["part_of_group"]),
+        "distress": (rounded(scores.distress_scores(V.balance_sheets(spark, sf_dir))), ["distress_score"]),
+        "valuation": (None, ["value_quantile_50"]),
+    }
+
+
+@query("company_dossier")
+def company_dossier(spark, sf_dir):
+    return coverage.dossier(V.companies(spark, sf_dir), _modules(spark, sf_dir))
+
+
+@query("signal_coverage")
+def signal_coverage(spark, sf_dir):
+    mods = {name: table for name, (table, _) in _modules(spark, sf_dir).items()}
+    return coverage.signal_coverage(V.companies(spark, sf_dir), mods)

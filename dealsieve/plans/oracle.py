@@ -459,3 +459,86 @@ register("portfolio_similar", f"""
     SELECT n.*, i2.size <= 30 AS suitable
     FROM ({_nearest_sql("SELECT * FROM i WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R')")}) n
     JOIN ({ITEMS_SQL}) i2 ON n.item_id = i2.p_partkey""")
+
+
+# ---------------------------------------------------------------- briefs, dossier
+
+from dealsieve.operators import briefs as _B  # noqa: E402
+
+
+def _q(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+NL = "chr(10)"
+SCREENED_SQL = """
+    SELECT CAST(c_custkey AS VARCHAR) AS company_number, c_name AS company_name,
+           '0.' || LPAD(CAST((c_custkey * 37) % 1000 AS VARCHAR), 3, '0') AS probability,
+           '0.' || LPAD(CAST((c_custkey * 17) % 500 AS VARCHAR), 3, '0') AS interval_lower,
+           '0.' || LPAD(CAST((c_custkey * 17) % 500 + 499 AS VARCHAR), 3, '0') AS interval_upper,
+           CASE WHEN c_acctbal < 0 THEN 'abstained' ELSE 'scored' END AS abstention_status,
+           c_mktsegment AS top_drivers,
+           CASE WHEN c_mktsegment = 'BUILDING' THEN n_name || ', ' || n_name ELSE n_name END AS comparable_companies,
+           CASE WHEN c_nationkey % 2 = 0 THEN 'reduce gearing' ELSE 'extend credit terms' END AS counterfactual_levers
+    FROM customer JOIN nation ON c_nationkey = n_nationkey"""
+BRIEF_TEXT_SQL = (
+    f"CASE WHEN abstention_status = 'abstained' THEN {_q(_B.ABSTAINED_LINE)} ELSE {_q(_B.SCORED_LINE)} END"
+    f" || {NL} || {NL} || 'Company: ' || company_name || ' (' || company_number || ')' || {NL} || {NL}"
+    f" || 'Calibrated probability: ' || probability || ' (interval ' || interval_lower || ' to ' || interval_upper"
+    f" || ')' || {NL} || {NL} || 'Top drivers:' || {NL} || top_drivers || {NL} || {NL}"
+    f" || 'Nearest comparable companies:' || {NL} || comparable_companies || {NL} || {NL}"
+    f" || 'Counterfactual levers, marked causal or associational:' || {NL} || counterfactual_levers || {NL} || {NL}"
+    f" || {_q(_B.LEVER_WARNING)} || {NL}")
+
+register("brief_render", f"""
+    SELECT company_number, {BRIEF_TEXT_SQL} AS brief_text
+    FROM ({SCREENED_SQL}) WHERE top_drivers <> 'BUILDING'""")
+
+register("csv_quarantine", f"""
+    SELECT concat_ws(',', company_number, company_name, probability, interval_lower, interval_upper,
+                     abstention_status, top_drivers, comparable_companies, counterfactual_levers) AS line,
+           10 AS field_count, 9 AS expected_count
+    FROM ({SCREENED_SQL}) WHERE top_drivers = 'BUILDING'""")
+
+register("dispatch_queue", f"""
+    SELECT lower(r.r_name) || '@example.org' AS recipient, s.company_number AS brief, 'queued' AS outcome
+    FROM ({SCREENED_SQL}) s, region r
+    WHERE s.top_drivers <> 'BUILDING' AND s.abstention_status <> 'abstained'
+    UNION ALL
+    SELECT 'none', company_number, 'skipped_abstained'
+    FROM ({SCREENED_SQL}) WHERE top_drivers <> 'BUILDING' AND abstention_status = 'abstained'""")
+
+MODULE_SQL = {
+    "filings": f"SELECT company_number, filing_count FROM ({ORACLE['filing_records']})",
+    "tenders": f"SELECT company_number, award_count FROM ({ORACLE['award_summary']}) WHERE award_count > 0",
+    "charges": (f"SELECT company_number, COUNT(*) AS charge_count FROM ({ORACLE['charges_flatten']}) "
+                "GROUP BY company_number"),
+    "ownership": f"SELECT company_number, part_of_group FROM ({ORACLE['ownership_flags']})",
+    "distress": f"SELECT company_number, distress_score FROM ({ORACLE['distress_scores']})",
+}
+
+register("company_dossier", f"""
+    SELECT c.company_number, c.company_name,
+           CASE WHEN f.company_number IS NULL THEN 'no record' ELSE 'present' END AS filings_state, f.filing_count,
+           CASE WHEN t.company_number IS NULL THEN 'no record' ELSE 'present' END AS tenders_state, t.award_count,
+           CASE WHEN ch.company_number IS NULL THEN 'no record' ELSE 'present' END AS charges_state, ch.charge_count,
+           CASE WHEN o.company_number IS NULL THEN 'no record' ELSE 'present' END AS ownership_state, o.part_of_group,
+           CASE WHEN d.company_number IS NULL THEN 'no record' ELSE 'present' END AS distress_state, d.distress_score,
+           'not run' AS valuation_state, CAST(NULL AS VARCHAR) AS value_quantile_50
+    FROM (SELECT CAST(c_custkey AS VARCHAR) AS company_number, c_name AS company_name FROM customer) c
+    LEFT JOIN ({MODULE_SQL['filings']}) f ON c.company_number = f.company_number
+    LEFT JOIN ({MODULE_SQL['tenders']}) t ON c.company_number = t.company_number
+    LEFT JOIN ({MODULE_SQL['charges']}) ch ON c.company_number = ch.company_number
+    LEFT JOIN ({MODULE_SQL['ownership']}) o ON c.company_number = o.company_number
+    LEFT JOIN ({MODULE_SQL['distress']}) d ON c.company_number = d.company_number""")
+
+register("signal_coverage", " UNION ALL ".join(
+    [f"""SELECT '{name}' AS module, CAST(COALESCE(SUM(m.n), 0) AS BIGINT) AS row_count,
+                COUNT(*) FILTER (WHERE m.n IS NOT NULL AND c.company_number IS NOT NULL) AS companies_covered,
+                1.0 - CAST(COUNT(*) FILTER (WHERE m.n IS NOT NULL AND c.company_number IS NOT NULL) AS DOUBLE)
+                      / CAST(COUNT(*) FILTER (WHERE c.company_number IS NOT NULL) AS DOUBLE) AS share_missing
+         FROM (SELECT company_number, COUNT(*) AS n FROM ({sql}) GROUP BY company_number) m
+         FULL OUTER JOIN (SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS company_number FROM customer) c
+           ON m.company_number = c.company_number"""
+     for name, sql in MODULE_SQL.items()]
+    + ["SELECT 'valuation', CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), 1.0"]))

@@ -425,3 +425,40 @@ def portfolio(spark, sf_dir) -> DataFrame:
     """Parts the firm has worked with: those on returned line items."""
     li = table(spark, sf_dir, "lineitem").select("l_partkey", "l_returnflag")
     return li.where(F.col("l_returnflag") == "R").select(F.col("l_partkey").alias("p_partkey"))
+
+
+# ---------------------------------------------------------------- briefs, dossier
+
+SCREENED_HEADER = ("company_number,company_name,probability,interval_lower,interval_upper,"
+                   "abstention_status,top_drivers,comparable_companies,counterfactual_levers")
+
+
+def screened_lines(spark, sf_dir) -> DataFrame:
+    """The screened-candidate CSV as text lines: a header, then one line per customer.
+
+    BUILDING customers list two comparables joined by a comma, so their lines
+    have ten fields and must be quarantined.  Numbers are formatted from
+    integers so every engine prints them alike.
+    """
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    j = c.join(n, c.c_nationkey == n.n_nationkey)
+    frac = lambda e: F.concat(F.lit("0."), F.lpad(e.cast("string"), 3, "0"))
+    comparables = F.when(F.col("c_mktsegment") == "BUILDING", F.concat(F.col("n_name"), F.lit(", "), F.col("n_name"))) \
+        .otherwise(F.col("n_name"))
+    levers = F.when(F.col("c_nationkey") % 2 == 0, F.lit("reduce gearing")).otherwise(F.lit("extend credit terms"))
+    line = F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name",
+                       frac((F.col("c_custkey") * 37) % 1000), frac((F.col("c_custkey") * 17) % 500),
+                       frac((F.col("c_custkey") * 17) % 500 + 499),
+                       F.when(F.col("c_acctbal") < 0, F.lit("abstained")).otherwise(F.lit("scored")),
+                       "c_mktsegment", comparables, levers)
+    header = spark.createDataFrame([(SCREENED_HEADER,)], "value string")
+    return header.unionByName(j.select(line.alias("value")))
+
+
+def recipients(spark, sf_dir) -> list[str]:
+    """One mailbox per region (a bounded configuration list, size-checked before use)."""
+    r = table(spark, sf_dir, "region").select("r_name")
+    if r.count() > 10_000:
+        raise ValueError("too many recipients")
+    return sorted(f"{row.r_name.lower()}@example.org" for row in r.collect())
