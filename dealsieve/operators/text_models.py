@@ -18,6 +18,7 @@ from pyspark.ml.feature import (CountVectorizer, ElementwiseProduct, IDF, IndexT
                                 RegexTokenizer, StringIndexer)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,7 +40,9 @@ def fit_industry_classifier(labelled: DataFrame, text_col: str = "website_text",
     tok = RegexTokenizer(inputCol=text_col, outputCol="_tokens", pattern=TOKEN_PATTERN, gaps=False, toLowercase=True)
     cv = CountVectorizer(inputCol="_tokens", outputCol="_tf", vocabSize=vocab_size)
     front = Pipeline(stages=[tok, cv]).fit(data)
-    counted = front.transform(data)
+    # Tokenising is the costly pass; keep the term counts for the IDF and model fits,
+    # and release them as soon as the (eager) fits are done.
+    counted = front.transform(data).select(label_col, "_tf").persist(StorageLevel.MEMORY_AND_DISK)
     idf = IDF(inputCol="_tf", outputCol="_idf").fit(counted)
     scale = ElementwiseProduct(scalingVec=Vectors.dense([w + 1.0 for w in idf.idf.toArray()]),
                                inputCol="_tf", outputCol="_w")
@@ -49,6 +52,7 @@ def fit_industry_classifier(labelled: DataFrame, text_col: str = "website_text",
                             maxIter=max_iter, regParam=1.0 / max(n, 1), elasticNetParam=0.0,
                             standardization=False, tol=STOPPING_TOLERANCE)
     back = Pipeline(stages=[scale, norm, indexer, lr]).fit(counted)
+    counted.unpersist()
     to_label = IndexToString(inputCol="prediction", outputCol="predicted_code", labels=indexer.labels)
     return PipelineModel(stages=[*front.stages, *back.stages, to_label])
 

@@ -542,3 +542,15 @@ register("signal_coverage", " UNION ALL ".join(
            ON m.company_number = c.company_number"""
      for name, sql in MODULE_SQL.items()]
     + ["SELECT 'valuation', CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), 1.0"]))
+
+
+register("extractor_check", f"""
+    WITH s AS (SELECT CAST(page_id AS VARCHAR) AS company_number, html, {PAGE_TEXT_SQL} AS t FROM pages
+               ORDER BY md5(CAST(page_id AS VARCHAR)), CAST(page_id AS VARCHAR) LIMIT 100),
+         c AS (SELECT instr(t, 'license') > 0 AS claimed, instr(lower(html), 'license') > 0 AS holds FROM s)
+    SELECT 'open_license' AS accreditation, COUNT(*) AS checked,
+           CAST(SUM(CASE WHEN claimed AND holds THEN 1 ELSE 0 END) AS DOUBLE)
+               / NULLIF(SUM(CASE WHEN claimed THEN 1 ELSE 0 END), 0) AS precision,
+           CAST(SUM(CASE WHEN claimed AND holds THEN 1 ELSE 0 END) AS DOUBLE)
+               / NULLIF(SUM(CASE WHEN holds THEN 1 ELSE 0 END), 0) AS recall
+    FROM c""")

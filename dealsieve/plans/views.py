@@ -309,6 +309,10 @@ WEB_TERMS = {
 }
 
 
+# The claim measured by the extractor check, and its variants (test parameter).
+CHECK_TERM = ("open_license", ["license"])
+
+
 def register(spark, sf_dir) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
