@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dealsieve.functions.text import TOKEN_PATTERN, tokens
+from dealsieve.session import spread_for_cpu
 
 # Classifier settings and the review rule (fixed values).
 MAXIMUM_VOCABULARY_SIZE = 5000
@@ -35,7 +36,7 @@ def fit_industry_classifier(labelled: DataFrame, text_col: str = "website_text",
                             vocab_size: int = MAXIMUM_VOCABULARY_SIZE,
                             max_iter: int = MAXIMUM_ITERATIONS) -> PipelineModel:
     """Fit tokeniser, vocabulary, smoothed TF-IDF and the multinomial model on labelled text."""
-    data = labelled.where(F.col(text_col).isNotNull() & F.col(label_col).isNotNull())
+    data = spread_for_cpu(labelled.where(F.col(text_col).isNotNull() & F.col(label_col).isNotNull()))
     n = data.count()
     tok = RegexTokenizer(inputCol=text_col, outputCol="_tokens", pattern=TOKEN_PATTERN, gaps=False, toLowercase=True)
     cv = CountVectorizer(inputCol="_tokens", outputCol="_tf", vocabSize=vocab_size)
@@ -59,7 +60,7 @@ def fit_industry_classifier(labelled: DataFrame, text_col: str = "website_text",
 
 def classify(model: PipelineModel, companies: DataFrame, text_col: str = "website_text") -> DataFrame:
     """Predicted code and its probability (the confidence) per row."""
-    scored = model.transform(companies.withColumn(text_col, F.coalesce(F.col(text_col), F.lit(""))))
+    scored = model.transform(spread_for_cpu(companies).withColumn(text_col, F.coalesce(F.col(text_col), F.lit(""))))
     keep = [c for c in companies.columns]
     return scored.select(*keep, "predicted_code",
                          F.array_max(vector_to_array("probability")).alias("confidence"))

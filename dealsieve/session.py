@@ -78,3 +78,14 @@ def cpu_partitions(spark: SparkSession) -> int:
     """
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     return max(spark.sparkContext.defaultParallelism, shuffle)
+
+
+def spread_for_cpu(df):
+    """Round-robin a small-but-expensive input over the configured parallelism.
+
+    Only when it has fewer partitions than that (one small file is one or a
+    few partitions); large inputs already have enough and are left alone, so
+    this never shuffles a big table.
+    """
+    n = cpu_partitions(df.sparkSession)
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
