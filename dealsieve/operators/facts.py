@@ -108,3 +108,28 @@ def award_summary(companies: DataFrame, notice_rows: DataFrame) -> DataFrame:
         F.coalesce("award_count", F.lit(0).cast("long")).alias("award_count"),
         "most_recent_award_date",
         F.coalesce("buying_authorities", F.array().cast("array<string>")).alias("buying_authorities"))
+
+
+AWARD_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
+
+
+def awards_as_of(notice_rows: DataFrame, decisions: DataFrame, key: str = "company_number",
+                 decision_date: str = "decision_date", time_format: str = AWARD_TIME_FORMAT) -> DataFrame:
+    """Award count and latest award time known at each decision date (the point-in-time
+    form of the award summary: an all-time count would leak later awards).
+
+    Awards are first counted per (company, award time) - a partial aggregate,
+    so a company with a huge award history is combined map-side - then joined
+    to the distinct decisions and summed; every input decision row is kept.
+    """
+    at = F.try_to_timestamp(F.col("awardedDate"), F.lit(time_format)).cast("timestamp_ntz")
+    awarded = notice_rows.where(F.col("awardedDate").isNotNull() & (F.col("awardedDate") != "")) \
+        .select(key, at.alias("award_at")).where(F.col("award_at").isNotNull())
+    per_time = awarded.groupBy(key, "award_at").agg(F.count(F.lit(1)).alias("n"))
+    wanted = decisions.select(key, decision_date).distinct()
+    known = (per_time.join(wanted, key).where(F.col("award_at") <= F.col(decision_date))
+             .groupBy(key, decision_date)
+             .agg(F.sum("n").alias("award_count"), F.max("award_at").alias("latest_award_at")))
+    return decisions.join(known, [key, decision_date], "left").select(
+        *decisions.columns, F.coalesce("award_count", F.lit(0)).cast("long").alias("award_count"),
+        "latest_award_at")

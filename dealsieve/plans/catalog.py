@@ -359,3 +359,8 @@ def company_dossier(spark, sf_dir):
 def signal_coverage(spark, sf_dir):
     mods = {name: table for name, (table, _) in _modules(spark, sf_dir).items()}
     return coverage.signal_coverage(V.companies(spark, sf_dir), mods)
+
+
+@query("awards_as_of")
+def awards_as_of(spark, sf_dir):
+    return facts.awards_as_of(facts.notices(V.notice_docs(spark, sf_dir)), V.decisions(spark, sf_dir))

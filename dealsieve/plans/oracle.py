@@ -554,3 +554,15 @@ register("extractor_check", f"""
            CAST(SUM(CASE WHEN claimed AND holds THEN 1 ELSE 0 END) AS DOUBLE)
                / NULLIF(SUM(CASE WHEN holds THEN 1 ELSE 0 END), 0) AS recall
     FROM c""")
+
+register("awards_as_of", f"""
+    WITH a AS (SELECT CAST(user_id AS VARCHAR) AS company_number,
+                      strptime(strftime(ts, '%Y-%m-%dT%H:%M:%S'), '%Y-%m-%dT%H:%M:%S') AS award_at
+               FROM events WHERE event_type IN ('purchase', 'signup')),
+         d AS (SELECT DISTINCT company_number, decision_date FROM {DECISIONS_SQL}),
+         k AS (SELECT d.company_number, d.decision_date, COUNT(*) AS award_count, MAX(a.award_at) AS latest_award_at
+               FROM a JOIN d ON a.company_number = d.company_number AND a.award_at <= d.decision_date
+               GROUP BY d.company_number, d.decision_date)
+    SELECT x.company_number, x.decision_date, COALESCE(k.award_count, 0) AS award_count, k.latest_award_at
+    FROM {DECISIONS_SQL} AS x LEFT JOIN k
+      ON x.company_number = k.company_number AND x.decision_date = k.decision_date""")
