@@ -364,3 +364,10 @@ def signal_coverage(spark, sf_dir):
 @query("awards_as_of")
 def awards_as_of(spark, sf_dir):
     return facts.awards_as_of(facts.notices(V.notice_docs(spark, sf_dir)), V.decisions(spark, sf_dir))
+
+
+@query("asof_latest_fact_scan")
+def asof_latest_fact_scan(spark, sf_dir):
+    """The same point-in-time pick as ``asof_latest_fact`` through the two-level scan strategy."""
+    return asof.as_of(V.filings_facts(spark, sf_dir), V.decisions(spark, sf_dir),
+                      tie_keys=V.FACT_TIE_KEYS["filings"], strategy="scan")

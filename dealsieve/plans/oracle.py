@@ -73,22 +73,18 @@ def register(name: str, sql: str) -> None:
 
 
 def quantiles_sql(source: str, group_cols: list[str], value: str, probs: list[float], names: list[str]) -> str:
-    """Linear quantiles spelled out: position (n-1)*p, neighbours by row number,
+    """Linear quantiles spelled out: position (n-1)*p into the sorted values of each group,
     a + (b-a)*t below t = 0.5 and b - (b-a)*(1-t) from there (the array-library rule)."""
     g = ", ".join(group_cols)
-    on = " AND ".join(f"{{a}}.{c} = p.{c}" for c in group_cols)
     probs_sql = ", ".join(f"({i}, CAST({p!r} AS DOUBLE))" for i, p in enumerate(probs))
     pivots = ", ".join(f"MAX(CASE WHEN i = {i} THEN qv END) AS {n}" for i, n in enumerate(names))
     return f"""
-        WITH v AS (SELECT {g}, {value} AS x,
-                          ROW_NUMBER() OVER (PARTITION BY {g} ORDER BY {value}) - 1 AS r,
-                          COUNT(*) OVER (PARTITION BY {g}) AS n
-                   FROM ({source}) WHERE {value} IS NOT NULL),
-             p AS (SELECT k.*, pr.i, CAST(k.n - 1 AS DOUBLE) * pr.p AS pos
-                   FROM (SELECT DISTINCT {g}, n FROM v) k, (VALUES {probs_sql}) AS pr(i, p)),
-             ab AS (SELECT p.*, a.x AS a, b.x AS b, p.pos - FLOOR(p.pos) AS t
-                    FROM p JOIN v a ON {on.format(a="a")} AND a.r = CAST(FLOOR(p.pos) AS BIGINT)
-                           JOIN v b ON {on.format(a="b")} AND b.r = LEAST(CAST(FLOOR(p.pos) AS BIGINT) + 1, p.n - 1))
+        WITH s AS (SELECT {g}, list_sort(list({value})) AS l, COUNT({value}) AS n
+                   FROM ({source}) WHERE {value} IS NOT NULL GROUP BY {g}),
+             p AS (SELECT s.*, pr.i, CAST(s.n - 1 AS DOUBLE) * pr.p AS pos
+                   FROM s, (VALUES {probs_sql}) AS pr(i, p)),
+             ab AS (SELECT *, l[CAST(FLOOR(pos) AS BIGINT) + 1] AS a,
+                           l[LEAST(CAST(FLOOR(pos) AS BIGINT) + 2, n)] AS b, pos - FLOOR(pos) AS t FROM p)
         SELECT {g}, {pivots} FROM (
             SELECT {g}, i, CASE WHEN t >= 0.5 THEN b - (b - a) * (1.0 - t) ELSE a + (b - a) * t END AS qv FROM ab)
         GROUP BY {g}"""
@@ -566,3 +562,5 @@ register("awards_as_of", f"""
     SELECT x.company_number, x.decision_date, COALESCE(k.award_count, 0) AS award_count, k.latest_award_at
     FROM {DECISIONS_SQL} AS x LEFT JOIN k
       ON x.company_number = k.company_number AND x.decision_date = k.decision_date""")
+
+register("asof_latest_fact_scan", as_of_sql("filings"))
