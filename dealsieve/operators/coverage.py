@@ -32,7 +32,6 @@ def dossier(companies: DataFrame, modules: Mapping[str, tuple[DataFrame | None,
     must already hold one row per company_number; all joins share that key.
     """
     out = companies
-    states = []
     for name, (table, columns) in modules.items():
         if table is None:
             out = out.withColumn(f"{name}_state", F.lit(NOT_RUN))
@@ -43,7 +42,6 @@ def dossier(companies: DataFrame, modules: Mapping[str, tuple[DataFrame | None,
         out = out.join(t, "company_number", "left").withColumn(
             f"{name}_state", F.when(F.col(f"_{name}_hit"), F.lit(PRESENT)).otherwise(F.lit(NO_RECORD))) \
             .drop(f"_{name}_hit")
-        states.append(name)
     return out
 
 
