@@ -261,3 +261,31 @@ def test_banded_blocking_is_lossless(spark):
     brute = a.join(b, F.col("a.doc_id") < F.col("b.doc_id")).where(
         N.equal_slots(F.col("a.sig"), F.col("b.sig")) >= 32)
     assert banded.count() == brute.count()
+
+
+def test_reference_limit_keeps_most_similar(spark):
+    ref = spark.createDataFrame([(f"R{i}", "Acme Builders", None, None, None) for i in range(5)]
+                                + [("S1", "Acme Builders Group", None, None, None)],
+                                "company_number string, company_name string, postcode string, sic_code string, "
+                                "website_url string")
+    cands = spark.createDataFrame([(None, "Acme Builders", None, None, None)],
+                                  "company_number string, company_name string, postcode string, sic_code string, "
+                                  "website_url string")
+    capped = resolve.resolve_candidates(cands, ref, reference_limit=2)["flags"].first()
+    assert (capped.outcome, capped.matched_number) == ("resolved", "R0")   # ties: lowest number
+    full = resolve.resolve_candidates(cands, ref)["flags"].first()
+    assert full.matched_number == "R0"
+
+
+def test_awards_as_of_counts_only_known_awards(spark):
+    notices = spark.createDataFrame([("1", "2024-01-01T00:00:00", "A"), ("1", "2024-02-01T00:00:00", "B"),
+                                     ("1", None, "C"), ("2", "2024-03-01T00:00:00", "D")],
+                                    "company_number string, awardedDate string, organisationName string")
+    dec = spark.createDataFrame([("1", ts("2023-12-31")), ("1", ts("2024-01-15")), ("1", ts("2024-06-01")),
+                                 ("3", ts("2024-06-01"))], "company_number string, decision_date timestamp_ntz")
+    got = {(r.company_number, r.decision_date.date().isoformat()): (r.award_count, r.latest_award_at)
+           for r in facts.awards_as_of(notices, dec).collect()}
+    assert got[("1", "2023-12-31")] == (0, None)
+    assert got[("1", "2024-01-15")] == (1, ts("2024-01-01"))
+    assert got[("1", "2024-06-01")] == (2, ts("2024-02-01"))
+    assert got[("3", "2024-06-01")] == (0, None)
