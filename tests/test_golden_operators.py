@@ -289,3 +289,24 @@ def test_awards_as_of_counts_only_known_awards(spark):
     assert got[("1", "2024-01-15")] == (1, ts("2024-01-01"))
     assert got[("1", "2024-06-01")] == (2, ts("2024-02-01"))
     assert got[("3", "2024-06-01")] == (0, None)
+
+
+def test_asof_strategies_match_brute_force_on_a_hot_company(spark):
+    import random
+    rnd = random.Random(5)
+    base = dt.datetime(2020, 1, 1)
+    facts_rows = [("HOT", base + dt.timedelta(days=rnd.randint(0, 150), seconds=rnd.randint(0, 86399)), i, float(i))
+                  for i in range(400)]
+    facts_rows += [("HOT", facts_rows[0][1], 1000, 0.5)]          # a tie on the timestamp
+    dec_rows = [("HOT", base + dt.timedelta(days=d)) for d in (-5, 0, 31, 45, 60, 200)] + [("NONE", base)]
+    f = spark.createDataFrame(facts_rows, "company_number string, fact_date timestamp_ntz, k int, v double")
+    d = spark.createDataFrame(dec_rows, "company_number string, decision_date timestamp_ntz")
+    expected = {}
+    for c, when in dec_rows:
+        known = [r for r in facts_rows if r[0] == c and r[1] <= when]
+        if known:
+            expected[(c, when)] = max(known, key=lambda r: (r[1], r[2]))[2]
+    for strategy in ("join", "scan"):
+        got = {(r.company_number, r.decision_date): r.k
+               for r in asof.as_of(f, d, tie_keys=["k"], strategy=strategy).collect()}
+        assert got == expected, strategy
