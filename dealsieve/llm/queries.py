@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealsieve.llm import content_sort, host_rules, poisson_mix, slot_shards
+from dealsieve.llm import (bpe_lexicon, content_sort, host_rules, language_mix, license_templates, poisson_mix,
+                           slot_shards)
 from dealsieve.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +105,31 @@ FROM n WINDOW g AS (PARTITION BY t)
 def op9_content_sort(spark, sf_dir):
     """Exact copies by a content sort of the whole normalised texts."""
     return content_sort.content_groups(documents(spark, sf_dir))
+
+
+@query("op6_language_mix")
+def op6_language_mix(spark, sf_dir):
+    """Languages by mixture inference, learned from the documents that are not held out."""
+    return language_mix.identify_languages(documents(spark, sf_dir))
+
+
+@query("op10_license_templates")
+def op10_license_templates(spark, sf_dir):
+    """Phrase places and accepted license notices of every document."""
+    return license_templates.scan_licenses(documents(spark, sf_dir))
+
+
+BYTE_BPE = "byte_bpe_50k.json"
+WORD_BPE = "word_bpe_49k.json"
+
+
+def tokenizer_file(name: str) -> str:
+    """The place of a public tokenizer's file."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@query("op4_bpe_lexicon")
+def op4_bpe_lexicon(spark, sf_dir):
+    """Every whole text encoded through the frequent-word automaton and decoded again."""
+    return bpe_lexicon.token_digests(documents(spark, sf_dir), tokenizer_file(BYTE_BPE))
