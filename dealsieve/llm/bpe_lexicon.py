@@ -109,7 +109,7 @@ class Tokenizer:
 
 # ---------------------------------------------------------------- the automaton
 
-HEADER = struct.Struct("<8sIIII")      # magic, states, moves, words, ids
+HEADER = "<8sIIII"      # magic, states, moves, words, ids
 MAGIC = b"LEXIDS01"
 
 
@@ -168,7 +168,7 @@ def compile_lexicon(words: dict[bytes, list[int]]) -> bytes:
         starts.append(len(ids))
     finals = bytes(int(final) for final, _ in done)
     pack = lambda xs: struct.pack(f"<{len(xs)}I", *xs)
-    return b"".join([HEADER.pack(MAGIC, len(done), len(labels), len(ordered), len(ids)), pack([root]),
+    return b"".join([struct.pack(HEADER, MAGIC, len(done), len(labels), len(ordered), len(ids)), pack([root]),
                      pack(first), pack(targets), pack(skips), pack(starts), pack(ids), finals, bytes(labels)])
 
 
@@ -176,10 +176,10 @@ class Lexicon:
     """Reads a compiled lexicon in place, from a memory map or any bytes."""
 
     def __init__(self, data):
-        magic, states, moves, words, ids = HEADER.unpack_from(data, 0)
+        magic, states, moves, words, ids = struct.unpack_from(HEADER, data, 0)
         if magic != MAGIC:
             raise ValueError("not a lexicon file")
-        view, at = memoryview(data), HEADER.size
+        view, at = memoryview(data), struct.calcsize(HEADER)
 
         def numbers(n):
             nonlocal at

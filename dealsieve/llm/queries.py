@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealsieve.llm import (bpe_lexicon, content_sort, host_rules, language_mix, license_templates, poisson_mix,
-                           slot_shards)
+                           slot_shards, token_files)
 from dealsieve.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,3 +133,10 @@ def tokenizer_file(name: str) -> str:
 def op4_bpe_lexicon(spark, sf_dir):
     """Every whole text encoded through the frequent-word automaton and decoded again."""
     return bpe_lexicon.token_digests(documents(spark, sf_dir), tokenizer_file(BYTE_BPE))
+
+
+@query("op3_token_files")
+def op3_token_files(spark, sf_dir):
+    """Every whole text written as Re-Pair compressed token ids and read back."""
+    return token_files.token_files(documents(spark, sf_dir), tokenizer_file(WORD_BPE)) \
+        .select("doc_id", "start", "n_tokens", "ids_crc32", F.col("part").alias("file_part"))
