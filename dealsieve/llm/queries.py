@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealsieve.llm import (bpe_lexicon, content_sort, host_rules, language_mix, license_templates, poisson_mix,
-                           slot_shards, token_files)
+                           slot_shards, token_files, window_dedup)
 from dealsieve.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -140,3 +140,25 @@ def op3_token_files(spark, sf_dir):
     """Every whole text written as Re-Pair compressed token ids and read back."""
     return token_files.token_files(documents(spark, sf_dir), tokenizer_file(WORD_BPE)) \
         .select("doc_id", "start", "n_tokens", "ids_crc32", F.col("part").alias("file_part"))
+
+
+@query("op8_window_dedup", oracle="""
+WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'),
+                                      lambda x: x <> '') AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS g
+        FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 19)) AS i FROM w WHERE len(w) >= 20)),
+later AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS r FROM win)
+          WHERE r > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 19)) AS p FROM later),
+words AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS p FROM w),
+kept AS (SELECT words.doc_id, string_agg(x, ' ' ORDER BY words.p) FILTER (gone.p IS NULL) AS t,
+                count(*) AS n_words, count(gone.p) AS n_removed
+         FROM words LEFT JOIN gone ON words.doc_id = gone.doc_id AND words.p = gone.p GROUP BY words.doc_id)
+SELECT w.doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id
+""")
+def op8_window_dedup(spark, sf_dir):
+    """Words of every document outside the 20-word windows that also start earlier."""
+    out = window_dedup.drop_windows(documents(spark, sf_dir).select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
