@@ -283,20 +283,28 @@ class Encoder:
 
 
 def token_column(tokenizer_path: str, lexicon_name: str):
-    """A column function: text -> its ids (array<int>)."""
-    @F.pandas_udf("array<int>")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """A column function: text -> struct(ids, exact); ``exact`` tells that decoding the ids gives the text back."""
+    @F.pandas_udf("struct<ids:array<int>,exact:boolean>")
+    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder = Encoder(Tokenizer(tokenizer_path), Lexicon.map_file(SparkFiles.get(lexicon_name)))
         for texts in batches:
-            yield pd.Series([encoder.encode(t or "") for t in texts])
+            found = [encoder.encode(t or "") for t in texts]
+            yield pd.DataFrame({"ids": found, "exact": [encoder.tokenizer.decode(ids) == (t or "")
+                                                        for ids, t in zip(found, texts)]})
     return encode
 
 
-def with_tokens(docs: DataFrame, tokenizer_path: str, text_col: str = "text", limit: int = LEXICON_WORDS,
-                ids_col: str = "token_ids") -> DataFrame:
-    """The rows with their texts' ids as one more column (``ids_col`` is replaced if it is there)."""
+def with_tokens(docs: DataFrame, tokenizer_path: str, text_col: str = "text",
+                limit: int = LEXICON_WORDS) -> DataFrame:
+    """The rows without their text, and with ``token_ids``, ``n_tokens`` and ``decodes`` (decoding gives the
+    text back); columns of these names in the input are replaced."""
     name = publish_lexicon(docs, tokenizer_path, text_col, limit)
-    return docs.withColumn(ids_col, token_column(tokenizer_path, name)(F.col(f"`{text_col}`")))
+    made = ["token_ids", "n_tokens", "decodes"]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+                       token_column(tokenizer_path, name)(F.col(f"`{text_col}`")).alias("_t"))
+    return rows.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns if c not in (text_col, *made)],
+                       F.col("_t.ids").alias("token_ids"), F.size("_t.ids").cast("long").alias("n_tokens"),
+                       F.col("_t.exact").alias("decodes"))
 
 
 def token_digests(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",

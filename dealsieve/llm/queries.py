@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealsieve.llm import (bpe_lexicon, content_sort, host_rules, language_mix, license_templates, poisson_mix,
-                           slot_shards, token_files, window_dedup)
+                           sketch_dedup, slot_shards, token_files, window_dedup)
 from dealsieve.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -162,3 +162,23 @@ def op8_window_dedup(spark, sf_dir):
     """Words of every document outside the 20-word windows that also start earlier."""
     out = window_dedup.drop_windows(documents(spark, sf_dir).select("doc_id", "text"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op2_sketch_dedup", oracle="""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+      GROUP BY a.doc_id, b.doc_id),
+l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, min(r.b) AS component_id, d.doc_id = min(r.b) AS kept
+FROM documents d JOIN r ON r.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id, n.n
+""")
+def op2_sketch_dedup(spark, sf_dir):
+    """Near-duplicate components of all documents."""
+    return sketch_dedup.near_duplicates(documents(spark, sf_dir)) \
+        .select("doc_id", "n_shingles", "component_id", "kept")
