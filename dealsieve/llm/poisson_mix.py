@@ -68,9 +68,14 @@ def source_rates(docs: DataFrame, source_col: str = "source", text_col: str = "t
 
 
 def replicate(docs: DataFrame, shares: dict[str, float] | None = None, id_col: str = "doc_id",
-              source_col: str = "source", text_col: str = "text", seed: int = SEED) -> DataFrame:
-    """Every copy of every drawn document, globally shuffled: the input's columns, then ``copy``
-    (from 1), ``copies`` (the document's count), ``rate`` and ``mix_key`` (the shuffle's order)."""
+              source_col: str = "source", text_col: str = "text", seed: int = SEED,
+              details: bool = False) -> DataFrame:
+    """Every copy of every drawn document, globally shuffled, with the input's columns.
+
+    ``details`` adds ``copy`` (from 1), ``copies`` (the document's count),
+    ``rate`` and ``mix_key`` (the shuffle's order) in place of input columns
+    of these names.
+    """
     rates = materialise(source_rates(docs, source_col, text_col, shares), "mix-rates")
     inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
                         F.col(f"`{source_col}`").alias("_source"),
@@ -86,6 +91,6 @@ def replicate(docs: DataFrame, shares: dict[str, float] | None = None, id_col: s
     key = F.md5(F.concat_ws(":", "_key", F.lit(str(seed)), F.lit("order"), F.col("_copy").cast("string")))
     mixed = copies.withColumn("_mix", key)
     shuffled = mixed.repartition("_mix").sortWithinPartitions("_mix")
-    return shuffled.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns],
-                           F.col("_copy").alias("copy"), F.col("_n").alias("copies"),
-                           F.col("_rate").alias("rate"), F.col("_mix").alias("mix_key"))
+    made = {"copy": "_copy", "copies": "_n", "rate": "_rate", "mix_key": "_mix"} if details else {}
+    return shuffled.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns if c not in made],
+                           *[F.col(own).alias(name) for name, own in made.items()])

@@ -92,7 +92,7 @@ SELECT doc_id, text_md5, lang, source, n_chars, copy::INT AS copy, copies::INT A
 """)
 def op7_poisson_mix(spark, sf_dir):
     """Every copy drawn at square-root smoothed source shares, globally shuffled; texts as their MD5."""
-    out = poisson_mix.replicate(documents(spark, sf_dir))
+    out = poisson_mix.replicate(documents(spark, sf_dir), details=True)
     return out.withColumn("text", F.md5(F.coalesce("text", F.lit("")))).withColumnRenamed("text", "text_md5")
 
 

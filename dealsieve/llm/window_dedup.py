@@ -313,7 +313,8 @@ def keep_unmarked(words: list[str], marks) -> tuple[list[str], int]:
 
 def drop_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every row with its text reduced to the kept words, one blank between them, and further columns
-    ``n_words``, ``n_removed`` and ``marks`` (the removed spans of words)."""
+    ``n_words``, ``n_removed`` and ``marks`` (the removed spans of words), in place of input columns of these
+    names."""
     marks = materialise(marked_spans(docs, id_col, text_col), "window-marks")
     per_doc = marks.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("first", "past")).alias("_marks"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
@@ -335,7 +336,8 @@ def drop_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     reduced = joined.select("_row", F.coalesce("_marks", F.array().cast("array<struct<first:long,past:long>>"))
                             .alias("_marks"), "_text").withColumn("_out", reduce("_text", "_marks"))
-    own = [F.col("_out.kept").alias(c) if c == text_col else F.col("_row").getField(c).alias(c) for c in docs.columns]
+    own = [F.col("_out.kept").alias(c) if c == text_col else F.col("_row").getField(c).alias(c)
+           for c in docs.columns if c not in ("n_words", "n_removed", "marks")]
     return reduced.select(*own, F.col("_out.n_words").alias("n_words"), F.col("_out.n_removed").alias("n_removed"),
                           F.col("_marks").alias("marks"))
 
