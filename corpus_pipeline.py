@@ -29,7 +29,7 @@ def drop_near_copies(spark, docs, sf_dir):
 
 def mix_sources(spark, docs, sf_dir):
     """Each document as often as its Poisson count at square-root smoothed source shares, globally shuffled."""
-    return poisson_mix.replicate(docs).select(*docs.columns)
+    return poisson_mix.replicate(docs)
 
 
 def encode_texts(spark, docs, sf_dir):
