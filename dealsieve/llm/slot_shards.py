@@ -29,6 +29,7 @@ from dealsieve.llm.common import materialise, new_path, text_or_empty
 
 SLOTS = 4096
 CELLS = 256
+EVEN = 0.002    # a shard this close to the mean is left alone by an edit
 MAP_SCHEMA = "virtual_slot int, shard int, bytes long, version int"
 
 
@@ -61,8 +62,8 @@ def first_map(slot_bytes: dict[int, int], shards: int) -> dict[int, int]:
 def edited_map(current: dict[int, int], slot_bytes: dict[int, int], shards: int) -> dict[int, int]:
     """The next version of a map: slots leave removed and overfull shards for the lightest shards.
 
-    A slot moves only if that lowers the larger of the two shards, so a map
-    that is already even stays as it is.
+    Shards within ``EVEN`` of the mean give and take nothing, so a map that is
+    already even stays as it is and a new shard alone receives.
     """
     out, loads = dict(current), [0] * shards
     homeless = [k for k, s in current.items() if s >= shards]
@@ -80,7 +81,7 @@ def edited_map(current: dict[int, int], slot_bytes: dict[int, int], shards: int)
         for slot in owned[shard]:
             to = min(range(shards), key=lambda s: (loads[s], s))
             size = slot_bytes.get(slot, 0)
-            if not size or loads[shard] <= target or loads[to] + size >= loads[shard]:
+            if not size or loads[shard] <= target or loads[to] >= (1 - EVEN) * target or loads[to] + size > target:
                 continue
             out[slot] = to
             loads[shard] -= size
