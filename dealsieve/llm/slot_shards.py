@@ -75,14 +75,12 @@ def edited_map(current: dict[int, int], slot_bytes: dict[int, int], shards: int)
         out[slot] = to
         loads[to] += slot_bytes.get(slot, 0)
     target = sum(loads) / shards
-    owned = {s: sorted((k for k, v in out.items() if v == s), key=lambda k: (-slot_bytes.get(k, 0), k))
-             for s in range(shards)}
-    for shard in sorted(range(shards), key=lambda s: (-loads[s], s)):
-        for slot in owned[shard]:
-            to = min(range(shards), key=lambda s: (loads[s], s))
-            size = slot_bytes.get(slot, 0)
-            if not size or loads[shard] <= target or loads[to] >= (1 - EVEN) * target or loads[to] + size > target:
-                continue
+    takers = [s for s in range(shards) if loads[s] < (1 - EVEN) * target]
+    heaviest_first = sorted(out, key=lambda k: (-slot_bytes.get(k, 0), k))
+    for slot in heaviest_first if takers else []:
+        size, shard = slot_bytes.get(slot, 0), out[slot]
+        to = min(takers, key=lambda s: (loads[s], s))
+        if size and shard not in takers and loads[shard] > (1 + EVEN) * target and loads[to] + size <= target:
             out[slot] = to
             loads[shard] -= size
             loads[to] += size
