@@ -50,6 +50,22 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """The table itself, with the session's Arrow batches held to ``BATCH_BYTES``.
+
+    By default a batch holds 10,000 rows whatever their size; rows with long
+    texts need a bound in bytes.  Results do not depend on it.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = conf.get(key, None) or ""
+    if now[:-1].isdigit() and int(now[:-1]) > BATCH_BYTES:
+        conf.set(key, f"{BATCH_BYTES}b")
+    return df
+
+
 def text_or_empty(column: str = "text"):
     """The text column with null read as empty."""
     return F.coalesce(F.col(column), F.lit(""))

@@ -11,8 +11,8 @@ words for removal.
 
 Hot passages are combined before they travel: a task sends each distinct
 super-k-mer once, from its earliest place, and marks the other places of its
-own at once.  Tasks work on a bounded number of words at a time, and the
-number of buckets follows the size of the texts.
+own at once.  Tasks work on a bounded size of text at a time, and the number
+of buckets follows the size of the texts.
 
 Defined results: a null text has no words; rows are ordered by id, null ids
 last, and rows with the same id by their text's hash; a repeated row (same id
@@ -25,41 +25,29 @@ from __future__ import annotations
 import math
 import struct
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from dealsieve.llm.common import materialise, ship_by_value, text_or_empty
+from dealsieve.llm.common import materialise, ship_by_value, small_batches, text_or_empty
+from dealsieve.llm.hashing import mixed, sequence_hashes, word_hashes
 
 WINDOW = 20                 # words of a window
 MINI = 3                    # words of a minimiser's sequence
-CHUNK_WORDS = 1_500_000     # words a task packs at a time
-BUCKET_BYTES = 4 << 20      # text bytes per bucket
+CHUNK_BYTES = 4 << 20       # text bytes a task packs at a time
+BUCKET_BYTES = 3 << 20      # text bytes per bucket
+SLICE_ROWS = 500            # rows reduced at a time
 
 ROWS_SCHEMA = "bucket int, packed binary"
 MARKS_SCHEMA = "doc_id long, text_hash long, first long, past long"
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finaliser, so that sums of word hashes order at random."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def sequence_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
-    """Hash of every ``n`` consecutive word hashes."""
-    out = np.zeros(max(len(hashes) - n + 1, 0), np.uint64)
-    for k in range(n):
-        out = _mixed(out + hashes[k:k + len(out)] + np.uint64(k + 1))
-    return out
-
-
 def sliding_minima(values: np.ndarray, width: int) -> np.ndarray:
     """Smallest of every ``width`` consecutive values, by doubling."""
     if len(values) < width:
@@ -87,29 +75,24 @@ class Documents:
 
 # ---------------------------------------------------------------- packing
 
-PACK = "<qqqqq"      # documents, super-k-mers, known copies, words, bytes of the word list
+PACK = "<qqqq"      # documents, super-k-mers, known copies, bytes of text
 
 
-def pack(docs: Documents, of_doc, starts, windows, copies, words: np.ndarray, lexicon: list[bytes]) -> bytes:
+def pack(docs: Documents, of_doc, starts, windows, copies, text: bytes) -> bytes:
     """One bucket's share of a chunk: super-k-mers (document, start, windows, words) and known copies."""
-    used_docs, doc = np.unique(np.concatenate((of_doc, copies[0])), return_inverse=True)
-    used, ids = np.unique(words, return_inverse=True)
-    text = b" ".join([lexicon[i] for i in used.tolist()])
-    own = docs.take(used_docs)
-    width = np.uint16 if len(used) <= 1 << 16 else np.uint32
-    body = b"".join([
-        struct.pack(PACK, len(used_docs), len(starts), len(copies[0]), len(words), len(text)),
+    used, doc = np.unique(np.concatenate((of_doc, copies[0])), return_inverse=True)
+    own = docs.take(used)
+    return zstandard.ZstdCompressor(level=3).compress(b"".join([
+        struct.pack(PACK, len(used), len(starts), len(copies[0]), len(text)),
         own.ids.astype(np.int64).tobytes(), own.hashes.astype(np.int64).tobytes(), own.null.astype(np.uint8).tobytes(),
         doc.astype(np.int32).tobytes(), starts.astype(np.int64).tobytes(), windows.astype(np.int32).tobytes(),
-        copies[1].astype(np.int64).tobytes(), copies[2].astype(np.int32).tobytes(),
-        text, ids.astype(width).tobytes()])
-    return zstandard.ZstdCompressor(level=3).compress(body)
+        copies[1].astype(np.int64).tobytes(), copies[2].astype(np.int32).tobytes(), text]))
 
 
 def unpack(blob: bytes):
-    """(documents, document of each super-k-mer, starts, windows, copies, word ids, words)."""
+    """(documents, document of each super-k-mer, starts, windows, copies, text)."""
     data = zstandard.ZstdDecompressor().decompress(blob)
-    n_docs, n, n_copies, n_words, n_text = struct.unpack_from(PACK, data, 0)
+    n_docs, n, n_copies, n_text = struct.unpack_from(PACK, data, 0)
     at = struct.calcsize(PACK)
 
     def array(kind, count):
@@ -121,10 +104,18 @@ def unpack(blob: bytes):
     doc = array(np.int32, n + n_copies)
     starts, windows = array(np.int64, n), array(np.int32, n)
     copies = doc[n:], array(np.int64, n_copies), array(np.int32, n_copies)
-    lexicon = data[at:at + n_text].split(b" ") if n_words else []
-    at += n_text
-    words = array(np.uint16 if len(lexicon) <= 1 << 16 else np.uint32, n_words)
-    return Documents(null, ids, hashes), doc[:n], starts, windows, copies, words, lexicon
+    return Documents(null, ids, hashes), doc[:n], starts, windows, copies, data[at:at + n_text]
+
+
+def word_numbers(text: bytes) -> tuple[np.ndarray, int]:
+    """A number for every word of a text (each word closed by one blank), equal for equal words; how many there are."""
+    if not text:
+        return np.empty(0, np.int32), 0
+    ends = np.flatnonzero(np.frombuffer(text, np.uint8) == 32) + 1
+    offsets = np.concatenate(([0], ends)).astype(np.int64)
+    words = pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(text)])
+    coded = words.dictionary_encode()
+    return coded.indices.to_numpy(), len(coded.dictionary)
 
 
 def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -135,31 +126,24 @@ def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 def super_kmers(texts: list[bytes], docs: Documents, buckets: int) -> Iterator[tuple[int, bytes]]:
     """(bucket, packed share) of a chunk of documents."""
-    order = docs.order(np.zeros(len(texts), np.int64))
-    index: dict[bytes, int] = {}
-    counts = np.zeros(len(texts), np.int64)
-    ids: list[int] = []
-    seen = set()
-    for d in order.tolist():                     # in document order, so that the first place seen is the earliest
+    words: list[bytes] = []
+    kept, counts, seen = [], [], set()
+    for d in docs.order(np.zeros(len(texts), np.int64)).tolist():   # so that the first place seen is the earliest
         row = (docs.null[d], docs.ids[d], docs.hashes[d])
-        if row in seen:
-            continue
+        own = texts[d].split() if row not in seen else []
         seen.add(row)
-        words = texts[d].split()
-        if len(words) < WINDOW:
-            continue
-        counts[d] = len(words)
-        ids += [index.setdefault(w, len(index)) for w in words]
-    if not ids:
+        if len(own) >= WINDOW:
+            kept.append(d)
+            counts.append(len(own))
+            words += own
+    if not kept:
         return
-    words = np.array(ids, np.int32)
-    lexicon = list(index)
-    hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in lexicon), np.uint64, len(lexicon))[words]
-    minima = sliding_minima(sequence_hashes(hashes, MINI), WINDOW - MINI + 1)
-    del hashes
-    ordered = order[counts[order] > 0]
-    ends = np.cumsum(counts[ordered])
-    doc_start = ends - counts[ordered]
+    text = b" ".join(words) + b" "
+    past = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)     # where each word's blank ends
+    minima = sliding_minima(sequence_hashes(word_hashes(words), MINI), WINDOW - MINI + 1)
+    del words
+    ends = np.cumsum(counts)
+    doc_start = ends - counts
     inside = np.ones(len(minima), bool)          # windows that do not run over the end of their document
     for k in range(1, WINDOW):
         cut = ends - k
@@ -167,30 +151,26 @@ def super_kmers(texts: list[bytes], docs: Documents, buckets: int) -> Iterator[t
     fresh = inside.copy()
     fresh[1:] &= (minima[1:] != minima[:-1]) | ~inside[:-1]
     starts = np.flatnonzero(fresh)
-    run = np.cumsum(fresh)[inside] - 1
-    windows = np.bincount(run, minlength=len(starts))
+    windows = np.bincount(np.cumsum(fresh)[inside] - 1, minlength=len(starts))
     doc = np.searchsorted(ends, starts, "right")
-    bucket = (_mixed(minima[starts]) % np.uint64(buckets)).astype(np.int64)
-    del minima, inside, fresh, run
+    bucket = (mixed(minima[starts]) % np.uint64(buckets)).astype(np.int64)
 
+    places = (starts - doc_start[doc]).astype(np.int64)
+    of_doc = np.array(kept)[doc]
+    begin = np.concatenate(([0], past))[starts].tolist()
+    end = past[starts + windows + WINDOW - 2].tolist()
     first_place: dict[bytes, int] = {}
-    raw, size = words.tobytes(), words.itemsize
-    is_first = np.zeros(len(starts), bool)
-    for j, (a, n) in enumerate(zip(starts.tolist(), windows.tolist())):
-        if first_place.setdefault(raw[a * size:(a + n + WINDOW - 1) * size], j) == j:
-            is_first[j] = True
-    del first_place, raw
+    strings = [text[a:b] for a, b in zip(begin, end)]
+    is_first = np.fromiter((first_place.setdefault(x, j) == j for j, x in enumerate(strings)), bool, len(strings))
+    del first_place
     by_bucket = np.argsort(bucket, kind="stable")
     cuts = np.searchsorted(bucket[by_bucket], np.arange(buckets + 1))
     for b in range(buckets):
         own = by_bucket[cuts[b]:cuts[b + 1]]
-        if not len(own):
-            continue
-        sent, known = own[is_first[own]], own[~is_first[own]]
-        text = words[spans(starts[sent], windows[sent] + WINDOW - 1)]
-        place = lambda js: (ordered[doc[js]], starts[js] - doc_start[doc[js]], windows[js])
-        of_doc, at, n = place(sent)
-        yield b, pack(docs, of_doc, at, n, place(known), text, lexicon)
+        if len(own):
+            sent, known = own[is_first[own]], own[~is_first[own]]
+            yield b, pack(docs, of_doc[sent], places[sent], windows[sent],
+                          (of_doc[known], places[known], windows[known]), b"".join([strings[j] for j in sent.tolist()]))
 
 
 # ---------------------------------------------------------------- counting in a bucket
@@ -200,7 +180,7 @@ def _not_first(words: np.ndarray, at: np.ndarray, place: np.ndarray, gids: int)
 
     ``place`` numbers the places in order; equal numbers are the same place.
     """
-    word_hash = _mixed(np.arange(1, gids + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    word_hash = mixed(np.arange(1, gids + 1, dtype=np.uint64))
     keys = sequence_hashes(word_hash[words], WINDOW)[at]
     order = np.argsort(keys, kind="stable")
     same = np.zeros(len(at), bool)
@@ -221,16 +201,17 @@ def _not_first(words: np.ndarray, at: np.ndarray, place: np.ndarray, gids: int)
 
 def bucket_marks(blobs: list[bytes]) -> dict[str, np.ndarray]:
     """Marked word spans of one bucket: doc_id (with null flag), text_hash, first, past."""
-    index: dict[bytes, int] = {}
-    parts, known = [], []
+    parts, known, texts = [], [], []
     for blob in blobs:
-        docs, doc, starts, windows, copies, words, lexicon = unpack(blob)
-        gid = np.array([index.setdefault(w, len(index)) for w in lexicon], np.int32)
+        docs, doc, starts, windows, copies, text = unpack(blob)
         own = docs.take(doc)
-        parts.append((own.null, own.ids, own.hashes, starts, windows, gid[words] if len(words) else gid[:0]))
+        parts.append((own.null, own.ids, own.hashes, starts, windows))
+        texts.append(text)
         other = docs.take(copies[0])
         known.append((other.null, other.ids, other.hashes, copies[1], copies[1] + copies[2] + WINDOW - 1))
-    null, ids, hashes, starts, windows, words = (np.concatenate(x) for x in zip(*parts))
+    null, ids, hashes, starts, windows = (np.concatenate(x) for x in zip(*parts))
+    words, different = word_numbers(b"".join(texts))
+    del texts
     if len(starts):
         windows = windows.astype(np.int64)
         word_at = np.cumsum(windows + WINDOW - 1) - (windows + WINDOW - 1)
@@ -245,7 +226,7 @@ def bucket_marks(blobs: list[bytes]) -> dict[str, np.ndarray]:
         start = spans(starts, windows)
         moved = np.ones(len(start), bool)
         moved[1:] = (doc_number[1:] != doc_number[:-1]) | (start[1:] != start[:-1])
-        marked = _not_first(words, at, np.cumsum(moved), len(index))
+        marked = _not_first(words, at, np.cumsum(moved), different)
         owner = np.repeat(np.arange(len(starts)), windows)
         edge = marked.copy()
         edge[1:] &= ~marked[:-1] | (owner[1:] != owner[:-1])
@@ -267,7 +248,7 @@ def marked_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     buckets = max(16, math.ceil(total / BUCKET_BYTES))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, words = [], 0
+        held, size = [], 0
 
         def flush():
             ids = [r[0] for r in held]
@@ -278,13 +259,13 @@ def marked_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             return pa.RecordBatch.from_pydict({"bucket": pa.array([b for b, _ in out], pa.int32()),
                                                "packed": pa.array([p for _, p in out], pa.binary())})
         for batch in batches:
-            for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                raw = row[2].as_py().encode("utf-8")
-                held.append((row[0], row[1], raw))
-                words += raw.count(b" ") + raw.count(b"\n") + 1
-                if words >= CHUNK_WORDS:
+            for doc_id, text_hash, text in zip(*batch.columns):
+                raw = text.as_buffer().to_pybytes()
+                held.append((doc_id.as_py(), text_hash.as_py(), raw))
+                size += len(raw)
+                if size >= CHUNK_BYTES:
                     yield flush()
-                    words = 0
+                    size = 0
         if held:
             yield flush()
 
@@ -294,21 +275,22 @@ def marked_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return pd.DataFrame({"doc_id": ids, "text_hash": found["text_hash"],
                              "first": found["first"], "past": found["past"]})
 
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"),
+    rows = small_batches(docs).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"),
                        text.alias("text"))
     return rows.mapInArrow(cut, ROWS_SCHEMA).groupBy("bucket").applyInPandas(count, MARKS_SCHEMA)
 
 
-def keep_unmarked(words: list[str], marks) -> tuple[list[str], int]:
-    """The words outside the marked spans, and how many are inside."""
-    if not len(marks):
-        return words, 0
+def keep_unmarked(text: bytes, marks: list[dict]) -> tuple[bytes, int, int]:
+    """The words outside the marked spans joined by one blank, the number of words, and of words left out."""
+    words = text.split()
+    if not marks:
+        return b" ".join(words), len(words), 0
     change = np.zeros(len(words) + 1, np.int64)
     for m in marks:
         change[m["first"]] += 1
         change[m["past"]] -= 1
     gone = np.cumsum(change)[:-1] > 0
-    return [w for w, g in zip(words, gone.tolist()) if not g], int(gone.sum())
+    return b" ".join(compress(words, (~gone).tolist())), len(words), int(gone.sum())
 
 
 def drop_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -317,29 +299,33 @@ def drop_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     names."""
     marks = materialise(marked_spans(docs, id_col, text_col), "window-marks")
     per_doc = marks.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("first", "past")).alias("_marks"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+    made = ("n_words", "n_removed", "marks")
+    rest = [c for c in docs.columns if c not in (text_col, *made)]
+    rows = small_batches(docs).select(F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in rest]).alias("_row"),
                        F.col(f"`{id_col}`").cast("long").alias("_id"), text_or_empty(text_col).alias("_text")) \
         .withColumn("_hash", F.xxhash64("_text"))
+    spans_type = "array<struct<first:long,past:long>>"
     joined = rows.join(per_doc, rows["_id"].eqNullSafe(per_doc["doc_id"]) & (rows["_hash"] == per_doc["text_hash"]),
-                       "left")
-    result = "struct<kept:string,n_words:long,n_removed:long>"
-
-    @F.pandas_udf(result)
-    def reduce(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for texts, spans_of in batches:
-            out = []
-            for text, own in zip(texts, spans_of):
-                words = [w.decode("utf-8") for w in text.encode("utf-8").split()]
-                kept, gone = keep_unmarked(words, own if own is not None else [])
-                out.append((" ".join(kept), len(words), gone))
-            yield pd.DataFrame(out, columns=["kept", "n_words", "n_removed"])
-
-    reduced = joined.select("_row", F.coalesce("_marks", F.array().cast("array<struct<first:long,past:long>>"))
-                            .alias("_marks"), "_text").withColumn("_out", reduce("_text", "_marks"))
-    own = [F.col("_out.kept").alias(c) if c == text_col else F.col("_row").getField(c).alias(c)
-           for c in docs.columns if c not in ("n_words", "n_removed", "marks")]
-    return reduced.select(*own, F.col("_out.n_words").alias("n_words"), F.col("_out.n_removed").alias("n_removed"),
-                          F.col("_marks").alias("marks"))
+                       "left").select("_row", "_text", F.coalesce("_marks", F.array().cast(spans_type)).alias("_marks"))
+
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                some = batch.slice(at, SLICE_ROWS)
+                out = [keep_unmarked(t.as_buffer().to_pybytes(), m) for t, m in
+                       zip(some.column(1), some.column(2).to_pylist())]
+                kept, words, gone = zip(*out)
+                yield pa.RecordBatch.from_arrays(
+                    [some.column(0), pa.array(kept, pa.binary()).cast(pa.string()), pa.array(words, pa.int64()),
+                     pa.array(gone, pa.int64()), some.column(2)],
+                    names=["_row", "_text", "n_words", "n_removed", "marks"])
+
+    reduced = joined.mapInArrow(reduce, T.StructType([
+        joined.schema["_row"], joined.schema["_text"], T.StructField("n_words", T.LongType()),
+        T.StructField("n_removed", T.LongType()), T.StructField("marks", joined.schema["_marks"].dataType)]))
+    own = [F.col("_text").alias(c) if c == text_col else F.col("_row").getField(c).alias(c)
+           for c in docs.columns if c not in made]
+    return reduced.select(*own, *made)
 
 
 ship_by_value(__name__)

@@ -143,9 +143,9 @@ def plain_windows(rows):
     return out
 
 
-@pytest.mark.parametrize("chunk,bucket", [(300, 1 << 10), (1_500_000, 4 << 20)])
+@pytest.mark.parametrize("chunk,bucket", [(2000, 1 << 10), (4 << 20, 3 << 20)])
 def test_windows_equal_a_plain_search(spark, monkeypatch, chunk, bucket):
-    monkeypatch.setattr(W, "CHUNK_WORDS", chunk)
+    monkeypatch.setattr(W, "CHUNK_BYTES", chunk)
     monkeypatch.setattr(W, "BUCKET_BYTES", bucket)
     rng = random.Random(5)
     passage = prose(rng, 60)
