@@ -8,14 +8,14 @@
    transducer: words share prefixes and suffixes, and the number of words
    that sort before a word (summed along its path) is the place of its ids
    in one pool.  It is stored as one flat file and sent to every node.
-3. Encode.  Tasks memory-map the file.  A word is looked up there; a word the
-   automaton does not hold is cut by the tokenizer's pattern and merged
-   exactly, lowest rank first.  Decoding concatenates the ids' bytes.
+3. Encode.  Tasks memory-map the file and walk it for many words at a time.  A
+   word the automaton does not hold is cut by the tokenizer's pattern, and the
+   pieces are merged exactly by the tokenizer's own merge table (the library's
+   BPE model).  Decoding concatenates the ids' bytes.
 
 Special tokens in a text get their own id, as the tokenizer's library does by
-default.  Memory per task is bounded: counters and caches are emptied at a
-fixed size.  The automaton has a fixed number of words, so the driver's share
-does not grow with the input.
+default.  Counters are emptied at a fixed size.  The automaton has a fixed number of words, so neither
+the driver's share nor what a task remembers grows with the input.
 
 Defined results: a null text counts as empty (no ids); an empty table gives an
 empty result; repeated rows are encoded each; extra columns are ignored (or
@@ -25,83 +25,70 @@ carried along by ``with_tokens``).
 from __future__ import annotations
 
 import hashlib
-import json
 import mmap
 import os
+import re
 import struct
 import tempfile
 import uuid
+from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
-import pandas as pd
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from dealsieve.llm.common import ship_by_value, text_or_empty
+from dealsieve.llm.common import materialise, ship_by_value, small_batches, text_or_empty
 
-LEXICON_WORDS = 1 << 18     # words in the automaton
-COUNTER_WORDS = 300_000     # distinct words a counting task holds at once
-CACHE_WORDS = 200_000       # distinct words an encoding task remembers at once
+LEXICON_WORDS = 1 << 18     # words in the automaton, at most
+COUNTER_WORDS = 200_000     # distinct words a counting task holds at once
+STEP_BYTES = 2 << 20        # text bytes encoded at once
 
 # The tokenizer's cut into pieces (fixed value), and our coarser cut at white space.
 PIECES = regex.compile(r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 _W = "\\x09-\\x0d\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-WORDS = regex.compile(f" ?[^{_W}]+|[{_W}]+(?![^{_W}])|[{_W}]+")
+WORDS = re.compile(f" ?[^{_W}]+|[{_W}]+(?![^{_W}])|[{_W}]+")
 
 
 class Tokenizer:
-    """The parts of a byte-level BPE tokenizer file that encoding and decoding need."""
+    """A byte-level BPE tokenizer file: its merge table, its ids' bytes and its special tokens."""
 
     def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+        from tokenizers import Tokenizer as Library
+        library = Library.from_file(path)
+        self.model = library.model
         # Printable stand-ins of the 256 bytes: themselves where printable, else the next code points from 256.
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in set(shown)]
         byte_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
-        self.bytes_of = {i: bytes(byte_of[c] for c in token) for token, i in spec["model"]["vocab"].items()}
-        self.id_of = {b: i for i, b in self.bytes_of.items()}
-        merges = (m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"])
-        self.rank = {(bytes(byte_of[c] for c in a), bytes(byte_of[c] for c in b)): r
-                     for r, (a, b) in enumerate(merges)}
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.stand_in = [c for c, _ in sorted(byte_of.items(), key=lambda x: x[1])]
+        self.special = {t.content: i for i, t in library.get_added_tokens_decoder().items()}
+        vocabulary = library.get_vocab(with_added_tokens=False)
+        self.bytes_of = {i: bytes(byte_of[c] for c in token) for token, i in vocabulary.items()}
         self.bytes_of |= {i: s.encode() for s, i in self.special.items()}
         self.special_cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))
                                          + ")") if self.special else None
 
-    def merge(self, piece: bytes) -> list[int]:
-        """Ids of one piece: join the neighbouring parts of lowest rank until none is left."""
-        whole = self.id_of.get(piece)
-        parts = [piece[i:i + 1] for i in range(len(piece))]
-        rank = self.rank
-        while len(parts) > 1:
-            best = min(zip(parts, parts[1:]), key=lambda p: rank.get(p, 1 << 60))
-            if best not in rank:
-                break
-            joined, i, nxt = best[0] + best[1], 0, []
-            while i < len(parts):
-                if i + 1 < len(parts) and parts[i] == best[0] and parts[i + 1] == best[1]:
-                    nxt.append(joined)
-                    i += 2
-                else:
-                    nxt.append(parts[i])
-                    i += 1
-            parts = nxt
-        if len(parts) == 1 and whole is not None:
-            return [whole]
-        return [self.id_of[p] for p in parts]
+    def merge(self, piece: str) -> list[int]:
+        """Ids of one piece of the pattern."""
+        shown = "".join([self.stand_in[b] for b in piece.encode("utf-8")])
+        return [t.id for t in self.model.tokenize(shown)]
 
     def encode_word(self, word: str) -> list[int]:
-        return [i for piece in PIECES.findall(word) for i in self.merge(piece.encode("utf-8"))]
+        return [i for piece in PIECES.findall(word) for i in self.merge(piece)]
 
     def cut(self, text: str) -> list[str]:
-        """Special tokens and the text between them."""
+        """Words and special tokens of a text, in order; together they are the text."""
         if self.special_cut is None or not any(s in text for s in self.special):
-            return [text]
-        return [x for x in self.special_cut.split(text) if x]
+            return WORDS.findall(text)
+        return [w for part in self.special_cut.split(text)
+                for w in ([part] if part in self.special else WORDS.findall(part))]
 
     def decode(self, ids: Iterable[int]) -> str:
         return b"".join(self.bytes_of[i] for i in ids).decode("utf-8", errors="replace")
@@ -167,58 +154,71 @@ def compile_lexicon(words: dict[bytes, list[int]]) -> bytes:
         ids += words[word]
         starts.append(len(ids))
     finals = bytes(int(final) for final, _ in done)
+    keys = [state << 8 | b for state in range(len(done)) for b in labels[first[state]:first[state + 1]]]
     pack = lambda xs: struct.pack(f"<{len(xs)}I", *xs)
-    return b"".join([struct.pack(HEADER, MAGIC, len(done), len(labels), len(ordered), len(ids)), pack([root]),
-                     pack(first), pack(targets), pack(skips), pack(starts), pack(ids), finals, bytes(labels)])
+    return b"".join([struct.pack(HEADER, MAGIC, len(done), len(keys), len(ordered), len(ids)), pack([root]),
+                     pack(keys), pack(targets), pack(skips), pack(starts), pack(ids), finals])
 
 
 class Lexicon:
-    """Reads a compiled lexicon in place, from a memory map or any bytes."""
+    """Reads a compiled lexicon in place, from a memory map or any bytes.
+
+    A move is the number (state * 256 + byte); the moves are stored sorted.
+    """
 
     def __init__(self, data):
         magic, states, moves, words, ids = struct.unpack_from(HEADER, data, 0)
         if magic != MAGIC:
             raise ValueError("not a lexicon file")
-        view, at = memoryview(data), struct.calcsize(HEADER)
+        at = struct.calcsize(HEADER)
 
-        def numbers(n):
+        def array(kind, n):
             nonlocal at
-            part = view[at:at + 4 * n].cast("I")
-            at += 4 * n
+            part = np.frombuffer(data, kind, n, at)
+            at += part.nbytes
             return part
-        self.root = numbers(1)[0]
-        self.first, self.targets, self.skips = numbers(states + 1), numbers(moves), numbers(moves)
-        self.starts, self.ids = numbers(words + 1), numbers(ids)
-        self.finals = view[at:at + states]
-        self.data, self.labels_at = data, at + states
+        self.root = int(array(np.uint32, 1)[0])
+        self.keys, self.targets, self.skips = (array(np.uint32, moves) for _ in range(3))
+        self.starts, self.ids = array(np.uint32, words + 1), array(np.uint32, ids)
+        self.finals = array(np.uint8, states)
 
     @classmethod
     def map_file(cls, path: str) -> Lexicon:
         with open(path, "rb") as f:
             return cls(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ))
 
+    def places(self, words: list[bytes]) -> np.ndarray:
+        """Each word's number in sorted order, or -1 if the automaton does not accept it."""
+        text = np.frombuffer(b"".join(words), np.uint8)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        begin = np.cumsum(sizes) - sizes
+        state, place = np.full(len(words), self.root, np.uint32), np.zeros(len(words), np.int64)
+        walking, step = np.flatnonzero(sizes > 0) if len(self.keys) else np.empty(0, np.int64), 0
+        alive = np.ones(len(words), bool) if len(self.keys) else sizes == 0
+        while len(walking):
+            key = state[walking] << np.uint32(8) | text[begin[walking] + step]
+            move = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            found = self.keys[move] == key
+            alive[walking[~found]] = False
+            walking, move = walking[found], move[found]
+            place[walking] += self.skips[move]
+            state[walking] = self.targets[move]
+            step += 1
+            walking = walking[sizes[walking] > step]
+        return np.where(alive & (self.finals[state] > 0), place, -1)
+
     def get(self, word: bytes) -> list[int] | None:
         """The word's ids, or None if the automaton does not accept it."""
-        state, place, find, base = self.root, 0, self.data.find, self.labels_at
-        first, targets, skips = self.first, self.targets, self.skips
-        for i in range(len(word)):
-            move = find(word[i:i + 1], base + first[state], base + first[state + 1]) - base
-            if move < 0:
-                return None
-            place += skips[move]
-            state = targets[move]
-        if not self.finals[state]:
-            return None
-        return self.ids[self.starts[place]:self.starts[place + 1]].tolist()
+        place = int(self.places([word])[0])
+        return None if place < 0 else self.ids[self.starts[place]:self.starts[place + 1]].tolist()
 
 
 # ---------------------------------------------------------------- Spark jobs
 
 def frequent_words(docs: DataFrame, tokenizer_path: str, text_col: str = "text",
                    limit: int = LEXICON_WORDS) -> list[str]:
-    """The most frequent words of all texts (ties by the word itself), at most ``limit``."""
+    """The words above the smallest count that at most ``limit`` words reach, over all texts."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from collections import Counter
         tokenizer = Tokenizer(tokenizer_path)
         seen: Counter = Counter()
 
@@ -229,16 +229,24 @@ def frequent_words(docs: DataFrame, tokenizer_path: str, text_col: str = "text",
             return out
         for batch in batches:
             for text in batch.column(0):
-                for part in tokenizer.cut(text.as_py()):
-                    if part not in tokenizer.special:
-                        seen.update(WORDS.findall(part))
+                seen.update(tokenizer.cut(text.as_py()))
                 if len(seen) > COUNTER_WORDS:
                     yield flush()
         yield flush()
 
-    sums = docs.select(text_or_empty(text_col).alias("text")).mapInArrow(count, "word string, n long") \
-        .groupBy("word").agg(F.sum("n").alias("n"))
-    return [r.word for r in sums.orderBy(F.desc("n"), "word").limit(limit).select("word").collect()]
+    counted = materialise(small_batches(docs).select(text_or_empty(text_col).alias("text")).mapInArrow(count, "word string, n long")
+                          .groupBy("word").agg(F.sum("n").alias("n")).where("n > 1"), "word-counts")
+    # Words per bin of counts (at most 64 bins to a doubling); whole bins are taken from the top while they fit.
+    bin_of = F.floor(F.log2("n") * 64).cast("int")
+    held, lowest = 0, None
+    for r in counted.groupBy(bin_of.alias("b")).agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("b")).collect():
+        held += r.words
+        if held > limit:
+            break
+        lowest = r.b
+    if lowest is None:
+        return []
+    return sorted(r.word for r in counted.where(bin_of >= lowest).select("word").collect())
 
 
 def publish_lexicon(docs: DataFrame, tokenizer_path: str, text_col: str = "text",
@@ -246,7 +254,7 @@ def publish_lexicon(docs: DataFrame, tokenizer_path: str, text_col: str = "text"
     """Count, compile and send the lexicon to every node; returns the name to ask Spark's files for."""
     tokenizer = Tokenizer(tokenizer_path)
     words = frequent_words(docs, tokenizer_path, text_col, limit)
-    data = compile_lexicon({w.encode("utf-8"): tokenizer.encode_word(w) for w in words})
+    data = compile_lexicon({w.encode("utf-8"): tokenizer.encode_word(w) for w in words if w not in tokenizer.special})
     path = os.path.join(tempfile.mkdtemp(prefix="lexicon-"), f"lexicon-{uuid.uuid4().hex}.bin")
     with open(path, "wb") as f:
         f.write(data)
@@ -255,56 +263,108 @@ def publish_lexicon(docs: DataFrame, tokenizer_path: str, text_col: str = "text"
 
 
 class Encoder:
-    """Encodes whole texts word by word; remembers a bounded number of words."""
+    """Encodes whole texts many at a time.
+
+    Each known word is an entry: its ids in one pool, their decimal form and
+    their bytes.  Words of the automaton stay known (their number is bounded);
+    other words are rare, so they are known for one call only.
+    """
 
     def __init__(self, tokenizer: Tokenizer, lexicon: Lexicon):
         self.tokenizer, self.lexicon = tokenizer, lexicon
-        self.known: dict[str, tuple[int, ...]] = {}
-
-    def word(self, word: str) -> tuple[int, ...]:
-        ids = self.known.get(word)
-        if ids is None:
-            if len(self.known) >= CACHE_WORDS:
-                self.known.clear()
-            found = self.lexicon.get(word.encode("utf-8"))
-            ids = self.known[word] = tuple(self.tokenizer.encode_word(word) if found is None else found)
-        return ids
+        self.index: dict[str, int] = {}
+        self.pool, self.starts, self.sizes = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.decimals: list[bytes] = []
+        self.raw: list[bytes] = []
+        self.rare: list[str] = []
+
+    def _forget_rare(self) -> None:
+        for word in self.rare:
+            del self.index[word]
+        kept = len(self.index)
+        del self.decimals[kept:], self.raw[kept:]
+        self.starts, self.sizes = self.starts[:kept], self.sizes[:kept]
+        self.pool = self.pool[:int(self.sizes.sum())]
+        self.rare = []
+
+    def _learn(self, words: list[str], found: list[list[int]]) -> None:
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        self.starts = np.concatenate((self.starts, len(self.pool) + np.cumsum(sizes) - sizes))
+        self.sizes = np.concatenate((self.sizes, sizes))
+        self.pool = np.concatenate((self.pool, np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum()))))
+        piece = self.tokenizer.bytes_of
+        self.decimals += ["".join([f",{i}" for i in ids]).encode() for ids in found]
+        self.raw += [b"".join([piece[i] for i in ids]) for ids in found]
+        self.index.update(zip(words, range(len(self.index), len(self.index) + len(words))))
+
+    def entries(self, texts: list[str]) -> list[np.ndarray]:
+        """The entries of each text's words, in order; they hold until the next call."""
+        self._forget_rare()
+        cut = [self.tokenizer.cut(t) for t in texts]
+        words = pa.array(list(chain.from_iterable(cut)), pa.large_string()).dictionary_encode()
+        different = words.dictionary.to_pylist()
+        fresh = [w for w in different if w not in self.index]
+        if fresh:
+            tokenizer, lexicon = self.tokenizer, self.lexicon
+            places = lexicon.places([w.encode("utf-8") for w in fresh])
+            common = np.flatnonzero(places >= 0).tolist()
+            self._learn([fresh[k] for k in common],
+                        [lexicon.ids[lexicon.starts[p]:lexicon.starts[p + 1]].tolist() for p in places[common].tolist()])
+            self.rare = [fresh[k] for k in np.flatnonzero(places < 0).tolist()]
+            self._learn(self.rare, [[tokenizer.special[w]] if w in tokenizer.special else tokenizer.encode_word(w)
+                                    for w in self.rare])
+        of_word = np.fromiter(map(self.index.__getitem__, different), np.int64, len(different))
+        flat = of_word[words.indices.to_numpy()]
+        ends = np.cumsum(np.fromiter(map(len, cut), np.int64, len(cut)))
+        return np.split(flat, ends[:-1]) if len(ends) else []
+
+    def ids(self, entries: np.ndarray) -> np.ndarray:
+        lengths = self.sizes[entries]
+        past = np.cumsum(lengths)
+        total = int(past[-1]) if len(past) else 0
+        return self.pool[np.repeat(self.starts[entries] - (past - lengths), lengths) + np.arange(total)]
 
     def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        word, special = self.word, self.tokenizer.special
-        for part in self.tokenizer.cut(text):
-            if part in special:
-                out.append(special[part])
-            else:
-                for w in WORDS.findall(part):
-                    out += word(w)
-        return out
-
-
-def token_column(tokenizer_path: str, lexicon_name: str):
-    """A column function: text -> struct(ids, exact); ``exact`` tells that decoding the ids gives the text back."""
-    @F.pandas_udf("struct<ids:array<int>,exact:boolean>")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(Tokenizer(tokenizer_path), Lexicon.map_file(SparkFiles.get(lexicon_name)))
-        for texts in batches:
-            found = [encoder.encode(t or "") for t in texts]
-            yield pd.DataFrame({"ids": found, "exact": [encoder.tokenizer.decode(ids) == (t or "")
-                                                        for ids, t in zip(found, texts)]})
-    return encode
+        return self.ids(self.entries([text])[0]).tolist()
+
+
+def steps(batch: pa.RecordBatch, column: int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Slices of a batch with a bounded number of text bytes each (one row at least), and their texts."""
+    size = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False).astype(np.int64))
+    cuts = np.unique(np.concatenate(([0], np.flatnonzero(np.diff(size // STEP_BYTES)) + 1, [batch.num_rows])))
+    for at, past in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        some = batch.slice(at, past - at)
+        yield some, some.column(column).to_pylist()
 
 
 def with_tokens(docs: DataFrame, tokenizer_path: str, text_col: str = "text",
                 limit: int = LEXICON_WORDS) -> DataFrame:
-    """The rows without their text, and with ``token_ids``, ``n_tokens`` and ``decodes`` (decoding gives the
-    text back); columns of these names in the input are replaced."""
-    name = publish_lexicon(docs, tokenizer_path, text_col, limit)
-    made = ["token_ids", "n_tokens", "decodes"]
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
-                       token_column(tokenizer_path, name)(F.col(f"`{text_col}`")).alias("_t"))
-    return rows.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns if c not in (text_col, *made)],
-                       F.col("_t.ids").alias("token_ids"), F.size("_t.ids").cast("long").alias("n_tokens"),
-                       F.col("_t.exact").alias("decodes"))
+    """The rows without their text, and with ``token_ids``, ``n_tokens`` and ``decodes`` (decoding the ids gives
+    the text back); columns of these names in the input are replaced."""
+    lexicon_name = publish_lexicon(docs, tokenizer_path, text_col, limit)
+    made = ("token_ids", "n_tokens", "decodes")
+    rest = [c for c in docs.columns if c not in (text_col, *made)]
+    rows = small_batches(docs).select(F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in rest]).alias("_row"),
+                       text_or_empty(text_col).alias("_text"))
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(Tokenizer(tokenizer_path), Lexicon.map_file(SparkFiles.get(lexicon_name)))
+        for batch in batches:
+            for some, texts in steps(batch, 1):
+                found = encoder.entries(texts)
+                exact = [b"".join(map(encoder.raw.__getitem__, own.tolist())) == text.encode("utf-8")
+                         for own, text in zip(found, texts)]
+                ids = [encoder.ids(own) for own in found]
+                sizes = np.array([len(x) for x in ids], np.int64)
+                offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids)))
+                yield pa.RecordBatch.from_arrays([some.column(0), lists, pa.array(sizes), pa.array(exact, pa.bool_())],
+                                                 names=["_row", *made])
+
+    encoded = rows.mapInArrow(encode, T.StructType([
+        rows.schema["_row"], T.StructField("token_ids", T.ArrayType(T.IntegerType())),
+        T.StructField("n_tokens", T.LongType()), T.StructField("decodes", T.BooleanType())]))
+    return encoded.select(*[F.col("_row").getField(c).alias(c) for c in rest], *made)
 
 
 def token_digests(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -313,22 +373,21 @@ def token_digests(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     lexicon_name = publish_lexicon(docs, tokenizer_path, text_col, limit)
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = Tokenizer(tokenizer_path)
-        encoder = Encoder(tokenizer, Lexicon.map_file(SparkFiles.get(lexicon_name)))
-        number, piece = {i: str(i) for i in tokenizer.bytes_of}, tokenizer.bytes_of
+        encoder = Encoder(Tokenizer(tokenizer_path), Lexicon.map_file(SparkFiles.get(lexicon_name)))
         for batch in batches:
             counts, hashes, decoded = [], [], []
-            for text in batch.column(1):
-                ids = encoder.encode(text.as_py())
-                counts.append(len(ids))
-                hashes.append(hashlib.sha256(",".join(map(number.__getitem__, ids)).encode()).hexdigest())
-                raw = b"".join(map(piece.__getitem__, ids))
-                decoded.append(hashlib.sha256(raw.decode("utf-8", errors="replace").encode()).hexdigest())
+            for _, texts in steps(batch, 1):
+                for entries in encoder.entries(texts):
+                    own = entries.tolist()
+                    counts.append(int(encoder.sizes[entries].sum()))
+                    hashes.append(hashlib.sha256(b"".join(map(encoder.decimals.__getitem__, own))[1:]).hexdigest())
+                    raw = b"".join(map(encoder.raw.__getitem__, own))
+                    decoded.append(hashlib.sha256(raw.decode("utf-8", errors="replace").encode()).hexdigest())
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column(0), "n_tokens": pa.array(counts, pa.int64()),
                 "ids_sha256": pa.array(hashes, pa.string()), "decoded_sha256": pa.array(decoded, pa.string())})
 
-    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")) \
+    return small_batches(docs).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")) \
         .mapInArrow(digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 

@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -67,9 +68,8 @@ def test_a_minimal_automaton_has_no_two_equal_states():
     lexicon = B.Lexicon(B.compile_lexicon({w.encode(): [1] for w in "tap taps top tops stop stops".split()}))
     states = set()
     for s in range(len(lexicon.finals)):
-        lo, hi = lexicon.first[s], lexicon.first[s + 1]
-        labels = bytes(lexicon.data[lexicon.labels_at + lo:lexicon.labels_at + hi])
-        states.add((lexicon.finals[s], labels, tuple(lexicon.targets[lo:hi])))
+        own = lexicon.keys >> 8 == s
+        states.add((lexicon.finals[s], tuple(lexicon.keys[own] & 255), tuple(lexicon.targets[own])))
     assert len(states) == len(lexicon.finals) == 7
 
 
@@ -98,12 +98,16 @@ def test_counting_and_caching_in_small_steps(spark, monkeypatch):
     monkeypatch.setattr(B, "COUNTER_WORDS", 3)
     rows = [(i, "b b a c a b", "en", "a", 1) for i in range(5)]
     assert B.frequent_words(clashing(spark, rows), tokenizer_file(BYTE_BPE), limit=2) == [" a", " b"]
-    monkeypatch.setattr(B, "CACHE_WORDS", 2)
     tokenizer = B.Tokenizer(tokenizer_file(BYTE_BPE))
-    encoder = B.Encoder(tokenizer, B.Lexicon(B.compile_lexicon({})))
-    assert encoder.encode("one two three one two") == [i for w in ("one", " two", " three", " one", " two")
-                                                       for i in tokenizer.encode_word(w)]
-    assert len(encoder.known) <= 2
+    encoder = B.Encoder(tokenizer, B.Lexicon(B.compile_lexicon({b" two": tokenizer.encode_word(" two")})))
+    for _ in range(2):
+        assert encoder.encode("one two three one two") == [i for w in ("one", " two", " three", " one", " two")
+                                                           for i in tokenizer.encode_word(w)]
+    encoder.entries([""])
+    assert list(encoder.index) == [" two"] and len(encoder.raw) == len(encoder.decimals) == len(encoder.sizes) == 1
+    monkeypatch.setattr(B, "STEP_BYTES", 4)
+    batch = pa.RecordBatch.from_pydict({"t": ["a", "bcd", "", "efghij", "k"]})
+    assert [t for _, t in B.steps(batch, 0)] == [["a"], ["bcd", ""], ["efghij", "k"]]
 
 
 # ---------------------------------------------------------------- files
