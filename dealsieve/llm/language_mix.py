@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dealsieve.llm.common import ship_by_value, text_or_empty
+from dealsieve.llm.common import ship_by_value, small_batches, text_or_empty
 
 BINS = 1 << 15
 UNDETERMINED = "und"
@@ -77,7 +77,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tu
             yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(at), pa.string()),
                                               "bin": pa.array(at.astype(np.int32)), "n": pa.array(own[at])})
 
-    labelled = docs.where(F.col(f"`{lang_col}`").isNotNull() & (F.col(f"`{lang_col}`") != "")) \
+    labelled = small_batches(docs).where(F.col(f"`{lang_col}`").isNotNull() & (F.col(f"`{lang_col}`") != "")) \
         .select(F.col(f"`{lang_col}`").alias("lang"), text_or_empty(text_col).alias("text"))
     sums = labelled.mapInArrow(count, "lang string, bin int, n long").groupBy("lang", "bin") \
         .agg(F.sum("n").alias("n")).toPandas()

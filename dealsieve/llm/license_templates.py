@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dealsieve.llm.common import ship_by_value, text_or_empty
+from dealsieve.llm.common import ship_by_value, small_batches, text_or_empty
 
 # Plain phrases and their labels (fixed values).
 PHRASES = {
@@ -196,7 +196,7 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] | None = Non
             ids = batch.column(0).to_pylist()
             yield pa.RecordBatch.from_pylist([{"doc_id": i, **r} for i, r in zip(ids, rows)], schema=kinds)
 
-    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")) \
+    return small_batches(docs).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")) \
         .mapInArrow(scan, SCHEMA)
 
 
