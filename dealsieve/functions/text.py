@@ -47,9 +47,9 @@ def tokens(text) -> Column:
     return F.regexp_extract_all(F.lower(_c(text)), F.lit(TOKEN_PATTERN), 0)
 
 
-def first_sentence(text, max_chars: int = 48) -> Column:
-    """Text up to the first '.', '!', '?' or line break, cut to ``max_chars`` characters."""
-    return F.substring(F.regexp_extract(_c(text), r"^[^.!?\n]*", 0), 1, max_chars)
+def first_sentence(text) -> Column:
+    """Text up to the first '.', '!', '?' or line break."""
+    return F.regexp_extract(_c(text), r"^[^.!?\n]*", 0)
 
 
 def is_abstained(brief) -> Column:

@@ -117,8 +117,9 @@ def guard_no_future_facts(df: DataFrame, fact_date: str = "fact_date",
 
 def future_fact_leaks(df: DataFrame, fact_date: str = "fact_date",
                       decision_date: str = "decision_date") -> DataFrame:
-    """One-row table with the number of rows that leak (lazy form of the guard)."""
-    return df.agg(F.count_if(F.col(fact_date) > F.col(decision_date)).alias("leak_count"))
+    """One-row table with the number of rows that leak and of rows checked (lazy form of the guard)."""
+    return df.agg(F.count_if(F.col(fact_date) > F.col(decision_date)).alias("leak_count"),
+                  F.count(F.lit(1)).alias("rows_checked"))
 
 
 def assert_no_future_facts(df: DataFrame, fact_date: str = "fact_date",

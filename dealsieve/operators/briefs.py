@@ -7,13 +7,12 @@ go to a quarantine table instead of being dropped silently.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dealsieve.functions.text import is_abstained
-from dealsieve.schemas import SCREENED_FIELDS, SCREENED_OPTIONAL_FIELD
+from dealsieve.operators.pairs import with_each
+from dealsieve.schemas import DISPATCH_LOG, SCREENED_FIELDS, SCREENED_OPTIONAL_FIELD
 
 # Brief wording (fixed values, in the order they appear in a brief).
 ABSTAINED_STATUS = "abstained"
@@ -28,7 +27,6 @@ SKIPPED_OUTCOME = "skipped_abstained"
 QUEUED_OUTCOME = "queued"
 NO_RECIPIENT = "none"
 HEADER_START = "company_number,"
-MAXIMUM_RECIPIENTS = 10_000
 
 
 def read_screened(lines: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
@@ -72,31 +70,25 @@ def render_briefs(candidates: DataFrame) -> DataFrame:
     return candidates.select("company_number", text.alias("brief_text"))
 
 
-def dispatch_queue(briefs: DataFrame, recipients: Sequence[str]) -> DataFrame:
+def dispatch_queue(briefs: DataFrame, recipients: DataFrame) -> DataFrame:
     """One row per (brief, recipient) to send; an abstained brief gives one skipped row.
 
-    Recipients are a short configured list, attached as a literal array (a
-    generator, no join); its length is checked.
+    ``recipients`` is a table with a ``recipient`` column.
     """
-    if len(recipients) > MAXIMUM_RECIPIENTS:
-        raise ValueError(f"{len(recipients)} recipients; at most {MAXIMUM_RECIPIENTS}")
-    abstained = is_abstained("brief_text")
-    targets = F.when(abstained, F.array(F.lit(NO_RECIPIENT))).otherwise(
-        F.array(*[F.lit(r) for r in recipients]) if recipients else F.array().cast("array<string>"))
-    rows = briefs.select("company_number", abstained.alias("_a"), F.explode_outer(targets).alias("recipient"))
-    return rows.where(F.col("recipient").isNotNull()).select(
-        "recipient", F.col("company_number").alias("brief"),
-        F.when(F.col("_a"), F.lit(SKIPPED_OUTCOME)).otherwise(F.lit(QUEUED_OUTCOME)).alias("outcome"))
+    judged = briefs.select(F.col("company_number").alias("brief"), is_abstained("brief_text").alias("_a"))
+    queued = with_each(judged.where(~F.col("_a")).select("brief"), recipients.select("recipient")) \
+        .select("recipient", "brief", F.lit(QUEUED_OUTCOME).alias("outcome"))
+    skipped = judged.where("_a").select(F.lit(NO_RECIPIENT).alias("recipient"), "brief",
+                                        F.lit(SKIPPED_OUTCOME).alias("outcome"))
+    return queued.unionByName(skipped)
 
 
-def write_briefs(briefs: DataFrame, path: str, as_text: bool = False) -> None:
-    """Parquet (company_number, brief_text); or one text folder per company when ``as_text``."""
-    if as_text:
-        briefs.write.mode("overwrite").partitionBy("company_number").text(path)
-    else:
-        briefs.write.mode("overwrite").parquet(path)
+def write_briefs(briefs: DataFrame, path: str) -> None:
+    """One table of briefs (company_number, brief_text)."""
+    briefs.select("company_number", "brief_text").write.mode("overwrite").parquet(path)
 
 
 def append_dispatch_log(queue: DataFrame, path: str) -> None:
     """Append dispatch rows stamped with the send time."""
-    queue.withColumn("sent_at", F.localtimestamp()).write.mode("append").parquet(path)
+    stamped = queue.withColumn("sent_at", F.localtimestamp())
+    stamped.select(*DISPATCH_LOG.fieldNames()).write.mode("append").parquet(path)

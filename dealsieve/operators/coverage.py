@@ -6,7 +6,7 @@ a normal state and reads differently from "ran but holds no record".
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,20 +25,21 @@ def select_company_rows(table: DataFrame | None, company_number=None, company_na
     return None
 
 
-def dossier(companies: DataFrame, modules: Mapping[str, tuple[DataFrame | None, Sequence[str]]]) -> DataFrame:
+def dossier(companies: DataFrame, modules: Mapping[str, tuple[DataFrame | None, Mapping[str, str]]]) -> DataFrame:
     """One row per company with ``<module>_state`` and the chosen columns of each module.
 
-    ``modules`` maps a name to (table or None, columns to carry).  Each table
-    must already hold one row per company_number; all joins share that key.
+    ``modules`` maps a name to (table or None, columns to carry with their
+    types).  A column has its stated type whether or not the module has run.
+    Each table must hold one row per company_number; all joins share that key.
     """
     out = companies
     for name, (table, columns) in modules.items():
         if table is None:
-            out = out.withColumn(f"{name}_state", F.lit(NOT_RUN))
-            for c in columns:
-                out = out.withColumn(c, F.lit(None).cast("string"))
+            out = out.select("*", F.lit(NOT_RUN).alias(f"{name}_state"),
+                             *[F.lit(None).cast(kind).alias(c) for c, kind in columns.items()])
             continue
-        t = table.select("company_number", *columns, F.lit(True).alias(f"_{name}_hit"))
+        t = table.select("company_number", *[F.col(c).cast(kind).alias(c) for c, kind in columns.items()],
+                         F.lit(True).alias(f"_{name}_hit"))
         out = out.join(t, "company_number", "left").withColumn(
             f"{name}_state", F.when(F.col(f"_{name}_hit"), F.lit(PRESENT)).otherwise(F.lit(NO_RECORD))) \
             .drop(f"_{name}_hit")
@@ -48,27 +49,30 @@ def dossier(companies: DataFrame, modules: Mapping[str, tuple[DataFrame | None,
 def signal_coverage(companies: DataFrame, modules: Mapping[str, DataFrame | None]) -> DataFrame:
     """Per module: rows, companies covered, and the share of companies without a record.
 
-    One full outer join of per-company row counts with the company list and one
-    aggregate per module (no cross join of aggregates).  Modules that have not
-    run report null counts and a missing share of 1.
+    One aggregate per company over the union of all tables, then one over
+    companies; the table of results has one row per module.  Modules that
+    have not run report null counts and a missing share of 1.
     """
-    base = companies.select("company_number").distinct().withColumn("_listed", F.lit(True))
-    parts = []
+    listed = companies.select("company_number", F.lit(None).cast("string").alias("_module"))
+    rows = listed
     for name, table in modules.items():
-        if table is None:
-            parts.append(base.agg(F.lit(name).alias("module"), F.lit(None).cast("long").alias("row_count"),
-                                  F.lit(None).cast("long").alias("companies_covered"),
-                                  F.lit(1.0).alias("share_missing")))
-            continue
-        per = table.groupBy("company_number").agg(F.count(F.lit(1)).alias("_n"))
-        j = per.join(base, "company_number", "full_outer")
-        listed = F.coalesce(F.col("_listed"), F.lit(False))
-        parts.append(j.agg(
+        if table is not None:
+            rows = rows.unionByName(table.select("company_number", F.lit(name).alias("_module")))
+    per_company = rows.groupBy("company_number").agg(
+        F.max(F.col("_module").isNull()).alias("_listed"),
+        *[F.count_if(F.col("_module") == name).alias(f"_n{i}") for i, name in enumerate(modules)])
+    total = per_company.agg(
+        F.count_if("_listed").alias("_companies"),
+        *[F.sum(f"_n{i}").alias(f"_rows{i}") for i in range(len(modules))],
+        *[F.count_if(F.col("_listed") & (F.col(f"_n{i}") > 0)).alias(f"_covered{i}") for i in range(len(modules))])
+    lines = []
+    for i, (name, table) in enumerate(modules.items()):
+        ran = F.lit(table is not None)
+        covered = F.when(ran, F.col(f"_covered{i}"))
+        lines.append(F.struct(
             F.lit(name).alias("module"),
-            F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("row_count"),
-            F.count_if(listed & F.col("_n").isNotNull()).alias("companies_covered"),
-            (F.lit(1.0) - F.count_if(listed & F.col("_n").isNotNull()) / F.count_if(listed)).alias("share_missing")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+            F.when(ran, F.coalesce(F.col(f"_rows{i}"), F.lit(0))).cast("long").alias("row_count"),
+            covered.cast("long").alias("companies_covered"),
+            F.when(ran, F.lit(1.0) - F.try_divide(covered, F.col("_companies"))).otherwise(F.lit(1.0))
+            .alias("share_missing")))
+    return total.select(F.explode(F.array(*lines)).alias("m")).select("m.*")

@@ -10,7 +10,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dealsieve.session import checkpoint_dir
+from dealsieve.operators.quantiles import coarse_bucket, fine_bucket
+from dealsieve.session import stored
 
 # Model inputs and split (fixed values).
 RATIO_FEATURE_COLUMNS = ["current_ratio", "gearing", "retained_earnings_to_assets"]
@@ -18,7 +19,6 @@ TEXT_FEATURE_COLUMNS = ["report_negative_language_flag", "going_concern_flag"]
 LABEL_COLUMN = "defaulted_within_year"
 TEST_SET_FRACTION = 0.25
 MAXIMUM_ITERATIONS = 1000
-AUC_BUCKETS = 1024
 
 
 def hash_split(df: DataFrame, key: str, test_fraction: float = TEST_SET_FRACTION) -> DataFrame:
@@ -30,28 +30,33 @@ def hash_split(df: DataFrame, key: str, test_fraction: float = TEST_SET_FRACTION
     return df.withColumn("is_test", F.substring(F.md5(F.col(key).cast("string")), 1, 2) < F.lit(cut))
 
 
-def auc_exact(scored: DataFrame, label_col: str, score_col: str, buckets: int = AUC_BUCKETS) -> DataFrame:
+def auc_exact(scored: DataFrame, label_col: str, score_col: str) -> DataFrame:
     """Exact ROC AUC (ties count one half) without sorting all scores in one task.
 
-    Positives p and negatives q are counted per distinct score (partial
-    aggregate).  The negatives below a score are the running total over
-    coarse score buckets (at most ``buckets`` + 1 rows, so that window and its
-    broadcast are bounded) plus the running total inside the bucket.
+    Positives p and negatives q are counted per distinct score (a partial
+    aggregate) and stored.  The negatives below a score are three running
+    totals: over coarse buckets of the scores' magnitude (a few thousand for
+    any doubles, so that window is bounded), over fine buckets inside a coarse
+    one, and over the scores inside a fine one.  Scores may be of any range.
     AUC = sum p * (below + q/2) / (P * Q); null when a class is absent.
     """
     s = F.col(score_col).cast("double")
-    per_score = (scored.where(s.isNotNull() & F.col(label_col).isNotNull())
-                 .groupBy(s.alias("s"))
-                 .agg(F.sum((F.col(label_col) == 1).cast("long")).alias("p"),
-                      F.sum((F.col(label_col) != 1).cast("long")).alias("q")))
-    bucket = F.floor(F.least(F.greatest(F.col("s"), F.lit(0.0)), F.lit(1.0)) * F.lit(float(buckets))).cast("int")
-    per_score = per_score.withColumn("b", bucket)
-    totals = per_score.groupBy("b").agg(F.sum("q").alias("qb"))
-    offsets = totals.withColumn(
-        "off", F.coalesce(F.sum("qb").over(Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    inner = Window.partitionBy("b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = per_score.withColumn("qin", F.coalesce(F.sum("q").over(inner), F.lit(0))) \
-        .join(F.broadcast(offsets.select("b", "off")), "b")
+    per_score = stored(
+        scored.where(s.isNotNull() & ~F.isnan(s) & F.col(label_col).isNotNull()).groupBy((s + F.lit(0.0)).alias("s"))
+        .agg(F.sum((F.col(label_col) == 1).cast("long")).alias("p"),
+             F.sum((F.col(label_col) != 1).cast("long")).alias("q"))
+        .select("*", coarse_bucket(F.col("s")).alias("b")).select("*", fine_bucket(F.col("s"), F.col("b")).alias("f")),
+        "score-counts")
+
+    def before(keys: list[str], order: str, total: str):
+        w = (Window.partitionBy(*keys) if keys else Window).orderBy(order)
+        return F.coalesce(F.sum(total).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    fine = per_score.groupBy("b", "f").agg(F.sum("q").alias("qf"))
+    coarse = fine.groupBy("b").agg(F.sum("qf").alias("qb"))
+    offsets = fine.select("b", "f", before(["b"], "f", "qf").alias("in_b")) \
+        .join(coarse.select("b", before([], "b", "qb").alias("under_b")), "b") \
+        .select("b", "f", (F.col("in_b") + F.col("under_b")).alias("off"))
+    ranked = per_score.withColumn("qin", before(["b", "f"], "s", "q")).join(offsets, ["b", "f"])
     below = (F.col("off") + F.col("qin")).cast("double")
     num = F.sum(F.col("p").cast("double") * (below + F.col("q").cast("double") / 2.0))
     return ranked.agg(num.alias("_num"), F.sum("p").alias("positives"), F.sum("q").alias("negatives")).select(
@@ -60,16 +65,26 @@ def auc_exact(scored: DataFrame, label_col: str, score_col: str, buckets: int =
         "positives", "negatives")
 
 
+def complete_rows(training: DataFrame, columns: Sequence[str], label_col: str = LABEL_COLUMN) -> DataFrame:
+    """The rows that a model can use: every feature present and finite, and a label."""
+    ok = F.col(label_col).isNotNull()
+    for c in columns:
+        v = F.col(c).cast("double")
+        ok = ok & v.isNotNull() & (F.abs(v) < F.lit(float("inf")))      # NaN is above infinity in Spark's order
+    return training.where(F.coalesce(ok, F.lit(False)))
+
+
 def train_and_evaluate(split: DataFrame, feature_columns: Sequence[str], label_col: str = LABEL_COLUMN,
                        max_iter: int = MAXIMUM_ITERATIONS) -> DataFrame:
     """Fit a logistic model on the training rows; one-row held-out AUC.
 
-    L2 with C = 1: regParam = 1 / training rows, no standardisation.
+    L2 with C = 1: regParam = 1 / training rows, no standardisation.  Rows
+    must be complete (``complete_rows``).
     """
     train = split.where(~F.col("is_test"))
     test = split.where(F.col("is_test"))
     n = train.count()
-    assembler = VectorAssembler(inputCols=list(feature_columns), outputCol="_x", handleInvalid="keep")
+    assembler = VectorAssembler(inputCols=list(feature_columns), outputCol="_x", handleInvalid="error")
     lr = LogisticRegression(featuresCol="_x", labelCol=label_col, maxIter=max_iter, regParam=1.0 / max(n, 1),
                             elasticNetParam=0.0, standardization=False, family="binomial", tol=1e-4)
     model = lr.fit(assembler.transform(train.withColumn(label_col, F.col(label_col).cast("double"))))
@@ -81,14 +96,20 @@ def train_and_evaluate(split: DataFrame, feature_columns: Sequence[str], label_c
 def text_feature_lift(training: DataFrame, key: str, label_col: str = LABEL_COLUMN) -> DataFrame:
     """AUC with ratios only, with ratios + text flags, and the difference, on one identical split.
 
-    The split is checkpointed (to the session's shared checkpoint folder) so
-    both fits read exactly the same rows, with the lineage cut.
+    Both fits use the rows that are complete in every feature; ``rows_used``
+    and ``rows_left_out`` say how many there are.  The split is stored, so both
+    fits read exactly the same rows.
     """
-    checkpoint_dir(training.sparkSession)
-    split = hash_split(training, key).checkpoint(eager=True)
-    ratio_only = train_and_evaluate(split, RATIO_FEATURE_COLUMNS, label_col).first()["auc"]
-    with_text = train_and_evaluate(split, RATIO_FEATURE_COLUMNS + TEXT_FEATURE_COLUMNS, label_col).first()["auc"]
-    lift = None if ratio_only is None or with_text is None else with_text - ratio_only
-    spark = training.sparkSession
-    return spark.createDataFrame([(ratio_only, with_text, lift)],
-                                 "ratio_only_auc double, with_text_auc double, text_feature_lift double")
+    every = [*RATIO_FEATURE_COLUMNS, *TEXT_FEATURE_COLUMNS]
+    split = stored(hash_split(complete_rows(training, every, label_col), key).select(key, label_col, "is_test", *every),
+                   "credit-split")
+    used, seen = split.count(), training.count()
+    ratio_only = train_and_evaluate(split, RATIO_FEATURE_COLUMNS, label_col).withColumn("_which", F.lit("ratio"))
+    with_text = train_and_evaluate(split, every, label_col).withColumn("_which", F.lit("text"))
+    both = ratio_only.unionByName(with_text).agg(
+        F.max(F.when(F.col("_which") == "ratio", F.col("auc"))).alias("ratio_only_auc"),
+        F.max(F.when(F.col("_which") == "text", F.col("auc"))).alias("with_text_auc"))
+    return both.select("ratio_only_auc", "with_text_auc",
+                       (F.col("with_text_auc") - F.col("ratio_only_auc")).alias("text_feature_lift"),
+                       F.lit(used).cast("long").alias("rows_used"),
+                       F.lit(seen - used).cast("long").alias("rows_left_out"))

@@ -20,8 +20,29 @@ CORPORATE_CONTROLLER_KIND = "corporate-entity-person-with-significant-control"
 
 
 def parse(docs: DataFrame, schema: T.StructType, payload: str = "payload", alias: str = "doc") -> DataFrame:
-    """Parse the payload column with an explicit schema (malformed documents parse to null)."""
-    return docs.withColumn(alias, F.from_json(F.col(payload), schema)).drop(payload)
+    """Parse the payload column with an explicit schema.
+
+    A document that is no JSON object parses to null.  The flattening
+    functions below skip such documents instead of defaulting their fields;
+    ``unreadable`` returns them.
+    """
+    return docs.withColumn(alias, _document(payload, schema)).drop(payload)
+
+
+CORRUPT = "_corrupt"
+
+
+def _document(payload: str, schema: T.StructType):
+    """The parsed document, null where the payload is missing, cut off or not of the schema's types."""
+    checked = F.from_json(F.col(payload), T.StructType([*schema.fields, T.StructField(CORRUPT, S.S)]),
+                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    parsed = F.struct(*[checked[f.name].alias(f.name) for f in schema.fields])
+    return F.when(checked.isNotNull() & checked[CORRUPT].isNull() & F.col(payload).rlike(r"^\s*\{"), parsed)
+
+
+def unreadable(docs: DataFrame, schema: T.StructType, payload: str = "payload") -> DataFrame:
+    """The documents that do not parse, payload untouched (the quarantine of a document table)."""
+    return docs.where(_document(payload, schema).isNull())
 
 
 def filing_records(profiles: DataFrame, officers: DataFrame | None = None,
@@ -32,7 +53,7 @@ def filing_records(profiles: DataFrame, officers: DataFrame | None = None,
     Each input holds one document per company; officers and filing history
     are optional left joins on the company number.
     """
-    prof = parse(profiles, S.PROFILE_PAYLOAD, alias="p")
+    prof = parse(profiles, S.PROFILE_PAYLOAD, alias="p").where(F.col("p").isNotNull())
     out = prof.select(
         "company_number",
         F.col("p.company_name").alias("company_name"),
@@ -75,8 +96,11 @@ def charges(charge_docs: DataFrame) -> DataFrame:
 
 
 def ownership(controller_docs: DataFrame, corporate_kind: str = CORPORATE_CONTROLLER_KIND) -> DataFrame:
-    """Corporate controllers' names and the group flag per company ([] and false when none)."""
-    doc = parse(controller_docs, S.CONTROLLERS_PAYLOAD, alias="d")
+    """Corporate controllers' names and the group flag per company ([] and false when none).
+
+    An unreadable document says nothing about the company, so it gives no row.
+    """
+    doc = parse(controller_docs, S.CONTROLLERS_PAYLOAD, alias="d").where(F.col("d").isNotNull())
     items = F.coalesce(F.col("d.items"), F.array().cast(S.CONTROLLERS_PAYLOAD["items"].dataType))
     names = F.transform(F.filter(items, lambda x: x["kind"] == corporate_kind), lambda x: x["name"])
     return doc.select("company_number", names.alias("corporate_controllers")) \
@@ -110,19 +134,36 @@ def award_summary(companies: DataFrame, notice_rows: DataFrame) -> DataFrame:
         F.coalesce("buying_authorities", F.array().cast("array<string>")).alias("buying_authorities"))
 
 
-AWARD_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
+# Accepted forms of an award date, besides ISO times with or without an offset (which Spark reads itself).
+AWARD_TIME_FORMATS = ["yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd"]
+
+
+def award_time(text):
+    """The award time as UTC wall time: a date, a local time or a time with an offset; null for any other text."""
+    offset = F.col(text).rlike(r"T.*(Z|[+-]\d\d:?\d\d)$")
+    local = F.coalesce(*[F.try_to_timestamp(F.col(text), F.lit(f)).cast("timestamp_ntz") for f in AWARD_TIME_FORMATS])
+    instant = F.to_utc_timestamp(F.try_to_timestamp(F.col(text)), F.current_timezone()).cast("timestamp_ntz")
+    return F.when(offset, instant).otherwise(local)
+
+
+def undated_awards(notice_rows: DataFrame) -> DataFrame:
+    """Notices with an award date that is none (they are in no as-of count)."""
+    named = F.col("awardedDate").isNotNull() & (F.col("awardedDate") != "")
+    return notice_rows.where(named & award_time("awardedDate").isNull())
 
 
 def awards_as_of(notice_rows: DataFrame, decisions: DataFrame, key: str = "company_number",
-                 decision_date: str = "decision_date", time_format: str = AWARD_TIME_FORMAT) -> DataFrame:
+                 decision_date: str = "decision_date") -> DataFrame:
     """Award count and latest award time known at each decision date (the point-in-time
     form of the award summary: an all-time count would leak later awards).
 
     Awards are first counted per (company, award time) - a partial aggregate,
     so a company with a huge award history is combined map-side - then joined
     to the distinct decisions and summed; every input decision row is kept.
+    Dates, local times and times with an offset all count; ``undated_awards``
+    returns what is none of these.
     """
-    at = F.try_to_timestamp(F.col("awardedDate"), F.lit(time_format)).cast("timestamp_ntz")
+    at = award_time("awardedDate")
     awarded = notice_rows.where(F.col("awardedDate").isNotNull() & (F.col("awardedDate") != "")) \
         .select(key, at.alias("award_at")).where(F.col("award_at").isNotNull())
     per_time = awarded.groupBy(key, "award_at").agg(F.count(F.lit(1)).alias("n"))

@@ -1,24 +1,22 @@
 """Exact grouped quantiles (linear interpolation) without gathering a group in one task.
 
 ``percentile`` keeps every distinct value of a group in one buffer, which
-breaks when one group holds a large share of the rows.  This operator finds
-the values at the needed ranks by refining order-preserving buckets:
-
-1. a coarse log-scale bucket per value (monotone in the value, computed row
-   by row before any shuffle), counted per (group, bucket) with a partial
-   aggregate -> a few thousand rows per group at most;
-2. running counts over those bucket rows locate the bucket holding each
-   needed rank; only rows of those buckets continue, split again into
-   65,536 linear sub-buckets;
-3. inside the needed sub-buckets, distinct values with their counts give the
-   exact value at each rank.
-
-The broadcast filters in steps 2-3 hold at most 2 x len(probs) keys per
-group; their size is checked before broadcasting, with a shuffle join
-beyond the limit.  Interpolation follows the linear rule of the common
-array libraries, operation for operation, so results are bit-identical to
-it: position = (n-1)*p; between neighbours a and b at fraction
-t, ``a + (b-a)*t`` when t < 0.5, else ``b - (b-a)*(1-t)``.
+breaks when one group holds a large share of the rows.  This operator reads
+its input once: it counts each (group, value) with a partial aggregate and
+stores those counts, then finds the values at the needed ranks by refining
+order-preserving buckets over the stored table:
+
+1. a coarse log-scale bucket per value (monotone in the value), a few thousand
+   per group at most; running counts locate the bucket holding each rank;
+2. 65,536 linear sub-buckets inside those buckets, located the same way;
+3. the values inside the needed sub-buckets, in order.
+
+Each level keeps only rows whose bucket is needed (a semi-join, planned by
+Spark); no level gathers a group.  Infinite values have end buckets of their
+own; NaN counts as missing.  Interpolation follows the linear rule of the
+common array libraries, operation for operation, so results are bit-identical
+to it: position = (n-1)*p; between neighbours a and b at fraction t,
+``a + (b-a)*t`` when t < 0.5, else ``b - (b-a)*(1-t)``.
 """
 
 from __future__ import annotations
@@ -28,46 +26,47 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from dealsieve.session import stored
+
 COARSE_PER_E = 32          # coarse buckets per factor e of magnitude (about 3 % wide)
 FINE_BUCKETS = 65536       # linear sub-buckets per coarse bucket
-BROADCAST_KEY_LIMIT = 2_000_000
+CENTRE, END = 10_000_000, 20_000_000
 
-_V, _N = "_qv", "_qn"
+_V, _G, _C = "_qv", "_qg", "_qc"
 
 
-def _coarse(v):
+def coarse_bucket(v):
     """Monotone non-decreasing integer bucket of a double (log scale, sign aware)."""
-    lg = F.floor(F.log(F.abs(v)) * F.lit(float(COARSE_PER_E)))
-    return (F.when(v > 0, F.lit(10_000_000) + lg)
-            .when(v < 0, F.lit(-10_000_000) - lg)
+    finite = F.when(F.abs(v) < F.lit(float("inf")), F.abs(v))
+    lg = F.floor(F.log(finite) * F.lit(float(COARSE_PER_E)))
+    return (F.when(v == F.lit(float("inf")), F.lit(END))
+            .when(v == F.lit(float("-inf")), F.lit(-END))
+            .when(v > 0, F.lit(CENTRE) + lg)
+            .when(v < 0, F.lit(-CENTRE) - lg)
             .otherwise(F.lit(0))).cast("long")
 
 
-def _fine(v, coarse):
+def fine_bucket(v, coarse):
     """Linear sub-bucket inside a coarse bucket; monotone in v for a fixed coarse bucket."""
-    lg = F.when(coarse > 0, coarse - F.lit(10_000_000)).otherwise(F.lit(-10_000_000) - coarse)
-    scale = F.exp(lg / F.lit(float(COARSE_PER_E)))
-    return F.when(coarse == 0, F.lit(0)) \
+    one_value = (coarse == 0) | (F.abs(coarse) == END)
+    lg = F.when(coarse > 0, coarse - F.lit(CENTRE)).otherwise(F.lit(-CENTRE) - coarse)
+    scale = F.exp(F.when(~one_value, lg) / F.lit(float(COARSE_PER_E)))
+    return F.when(one_value, F.lit(0)) \
         .otherwise(F.floor(v / scale * F.lit(float(FINE_BUCKETS * COARSE_PER_E)))).cast("long")
 
 
-def _maybe_broadcast(df: DataFrame, limit: int = BROADCAST_KEY_LIMIT) -> DataFrame:
-    """Broadcast only after checking the row count; beyond the limit use a shuffle join."""
-    return F.broadcast(df) if df.count() <= limit else df
-
-
-def _locate(counts: DataFrame, keys: list[str], order: list[str], want: DataFrame) -> DataFrame:
-    """Bucket rows (keys + order + c) that hold a wanted rank, with the rank inside the bucket.
+def _locate(counts: DataFrame, keys: list[str], order: str, want: DataFrame) -> DataFrame:
+    """Rows of ``counts`` that hold a wanted rank, with the rank inside the row.
 
     ``want`` has one row per key with an array of (_rank, _r) structs, so the
-    join never multiplies bucket rows by ranks.
+    join never multiplies rows by ranks.
     """
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    cum = counts.withColumn("_before", F.coalesce(F.sum("c").over(w), F.lit(0)))
-    before, c = F.col("_before"), F.col("c")
+    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    before, c = F.col("_before"), F.col(_C)
+    running = counts.withColumn("_before", F.coalesce(F.sum(_C).over(w), F.lit(0)))
     inside = F.filter("_want", lambda x: (x["_r"] >= before) & (x["_r"] < before + c))
-    hits = cum.join(want, keys).select(*keys, *order, before, F.explode(inside).alias("h"))
-    return hits.select(*keys, *order, (F.col("h._r") - before).alias("_r"), F.col("h._rank").alias("_rank"))
+    hits = running.join(want, keys).select(*keys, order, before, F.explode(inside).alias("h"))
+    return hits.select(*keys, order, (F.col("h._r") - before).alias("_r"), F.col("h._rank").alias("_rank"))
 
 
 def _want(hits: DataFrame, keys: list[str]) -> DataFrame:
@@ -76,49 +75,42 @@ def _want(hits: DataFrame, keys: list[str]) -> DataFrame:
 
 def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
                     probs: Sequence[float], prefix: str = "q") -> DataFrame:
-    """Group columns, ``n`` (non-null values) and one column per probability.
+    """Group columns, ``n`` (non-missing values) and one column per probability.
 
-    Only groups with at least one non-null value are emitted.
+    Only groups with at least one value are emitted; a null group is a group.
     """
     g = list(group_cols)
-    base = df.select(*g, F.col(value_col).cast("double").alias(_V)).where(F.col(_V).isNotNull())
-    base = base.withColumn("_k1", _coarse(F.col(_V)))
-
-    # Level 1: counts per coarse bucket (partial aggregate, map-side combine).
-    c1 = base.groupBy(*g, "_k1").agg(F.count(F.lit(1)).alias("c"))
-    n = c1.groupBy(*g).agg(F.sum("c").alias(_N))
-    pos_cols, rank_rows = [], []
+    v = F.col(value_col).cast("double")
+    values = df.where(v.isNotNull() & ~F.isnan(v)).select(F.struct(*g).alias(_G), v.alias(_V))
+    counted = stored(values.groupBy(_G, _V).agg(F.count(F.lit(1)).alias(_C)).select(
+        "*", coarse_bucket(F.col(_V)).alias("_k1")).select("*", fine_bucket(F.col(_V), F.col("_k1")).alias("_k2")),
+        "value-counts")
+
+    first = counted.groupBy(_G, "_k1").agg(F.sum(_C).alias(_C))
+    n = first.groupBy(_G).agg(F.sum(_C).alias("n"))
+    positions, ranks = [], []
     for i, p in enumerate(probs):
-        pos = (F.col(_N) - F.lit(1)).cast("double") * F.lit(float(p))
-        pos_cols.append(pos.alias(f"_pos{i}"))
-        lo = F.floor(pos).cast("long")
-        hi = F.least(lo + 1, F.col(_N) - 1)
-        rank_rows += [F.struct(F.lit(2 * i).alias("_rank"), lo.alias("_r")),
-                      F.struct(F.lit(2 * i + 1).alias("_rank"), hi.alias("_r"))]
-    positions = n.select(*g, _N, *pos_cols)
-    want1 = n.select(*g, F.array(*rank_rows).alias("_want"))
-
-    hit1 = _locate(c1, g, ["_k1"], want1)
-    need1 = _maybe_broadcast(hit1.select(*g, "_k1").distinct())
-
-    # Level 2: only rows of the needed coarse buckets, split into linear sub-buckets.
-    rows2 = base.join(need1, [*g, "_k1"]).withColumn("_k2", _fine(F.col(_V), F.col("_k1")))
-    c2 = rows2.groupBy(*g, "_k1", "_k2").agg(F.count(F.lit(1)).alias("c"))
-    hit2 = _locate(c2, [*g, "_k1"], ["_k2"], _want(hit1, [*g, "_k1"]))
-    need2 = _maybe_broadcast(hit2.select(*g, "_k1", "_k2").distinct())
-
-    # Level 3: distinct values (with counts) inside the needed sub-buckets.
-    c3 = (rows2.join(need2, [*g, "_k1", "_k2"])
-          .groupBy(*g, "_k1", "_k2", _V).agg(F.count(F.lit(1)).alias("c")))
-    hit3 = _locate(c3, [*g, "_k1", "_k2"], [_V], _want(hit2, [*g, "_k1", "_k2"]))
-    at_rank = hit3.groupBy(*g).agg(F.map_from_entries(F.collect_list(F.struct("_rank", _V))).alias("_m"))
-
-    out = positions.join(at_rank, g, "left")
-    cols = []
+        pos = (F.col("n") - F.lit(1)).cast("double") * F.lit(float(p))
+        low = F.floor(pos).cast("long")
+        positions.append(pos.alias(f"_pos{i}"))
+        ranks += [F.struct(F.lit(2 * i).alias("_rank"), low.alias("_r")),
+                  F.struct(F.lit(2 * i + 1).alias("_rank"), F.least(low + 1, F.col("n") - 1).alias("_r"))]
+    hit1 = _locate(first, [_G], "_k1", n.select(_G, F.array(*ranks).alias("_want")))
+
+    keys1, keys2 = [_G, "_k1"], [_G, "_k1", "_k2"]
+    second = counted.join(hit1.select(*keys1).distinct(), keys1, "left_semi") \
+        .groupBy(*keys2).agg(F.sum(_C).alias(_C))
+    hit2 = _locate(second, keys1, "_k2", _want(hit1, keys1))
+    third = counted.join(hit2.select(*keys2).distinct(), keys2, "left_semi")
+    hit3 = _locate(third, keys2, _V, _want(hit2, keys2))
+
+    at_rank = hit3.groupBy(_G).agg(F.map_from_entries(F.collect_list(F.struct("_rank", _V))).alias("_m"))
+    out = n.select(_G, "n", *positions).join(at_rank, _G)
+    columns = []
     for i in range(len(probs)):
         a, b = F.col("_m")[2 * i], F.col("_m")[2 * i + 1]
         t = F.col(f"_pos{i}") - F.floor(F.col(f"_pos{i}"))
-        diff = b - a
-        q = F.when(t >= 0.5, b - diff * (F.lit(1.0) - t)).otherwise(a + diff * t)
-        cols.append(q.alias(f"{prefix}{i}"))
-    return out.select(*g, F.col(_N).alias("n"), *cols)
+        q = F.when(t >= 0.5, b - (b - a) * (F.lit(1.0) - t)).otherwise(a + (b - a) * t)
+        # No arithmetic where none is needed: an infinite value stays itself.
+        columns.append(F.when((a == b) | (t == 0), a).otherwise(q).alias(f"{prefix}{i}"))
+    return out.select(*[F.col(_G).getField(c).alias(c) for c in g], "n", *columns)

@@ -1,10 +1,9 @@
 """Nearest comparable companies by mixed (numeric + one-hot categorical) distance.
 
-The companies under investigation are a handful of reference rows.  Their
-count is checked against a limit and they are attached to every row as a
-literal array (a generator, not a join), so the work is rows x references
-with no shuffle.  The per-reference top-k is a ``row_number() <= k`` that
-Spark limits map-side (WindowGroupLimit) before the shuffle.
+The companies under investigation are a stated set of reference rows; every
+item meets every reference in an equi-join on a salt (``pairs.with_each``).
+The per-reference top-k is a ``row_number() <= k`` that Spark limits map-side
+(WindowGroupLimit) before the shuffle.
 """
 
 from __future__ import annotations
@@ -15,30 +14,24 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dealsieve.functions.finance import mixed_distance
-
-MAXIMUM_REFERENCES = 1000
-
-
-def _reference_literals(references: DataFrame, id_col: str, columns: Sequence[str], limit: int):
-    n = references.count()
-    if n > limit:
-        raise ValueError(f"{n} reference rows; at most {limit} can be attached to every row")
-    rows = references.select(id_col, *columns).collect()
-    types = {f.name: f.dataType for f in references.schema.fields}
-    return F.array(*[F.struct(*[F.lit(r[c]).cast(types[c]).alias(f"ref_{c}") for c in (id_col, *columns)])
-                     for r in rows])
+from dealsieve.operators.pairs import with_each
 
 
 def nearest(items: DataFrame, references: DataFrame, id_col: str, numeric: Sequence[str],
-            categorical: Sequence[str], k: int, exclude_self: bool = True,
-            limit: int = MAXIMUM_REFERENCES) -> DataFrame:
-    """For each reference row, the ``k`` nearest items: (reference_id, item_id, distance, rank)."""
-    refs = _reference_literals(references, id_col, [*numeric, *categorical], limit)
-    pairs = items.select(id_col, *numeric, *categorical, F.explode_outer(refs).alias("r")).where(F.col("r").isNotNull())
-    dist = mixed_distance([(F.col(c), F.col(f"r.ref_{c}")) for c in numeric],
-                          [(F.col(c), F.col(f"r.ref_{c}")) for c in categorical])
-    scored = pairs.select(F.col(f"r.ref_{id_col}").alias("reference_id"), F.col(id_col).alias("item_id"),
-                          dist.alias("distance"))
+            categorical: Sequence[str], k: int, exclude_self: bool = True) -> DataFrame:
+    """For each reference row, the ``k`` nearest items: (reference_id, item_id, distance, rank).
+
+    A pair with a missing number on either side has no distance and is never
+    ranked; ties go to the smaller item id.
+    """
+    columns = [id_col, *numeric, *categorical]
+    each = references.select(*[F.col(f"`{c}`").alias(f"ref_{c}") for c in columns])
+    pairs = with_each(items.select(*columns), each)
+    dist = mixed_distance([(F.col(c), F.col(f"ref_{c}")) for c in numeric],
+                          [(F.col(c), F.col(f"ref_{c}")) for c in categorical])
+    scored = pairs.select(F.col(f"ref_{id_col}").alias("reference_id"), F.col(id_col).alias("item_id"),
+                          F.nanvl(dist, F.lit(None).cast("double")).alias("distance")) \
+        .where(F.col("distance").isNotNull())
     if exclude_self:
         scored = scored.where(F.col("reference_id") != F.col("item_id"))
     rank = F.row_number().over(Window.partitionBy("reference_id").orderBy("distance", "item_id"))

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import (CountVectorizer, ElementwiseProduct, IDF, IndexToString, Normalizer,
+from pyspark.ml.feature import (CountVectorizerModel, ElementwiseProduct, IDF, IndexToString, Normalizer,
                                 RegexTokenizer, StringIndexer)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dealsieve.functions.text import TOKEN_PATTERN, tokens
-from dealsieve.session import spread_for_cpu
+from dealsieve.session import spread_for_cpu, stored
 
 # Classifier settings and the review rule (fixed values).
 MAXIMUM_VOCABULARY_SIZE = 5000
@@ -32,15 +32,32 @@ CONFIDENCE_REVIEW_THRESHOLD = 0.60
 STOPPING_TOLERANCE = 1e-4     # the common solver default for this objective
 
 
+def vocabulary(docs: DataFrame, text_col: str, size: int) -> list[str]:
+    """The ``size`` most frequent terms, most frequent first, ties by the term itself.
+
+    A top-k over a partial aggregate, so the list does not depend on how the
+    rows are partitioned; it is never empty (a model needs one term).
+    """
+    counts = docs.select(F.explode(tokens(text_col)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    return [r.term for r in counts.orderBy(F.desc("n"), "term").limit(size).select("term").collect()] or [""]
+
+
 def fit_industry_classifier(labelled: DataFrame, text_col: str = "website_text", label_col: str = "industry_code",
                             vocab_size: int = MAXIMUM_VOCABULARY_SIZE,
-                            max_iter: int = MAXIMUM_ITERATIONS) -> PipelineModel:
-    """Fit tokeniser, vocabulary, smoothed TF-IDF and the multinomial model on labelled text."""
-    data = spread_for_cpu(labelled.where(F.col(text_col).isNotNull() & F.col(label_col).isNotNull()))
+                            max_iter: int = MAXIMUM_ITERATIONS, fit_rows: int | None = None) -> PipelineModel:
+    """Fit tokeniser, vocabulary, smoothed TF-IDF and the multinomial model on labelled text.
+
+    ``fit_rows`` bounds the labelled rows that are fitted on (the first by md5
+    of their text, so the same rows on every run); None takes all.
+    """
+    usable = labelled.where(F.col(text_col).isNotNull() & F.col(label_col).isNotNull())
+    if fit_rows is not None:
+        usable = usable.orderBy(F.md5(F.col(text_col)), text_col, label_col).limit(fit_rows)
+    data = stored(spread_for_cpu(usable.select(text_col, label_col)), "labelled-text")
     n = data.count()
     tok = RegexTokenizer(inputCol=text_col, outputCol="_tokens", pattern=TOKEN_PATTERN, gaps=False, toLowercase=True)
-    cv = CountVectorizer(inputCol="_tokens", outputCol="_tf", vocabSize=vocab_size)
-    front = Pipeline(stages=[tok, cv]).fit(data)
+    cv = CountVectorizerModel.from_vocabulary(vocabulary(data, text_col, vocab_size), "_tokens", "_tf")
+    front = PipelineModel(stages=[tok, cv])
     # Tokenising is the costly pass; keep the term counts for the IDF and model fits,
     # and release them as soon as the (eager) fits are done.
     counted = front.transform(data).select(label_col, "_tf").persist(StorageLevel.MEMORY_AND_DISK)
@@ -105,9 +122,10 @@ def keyword_onehot(docs: DataFrame, keywords: Sequence[str], id_col: str = "doc_
     return t.select(id_col, *[F.array_contains("_t", kw).cast("int").alias(f"kw_{kw}") for kw in keywords])
 
 
-# Word lists for the engineered text flags (test parameters over the driver's prose).
-NEGATIVE_WORDS = ["not", "no", "nicht", "pas", "never"]
-GOING_CONCERN_PATTERN = "licen"
+# Words and wording of the engineered text flags over annual reports (defaults; pass others for other texts).
+NEGATIVE_WORDS = ["loss", "losses", "decline", "adverse", "impairment", "default", "breach", "insolvency",
+                  "uncertainty", "doubt"]
+GOING_CONCERN_PATTERN = "going concern"
 
 
 def text_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -36,50 +36,68 @@ def _peer_keys(peers: DataFrame, finest: int) -> DataFrame:
     return exploded.select("k.plen", "k.prefix", "multiple")
 
 
-def _target_keys(targets: DataFrame, finest: int) -> DataFrame:
-    """Each target once per tried length L (finest..1, then 0) with its lookup key."""
-    code = F.coalesce(F.col("industry_code"), F.lit(""))
+def _code_keys(codes: DataFrame, finest: int) -> DataFrame:
+    """Each code once per tried length L (finest..1, then 0) with its lookup key."""
     tries = []
     for n in list(range(finest, 0, -1)) + [0]:
-        prefix = F.substring(code, 1, n) if n else F.lit("")
+        prefix = F.substring("_code", 1, n) if n else F.lit("")
         tries.append(F.struct(F.lit(n).alias("L"), F.length(prefix).alias("plen"), prefix.alias("prefix")))
-    return targets.select("company_number", "industry_code", F.explode(F.array(*tries)).alias("t")) \
-        .select("company_number", "industry_code", "t.L", "t.plen", "t.prefix")
+    return codes.select("_code", F.explode(F.array(*tries)).alias("t")).select("_code", "t.L", "t.plen", "t.prefix")
 
 
-def peer_widening(targets: DataFrame, peers: DataFrame, finest: int = FINEST_CODE_LENGTH,
-                  minimum: int = MINIMUM_PEER_COUNT) -> DataFrame:
-    """Code length used and peer count per target, plus the chosen lookup key.
+def widened(targets: DataFrame, peers: DataFrame, finest: int = FINEST_CODE_LENGTH,
+            minimum: int = MINIMUM_PEER_COUNT) -> DataFrame:
+    """Every target row, columns unchanged, with code_length_used, peer_count and its lookup key
+    (key_length, key_prefix).
 
     The finest length with at least ``minimum`` peers wins; if none does, all
-    peers are used with length 0 and no minimum.
+    peers are used with length 0 and no minimum.  The choice depends on the
+    code only, so it is made once per distinct code and joined back: rows of
+    one company stay apart.
     """
     require_columns(targets, ["company_number", "industry_code"], "targets")
     require_columns(peers, ["industry_code", "multiple"], "peers")
+    coded = targets.withColumn("_code", F.coalesce("industry_code", F.lit("")))
     counts = _peer_keys(peers, finest).groupBy("plen", "prefix").agg(F.count(F.lit(1)).alias("n"))
-    tried = _target_keys(targets, finest).join(counts, ["plen", "prefix"], "left") \
+    tried = _code_keys(coded.select("_code").distinct(), finest).join(counts, ["plen", "prefix"], "left") \
         .withColumn("n", F.coalesce("n", F.lit(0)))
-    # Pick the largest L with enough peers; L = 0 always qualifies.
-    ok = (F.col("n") >= minimum) | (F.col("L") == 0)
-    chosen = (tried.where(ok)
-              .groupBy("company_number", "industry_code")
-              .agg(F.max(F.struct("L", "plen", "prefix", "n")).alias("c")))
-    return chosen.select("company_number", "industry_code",
-                         F.col("c.L").cast("int").alias("code_length_used"),
-                         F.col("c.n").alias("peer_count"),
-                         F.col("c.plen").alias("key_length"), F.col("c.prefix").alias("key_prefix"))
+    ok = (F.col("n") >= minimum) | (F.col("L") == 0)         # the largest L with enough peers; 0 always qualifies
+    chosen = tried.where(ok).groupBy("_code").agg(F.max(F.struct("L", "plen", "prefix", "n")).alias("c"))
+    return coded.join(chosen, "_code").select(
+        *targets.columns, F.col("c.L").cast("int").alias("code_length_used"), F.col("c.n").alias("peer_count"),
+        F.col("c.plen").alias("key_length"), F.col("c.prefix").alias("key_prefix"))
 
 
-def value_distribution(targets: DataFrame, peers: DataFrame, finest: int = FINEST_CODE_LENGTH,
-                       minimum: int = MINIMUM_PEER_COUNT) -> DataFrame:
-    """Every peer multiple applied to the target's scaling value, kept whole (one row per peer)."""
-    require_columns(targets, ["company_number", "industry_code", "scaling_value"], "targets")
-    targets = nan_to_null(targets)
-    chosen = peer_widening(targets, peers, finest, minimum)
-    scaled = chosen.join(targets.select("company_number", "scaling_value"), "company_number")
+def peer_widening(targets: DataFrame, peers: DataFrame, finest: int = FINEST_CODE_LENGTH,
+                  minimum: int = MINIMUM_PEER_COUNT) -> DataFrame:
+    """Code length used and peer count per target row, plus the chosen lookup key."""
+    return widened(targets, peers, finest, minimum).select(
+        "company_number", "industry_code", "code_length_used", "peer_count", "key_length", "key_prefix")
+
+
+def key_multiples(targets: DataFrame, peers: DataFrame, finest: int = FINEST_CODE_LENGTH) -> DataFrame:
+    """(key_length, key_prefix, multiple): the peers of every key that a ``widened`` target uses.
+
+    With the targets' keys this is the whole of the value distributions in
+    peers + targets rows; ``value_distribution`` expands it.
+    """
     keyed = _peer_keys(nan_to_null(peers), finest).withColumnRenamed("plen", "key_length") \
         .withColumnRenamed("prefix", "key_prefix")
-    return scaled.join(keyed, ["key_length", "key_prefix"]).select(
+    return keyed.join(targets.select("key_length", "key_prefix").distinct(), ["key_length", "key_prefix"], "left_semi")
+
+
+def value_distribution(targets: DataFrame, peers: DataFrame, finest: int = FINEST_CODE_LENGTH,
+                       minimum: int = MINIMUM_PEER_COUNT, requested: DataFrame | None = None) -> DataFrame:
+    """Every peer multiple applied to the target's scaling value, kept whole (one row per target row and peer).
+
+    The output is targets x their peers; ``requested`` (company_number) limits
+    it to the companies asked for before anything is expanded.
+    """
+    require_columns(targets, ["company_number", "industry_code", "scaling_value"], "targets")
+    rows = widened(nan_to_null(targets), peers, finest, minimum)
+    if requested is not None:
+        rows = rows.join(requested.select("company_number").distinct(), "company_number", "left_semi")
+    return rows.join(key_multiples(rows, peers, finest), ["key_length", "key_prefix"]).select(
         "company_number", "code_length_used", "multiple",
         (F.col("scaling_value") * F.col("multiple")).alias("estimated_value"))
 
@@ -87,7 +105,7 @@ def value_distribution(targets: DataFrame, peers: DataFrame, finest: int = FINES
 def valuation_quantiles(targets: DataFrame, peers: DataFrame, finest: int = FINEST_CODE_LENGTH,
                         minimum: int = MINIMUM_PEER_COUNT,
                         quantiles: list[float] = DISTRIBUTION_QUANTILES) -> DataFrame:
-    """Peer count, length used and value quantiles per target.
+    """Peer count, length used and value quantiles per target row.
 
     Linear quantiles commute with scaling: q_p(s*m) = s*q_p(m) for s >= 0 and
     s*q_(1-p)(m) for s < 0.  So quantiles are computed once per prefix key, on
@@ -95,19 +113,14 @@ def valuation_quantiles(targets: DataFrame, peers: DataFrame, finest: int = FINE
     The quantile list must be symmetric for the reversal (it is).
     """
     require_columns(targets, ["company_number", "industry_code", "scaling_value"], "targets")
-    targets = nan_to_null(targets)
-    chosen = peer_widening(targets, peers, finest, minimum)
-    used_keys = chosen.select("key_length", "key_prefix").distinct()
-    keyed = _peer_keys(nan_to_null(peers), finest).withColumnRenamed("plen", "key_length") \
-        .withColumnRenamed("prefix", "key_prefix")
-    per_key = exact_quantiles(keyed.join(used_keys, ["key_length", "key_prefix"], "left_semi"),
-                              ["key_length", "key_prefix"], "multiple", quantiles).drop("n")
-    rows = chosen.join(targets.select("company_number", "scaling_value"), "company_number") \
-        .join(per_key, ["key_length", "key_prefix"], "left")
+    rows = widened(nan_to_null(targets), peers, finest, minimum)
+    per_key = exact_quantiles(key_multiples(rows, peers, finest), ["key_length", "key_prefix"], "multiple",
+                              quantiles).drop("n")
+    joined = rows.join(per_key, ["key_length", "key_prefix"], "left")
     s = F.col("scaling_value")
     k = len(quantiles)
     cols = []
     for i, q in enumerate(quantiles):
         up, down = F.col(f"q{i}"), F.col(f"q{k - 1 - i}")
         cols.append(F.when(s >= 0, s * up).otherwise(s * down).alias(f"value_quantile_{int(round(q * 100))}"))
-    return rows.select("company_number", "peer_count", "code_length_used", *cols)
+    return joined.select("company_number", "peer_count", "code_length_used", *cols)

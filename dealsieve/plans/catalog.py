@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dealsieve import schemas as S
 from dealsieve.operators import asof
 from dealsieve.plans import views as V
 
@@ -40,13 +41,16 @@ def decision_rows(spark, sf_dir):
 
 @query("future_fact_leaks")
 def future_fact_leaks(spark, sf_dir):
+    """Leaks per fact table in the as-of rows (none), and in rows that take each company's newest fact whatever
+    the decision date (the mistake that the check exists for)."""
     dec = V.decisions(spark, sf_dir)
     parts = []
     for name, (facts, ties) in V.fact_tables(spark, sf_dir).items():
-        latest = asof.as_of(facts, dec, tie_keys=ties)
-        parts.append(latest.agg(F.lit(name).alias("table_name"),
-                                F.count_if(F.col("fact_date") > F.col("decision_date")).alias("leak_count"),
-                                F.count(F.lit(1)).alias("rows_checked")))
+        newest = facts.groupBy("company_number").agg(F.max("fact_date").alias("fact_date"))
+        for how, rows in (("as_of", asof.as_of(facts, dec, tie_keys=ties)),
+                          ("newest", dec.distinct().join(newest, "company_number"))):
+            parts.append(asof.future_fact_leaks(rows).select(
+                F.lit(name).alias("table_name"), F.lit(how).alias("picked"), "leak_count", "rows_checked"))
     return V.union_all(parts)
 
 
@@ -139,8 +143,20 @@ def pull_changes(spark, sf_dir):
 
 @query("landing_gaps")
 def landing_gaps(spark, sf_dir):
-    fails = landing.parse_failure_log(V.failure_log_lines(spark, sf_dir), V.LANDING_SOURCES)
-    return landing.landing_gaps(V.expected_pulls(spark, sf_dir), V.raw_pulls(spark, sf_dir), fails)
+    fails, _ = landing.parse_failure_log(V.failure_log_lines(spark, sf_dir), V.LANDING_SOURCES, [V.NAME_SOURCE])
+    return landing.landing_gaps(V.expected_pulls(spark, sf_dir), V.landed_pulls(spark, sf_dir), fails)
+
+
+@query("failure_log_quarantine")
+def failure_log_quarantine(spark, sf_dir):
+    """Failure-log lines of no known form."""
+    return landing.parse_failure_log(V.failure_log_lines(spark, sf_dir), V.LANDING_SOURCES, [V.NAME_SOURCE])[1]
+
+
+@query("unreadable_documents")
+def unreadable_documents(spark, sf_dir):
+    """Controller documents that do not parse; their companies have no ownership row."""
+    return facts.unreadable(V.controller_docs(spark, sf_dir), S.CONTROLLERS_PAYLOAD)
 
 
 @query("candidate_select")
@@ -148,6 +164,13 @@ def candidate_select(spark, sf_dir):
     return reg.register_search(V.register(spark, sf_dir), V.SEARCH_SIC_CODES, V.SEARCH_LOCATION)
 
 
+@query("register_search_capped")
+def register_search_capped(spark, sf_dir):
+    """The paged search's cap, asked for: the first 500 active companies with these SIC codes, anywhere."""
+    return reg.register_search(V.register(spark, sf_dir), V.SEARCH_SIC_CODES,
+                               maximum_results=reg.MAXIMUM_SEARCH_RESULTS)
+
+
 @query("selection_criteria")
 def selection_criteria(spark, sf_dir):
     cands, route = reg.build_candidate_list(None, V.register(spark, sf_dir), V.SEARCH_SIC_CODES, V.SEARCH_LOCATION)
@@ -168,12 +191,12 @@ def accreditation_wide(spark, sf_dir):
 def extractor_check(spark, sf_dir):
     """Precision and recall of the page-text claim on the fixed 100-page hand-check sample.
 
-    The hand label is the term written in the raw page (before tags are
-    stripped), so entities and markup splitting a term show up as misses.
+    The hand label looks at the raw page, the claim at its stripped text, so
+    there are both wrong claims and missed ones.
     """
     companies = V.web_companies(spark, sf_dir)
     name, variants = V.CHECK_TERM
-    labels = companies.select("company_number", F.lower("html").contains(variants[0]).alias("holds"))
+    labels = companies.select("company_number", F.lower("html").contains(V.CHECK_LABEL).alias("holds"))
     return web.extractor_check(companies, labels, name, variants)
 
 
@@ -213,7 +236,7 @@ def minhash_signature(spark, sf_dir):
 @query("minhash_candidates")
 def minhash_candidates(spark, sf_dir):
     r = V.name_records(spark, sf_dir).select("doc_id", "company_name")
-    pairs = resolve.candidate_pairs(r, r, "doc_id", "doc_id")
+    pairs = resolve.candidate_pairs(r, r)
     return pairs.where(F.col("doc_id_one") < F.col("doc_id_two")).select(
         F.col("doc_id_one").alias("id_one"), F.col("doc_id_two").alias("id_two"), "similarity")
 
@@ -231,6 +254,42 @@ def resolve_partition(spark, sf_dir):
     return out["flags"]
 
 
+@query("reference_search")
+def reference_search(spark, sf_dir):
+    """The capped name search: the 20 most similar register names per candidate."""
+    cands = V.name_records(spark, sf_dir).select(F.col("doc_id").alias("candidate_id"), "company_name")
+    return resolve.reference_search(cands, V.register_records(spark, sf_dir), "candidate_id") \
+        .select("candidate_id", "company_number", "similarity", F.col("rank").cast("int").alias("rank"))
+
+
+@query("pair_scores")
+def pair_scores(spark, sf_dir):
+    """The weighted score on given name ratios."""
+    p = V.given_ratios(spark, sf_dir)
+    score = resolve.pair_score(F.col("ratio"), F.col("pc_one"), F.col("pc_two"), F.col("sic_one"), F.col("sic_two"))
+    return rounded(p.select("o_orderkey", score.alias("score")))
+
+
+@query("best_references")
+def best_references(spark, sf_dir):
+    """The best reference per candidate on given scores."""
+    return resolve.best_references(V.given_scores(spark, sf_dir))
+
+
+@query("resolution_counts")
+def resolution_counts(spark, sf_dir):
+    """Rows of the three-way partition: every candidate is resolved or unmatched, and every attempt audited."""
+    out = resolve.resolve_candidates(V.resolution_candidates(spark, sf_dir), V.register_records(spark, sf_dir))
+    total = V.resolution_candidates(spark, sf_dir).agg(F.count(F.lit(1)).alias("n"))
+    parts = [total.select(F.lit("candidates").alias("part"), "n"),
+             out["resolved"].unionByName(out["unmatched"].select(*resolve.RESOLVED_COMPANY_COLUMNS))
+             .agg(F.count(F.lit(1)).alias("n")).select(F.lit("resolved or unmatched").alias("part"), "n"),
+             out["audit"].agg(F.count(F.lit(1)).alias("n")).select(F.lit("audit").alias("part"), "n"),
+             out["flags"].where(F.col("outcome") == "passed_through").agg(F.count(F.lit(1)).alias("n"))
+             .select(F.lit("passed through").alias("part"), "n")]
+    return V.union_all(parts)
+
+
 @query("match_recall")
 def match_recall(spark, sf_dir):
     out = resolve.resolve_candidates(V.resolution_candidates(spark, sf_dir), V.register_records(spark, sf_dir))
@@ -246,11 +305,11 @@ _MODELS: dict = {}
 
 
 def _classified(spark, sf_dir):
-    """Fit once per session and data folder (the fitted model is an artifact), then score."""
+    """Fit once per session and data folder (the fitted model is an artifact), then score every row."""
     labelled = V.labelled_text(spark, sf_dir)
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MODELS:
-        _MODELS[key] = TM.fit_industry_classifier(labelled)
+        _MODELS[key] = TM.fit_industry_classifier(labelled, fit_rows=V.FIT_ROWS)
     return TM.review_routing(TM.classify(_MODELS[key], labelled))
 
 
@@ -264,6 +323,19 @@ def review_routing(spark, sf_dir):
     return _classified(spark, sf_dir).where(F.col("needs_review"))
 
 
+@query("review_given")
+def review_given(spark, sf_dir):
+    """Review routing on given predictions."""
+    return TM.review_routing(V.given_predictions(spark, sf_dir))
+
+
+@query("vocabulary")
+def vocabulary(spark, sf_dir):
+    """The classifier's vocabulary: the most frequent terms, ties by the term."""
+    terms = TM.vocabulary(V.table(spark, sf_dir, "documents"), "text", TM.MAXIMUM_VOCABULARY_SIZE)
+    return spark.createDataFrame([(i, t) for i, t in enumerate(terms)], "place long, term string")
+
+
 @query("tfidf_terms")
 def tfidf_terms(spark, sf_dir):
     docs = V.table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -277,7 +349,8 @@ def keyword_onehot(spark, sf_dir):
 
 @query("text_features")
 def text_features(spark, sf_dir):
-    return TM.text_features(V.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return TM.text_features(V.table(spark, sf_dir, "documents").select("doc_id", "text"),
+                            negative_words=V.FLAG_WORDS, going_concern_pattern=V.FLAG_PATTERN)
 
 
 @query("credit_split")
@@ -335,18 +408,42 @@ def dispatch_queue(spark, sf_dir):
     return briefs.dispatch_queue(briefs.render_briefs(accepted), V.recipients(spark, sf_dir))
 
 
+VALUATION_COLUMNS = {**{f"value_quantile_{q}": "double" for q in (10, 25, 50, 75, 90)},
+                     "valuation_peer_count": "bigint", "valuation_code_length": "int"}
+
+
 def _modules(spark, sf_dir):
+    """The nine modules of the company page: one row per company each, and the columns they carry."""
     charge_counts = facts.charges(V.charge_docs(spark, sf_dir)).groupBy("company_number") \
         .agg(F.count(F.lit(1)).alias("charge_count"))
+    wide = web.accreditation_wide(V.web_companies(spark, sf_dir), V.WEB_TERMS)
+    claims = {f"{name}_status": "string" for name in V.WEB_TERMS}
+    classified = TM.review_routing(V.given_predictions(spark, sf_dir)).select(
+        "company_number", F.col("predicted_code").alias("industry_predicted_code"),
+        F.col("confidence").alias("industry_confidence"), F.col("needs_review").alias("industry_needs_review"))
+    # A company with several lines of business shows its first valuation by code length and value.
+    valued = valuation.valuation_quantiles(V.valuation_targets(spark, sf_dir), V.peers(spark, sf_dir)).select(
+        "company_number", *[f"value_quantile_{q}" for q in (10, 25, 50, 75, 90)],
+        F.col("peer_count").alias("valuation_peer_count"), F.col("code_length_used").alias("valuation_code_length"))
+    one_value = valued.groupBy("company_number").agg(
+        F.min(F.struct("valuation_code_length", *[c for c in VALUATION_COLUMNS if c != "valuation_code_length"]))
+        .alias("v")).select("company_number", "v.*")
+    checks = scores.revenue_cross_checks(V.headcounts(spark, sf_dir), V.benchmarks(spark, sf_dir))
     return {
         "filings": (facts.filing_records(V.profile_docs(spark, sf_dir), V.officer_docs(spark, sf_dir),
-                                         V.filing_history_docs(spark, sf_dir)), ["filing_count"]),
+                                         V.filing_history_docs(spark, sf_dir)), {"filing_count": "bigint"}),
         "tenders": (facts.award_summary(V.companies(spark, sf_dir), facts.notices(V.notice_docs(spark, sf_dir)))
-                    .where(F.col("award_count") > 0), ["award_count"]),
-        "charges": (charge_counts, ["charge_count"]),
-        "ownership": (facts.ownership(V.controller_docs(spark, sf_dir)), ["part_of_group"]),
-        "distress": (rounded(scores.distress_scores(V.balance_sheets(spark, sf_dir))), ["distress_score"]),
-        "valuation": (None, ["value_quantile_50"]),
+                    .where(F.col("award_count") > 0), {"award_count": "bigint"}),
+        "charges": (charge_counts, {"charge_count": "bigint"}),
+        "ownership": (facts.ownership(V.controller_docs(spark, sf_dir)), {"part_of_group": "boolean"}),
+        "accreditation": (wide.select("company_number", *claims), claims),
+        "distress": (rounded(scores.distress_scores(V.balance_sheets(spark, sf_dir))),
+                     {"distress_score": "double", "score_form": "string"}),
+        "industry": (classified, {"industry_predicted_code": "string", "industry_confidence": "double",
+                                  "industry_needs_review": "boolean"}),
+        "valuation": (one_value, VALUATION_COLUMNS),
+        "revenue": (checks, {"headcount_revenue_estimate": "double", "multiples_revenue_estimate": "double",
+                             "disagreement_ratio": "double", "revenue_usable": "boolean"}),
     }
 
 
@@ -355,10 +452,32 @@ def company_dossier(spark, sf_dir):
     return coverage.dossier(V.companies(spark, sf_dir), _modules(spark, sf_dir))
 
 
+@query("dossier_before_modelling")
+def dossier_before_modelling(spark, sf_dir):
+    """The page while the modelled modules have not run: their columns are null and keep their types."""
+    modules = _modules(spark, sf_dir)
+    late = ("distress", "industry", "valuation", "revenue")
+    return coverage.dossier(V.companies(spark, sf_dir),
+                            {name: (None if name in late else t, c) for name, (t, c) in modules.items()})
+
+
 @query("signal_coverage")
 def signal_coverage(spark, sf_dir):
     mods = {name: table for name, (table, _) in _modules(spark, sf_dir).items()}
-    return coverage.signal_coverage(V.companies(spark, sf_dir), mods)
+    return coverage.signal_coverage(V.companies(spark, sf_dir), {**mods, "comparables": None})
+
+
+@query("company_rows")
+def company_rows(spark, sf_dir):
+    """Rows of one company: by number in the charges, by name in the register's own names."""
+    charges = facts.charges(V.charge_docs(spark, sf_dir))
+    named = V.companies(spark, sf_dir).select("company_name")
+    number, name = "7", "Customer#000000007"
+    by_number = coverage.select_company_rows(charges, number, name).select(
+        F.lit("number").alias("matched_on"), F.concat_ws("|", "created_on", "status", "description").alias("row"))
+    by_name = coverage.select_company_rows(named, number, name).select(
+        F.lit("name").alias("matched_on"), F.col("company_name").alias("row"))
+    return by_number.unionByName(by_name)
 
 
 @query("awards_as_of")
@@ -371,3 +490,4 @@ def asof_latest_fact_scan(spark, sf_dir):
     """The same point-in-time pick as ``asof_latest_fact`` through the two-level scan strategy."""
     return asof.as_of(V.filings_facts(spark, sf_dir), V.decisions(spark, sf_dir),
                       tie_keys=V.FACT_TIE_KEYS["filings"], strategy="scan")
+

@@ -32,20 +32,16 @@ FACT_SQL = {
 
 
 def as_of_sql(name: str) -> str:
-    """Window form of the as-of join for one fact table."""
+    """The as-of pick as the greatest (date, tie keys, rest) record known at each decision date."""
     body, ties, rest = FACT_SQL[name]
-    order = ", ".join(["facts.fact_date DESC"] + [f"facts.{c} DESC" for c in ties + rest])
-    cols = ", ".join(["fact_date"] + ties + rest)
+    cols = ["fact_date"] + ties + rest
+    record = ", ".join(f"{c} := f.{c}" for c in cols)
     return f"""
-        SELECT company_number, decision_date, {cols} FROM (
-            SELECT facts.*, dec.decision_date,
-                   ROW_NUMBER() OVER (PARTITION BY facts.company_number, dec.decision_date
-                                      ORDER BY {order}) AS row_rank
-            FROM ({body}) AS facts
-            JOIN (SELECT DISTINCT company_number, decision_date FROM {DECISIONS_SQL}) AS dec
-              ON facts.company_number = dec.company_number
-            WHERE facts.fact_date <= dec.decision_date
-        ) WHERE row_rank = 1"""
+        SELECT company_number, decision_date, {", ".join(f"best.{c} AS {c}" for c in cols)} FROM (
+            SELECT f.company_number, w.decision_date, max(struct_pack({record})) AS best
+            FROM (SELECT DISTINCT company_number, decision_date FROM {DECISIONS_SQL}) AS w, ({body}) AS f
+            WHERE f.company_number = w.company_number AND w.decision_date >= f.fact_date
+            GROUP BY f.company_number, w.decision_date)"""
 
 
 def decision_rows_sql() -> str:
@@ -60,8 +56,15 @@ def decision_rows_sql() -> str:
 
 
 def future_fact_leaks_sql() -> str:
-    parts = [f"SELECT '{name}' AS table_name, COUNT(*) FILTER (WHERE fact_date > decision_date) AS leak_count, "
-             f"COUNT(*) AS rows_checked FROM ({as_of_sql(name)})" for name in FACT_SQL]
+    parts = []
+    for name, (body, _, _) in FACT_SQL.items():
+        newest = (f"SELECT d.decision_date, n.fact_date FROM (SELECT DISTINCT * FROM {DECISIONS_SQL}) d JOIN "
+                  f"(SELECT company_number, max(fact_date) AS fact_date FROM ({body}) GROUP BY company_number) n "
+                  "ON d.company_number = n.company_number")
+        for how, rows in (("as_of", as_of_sql(name)), ("newest", newest)):
+            parts.append(f"SELECT '{name}' AS table_name, '{how}' AS picked, "
+                         f"COUNT(*) FILTER (WHERE fact_date > decision_date) AS leak_count, "
+                         f"COUNT(*) AS rows_checked FROM ({rows})")
     return " UNION ALL ".join(parts)
 
 
@@ -151,35 +154,38 @@ register("revenue_cross_check", f"""
            COALESCE(ratio <= 2.0, FALSE) AS revenue_usable
     FROM r""")
 
-PEERS_SQL = ("SELECT LPAD(CAST((p_size * 97) % 1000 AS VARCHAR), 3, '0') AS industry_code, "
-             "p_retailprice / 100 AS multiple FROM part")
+PEERS_SQL = """
+    SELECT code AS industry_code, p_retailprice / 100 AS multiple
+    FROM (SELECT *, LPAD(CAST((p_size * 97) % 1000 AS VARCHAR), 3, '0') AS code FROM part)
+    WHERE substr(code, 1, 1) NOT IN ('4', '5', '6', '7', '8') OR p_partkey % (p_size * 3 + 7) = 0"""
 TARGETS_SQL = """
-    SELECT CAST(s_suppkey AS VARCHAR) AS company_number,
-           CASE WHEN s_nationkey = 0 THEN SUBSTR(code, 1, 2) WHEN s_nationkey = 1 THEN ''
-                WHEN s_nationkey = 2 THEN 'X' || code ELSE code END AS industry_code,
-           s_acctbal AS scaling_value
-    FROM (SELECT *, LPAD(CAST((s_suppkey * 37) % 1000 AS VARCHAR), 3, '0') AS code FROM supplier)"""
+    SELECT row_number() OVER () AS target_row, * FROM (
+        SELECT CAST(s_suppkey AS VARCHAR) AS company_number,
+               CASE WHEN s_nationkey = 0 THEN SUBSTR(code, 1, 2) WHEN s_nationkey = 1 THEN ''
+                    WHEN s_nationkey = 2 THEN 'X' || code ELSE code END AS industry_code,
+               s_acctbal AS scaling_value
+        FROM (SELECT *, LPAD(CAST((s_suppkey * 37) % 1000 AS VARCHAR), 3, '0') AS code FROM supplier)
+        UNION ALL
+        SELECT CAST(s_suppkey AS VARCHAR), LPAD(CAST((s_suppkey * 53) % 1000 AS VARCHAR), 3, '0'), s_acctbal * 2
+        FROM supplier WHERE s_nationkey = 3)"""
 
 # Brute force: count peers by startswith for each tried length, pick the first with >= 8.
 WIDENING_SQL = f"""
-    WITH p AS ({PEERS_SQL}), t AS ({TARGETS_SQL}),
-    n AS (SELECT t.company_number,
-                 (SELECT COUNT(*) FROM p WHERE starts_with(p.industry_code, LEFT(t.industry_code, 3))) AS n3,
-                 (SELECT COUNT(*) FROM p WHERE starts_with(p.industry_code, LEFT(t.industry_code, 2))) AS n2,
-                 (SELECT COUNT(*) FROM p WHERE starts_with(p.industry_code, LEFT(t.industry_code, 1))) AS n1,
-                 (SELECT COUNT(*) FROM p) AS n0
-          FROM t)
-    SELECT t.company_number, t.industry_code, t.scaling_value,
-           CASE WHEN n3 >= 8 THEN 3 WHEN n2 >= 8 THEN 2 WHEN n1 >= 8 THEN 1 ELSE 0 END AS code_length_used,
+    SELECT *, CASE WHEN n3 >= 8 THEN 3 WHEN n2 >= 8 THEN 2 WHEN n1 >= 8 THEN 1 ELSE 0 END AS code_length_used,
            CASE WHEN n3 >= 8 THEN n3 WHEN n2 >= 8 THEN n2 WHEN n1 >= 8 THEN n1 ELSE n0 END AS peer_count
-    FROM t JOIN n ON t.company_number = n.company_number"""
+    FROM (SELECT t.target_row, t.company_number, t.industry_code, t.scaling_value,
+                 COUNT(*) FILTER (starts_with(p.industry_code, LEFT(t.industry_code, 3))) AS n3,
+                 COUNT(*) FILTER (starts_with(p.industry_code, LEFT(t.industry_code, 2))) AS n2,
+                 COUNT(*) FILTER (starts_with(p.industry_code, LEFT(t.industry_code, 1))) AS n1,
+                 COUNT(*) AS n0
+          FROM ({TARGETS_SQL}) t, ({PEERS_SQL}) p GROUP BY ALL)"""
 
 register("peer_widening", f"""
     SELECT company_number, industry_code, CAST(code_length_used AS INTEGER) AS code_length_used, peer_count
     FROM ({WIDENING_SQL})""")
 
 MATCHED_PEERS_SQL = f"""
-    SELECT w.company_number, w.code_length_used, w.scaling_value, w.peer_count, p.multiple
+    SELECT w.target_row, w.company_number, w.code_length_used, w.scaling_value, w.peer_count, p.multiple
     FROM ({WIDENING_SQL}) w JOIN ({PEERS_SQL}) p
       ON w.code_length_used = 0 OR starts_with(p.industry_code, LEFT(w.industry_code, w.code_length_used))"""
 
@@ -190,16 +196,17 @@ register("value_distribution", f"""
 
 VQ_NAMES = ["value_quantile_10", "value_quantile_25", "value_quantile_50", "value_quantile_75", "value_quantile_90"]
 register("valuation_quantiles", f"""
-    WITH q AS ({quantiles_sql(MATCHED_PEERS_SQL, ["company_number"], "multiple",
+    WITH q AS ({quantiles_sql(MATCHED_PEERS_SQL, ["target_row"], "multiple",
                               [0.10, 0.25, 0.50, 0.75, 0.90], ["m10", "m25", "m50", "m75", "m90"])}),
-         w AS (SELECT DISTINCT company_number, peer_count, code_length_used, scaling_value FROM ({MATCHED_PEERS_SQL}))
+         w AS (SELECT DISTINCT target_row, company_number, peer_count, code_length_used, scaling_value
+               FROM ({MATCHED_PEERS_SQL}))
     SELECT w.company_number, w.peer_count, CAST(w.code_length_used AS INTEGER) AS code_length_used,
            (CASE WHEN scaling_value >= 0 THEN scaling_value * m10 ELSE scaling_value * m90 END) AS value_quantile_10,
            (CASE WHEN scaling_value >= 0 THEN scaling_value * m25 ELSE scaling_value * m75 END) AS value_quantile_25,
            scaling_value * m50 AS value_quantile_50,
            (CASE WHEN scaling_value >= 0 THEN scaling_value * m75 ELSE scaling_value * m25 END) AS value_quantile_75,
            (CASE WHEN scaling_value >= 0 THEN scaling_value * m90 ELSE scaling_value * m10 END) AS value_quantile_90
-    FROM w LEFT JOIN q ON w.company_number = q.company_number""")
+    FROM w LEFT JOIN q ON w.target_row = q.target_row""")
 
 ESTIMATES_SQL = """
     SELECT l_returnflag AS method_name, l_extendedprice * (1 - l_discount) AS estimated_value,
@@ -262,11 +269,26 @@ register("ownership_flags", f"""
     SELECT CAST(c_custkey AS VARCHAR) AS company_number,
            CASE WHEN c_acctbal > 5000 THEN [c_mktsegment || ' Holdings'] ELSE {EMPTY} END AS corporate_controllers,
            c_acctbal > 5000 AS part_of_group
-    FROM customer""")
+    FROM customer WHERE c_custkey % 50 <> 0""")
+
+register("unreadable_documents", """
+    SELECT CAST(c_custkey AS VARCHAR) AS company_number,
+           substr('{"items":[{"name":"' || CASE WHEN c_acctbal > 5000 THEN c_mktsegment || ' Holdings'
+                                                ELSE 'Person ' || CAST(c_custkey AS VARCHAR) END
+                  || '","kind":"', 1, 20) AS payload
+    FROM customer WHERE c_custkey % 50 = 0""")
+
+# The award date's four forms by event, as text and as the UTC time it stands for.
+AWARD_FORM_SQL = """
+    CASE event_id % 4 WHEN 1 THEN strftime(ts, '%Y-%m-%d') ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') END
+        || CASE event_id % 4 WHEN 2 THEN 'Z' WHEN 3 THEN '+01:00' ELSE '' END"""
+AWARD_AT_SQL = """
+    CASE event_id % 4 WHEN 1 THEN date_trunc('day', ts) WHEN 3 THEN date_trunc('second', ts) - INTERVAL 1 HOUR
+                      ELSE date_trunc('second', ts) END"""
 
 register("award_summary", f"""
     WITH n AS (SELECT CAST(user_id AS VARCHAR) AS company_number,
-                      CASE WHEN event_type IN ('purchase', 'signup') THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') END AS awarded,
+                      CASE WHEN event_type IN ('purchase', 'signup') THEN {AWARD_FORM_SQL} END AS awarded,
                       CASE WHEN event_type <> 'signup' THEN 'Authority ' || json_extract_string(props, '$.k') END AS org
                FROM events),
          a AS (SELECT company_number, COUNT(*) AS award_count, MAX(awarded) AS most_recent,
@@ -295,21 +317,33 @@ register("pull_changes", f"""
 
 register("landing_gaps", f"""
     WITH ex AS (SELECT s.source, CAST(c.c_custkey AS VARCHAR) AS record_key
-                FROM customer c, (VALUES {", ".join(f"('{s}')" for s in V.LANDING_SOURCES)}) AS s(source)),
-         got AS (SELECT DISTINCT source, record_key FROM ({PULLS_SQL})),
+                FROM customer c, (VALUES {", ".join(f"('{s}')" for s in V.LANDING_SOURCES)}) AS s(source)
+                UNION ALL SELECT 'registry', c_name FROM customer WHERE c_custkey % 10 = 0
+                UNION ALL SELECT 'registry', c_name || ' Ltd' FROM customer WHERE c_custkey % 10 = 0),
+         got AS (SELECT DISTINCT source, record_key FROM ({PULLS_SQL})
+                 WHERE NOT (CAST(record_key AS BIGINT) % 5 = 0 AND source IN ('click', 'view'))),
          gaps AS (SELECT * FROM ex WHERE NOT EXISTS (
                     SELECT 1 FROM got WHERE got.source = ex.source AND got.record_key = ex.record_key)),
          f AS (SELECT ([{SOURCES_SQL}])[CAST(json_extract_string(props, '$.k') AS INTEGER) % 4 + 1] AS source,
                       CAST(user_id AS VARCHAR) AS record_key, date_trunc('second', ts) AS failed_at,
                       'HTTP ' || CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) % 4 + 500 AS VARCHAR)
                           || ' Server Error' AS reason
-               FROM events WHERE event_type = 'error'),
+               FROM events WHERE event_type = 'error' AND event_id % 97 <> 0
+               UNION ALL SELECT 'registry', c_name || ' Ltd', TIMESTAMP '2024-01-01', 'HTTP 500 Server Error'
+               FROM customer WHERE c_custkey % 10 = 0),
          lf AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY source, record_key
                                                            ORDER BY failed_at DESC, reason DESC) AS rn FROM f)
                 WHERE rn = 1)
     SELECT g.source, g.record_key, lf.failed_at AS last_failed_at, lf.reason
     FROM gaps g LEFT JOIN lf ON g.source = lf.source AND g.record_key = lf.record_key""")
 
+register("failure_log_quarantine", f"""
+    SELECT 'broken ' || strftime(ts, '%Y%m%dT%H%M%SZ') || ' '
+           || ([{SOURCES_SQL}])[CAST(json_extract_string(props, '$.k') AS INTEGER) % 4 + 1] || ' '
+           || CAST(user_id AS VARCHAR) || ' HTTP '
+           || CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) % 4 + 500 AS VARCHAR) || ' Server Error' AS line
+    FROM events WHERE event_type = 'error' AND event_id % 97 = 0""")
+
 CANDIDATES_SQL = f"""
     SELECT LPAD(CAST(c_custkey AS VARCHAR), 8, '0') AS company_number, c_name AS company_name,
            'PC' || CAST(c_nationkey AS VARCHAR) AS postcode,
@@ -318,10 +352,11 @@ CANDIDATES_SQL = f"""
     WHERE c_acctbal >= 0
       AND ('4' || LPAD(CAST(c_nationkey AS VARCHAR), 2, '0') IN ({", ".join(f"'{c}'" for c in V.SEARCH_SIC_CODES)})
            OR {MKT_SIC_SQL} IN ({", ".join(f"'{c}'" for c in V.SEARCH_SIC_CODES)}))
-      AND contains(lower(n_name), '{V.SEARCH_LOCATION}')
-    ORDER BY company_number LIMIT 500"""
+      AND contains(lower(n_name), '{V.SEARCH_LOCATION}')"""
 
 register("candidate_select", CANDIDATES_SQL)
+register("register_search_capped", CANDIDATES_SQL.replace(
+    f"AND contains(lower(n_name), '{V.SEARCH_LOCATION}')", "ORDER BY company_number LIMIT 500"))
 register("selection_criteria", f"""
     SELECT 'companies_house_advanced_search' AS route, '{",".join(V.SEARCH_SIC_CODES)}' AS sic_codes,
            '{V.SEARCH_LOCATION}' AS location, COUNT(*) AS candidate_count FROM ({CANDIDATES_SQL})""")
@@ -361,7 +396,7 @@ register("accreditation_long", " UNION ALL ".join(
 
 # ---------------------------------------------------------------- names and resolution
 
-NAME_RECORDS_SQL = ("SELECT doc_id, substring(regexp_extract(text, '^[^.!?\\n]*', 0), 1, 48) AS company_name, "
+NAME_RECORDS_SQL = ("SELECT doc_id, regexp_extract(text, '^[^.!?\\n]*', 0) AS company_name, "
                     "source AS postcode, lang AS sic_code FROM documents")
 SUFFIXES_SQL = ", ".join("'" + w + "'" for w in ["limited", "ltd", "llp", "plc", "public limited company"])
 NORM_SQL = f"""
@@ -407,7 +442,7 @@ register("tfidf_terms", f"""
 register("keyword_onehot", "SELECT doc_id, " + ", ".join(
     f"CAST(list_contains({TOKENS_SQL}, '{kw}') AS INTEGER) AS kw_{kw}" for kw in V.KEYWORDS) + " FROM documents")
 
-NEG_SQL = ", ".join(f"'{w}'" for w in ["not", "no", "nicht", "pas", "never"])
+NEG_SQL = ", ".join(f"'{w}'" for w in V.FLAG_WORDS)
 TEXT_FEATURES_SQL = f"""
     SELECT doc_id, CAST(len({TOKENS_SQL}) AS INTEGER) AS n_tokens,
            CAST(len(list_distinct({TOKENS_SQL})) AS INTEGER) AS n_distinct_tokens,
@@ -432,19 +467,19 @@ register("auc_exact", """
     SELECT (rs - CAST(p AS DOUBLE) * (CAST(p AS DOUBLE) + 1.0) / 2.0) / (CAST(p AS DOUBLE) * CAST(q AS DOUBLE)) AS auc,
            p AS positives, q AS negatives FROM a""")
 
-ITEMS_SQL = ("SELECT p_partkey, CAST(p_size AS DOUBLE) AS size, p_retailprice / 100 AS price, p_brand, p_type "
-             "FROM part")
+ITEMS_SQL = ("SELECT p_partkey, CASE WHEN p_partkey % 13 <> 0 THEN CAST(p_size AS DOUBLE) END AS size, "
+             "p_retailprice / 100 AS price, p_brand, p_type FROM part")
 
 
 def _nearest_sql(pool: str) -> str:
     return f"""
         WITH i AS ({ITEMS_SQL}),
-             refs AS (SELECT * FROM i ORDER BY price DESC, p_partkey LIMIT {V.REFERENCE_COUNT}),
+             refs AS (SELECT * FROM i WHERE size IS NOT NULL ORDER BY price DESC, p_partkey LIMIT {V.REFERENCE_COUNT}),
              d AS (SELECT r.p_partkey AS reference_id, x.p_partkey AS item_id,
                           SQRT(0.0 + (x.size - r.size) * (x.size - r.size) + (x.price - r.price) * (x.price - r.price)
                                + CASE WHEN x.p_brand = r.p_brand THEN 0.0 ELSE 2.0 END
                                + CASE WHEN x.p_type = r.p_type THEN 0.0 ELSE 2.0 END) AS distance
-                   FROM ({pool}) x, refs r WHERE x.p_partkey <> r.p_partkey)
+                   FROM ({pool}) x, refs r WHERE x.p_partkey <> r.p_partkey AND x.size IS NOT NULL)
         SELECT reference_id, item_id, distance, rank FROM (
             SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY reference_id ORDER BY distance, item_id) AS INTEGER) AS rank
             FROM d) WHERE rank <= {V.NEAREST_K}"""
@@ -459,13 +494,6 @@ register("portfolio_similar", f"""
 
 # ---------------------------------------------------------------- briefs, dossier
 
-from dealsieve.operators import briefs as _B  # noqa: E402
-
-
-def _q(text: str) -> str:
-    return "'" + text.replace("'", "''") + "'"
-
-
 NL = "chr(10)"
 SCREENED_SQL = """
     SELECT CAST(c_custkey AS VARCHAR) AS company_number, c_name AS company_name,
@@ -478,13 +506,17 @@ SCREENED_SQL = """
            CASE WHEN c_nationkey % 2 = 0 THEN 'reduce gearing' ELSE 'extend credit terms' END AS counterfactual_levers
     FROM customer JOIN nation ON c_nationkey = n_nationkey"""
 BRIEF_TEXT_SQL = (
-    f"CASE WHEN abstention_status = 'abstained' THEN {_q(_B.ABSTAINED_LINE)} ELSE {_q(_B.SCORED_LINE)} END"
+    "CASE WHEN abstention_status = 'abstained' "
+    "THEN 'ABSTAINED. The screen declined to score this company. "
+    "Do not treat the figures below as a recommendation.' "
+    "ELSE 'Scored. The screen returned a usable result for this company.' END"
     f" || {NL} || {NL} || 'Company: ' || company_name || ' (' || company_number || ')' || {NL} || {NL}"
     f" || 'Calibrated probability: ' || probability || ' (interval ' || interval_lower || ' to ' || interval_upper"
     f" || ')' || {NL} || {NL} || 'Top drivers:' || {NL} || top_drivers || {NL} || {NL}"
     f" || 'Nearest comparable companies:' || {NL} || comparable_companies || {NL} || {NL}"
     f" || 'Counterfactual levers, marked causal or associational:' || {NL} || counterfactual_levers || {NL} || {NL}"
-    f" || {_q(_B.LEVER_WARNING)} || {NL}")
+    " || 'An associational lever describes what moves with the outcome, not what causes it. "
+    f"Do not act on one without separate evidence.' || {NL}")
 
 register("brief_render", f"""
     SELECT company_number, {BRIEF_TEXT_SQL} AS brief_text
@@ -504,47 +536,80 @@ register("dispatch_queue", f"""
     SELECT 'none', company_number, 'skipped_abstained'
     FROM ({SCREENED_SQL}) WHERE top_drivers <> 'BUILDING' AND abstention_status = 'abstained'""")
 
+REVIEW_SQL = """
+    SELECT company_number, predicted_code, confidence, filed_sic_code,
+           confidence < 0.6 OR predicted_code IS DISTINCT FROM filed_sic_code AS needs_review,
+           predicted_code IS DISTINCT FROM filed_sic_code AS disagrees_with_filed
+    FROM (SELECT CAST(o_orderkey AS VARCHAR) AS company_number, o_orderstatus AS predicted_code,
+                 (o_orderkey % 100) / 100.0 AS confidence,
+                 CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN o_orderkey % 4 = 0 THEN 'X' ELSE o_orderstatus END
+                     AS filed_sic_code
+          FROM orders)"""
+register("review_given", REVIEW_SQL)
+
+CLAIM_COLUMNS = [f"{n}_status" for n in V.WEB_TERMS]
+# Module -> (all rows, columns carried by the page, types of the columns).
 MODULE_SQL = {
-    "filings": f"SELECT company_number, filing_count FROM ({ORACLE['filing_records']})",
-    "tenders": f"SELECT company_number, award_count FROM ({ORACLE['award_summary']}) WHERE award_count > 0",
+    "filings": (ORACLE["filing_records"], ["filing_count"], ["BIGINT"]),
+    "tenders": (f"SELECT * FROM ({ORACLE['award_summary']}) WHERE award_count > 0", ["award_count"], ["BIGINT"]),
     "charges": (f"SELECT company_number, COUNT(*) AS charge_count FROM ({ORACLE['charges_flatten']}) "
-                "GROUP BY company_number"),
-    "ownership": f"SELECT company_number, part_of_group FROM ({ORACLE['ownership_flags']})",
-    "distress": f"SELECT company_number, distress_score FROM ({ORACLE['distress_scores']})",
+                "GROUP BY company_number", ["charge_count"], ["BIGINT"]),
+    "ownership": (ORACLE["ownership_flags"], ["part_of_group"], ["BOOLEAN"]),
+    "accreditation": (_accreditation_wide_sql(), CLAIM_COLUMNS, ["VARCHAR"] * len(CLAIM_COLUMNS)),
+    "distress": (ORACLE["distress_scores"], ["distress_score", "score_form"], ["DOUBLE", "VARCHAR"]),
+    "industry": (f"SELECT company_number, predicted_code AS industry_predicted_code, confidence AS industry_confidence, "
+                 f"needs_review AS industry_needs_review FROM ({REVIEW_SQL})",
+                 ["industry_predicted_code", "industry_confidence", "industry_needs_review"],
+                 ["VARCHAR", "DOUBLE", "BOOLEAN"]),
+    "valuation": (f"SELECT company_number, {', '.join(VQ_NAMES)}, peer_count AS valuation_peer_count, "
+                  f"code_length_used AS valuation_code_length FROM (SELECT *, row_number() OVER (PARTITION BY "
+                  f"company_number ORDER BY code_length_used, {', '.join(VQ_NAMES)}, peer_count) AS r "
+                  f"FROM ({ORACLE['valuation_quantiles']})) WHERE r = 1",
+                  [*VQ_NAMES, "valuation_peer_count", "valuation_code_length"], ["DOUBLE"] * 5 + ["BIGINT", "INTEGER"]),
+    "revenue": (ORACLE["revenue_cross_check"],
+                ["headcount_revenue_estimate", "multiples_revenue_estimate", "disagreement_ratio", "revenue_usable"],
+                ["DOUBLE", "DOUBLE", "DOUBLE", "BOOLEAN"]),
 }
+COMPANIES_SQL = "SELECT CAST(c_custkey AS VARCHAR) AS company_number, c_name AS company_name FROM customer"
 
-register("company_dossier", f"""
-    SELECT c.company_number, c.company_name,
-           CASE WHEN f.company_number IS NULL THEN 'no record' ELSE 'present' END AS filings_state, f.filing_count,
-           CASE WHEN t.company_number IS NULL THEN 'no record' ELSE 'present' END AS tenders_state, t.award_count,
-           CASE WHEN ch.company_number IS NULL THEN 'no record' ELSE 'present' END AS charges_state, ch.charge_count,
-           CASE WHEN o.company_number IS NULL THEN 'no record' ELSE 'present' END AS ownership_state, o.part_of_group,
-           CASE WHEN d.company_number IS NULL THEN 'no record' ELSE 'present' END AS distress_state, d.distress_score,
-           'not run' AS valuation_state, CAST(NULL AS VARCHAR) AS value_quantile_50
-    FROM (SELECT CAST(c_custkey AS VARCHAR) AS company_number, c_name AS company_name FROM customer) c
-    LEFT JOIN ({MODULE_SQL['filings']}) f ON c.company_number = f.company_number
-    LEFT JOIN ({MODULE_SQL['tenders']}) t ON c.company_number = t.company_number
-    LEFT JOIN ({MODULE_SQL['charges']}) ch ON c.company_number = ch.company_number
-    LEFT JOIN ({MODULE_SQL['ownership']}) o ON c.company_number = o.company_number
-    LEFT JOIN ({MODULE_SQL['distress']}) d ON c.company_number = d.company_number""")
+
+def _dossier_sql(not_run: tuple[str, ...] = ()) -> str:
+    columns, joins = [], []
+    for i, (name, (sql, carried, types)) in enumerate(MODULE_SQL.items()):
+        if name in not_run:
+            columns.append(f"'not run' AS {name}_state")
+            columns += [f"CAST(NULL AS {t}) AS {c}" for c, t in zip(carried, types)]
+            continue
+        columns.append(f"CASE WHEN m{i}.company_number IS NULL THEN 'no record' ELSE 'present' END AS {name}_state")
+        columns += [f"m{i}.{c}" for c in carried]
+        joins.append(f"LEFT JOIN ({sql}) m{i} ON c.company_number = m{i}.company_number")
+    return f"SELECT c.company_number, c.company_name, {', '.join(columns)} FROM ({COMPANIES_SQL}) c {' '.join(joins)}"
+
+
+register("company_dossier", _dossier_sql())
+register("dossier_before_modelling", _dossier_sql(("distress", "industry", "valuation", "revenue")))
 
 register("signal_coverage", " UNION ALL ".join(
-    [f"""SELECT '{name}' AS module, CAST(COALESCE(SUM(m.n), 0) AS BIGINT) AS row_count,
-                COUNT(*) FILTER (WHERE m.n IS NOT NULL AND c.company_number IS NOT NULL) AS companies_covered,
-                1.0 - CAST(COUNT(*) FILTER (WHERE m.n IS NOT NULL AND c.company_number IS NOT NULL) AS DOUBLE)
-                      / CAST(COUNT(*) FILTER (WHERE c.company_number IS NOT NULL) AS DOUBLE) AS share_missing
-         FROM (SELECT company_number, COUNT(*) AS n FROM ({sql}) GROUP BY company_number) m
-         FULL OUTER JOIN (SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS company_number FROM customer) c
-           ON m.company_number = c.company_number"""
-     for name, sql in MODULE_SQL.items()]
-    + ["SELECT 'valuation', CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), 1.0"]))
+    [f"""SELECT '{name}' AS module, (SELECT COUNT(*) FROM ({sql})) AS row_count,
+                (SELECT COUNT(DISTINCT company_number) FROM ({sql})
+                 WHERE company_number IN (SELECT company_number FROM ({COMPANIES_SQL}))) AS companies_covered,
+                1.0 - CAST((SELECT COUNT(DISTINCT company_number) FROM ({sql})
+                            WHERE company_number IN (SELECT company_number FROM ({COMPANIES_SQL}))) AS DOUBLE)
+                      / (SELECT COUNT(*) FROM customer) AS share_missing"""
+     for name, (sql, _, _) in MODULE_SQL.items()]
+    + ["SELECT 'comparables', CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), 1.0"]))
+
+register("company_rows", f"""
+    SELECT 'number' AS matched_on, concat_ws('|', created_on, status, description) AS row
+    FROM ({ORACLE['charges_flatten']}) WHERE company_number = '7'
+    UNION ALL SELECT 'name', company_name FROM ({COMPANIES_SQL}) WHERE company_name = 'Customer#000000007'""")
 
 
 register("extractor_check", f"""
     WITH s AS (SELECT CAST(page_id AS VARCHAR) AS company_number, html, {PAGE_TEXT_SQL} AS t FROM pages
                ORDER BY md5(CAST(page_id AS VARCHAR)), CAST(page_id AS VARCHAR) LIMIT 100),
-         c AS (SELECT instr(t, 'license') > 0 AS claimed, instr(lower(html), 'license') > 0 AS holds FROM s)
-    SELECT 'open_license' AS accreditation, COUNT(*) AS checked,
+         c AS (SELECT instr(t, 'the and') > 0 AS claimed, instr(lower(html), 'and.<') > 0 AS holds FROM s)
+    SELECT 'claim' AS accreditation, COUNT(*) AS checked,
            CAST(SUM(CASE WHEN claimed AND holds THEN 1 ELSE 0 END) AS DOUBLE)
                / NULLIF(SUM(CASE WHEN claimed THEN 1 ELSE 0 END), 0) AS precision,
            CAST(SUM(CASE WHEN claimed AND holds THEN 1 ELSE 0 END) AS DOUBLE)
@@ -552,8 +617,7 @@ register("extractor_check", f"""
     FROM c""")
 
 register("awards_as_of", f"""
-    WITH a AS (SELECT CAST(user_id AS VARCHAR) AS company_number,
-                      strptime(strftime(ts, '%Y-%m-%dT%H:%M:%S'), '%Y-%m-%dT%H:%M:%S') AS award_at
+    WITH a AS (SELECT CAST(user_id AS VARCHAR) AS company_number, {AWARD_AT_SQL} AS award_at
                FROM events WHERE event_type IN ('purchase', 'signup')),
          d AS (SELECT DISTINCT company_number, decision_date FROM {DECISIONS_SQL}),
          k AS (SELECT d.company_number, d.decision_date, COUNT(*) AS award_count, MAX(a.award_at) AS latest_award_at
@@ -564,3 +628,49 @@ register("awards_as_of", f"""
       ON x.company_number = k.company_number AND x.decision_date = k.decision_date""")
 
 register("asof_latest_fact_scan", as_of_sql("filings"))
+
+
+# ---------------------------------------------------------------- resolution on given inputs
+
+register("reference_search", f"""
+    WITH m AS ({MINHASH_SQL}),
+         p AS (SELECT a.doc_id AS candidate_id, b.doc_id AS other, CAST(COUNT(*) AS DOUBLE) / 64.0 AS similarity
+               FROM m a JOIN m b ON a.slot = b.slot AND a.min_hash = b.min_hash
+               GROUP BY a.doc_id, b.doc_id HAVING COUNT(*) >= 32),
+         r AS (SELECT *, 'DOC' || LPAD(CAST(other AS VARCHAR), 7, '0') AS company_number FROM p)
+    SELECT candidate_id, company_number, similarity, CAST(rank AS INTEGER) AS rank FROM (
+        SELECT *, ROW_NUMBER() OVER (PARTITION BY candidate_id ORDER BY similarity DESC, company_number) AS rank FROM r)
+    WHERE rank <= 20""")
+
+register("pair_scores", """
+    WITH p AS (SELECT o_orderkey, (o_orderkey % 101) / 100.0 AS ratio, o_orderstatus, c_mktsegment,
+                      'PC' || CAST(c_nationkey AS VARCHAR) AS pc
+               FROM orders JOIN customer ON o_custkey = c_custkey),
+         f AS (SELECT o_orderkey, ratio,
+                      CASE o_orderkey % 7 WHEN 0 THEN ' ' WHEN 1 THEN NULL ELSE pc END AS a,
+                      CASE o_orderkey % 5 WHEN 0 THEN 'PC1' WHEN 1 THEN NULL ELSE pc END AS b,
+                      CASE WHEN o_orderkey % 3 <> 0 THEN c_mktsegment END AS c,
+                      CASE WHEN o_orderstatus = 'O' THEN c_mktsegment ELSE 'BUILDING' END AS d FROM p),
+         h AS (SELECT *, trim(coalesce(a, '')) <> '' AND trim(coalesce(b, '')) <> '' AS pcs,
+                      trim(coalesce(c, '')) <> '' AND trim(coalesce(d, '')) <> '' AS sics FROM f)
+    SELECT o_orderkey,
+           ROUND((0.6 * ratio + CASE WHEN pcs AND a = b THEN 0.2 ELSE 0.0 END + CASE WHEN sics AND c = d THEN 0.2 ELSE 0.0 END)
+                 / (0.6 + CASE WHEN pcs THEN 0.2 ELSE 0.0 END + CASE WHEN sics THEN 0.2 ELSE 0.0 END), 6) AS score
+    FROM h""")
+
+register("best_references", """
+    SELECT candidate, reference, score FROM (
+        SELECT l_orderkey AS candidate, l_suppkey AS reference, l_discount * 10 AS score,
+               ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY l_discount * 10 DESC, l_linenumber, l_suppkey) AS r
+        FROM lineitem WHERE l_discount * 10 > 0) WHERE r = 1""")
+
+register("resolution_counts", """
+    SELECT 'candidates' AS part, COUNT(*) AS n FROM documents
+    UNION ALL SELECT 'resolved or unmatched', COUNT(*) FROM documents
+    UNION ALL SELECT 'audit', COUNT(*) FROM documents WHERE source NOT IN ('src0', 'src1')
+    UNION ALL SELECT 'passed through', COUNT(*) FROM documents WHERE source IN ('src0', 'src1')""")
+
+register("vocabulary", f"""
+    SELECT ROW_NUMBER() OVER (ORDER BY n DESC, term) - 1 AS place, term FROM (
+        SELECT term, COUNT(*) AS n FROM (SELECT unnest({TOKENS_SQL}) AS term FROM documents) GROUP BY term
+        ORDER BY n DESC, term LIMIT 5000)""")

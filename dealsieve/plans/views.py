@@ -139,21 +139,32 @@ def benchmarks(spark, sf_dir) -> DataFrame:
 
 
 def peers(spark, sf_dir) -> DataFrame:
-    p = table(spark, sf_dir, "part").select("p_size", "p_retailprice")
-    return p.select(F.lpad(((F.col("p_size") * 97) % 1000).cast("string"), 3, "0").alias("industry_code"),
-                    (F.col("p_retailprice") / 100).alias("multiple"))
+    """Parts as peers, with rare codes: codes that start with 5 keep only parts whose key's digits
+    thin them to a handful, so that every peer count from 1 up is met at each prefix length."""
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice")
+    code = F.lpad(((F.col("p_size") * 97) % 1000).cast("string"), 3, "0")
+    thinned = F.col("p_partkey") % (F.col("p_size") * 3 + 7) == 0
+    return p.where(~F.substring(code, 1, 1).isin("4", "5", "6", "7", "8") | thinned).select(
+        code.alias("industry_code"), (F.col("p_retailprice") / 100).alias("multiple"))
 
 
 def valuation_targets(spark, sf_dir) -> DataFrame:
-    """Suppliers with a derived code: nation 0 short codes, nation 1 empty, nation 2 unknown letters."""
+    """Suppliers with a derived code: nation 0 short codes, nation 1 empty, nation 2 unknown letters,
+    nation 3 two rows each."""
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
     code = F.lpad(((F.col("s_suppkey") * 37) % 1000).cast("string"), 3, "0")
     industry = (F.when(F.col("s_nationkey") == 0, F.substring(code, 1, 2))
                 .when(F.col("s_nationkey") == 1, F.lit(""))
                 .when(F.col("s_nationkey") == 2, F.concat(F.lit("X"), code))
                 .otherwise(code))
-    return s.select(company_id("s_suppkey").alias("company_number"), industry.alias("industry_code"),
-                    F.col("s_acctbal").alias("scaling_value"))
+    first = s.select(company_id("s_suppkey").alias("company_number"), industry.alias("industry_code"),
+                     F.col("s_acctbal").alias("scaling_value"))
+    # Nation 3 files a second line of business: another code and value under the same number.
+    second = s.where(F.col("s_nationkey") == 3).select(
+        company_id("s_suppkey").alias("company_number"),
+        F.lpad(((F.col("s_suppkey") * 53) % 1000).cast("string"), 3, "0").alias("industry_code"),
+        (F.col("s_acctbal") * 2).alias("scaling_value"))
+    return first.unionByName(second)
 
 
 def estimates(spark, sf_dir) -> DataFrame:
@@ -239,7 +250,8 @@ def charge_docs(spark, sf_dir) -> DataFrame:
 
 
 def controller_docs(spark, sf_dir) -> DataFrame:
-    """A corporate controller for customers with balance above 5000; always one individual."""
+    """A corporate controller for customers with balance above 5000; always one individual.
+    The documents of customers divisible by 50 are cut off (unreadable)."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
     corp = F.when(F.col("c_acctbal") > 5000, F.struct(
         F.concat(F.col("c_mktsegment"), F.lit(" Holdings")).alias("name"),
@@ -247,17 +259,24 @@ def controller_docs(spark, sf_dir) -> DataFrame:
     person = F.struct(F.concat(F.lit("Person "), F.col("c_custkey").cast("string")).alias("name"),
                       F.lit("individual-person-with-significant-control").alias("kind"))
     items = F.filter(F.array(corp, person), lambda x: x.isNotNull())
+    whole = F.to_json(F.struct(items.alias("items")))
     return c.select(company_id("c_custkey").alias("company_number"),
-                    F.to_json(F.struct(items.alias("items"))).alias("payload"))
+                    F.when(F.col("c_custkey") % 50 == 0, F.substring(whole, 1, 20)).otherwise(whole).alias("payload"))
 
 
 def notice_docs(spark, sf_dir) -> DataFrame:
     """Every event is a portal notice of its user: purchases and signups are awards
     (signups without an authority name); purchase and view notices come wrapped in ``item``."""
-    e = table(spark, sf_dir, "events").select("user_id", "ts", "event_type", "props")
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type", "props")
     k = F.get_json_object("props", "$.k")
     awarded = F.col("event_type").isin("purchase", "signup")
-    fields = F.struct(F.when(awarded, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")).alias("awardedDate"),
+    # Four forms of the date, by event: local time, date only, UTC, and an offset of one hour.
+    local = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+    form = (F.when(F.col("event_id") % 4 == 0, local)
+            .when(F.col("event_id") % 4 == 1, F.date_format("ts", "yyyy-MM-dd"))
+            .when(F.col("event_id") % 4 == 2, F.concat(local, F.lit("Z")))
+            .otherwise(F.concat(local, F.lit("+01:00"))))
+    fields = F.struct(F.when(awarded, form).alias("awardedDate"),
                       F.when(F.col("event_type") != "signup", F.concat(F.lit("Authority "), k)).alias("organisationName"))
     wrapped = F.col("event_type").isin("purchase", "view")
     notice = F.struct(F.when(wrapped, fields).alias("item"),
@@ -279,22 +298,41 @@ def raw_pulls(spark, sf_dir) -> DataFrame:
                     F.col("ts").alias("pulled_at"), F.col("props").alias("payload"))
 
 
+NAME_SOURCE = "registry"        # a landing source keyed by company names
+
+
+def landed_pulls(spark, sf_dir) -> DataFrame:
+    """The raw pulls without those that failed: users divisible by 5 never landed a click or view."""
+    return raw_pulls(spark, sf_dir).where(
+        ~((F.col("record_key").cast("long") % 5 == 0) & F.col("source").isin("click", "view")))
+
+
 def expected_pulls(spark, sf_dir) -> DataFrame:
-    """Every customer is expected from every landing source (a generator over a fixed list)."""
-    return companies(spark, sf_dir).select(
+    """Every customer is expected from every landing source (a generator over a fixed list), and customers
+    divisible by 10 under two nested names from the name-keyed source."""
+    by_number = companies(spark, sf_dir).select(
         F.explode(F.array(*[F.lit(s) for s in LANDING_SOURCES])).alias("source"),
         F.col("company_number").alias("record_key"))
+    nested = companies(spark, sf_dir).where(F.col("company_number").cast("long") % 10 == 0).select(
+        F.lit(NAME_SOURCE).alias("source"),
+        F.explode(F.array(F.col("company_name"), F.concat("company_name", F.lit(" Ltd")))).alias("record_key"))
+    return by_number.unionByName(nested)
 
 
 def failure_log_lines(spark, sf_dir) -> DataFrame:
-    """Error events written as failure-log lines (reasons contain spaces)."""
-    e = table(spark, sf_dir, "events").select("event_type", "user_id", "ts", "props") \
+    """Error events written as failure-log lines (reasons contain spaces); one line per customer divisible by
+    10 names the longer of its two keys, and every 97th error event left a broken line."""
+    e = table(spark, sf_dir, "events").select("event_id", "event_type", "user_id", "ts", "props") \
         .where(F.col("event_type") == "error")
     k = F.get_json_object("props", "$.k").cast("int")
     source = F.element_at(F.array(*[F.lit(s) for s in LANDING_SOURCES]), (k % 4) + 1)
     reason = F.concat(F.lit("HTTP "), (k % 4 + 500).cast("string"), F.lit(" Server Error"))
     line = F.concat_ws(" ", F.date_format("ts", "yyyyMMdd'T'HHmmss'Z'"), source, F.col("user_id").cast("string"), reason)
-    return e.select(line.alias("value"))
+    numbered = e.select(F.when(F.col("event_id") % 97 == 0, F.concat(F.lit("broken "), line)).otherwise(line).alias("value"))
+    named = companies(spark, sf_dir).where(F.col("company_number").cast("long") % 10 == 0).select(
+        F.concat(F.lit(f"20240101T000000Z {NAME_SOURCE} "), "company_name", F.lit(" Ltd HTTP 500 Server Error"))
+        .alias("value"))
+    return numbered.unionByName(named)
 
 
 # ---------------------------------------------------------------- register search, websites
@@ -309,8 +347,10 @@ WEB_TERMS = {
 }
 
 
-# The claim measured by the extractor check, and its variants (test parameter).
-CHECK_TERM = ("open_license", ["license"])
+# The claim measured by the extractor check, its variants, and the text a hand check finds in the raw page
+# (test parameters, chosen so that some claims are wrong and some are missed).
+CHECK_TERM = ("claim", ["the and"])
+CHECK_LABEL = "and.<"
 
 
 def register(spark, sf_dir) -> DataFrame:
@@ -335,14 +375,11 @@ def web_companies(spark, sf_dir) -> DataFrame:
 
 # ---------------------------------------------------------------- names and resolution
 
-NAME_LENGTH = 48
-
-
 def name_records(spark, sf_dir) -> DataFrame:
-    """Company-like records from documents: the first sentence (48 characters) is the name."""
+    """Company-like records from documents: the first sentence is the name."""
     from dealsieve.functions.text import first_sentence
     d = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
-    return d.select("doc_id", first_sentence("text", NAME_LENGTH).alias("company_name"),
+    return d.select("doc_id", first_sentence("text").alias("company_name"),
                     F.col("source").alias("postcode"), F.col("lang").alias("sic_code"))
 
 
@@ -374,9 +411,44 @@ def resolution_truth(spark, sf_dir) -> DataFrame:
                     F.concat(F.lit("DOC"), F.lpad(F.col("doc_id").cast("string"), 7, "0")).alias("true_number"))
 
 
+def given_scores(spark, sf_dir) -> DataFrame:
+    """Line items as scored (candidate, reference) pairs: the order is the candidate, the supplier the reference."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_linenumber", "l_discount")
+    return li.select(F.col("l_orderkey").alias("candidate"), F.col("l_suppkey").alias("reference"),
+                     F.col("l_linenumber").alias("reference_order"), (F.col("l_discount") * 10).alias("score"))
+
+
+def given_ratios(spark, sf_dir) -> DataFrame:
+    """Customers beside their orders as record pairs with a given name ratio; blanks and nulls in the fields."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    j = o.join(c, o.o_custkey == c.c_custkey)
+    key = F.col("o_orderkey")
+    pc = F.concat(F.lit("PC"), F.col("c_nationkey").cast("string"))
+    return j.select(
+        "o_orderkey", ((key % 101) / 100.0).alias("ratio"),
+        F.when(key % 7 == 0, F.lit(" ")).when(key % 7 != 1, pc).alias("pc_one"),
+        F.when(key % 5 == 0, F.lit("PC1")).when(key % 5 != 1, pc).alias("pc_two"),
+        F.when(key % 3 != 0, F.col("c_mktsegment")).alias("sic_one"),
+        F.when(F.col("o_orderstatus") == "O", F.col("c_mktsegment")).otherwise(F.lit("BUILDING")).alias("sic_two"))
+
+
+def given_predictions(spark, sf_dir) -> DataFrame:
+    """Orders as classified companies: a confidence in hundredths, a predicted and a filed (or missing) code."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    return o.select(company_id("o_orderkey").alias("company_number"), F.col("o_orderstatus").alias("predicted_code"),
+                    ((F.col("o_orderkey") % 100) / 100.0).alias("confidence"),
+                    F.when(F.col("o_orderkey") % 11 != 0, F.when(F.col("o_orderkey") % 4 == 0, F.lit("X"))
+                           .otherwise(F.col("o_orderstatus"))).alias("filed_sic_code"))
+
+
 # ---------------------------------------------------------------- text, credit, similar companies
 
 KEYWORDS = ["the", "and", "de", "der", "que", "license"]
+# Words of the text flags that occur in the driver's prose.
+FLAG_WORDS = ["not", "no", "nicht", "pas", "never"]
+FLAG_PATTERN = "licen"
+FIT_ROWS = 20_000        # labelled rows the classifier is fitted on, at most
 NEAREST_K = 5
 REFERENCE_COUNT = 3
 
@@ -396,7 +468,7 @@ def credit_training(spark, sf_dir) -> DataFrame:
     d = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
     lab = table(spark, sf_dir, "labels").select("doc_id", "quality")
     j = lab.join(d, "doc_id")
-    feats = text_features(j.select("doc_id", "text"))
+    feats = text_features(j.select("doc_id", "text"), negative_words=FLAG_WORDS, going_concern_pattern=FLAG_PATTERN)
     return j.join(feats, "doc_id").select(
         "doc_id",
         (F.col("n_chars") / 1000.0).alias("current_ratio"),
@@ -415,14 +487,16 @@ def auc_scores(spark, sf_dir) -> DataFrame:
 
 
 def similar_items(spark, sf_dir) -> DataFrame:
+    """Parts as companies; every 13th has no size, so it has no distance to any other."""
     p = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice", "p_brand", "p_type")
-    return p.select("p_partkey", F.col("p_size").cast("double").alias("size"),
+    return p.select("p_partkey", F.when(F.col("p_partkey") % 13 != 0, F.col("p_size")).cast("double").alias("size"),
                     (F.col("p_retailprice") / 100).alias("price"), "p_brand", "p_type")
 
 
 def similar_references(spark, sf_dir) -> DataFrame:
     """The companies under investigation: the most expensive parts (a top-k by construction)."""
-    return similar_items(spark, sf_dir).orderBy(F.desc("price"), "p_partkey").limit(REFERENCE_COUNT)
+    return similar_items(spark, sf_dir).where(F.col("size").isNotNull()).orderBy(F.desc("price"), "p_partkey") \
+        .limit(REFERENCE_COUNT)
 
 
 def portfolio(spark, sf_dir) -> DataFrame:
@@ -460,9 +534,7 @@ def screened_lines(spark, sf_dir) -> DataFrame:
     return header.unionByName(j.select(line.alias("value")))
 
 
-def recipients(spark, sf_dir) -> list[str]:
-    """One mailbox per region (a bounded configuration list, size-checked before use)."""
+def recipients(spark, sf_dir) -> DataFrame:
+    """One mailbox per region."""
     r = table(spark, sf_dir, "region").select("r_name")
-    if r.count() > 10_000:
-        raise ValueError("too many recipients")
-    return sorted(f"{row.r_name.lower()}@example.org" for row in r.collect())
+    return r.select(F.concat(F.lower("r_name"), F.lit("@example.org")).alias("recipient"))

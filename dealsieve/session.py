@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -67,6 +68,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def stored(df, name: str):
+    """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
+
+    Cuts the lineage: later steps read the table instead of recomputing it,
+    and a lost executor only costs the tasks that run.  Every call writes a
+    folder of its own; clear them with the checkpoint folder.
+    """
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cpu_partitions(spark: SparkSession) -> int:
     """Partition count for CPU-heavy steps on small data.
 

@@ -34,36 +34,34 @@ def read_landing(spark: SparkSession, root: str, sources: Sequence[str] | None =
         F.col("value").alias("payload"))
 
 
-def landing_file_name(source, record_key, pulled_at):
-    """Relative path a pull lands at (the writer's naming rule as an expression)."""
-    stamp = F.date_format(pulled_at, PULL_STAMP_FORMAT)
-    return F.concat_ws("", source, F.lit("/"), safe_key(record_key), F.lit("_"), stamp, F.lit(".json"))
-
-
 def parse_failure_log(lines: DataFrame, sources: Sequence[str], spaced_key_sources: Sequence[str] = (),
-                      value: str = "value") -> DataFrame:
-    """(failed_at, source, record_key, reason, detail) from failure-log lines.
-
-    Sources are matched against the known list, so a line is parsed even when
-    the reason has spaces.  For sources whose keys are numbers the key is the
-    first word after the source.  For sources keyed by names (which may hold
-    spaces) key and reason cannot be told apart from the line alone: the key
-    is left null and ``detail`` keeps "<key> <reason>" for ``landing_gaps`` to
-    resolve against the expected keys.
+                      value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """(failures, quarantined lines) from failure-log lines.
+
+    Failures are (failed_at, source, record_key, reason, detail).  Sources are
+    matched against the known list, so a line is parsed even when the reason
+    has spaces.  For sources whose keys are numbers the key is the first word
+    after the source.  For sources keyed by names (which may hold spaces) key
+    and reason cannot be told apart from the line alone: the key is left null
+    and ``detail`` keeps "<key> <reason>" for ``landing_gaps`` to resolve
+    against the expected keys.  Lines of any other form, or with a time that
+    is none, are returned as (line).
     """
     alternatives = "|".join(sorted({*sources, *spaced_key_sources}, key=len, reverse=True))
     pattern = rf"^(\d{{8}}T\d{{6}}Z) ({alternatives}) (.*)$"
-    parsed = lines.select(
-        F.to_timestamp_ntz(F.regexp_extract(value, pattern, 1), F.lit(PULL_STAMP_FORMAT)).alias("failed_at"),
-        F.regexp_extract(value, pattern, 2).alias("source"),
-        F.regexp_extract(value, pattern, 3).alias("detail")).where(F.col("source") != "")
+    at = F.try_to_timestamp(F.regexp_extract(value, pattern, 1), F.lit(PULL_STAMP_FORMAT)).cast("timestamp_ntz")
+    parsed = lines.select(F.col(value).alias("line"), at.alias("failed_at"),
+                          F.regexp_extract(value, pattern, 2).alias("source"),
+                          F.regexp_extract(value, pattern, 3).alias("detail"))
+    good = F.coalesce((F.col("source") != "") & F.col("failed_at").isNotNull(), F.lit(False))
     spaced = F.col("source").isin(list(spaced_key_sources)) if spaced_key_sources else F.lit(False)
     first = F.regexp_extract("detail", r"^(\S+)", 1)
     rest = F.regexp_extract("detail", r"^\S+ ?(.*)$", 1)
-    return parsed.select("failed_at", "source",
-                         F.when(~spaced, first).alias("record_key"),
-                         F.when(~spaced, rest).alias("reason"),
-                         "detail")
+    failures = parsed.where(good).select("failed_at", "source",
+                                         F.when(~spaced, first).alias("record_key"),
+                                         F.when(~spaced, rest).alias("reason"),
+                                         "detail")
+    return failures, parsed.where(~good).select("line")
 
 
 def latest_pull(raw: DataFrame, keys: Sequence[str] = ("source", "record_key")) -> DataFrame:
@@ -106,7 +104,8 @@ def landing_gaps(expected: DataFrame, landed: DataFrame, failures: DataFrame | N
     """Expected (source, record_key) pairs with no landed pull, with the latest failure if logged.
 
     Keys are compared through the file-name rule (``safe_key``) of the
-    expected key, never by parsing the landed name back.
+    expected key, never by parsing the landed name back.  A failure line of a
+    name-keyed source belongs to the longest expected key it begins with.
     """
     exp = expected.select("source", "record_key").distinct().withColumn("_sk", safe_key("record_key"))
     got = landed.select("source", safe_key("record_key").alias("_sk")).distinct()
@@ -115,12 +114,16 @@ def landing_gaps(expected: DataFrame, landed: DataFrame, failures: DataFrame | N
         return gaps.select("source", "record_key", F.lit(None).cast("timestamp_ntz").alias("last_failed_at"),
                            F.lit(None).cast("string").alias("reason"))
     keyed = failures.where(F.col("record_key").isNotNull())
-    # Name-keyed lines: match on the first word, then check the whole key is a prefix.
-    spaced = failures.where(F.col("record_key").isNull()).select(
-        "source", "failed_at", "detail", F.regexp_extract("detail", r"^(\S+)", 1).alias("_w"))
-    cand = gaps.withColumn("_w", F.regexp_extract("record_key", r"^(\S+)", 1))
-    resolved = (cand.join(spaced, ["source", "_w"])
-                .where(F.col("detail").startswith(F.concat(F.col("record_key"), F.lit(" "))))
+    # Name-keyed lines: a line's possible keys are its prefixes that end before a blank; each is looked up
+    # among the expected keys, and the longest that is one is the line's key.
+    spaced = failures.where(F.col("record_key").isNull()).select("source", "failed_at", "detail")
+    words = F.split("detail", " ")
+    prefixes = F.transform(F.sequence(F.lit(1), F.size(words) - 1), lambda n: F.array_join(F.slice(words, 1, n), " "))
+    tried = spaced.where(F.size(words) > 1).select("source", "failed_at", "detail",
+                                                   F.explode(prefixes).alias("record_key"))
+    resolved = (tried.join(expected.select("source", "record_key").distinct(), ["source", "record_key"])
+                .groupBy("source", "failed_at", "detail")
+                .agg(F.max_by("record_key", F.length("record_key")).alias("record_key"))
                 .select("source", "record_key", "failed_at",
                         F.expr("substring(detail, length(record_key) + 2)").alias("reason")))
     fails = keyed.select("source", "record_key", "failed_at", "reason").unionByName(resolved)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Search rule and route names (fixed values).
-MAXIMUM_SEARCH_RESULTS = 500
+MAXIMUM_SEARCH_RESULTS = 500      # the cap of a paged search, for callers that ask for it
 ACTIVE_COMPANY_STATUS = "active"
 SUPPLIED_FILE_ROUTE = "supplied_target_file"
 REGISTER_SEARCH_ROUTE = "companies_house_advanced_search"
@@ -31,19 +31,21 @@ def load_supplied_targets(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def register_search(register: DataFrame, sic_codes: Sequence[str] | None = None, location: str | None = None,
-                    maximum_results: int = MAXIMUM_SEARCH_RESULTS) -> DataFrame:
-    """Active companies with any of the SIC codes, located at ``location``, capped.
+                    maximum_results: int | None = None) -> DataFrame:
+    """Active companies with any of the SIC codes, located at ``location``.
 
-    The cap keeps the first ``maximum_results`` by company number (a top-k,
-    planned as TakeOrderedAndProject: per-partition top-k, then a merge).
-    Projection: number, name, postcode, first SIC code or null, no website.
+    All of them, unless ``maximum_results`` asks for the first by company
+    number (a top-k, planned as TakeOrderedAndProject: per-partition top-k,
+    then a merge).  Projection: number, name, postcode, first SIC code or
+    null, no website.
     """
     rows = register.where(F.col("company_status") == ACTIVE_COMPANY_STATUS)
     if sic_codes:
         rows = rows.where(F.arrays_overlap(F.col("sic_codes"), F.array(*[F.lit(c) for c in sic_codes])))
     if location:
         rows = rows.where(F.lower(F.col("registered_office_address.locality")).contains(location.lower()))
-    return candidate_projection(rows).orderBy("company_number").limit(maximum_results)
+    found = candidate_projection(rows)
+    return found if maximum_results is None else found.orderBy("company_number").limit(maximum_results)
 
 
 def candidate_projection(rows: DataFrame) -> DataFrame:
@@ -55,7 +57,7 @@ def candidate_projection(rows: DataFrame) -> DataFrame:
 
 
 def build_candidate_list(supplied: DataFrame | None, register: DataFrame, sic_codes=None, location=None,
-                         maximum_results: int = MAXIMUM_SEARCH_RESULTS) -> tuple[DataFrame, str]:
+                         maximum_results: int | None = None) -> tuple[DataFrame, str]:
     """A supplied target list overrides the search; the two are never combined."""
     if supplied is not None:
         return supplied, SUPPLIED_FILE_ROUTE

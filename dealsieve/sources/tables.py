@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dealsieve.session import stored
+
 
 def _exists(spark: SparkSession, path: str) -> bool:
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -27,8 +30,24 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     writer.parquet(path)
 
 
-def csv_to_parquet(spark: SparkSession, csv_path: str, schema: T.StructType, parquet_path: str) -> DataFrame:
-    """Typed intake: read a headed CSV with an explicit schema (no inference) and store it as Parquet."""
-    df = spark.read.option("header", True).option("mode", "PERMISSIVE").schema(schema).csv(csv_path)
-    write_table(df, parquet_path)
+CORRUPT = "_corrupt"
+
+
+def csv_to_parquet(spark: SparkSession, csv_path: str, schema: T.StructType, parquet_path: str,
+                   quarantine_path: str | None = None) -> DataFrame:
+    """Typed intake: read a headed CSV with an explicit schema (no inference) and store it as Parquet.
+
+    Lines with a value that is not of its column's type, or with another
+    number of fields, are stored as text (line) under ``quarantine_path``;
+    without one the intake fails on the first such line.
+    """
+    reader = spark.read.option("header", True)
+    if quarantine_path is None:
+        write_table(reader.option("mode", "FAILFAST").schema(schema).csv(csv_path), parquet_path)
+        return spark.read.parquet(parquet_path)
+    marked = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    rows = stored(reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+                  .schema(marked).csv(csv_path), "csv-intake")
+    write_table(rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT), parquet_path)
+    write_table(rows.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("line")), quarantine_path)
     return spark.read.parquet(parquet_path)

@@ -219,10 +219,11 @@ def test_csv_intake_and_briefs(spark):
     assert sorted(r.field_count for r in quarantined.collect()) == [3, 10]
     rendered = {r.company_number: r.brief_text for r in briefs.render_briefs(accepted).collect()}
     assert rendered["1"].startswith("ABSTAINED.") and rendered["4"].startswith("Scored.")
-    queue = briefs.dispatch_queue(briefs.render_briefs(accepted), ["a@x", "b@x"]).collect()
+    mailboxes = spark.createDataFrame([("a@x",), ("b@x",)], "recipient string")
+    queue = briefs.dispatch_queue(briefs.render_briefs(accepted), mailboxes).collect()
     assert sorted((r.recipient, r.outcome) for r in queue) == [
         ("a@x", "queued"), ("b@x", "queued"), ("none", "skipped_abstained")]
-    assert [r.outcome for r in briefs.dispatch_queue(briefs.render_briefs(accepted), []).collect()] == [
+    assert [r.outcome for r in briefs.dispatch_queue(briefs.render_briefs(accepted), mailboxes.limit(0)).collect()] == [
         "skipped_abstained"]
 
 
@@ -251,11 +252,11 @@ def test_resolution_partition(spark):
     assert out["resolved"].count() + out["unmatched"].count() == cands.count()
 
 
-def test_banded_blocking_is_lossless(spark):
+def test_rare_token_blocking_is_lossless(spark):
     from dealsieve.functions import names as N
     from dealsieve.plans import views as V
     r = V.name_records(spark, "/root/testdata/sf0.001").select("doc_id", "company_name")
-    banded = resolve.candidate_pairs(r, r, "doc_id", "doc_id").where(F.col("doc_id_one") < F.col("doc_id_two"))
+    banded = resolve.candidate_pairs(r, r).where(F.col("doc_id_one") < F.col("doc_id_two"))
     sigs = r.select("doc_id", N.name_signature("company_name").alias("sig"))
     a, b = sigs.alias("a"), sigs.alias("b")
     brute = a.join(b, F.col("a.doc_id") < F.col("b.doc_id")).where(
@@ -275,6 +276,74 @@ def test_reference_limit_keeps_most_similar(spark):
     assert (capped.outcome, capped.matched_number) == ("resolved", "R0")   # ties: lowest number
     full = resolve.resolve_candidates(cands, ref)["flags"].first()
     assert full.matched_number == "R0"
+    hits = resolve.reference_search(cands.withColumn("k", F.lit(1)), ref, "k", 3).collect()
+    assert [(r.company_number, r["rank"]) for r in sorted(hits, key=lambda r: r["rank"])] == [("R0", 1), ("R1", 2), ("R2", 3)]
+
+
+def record_frame(spark, rows):
+    return spark.createDataFrame(rows, "company_number string, company_name string, postcode string, sic_code string, "
+                                       "website_url string")
+
+
+def test_a_name_below_the_signature_gate_is_resolved_by_its_score(spark):
+    out = resolve.resolve_candidates(record_frame(spark, [(None, "Smyth Foods", None, None, None)]),
+                                     record_frame(spark, [("R1", "Smith Foods", None, None, None)]))["flags"].first()
+    assert (out.outcome, out.matched_number) == ("resolved", "R1") and abs(out.score - 20 / 22) < 1e-12
+
+
+@pytest.mark.parametrize("threshold", [0.90, 0.95])
+def test_no_pair_at_or_above_the_threshold_is_lost(spark, threshold):
+    """Brute force on the score rule: every pair of records, names of all lengths, fields held or not."""
+    import difflib
+    import random
+    rnd = random.Random(3)
+    base = ["acme builders", "north west steel works", "ab", "a", "", "aaaa aaaa aaaa", "the long established trading company of the "
+            "northern counties and the isle of man", "smith", "xylophone quartz"]
+
+    def variant(name):
+        chars = list(name)
+        for _ in range(rnd.randint(0, max(1, len(chars) // 8))):
+            kind, at = rnd.randint(0, 2), rnd.randint(0, max(len(chars) - 1, 0))
+            if kind == 0 and chars:
+                chars.pop(min(at, len(chars) - 1))
+            elif kind == 1:
+                chars.insert(at, rnd.choice("abcxyz "))
+            elif chars:
+                chars[min(at, len(chars) - 1)] = rnd.choice("abcxyz")
+        return "".join(chars)
+
+    def records(n):
+        return [(f"R{i}", variant(rnd.choice(base)), rnd.choice([None, "", "P1", "P2"]), rnd.choice([None, "1", "2"]), None)
+                for i in range(n)]
+    left, right = records(90), records(90)
+    norm = lambda s: " ".join(w for w in "".join(c for c in s.lower() if c.isalnum() or c == " ").split())
+    want = set()
+    for a in left:
+        for b in right:
+            ratio = difflib.SequenceMatcher(None, norm(a[1]), norm(b[1])).ratio()
+            held = [(x, y, 0.2) for x, y in ((a[2], b[2]), (a[3], b[3])) if x and y]
+            score = (0.6 * ratio + sum(w for x, y, w in held if x == y)) / (0.6 + sum(w for _, _, w in held))
+            if score >= threshold:
+                want.add((norm(a[1]), a[2] or None, a[3], norm(b[1]), b[2] or None, b[3]))
+    found = resolve.score_pairs(resolve.record_classes(record_frame(spark, left)),
+                                resolve.record_classes(record_frame(spark, right)), threshold)
+    got = {tuple(r)[:6] for r in found.where(F.col("score") >= threshold).collect()}
+    assert got == want and len(want) > 100
+
+
+def test_a_name_held_by_many_records_is_scored_once(spark):
+    ref = record_frame(spark, [(f"R{i:03d}", "Common Name", "P1", "1", None) for i in range(200)])
+    cands = record_frame(spark, [(None, "Common Name Ltd", "P1", "1", str(i)) for i in range(50)])
+    pairs = resolve.score_pairs(resolve.record_classes(cands), resolve.record_classes(ref))
+    assert pairs.count() == 1
+    out = resolve.resolve_candidates(cands, ref)["flags"]
+    assert out.count() == 50 and {r.matched_number for r in out.collect()} == {"R000"}
+
+
+def test_thresholds_without_complete_blocking_are_refused(spark):
+    classes = resolve.record_classes(record_frame(spark, [("1", "A", None, None, None)]))
+    with pytest.raises(ValueError):
+        resolve.score_pairs(classes, classes, 0.5)
 
 
 def test_awards_as_of_counts_only_known_awards(spark):
@@ -310,3 +379,97 @@ def test_asof_strategies_match_brute_force_on_a_hot_company(spark):
         got = {(r.company_number, r.decision_date): r.k
                for r in asof.as_of(f, d, tie_keys=["k"], strategy=strategy).collect()}
         assert got == expected, strategy
+
+
+def test_awards_as_of_reads_every_accepted_form(spark):
+    dates = ["2023-05-01", "2023-05-01T00:00:00Z", "2023-05-01T00:00:00+01:00", "2023-05-01T00:00:00", "soon", ""]
+    notices = spark.createDataFrame([("1", d, "A") for d in dates], "company_number string, awardedDate string, organisationName string")
+    dec = spark.createDataFrame([("1", ts("2023-05-01")), ("1", ts("2023-04-30T23:30:00"))],
+                                "company_number string, decision_date timestamp_ntz")
+    got = {r.decision_date: r.award_count for r in facts.awards_as_of(notices, dec).collect()}
+    assert got == {ts("2023-05-01"): 4, ts("2023-04-30T23:30:00"): 1}
+    assert [r.awardedDate for r in facts.undated_awards(notices).collect()] == ["soon"]
+
+
+def test_unreadable_documents_give_no_facts(spark):
+    from dealsieve import schemas as S
+    docs = spark.createDataFrame([("1", '{"items":[{"name":"Par'), ("2", None), ("3", "{}"), ("4", "[]")],
+                                 "company_number string, payload string")
+    assert [(r.company_number, r.part_of_group) for r in facts.ownership(docs).collect()] == [("3", False)]
+    assert facts.charges(docs).count() == 0
+    assert [r.company_number for r in facts.filing_records(docs).collect()] == ["3"]
+    assert {r.company_number for r in facts.unreadable(docs, S.CONTROLLERS_PAYLOAD).collect()} == {"1", "2", "4"}
+
+
+def test_two_valuations_of_one_company_stay_apart(spark):
+    peers = spark.createDataFrame([(c, m) for c in ("111", "222") for m in [1.0] * 4 + [5.0] * 4], "industry_code string, multiple double")
+    targets = spark.createDataFrame([("C", "111", 2.0), ("C", "222", 10.0), ("C", "222", 10.0)],
+                                    "company_number string, industry_code string, scaling_value double")
+    rows = valuation.valuation_quantiles(targets, peers).collect()
+    assert sorted(r.value_quantile_50 for r in rows) == [6.0, 30.0, 30.0]
+    assert valuation.value_distribution(targets, peers).count() == 24
+    asked = spark.createDataFrame([("D",)], "company_number string")
+    assert valuation.value_distribution(targets, peers, requested=asked).count() == 0
+    keys = valuation.key_multiples(valuation.widened(targets, peers), peers)
+    assert keys.count() == 16
+
+
+def test_items_without_a_number_are_never_near(spark):
+    from dealsieve.operators import similar
+    items = spark.createDataFrame([(1, 1.0, "a"), (2, None, "a"), (3, 2.0, "a"), (4, float("nan"), "a"), (5, 9.0, "a")],
+                                  "id long, size double, kind string")
+    got = similar.nearest(items, items.where("id = 1"), "id", ["size"], ["kind"], 3).collect()
+    assert sorted((r["rank"], r.item_id) for r in got) == [(1, 3), (2, 5)]
+
+
+def test_quantiles_with_infinities_and_null_groups(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([("a", v) for v in (-inf, -1.0, 0.0, 3.0, inf, float("nan"), None)] + [(None, 2.0), ("b", inf)],
+                               "g string, v double")
+    got = {r.g: (r.n, r.q0, r.q1, r.q2) for r in exact_quantiles(df, ["g"], "v", [0.0, 0.5, 1.0]).collect()}
+    assert got == {"a": (5, -inf, 0.0, inf), None: (1, 2.0, 2.0, 2.0), "b": (1, inf, inf, inf)}
+
+
+@pytest.mark.parametrize("scale", [1e-9, 1e6, -40.0])
+def test_auc_of_scores_of_any_range(spark, scale):
+    import random
+    rnd = random.Random(4)
+    rows = [(rnd.randint(0, 1), rnd.choice([-0.0, 0.0, rnd.random() - 0.3, 0.25]) * scale) for _ in range(400)]
+    pos, neg = [s for y, s in rows if y], [s for y, s in rows if not y]
+    brute = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
+    got = credit.auc_exact(spark.createDataFrame(rows, "y int, s double"), "y", "s").first().auc
+    assert abs(got - brute) < 1e-12
+
+
+def test_text_lift_leaves_out_incomplete_rows(spark):
+    import random
+    rnd = random.Random(1)
+    rows = [(i, rnd.random(), rnd.random(), rnd.random(), rnd.randint(0, 1), rnd.randint(0, 1), rnd.randint(0, 1)) for i in range(300)]
+    rows += [(300, None, 0.1, 0.1, 0, 0, 1), (301, float("nan"), 0.1, 0.1, 0, 0, 0), (302, 0.1, 0.1, 0.1, 0, 0, None)]
+    df = spark.createDataFrame(rows, "k long, current_ratio double, gearing double, retained_earnings_to_assets double, "
+                                     "report_negative_language_flag int, going_concern_flag int, defaulted_within_year int")
+    r = credit.text_feature_lift(df, "k").first()
+    assert (r.rows_used, r.rows_left_out) == (300, 3)
+    assert abs(r.text_feature_lift - (r.with_text_auc - r.ratio_only_auc)) < 1e-12
+
+
+def test_vocabulary_does_not_depend_on_the_partitioning(spark):
+    from dealsieve.operators import text_models as TM
+    docs = spark.createDataFrame([(f"zeta alpha beta w{i:03d} w{i:03d}",) for i in range(50)], "t string")
+    one = TM.vocabulary(docs.coalesce(1), "t", 20)
+    assert one == TM.vocabulary(docs.repartition(7), "t", 20) == ["alpha", "beta", "zeta"] + [f"w{i:03d}" for i in range(17)]
+
+
+def test_absent_modules_keep_their_types(spark):
+    from dealsieve.operators import coverage
+    companies = spark.createDataFrame([("1", "A"), ("2", "B")], "company_number string, company_name string")
+    ran = spark.createDataFrame([("1", 5), ("9", 7)], "company_number string, n int")
+    out = coverage.dossier(companies, {"x": (ran, {"n": "bigint"}), "y": (None, {"v": "double"})})
+    assert dict(out.dtypes)["n"] == "bigint" and dict(out.dtypes)["v"] == "double"
+    assert {r.company_number: (r.x_state, r.n, r.y_state) for r in out.collect()} == {
+        "1": ("present", 5, "not run"), "2": ("no record", None, "not run")}
+    got = {r.module: tuple(r)[1:] for r in coverage.signal_coverage(companies, {"x": ran, "y": None}).collect()}
+    assert got == {"x": (2, 1, 0.5), "y": (None, None, 1.0)}
+    assert coverage.select_company_rows(ran, "9", "A").first().n == 7
+    assert coverage.select_company_rows(companies.select("company_name"), "9", "B").count() == 1
+    assert coverage.select_company_rows(ran.select("n"), "9", "B") is None
