@@ -28,7 +28,8 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     while True:
         both = current.select(F.col("u").alias("x"), F.col("v").alias("y")) \
             .unionAll(current.select(F.col("v").alias("x"), F.col("u").alias("y")))
-        least = both.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("m"))
+        # Stored, so that the join below has an exchange of its own and a hub's edges can be split over tasks.
+        least = materialise(both.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("m")), "least")
         large = both.where("y > x").join(least, "x").select(F.col("y").alias("u"), F.col("m").alias("v")).distinct()
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(lowest, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")) \

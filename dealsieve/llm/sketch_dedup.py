@@ -40,9 +40,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dealsieve.llm.common import materialise, ship_by_value, text_or_empty
+from dealsieve.llm.common import materialise, ship_by_value, small_batches, text_or_empty
 from dealsieve.llm.graph import components
-from dealsieve.llm.window_dedup import sequence_hashes
+from dealsieve.llm.hashing import sequence_hashes, word_hashes
 
 SHINGLE = 5
 THRESHOLD = (85, 100)      # link when 100 * intersection >= 85 * union
@@ -53,7 +53,6 @@ RATE = 20.0                # rate of the exponential hash values
 LARGEST = (1 << 16) - 1    # registers are cut off at 16 bits
 BLOCK = 512                # classes of a block, on average at most
 FLOOR = THRESHOLD[0] / THRESHOLD[1] - 5 * math.sqrt(0.85 * 0.15 / REGISTERS)
-WORD_MEMORY = 300_000      # distinct words whose hashes a task remembers
 
 SKETCH_SCHEMA = "doc_id long, text_hash long, n_shingles long, d1 long, d2 long, registers binary"
 
@@ -65,23 +64,12 @@ def register_hashes() -> tuple[np.ndarray, np.ndarray]:
     return raw[:, 0] | np.uint64(1), raw[:, 1]
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, computed once per word."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORD_MEMORY:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-def shingle_set(text: bytes, hashes: WordHashes) -> np.ndarray:
+def shingle_set(text: bytes) -> np.ndarray:
     """Sorted distinct shingle hashes of a text in UTF-8."""
     words = text.lower().split()
     if not words:
         return np.empty(0, np.uint64)
-    own = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    return np.unique(sequence_hashes(own, min(SHINGLE, len(words))))
+    return np.unique(sequence_hashes(word_hashes(words), min(SHINGLE, len(words))))
 
 
 def sketch(sets: list[np.ndarray]) -> np.ndarray:
@@ -161,11 +149,10 @@ def confirmed_forest(blocks: np.ndarray, registers: np.ndarray, sets: list[np.nd
 def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, text hash, set size, 128-bit digest of the set, registers (null if empty)."""
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
             for at in range(0, batch.num_rows, 200):     # a few texts at a time stay in the processor's cache
                 some = batch.slice(at, 200)
-                sets = [shingle_set(t.as_py().encode("utf-8"), hashes) for t in some.column(2)]
+                sets = [shingle_set(t.as_py().encode("utf-8")) for t in some.column(2)]
                 full = [s for s in sets if len(s)]
                 rows = iter(sketch(full) if full else [])
                 digests = [np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), np.int64) for s in sets]
@@ -177,7 +164,7 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                     "registers": pa.array([next(rows).tobytes() if len(s) else None for s in sets], pa.binary())})
 
     text = text_or_empty(text_col)
-    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"),
+    return small_batches(docs).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"),
                        text.alias("text")).mapInArrow(build, SKETCH_SCHEMA)
 
 
@@ -190,21 +177,23 @@ def band_keys(classes: DataFrame) -> DataFrame:
                      for blob in batch.column(1).to_pylist() for b in range(BANDS)]
             yield pa.RecordBatch.from_pydict({"node": pa.array(nodes, pa.int64()),
                                               "key": pa.array(np.array(found, np.uint64).view(np.int64))})
-    return classes.select("node", "registers").mapInArrow(keys, "node long, key long")
+    return small_batches(classes).select("node", "registers").mapInArrow(keys, "node long, key long")
 
 
 def loose_groups(classes: DataFrame) -> DataFrame:
     """(node, root): classes that share a band, directly or through others."""
     bands = materialise(band_keys(classes), "bands")
-    centres = bands.groupBy("key").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    stars = bands.join(centres.select("key", "centre"), "key").where("node != centre").select("node", "centre")
+    # Stored, so that the join has an exchange of its own and a hot bucket can be split over tasks.
+    centres = materialise(bands.groupBy("key").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("n"))
+                          .where("n > 1").select("key", "centre"), "centres")
+    stars = bands.join(centres, "key").where("node != centre").select("node", "centre")
     return components(stars, "node", "centre")
 
 
 def confirmed_links(docs: DataFrame, classes: DataFrame, groups: DataFrame, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """(a, b): spanning forests of the links confirmed on full sets, over all pairs of blocks of all groups."""
-    sizes = groups.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("cuts"))
+    sizes = materialise(groups.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("cuts")), "group-sizes")
     placed = groups.join(sizes, "root").withColumn("block", F.pmod(F.xxhash64("node"), F.col("cuts")).cast("long"))
     members = placed.join(classes, "node").select("node", "root", "cuts", "block", "doc_id", "text_hash", "registers")
     text = text_or_empty(text_col)
@@ -214,9 +203,8 @@ def confirmed_links(docs: DataFrame, classes: DataFrame, groups: DataFrame, id_c
         .select("node", "root", "cuts", "block", "registers", "_text")
 
     def with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
-            sets = [shingle_set(t.as_py().encode("utf-8"), hashes).tobytes() for t in batch.column(5)]
+            sets = [shingle_set(t.as_py().encode("utf-8")).tobytes() for t in batch.column(5)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(sets, pa.binary())],
                                              names=["node", "root", "cuts", "block", "registers", "shingles"])
 
@@ -264,7 +252,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = full.groupBy("d1", "d2").agg(F.min("doc_id").alias("class_id"))
     named = materialise(classes.select("node", "d1", "d2").join(least, ["d1", "d2"]).join(found, "node", "left")
                         .select("d1", "d2", "class_id", F.coalesce("root", "node").alias("root")), "named")
-    roots = named.groupBy("root").agg(F.min("class_id").alias("component_id"))
+    roots = materialise(named.groupBy("root").agg(F.min("class_id").alias("component_id")), "roots")
     ids = named.join(roots, "root").select("d1", "d2", "component_id")
     out = rows.join(ids, ["d1", "d2"], "left").select(
         "doc_id", "text_hash", "n_shingles",
