@@ -31,8 +31,9 @@ import re
 import struct
 import tempfile
 import uuid
-from collections import Counter
+from array import array
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -46,9 +47,10 @@ from pyspark.sql import types as T
 
 from dealsieve.llm.common import materialise, ship_by_value, small_batches, text_or_empty
 
-LEXICON_WORDS = 1 << 18     # words in the automaton, at most
-COUNTER_WORDS = 200_000     # distinct words a counting task holds at once
+LEXICON_WORDS = 1 << 19     # words in the automaton, at most
+COUNTER_WORDS = 400_000     # distinct words after which a counting task passes its counts on
 STEP_BYTES = 2 << 20        # text bytes encoded at once
+KNOWN_PIECES = 1 << 14      # pieces of words outside the automaton whose ids are remembered
 
 # The tokenizer's cut into pieces (fixed value), and our coarser cut at white space.
 PIECES = regex.compile(r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -74,13 +76,19 @@ class Tokenizer:
         self.bytes_of |= {i: s.encode() for s, i in self.special.items()}
         self.special_cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))
                                          + ")") if self.special else None
+        self.merge = lru_cache(maxsize=KNOWN_PIECES)(self._merge)       # full stops and the like come often
 
-    def merge(self, piece: str) -> list[int]:
+    def _merge(self, piece: str) -> list[int]:
         """Ids of one piece of the pattern."""
-        shown = "".join([self.stand_in[b] for b in piece.encode("utf-8")])
+        if piece.isascii() and piece.isprintable():
+            shown = piece.replace(" ", self.stand_in[32])
+        else:
+            shown = "".join([self.stand_in[b] for b in piece.encode("utf-8")])
         return [t.id for t in self.model.tokenize(shown)]
 
     def encode_word(self, word: str) -> list[int]:
+        if word.lstrip(" ").isalpha():      # one run of letters, at most one blank before it: one piece
+            return self._merge(word)
         return [i for piece in PIECES.findall(word) for i in self.merge(piece)]
 
     def cut(self, text: str) -> list[str]:
@@ -100,19 +108,20 @@ HEADER = "<8sIIII"      # magic, states, moves, words, ids
 MAGIC = b"LEXIDS01"
 
 
-def compile_lexicon(words: dict[bytes, list[int]]) -> bytes:
-    """A minimal acyclic automaton of the words, with their ids in sorted order, as one flat file.
+def compile_lexicon(words: Iterable[tuple[bytes, Iterable[int]]]) -> bytes:
+    """A minimal acyclic automaton of sorted words, with their ids in the same order, as one flat file.
 
-    Words are added in sorted order; when the path of the last word can no
-    longer change, its states are replaced by equal ones already registered,
-    so equal endings are stored once.
+    When the path of the last word can no longer change, its states are
+    replaced by equal ones already registered, so equal endings are stored
+    once.
     """
-    register: dict[tuple, int] = {}
-    done: list[tuple[bool, tuple[tuple[int, int], ...]]] = []   # by state: final, ((byte, state), ...)
-    path: list[list] = [[False, []]]                            # open states of the last word: final, moves
+    register: dict[bytes, int] = {}
+    done: list[bytes] = []                  # each state packed: final flag, then its moves (byte, state)
+    path: list[list] = [[0, []]]            # open states of the last word: final, moves
+    ids, starts = array("I"), array("I", [0])
 
     def freeze(state: list) -> int:
-        key = (state[0], tuple(state[1]))
+        key = bytes([state[0]]) + b"".join([struct.pack("<BI", b, t) for b, t in state[1]])
         if key not in register:
             register[key] = len(done)
             done.append(key)
@@ -123,41 +132,35 @@ def compile_lexicon(words: dict[bytes, list[int]]) -> bytes:
             number = freeze(path.pop())
             path[-1][1][-1] = (path[-1][1][-1][0], number)
 
-    last = b""
-    ordered = sorted(words)
-    for word in ordered:
-        same = len(os.path.commonprefix([last, word]))
+    last = None
+    for word, own in words:
+        if last is not None and word <= last:
+            raise ValueError("words must be sorted and different")
+        same = len(os.path.commonprefix([last or b"", word]))
         close(same)
         for b in word[same:]:
             path[-1][1].append((b, -1))
-            path.append([False, []])
-        path[-1][0] = True
+            path.append([0, []])
+        path[-1][0] = 1
         last = word
+        ids.extend(own)
+        starts.append(len(ids))
     close(0)
     root = freeze(path[0])
 
-    below = []      # words that can be read from a state; states come after the states they reach
-    for final, moves in done:
-        below.append(int(final) + sum(below[t] for _, t in moves))
-    first, labels, targets, skips = [], bytearray(), [], []
-    for final, moves in done:
-        first.append(len(labels))
-        earlier = int(final)
-        for b, t in moves:
-            labels.append(b)
+    below = array("I")      # words that can be read from a state; states come after the states they reach
+    keys, targets, skips = array("I"), array("I"), array("I")
+    for number, state in enumerate(done):
+        earlier = state[0]
+        for b, t in struct.iter_unpack("<BI", state[1:]):
+            keys.append(number << 8 | b)
             targets.append(t)
             skips.append(earlier)
             earlier += below[t]
-    first.append(len(labels))
-    ids, starts = [], [0]
-    for word in ordered:
-        ids += words[word]
-        starts.append(len(ids))
-    finals = bytes(int(final) for final, _ in done)
-    keys = [state << 8 | b for state in range(len(done)) for b in labels[first[state]:first[state + 1]]]
-    pack = lambda xs: struct.pack(f"<{len(xs)}I", *xs)
-    return b"".join([struct.pack(HEADER, MAGIC, len(done), len(keys), len(ordered), len(ids)), pack([root]),
-                     pack(keys), pack(targets), pack(skips), pack(starts), pack(ids), finals])
+        below.append(earlier)
+    finals = bytes(state[0] for state in done)
+    return b"".join([struct.pack(HEADER, MAGIC, len(done), len(keys), len(starts) - 1, len(ids)),
+                     struct.pack("<I", root), *(x.tobytes() for x in (keys, targets, skips, starts, ids)), finals])
 
 
 class Lexicon:
@@ -172,15 +175,15 @@ class Lexicon:
             raise ValueError("not a lexicon file")
         at = struct.calcsize(HEADER)
 
-        def array(kind, n):
+        def numbers(kind, n):
             nonlocal at
             part = np.frombuffer(data, kind, n, at)
             at += part.nbytes
             return part
-        self.root = int(array(np.uint32, 1)[0])
-        self.keys, self.targets, self.skips = (array(np.uint32, moves) for _ in range(3))
-        self.starts, self.ids = array(np.uint32, words + 1), array(np.uint32, ids)
-        self.finals = array(np.uint8, states)
+        self.root = int(numbers(np.uint32, 1)[0])
+        self.keys, self.targets, self.skips = (numbers(np.uint32, moves) for _ in range(3))
+        self.starts, self.ids = numbers(np.uint32, words + 1), numbers(np.uint32, ids)
+        self.finals = numbers(np.uint8, states)
 
     @classmethod
     def map_file(cls, path: str) -> Lexicon:
@@ -220,7 +223,7 @@ def frequent_words(docs: DataFrame, tokenizer_path: str, text_col: str = "text",
     """The words above the smallest count that at most ``limit`` words reach, over all texts."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = Tokenizer(tokenizer_path)
-        seen: Counter = Counter()
+        seen: dict[str, int] = {}
 
         def flush():
             out = pa.RecordBatch.from_pydict({"word": pa.array(list(seen), pa.string()),
@@ -228,8 +231,11 @@ def frequent_words(docs: DataFrame, tokenizer_path: str, text_col: str = "text",
             seen.clear()
             return out
         for batch in batches:
-            for text in batch.column(0):
-                seen.update(tokenizer.cut(text.as_py()))
+            for _, texts in steps(batch, 0):
+                words = pa.array(list(chain.from_iterable(map(tokenizer.cut, texts))), pa.large_string())
+                counts = words.value_counts()
+                for word, n in zip(counts.field("values").to_pylist(), counts.field("counts").to_pylist()):
+                    seen[word] = seen.get(word, 0) + n
                 if len(seen) > COUNTER_WORDS:
                     yield flush()
         yield flush()
@@ -246,7 +252,7 @@ def frequent_words(docs: DataFrame, tokenizer_path: str, text_col: str = "text",
         lowest = r.b
     if lowest is None:
         return []
-    return sorted(r.word for r in counted.where(bin_of >= lowest).select("word").collect())
+    return sorted(counted.where(bin_of >= lowest).select("word").toArrow().column(0).to_pylist())
 
 
 def publish_lexicon(docs: DataFrame, tokenizer_path: str, text_col: str = "text",
@@ -254,7 +260,7 @@ def publish_lexicon(docs: DataFrame, tokenizer_path: str, text_col: str = "text"
     """Count, compile and send the lexicon to every node; returns the name to ask Spark's files for."""
     tokenizer = Tokenizer(tokenizer_path)
     words = frequent_words(docs, tokenizer_path, text_col, limit)
-    data = compile_lexicon({w.encode("utf-8"): tokenizer.encode_word(w) for w in words if w not in tokenizer.special})
+    data = compile_lexicon((w.encode("utf-8"), tokenizer.encode_word(w)) for w in words if w not in tokenizer.special)
     path = os.path.join(tempfile.mkdtemp(prefix="lexicon-"), f"lexicon-{uuid.uuid4().hex}.bin")
     with open(path, "wb") as f:
         f.write(data)

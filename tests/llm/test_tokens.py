@@ -39,7 +39,7 @@ def word_library():
 def test_encoding_equals_the_library(byte_library):
     tokenizer = B.Tokenizer(tokenizer_file(BYTE_BPE))
     known = [" the", " of", " an", "tion", " don't", "\n"]
-    lexicon = B.Lexicon(B.compile_lexicon({w.encode(): tokenizer.encode_word(w) for w in known}))
+    lexicon = B.Lexicon(B.compile_lexicon(sorted((w.encode(), tokenizer.encode_word(w)) for w in known)))
     encoder = B.Encoder(tokenizer, lexicon)
     for text in [*odd_texts(1500, 1), prose(random.Random(1), 500)]:
         ids = byte_library.encode(text, add_special_tokens=False).ids
@@ -52,7 +52,7 @@ def test_automaton_accepts_exactly_its_words_and_shares_endings(tmp_path):
     words = {("".join(rng.choice("abc") for _ in range(rng.randint(1, 6))) + "ation").encode(): [k, k + 1][:1 + k % 2]
              for k in range(300)}
     words["é".encode()] = [7, 8, 9]
-    data = B.compile_lexicon(words)
+    data = B.compile_lexicon(sorted(words.items()))
     path = tmp_path / "lexicon.bin"
     path.write_bytes(data)
     lexicon = B.Lexicon.map_file(str(path))
@@ -61,11 +61,14 @@ def test_automaton_accepts_exactly_its_words_and_shares_endings(tmp_path):
               for _ in range(2000)}
     assert all((lexicon.get(w) is not None) == (w in words) for w in others)
     assert len(lexicon.finals) < len({w[:k] for w in words for k in range(len(w) + 1)}) / 3    # far fewer than a trie's
-    assert B.Lexicon(B.compile_lexicon({})).get(b"a") is None
+    assert B.Lexicon(B.compile_lexicon([])).get(b"a") is None
+    assert B.Lexicon(B.compile_lexicon([(b"", [5]), (b"a", [])])).places([b"", b"a", b"b"]).tolist() == [0, 1, -1]
+    with pytest.raises(ValueError):
+        B.compile_lexicon([(b"b", []), (b"a", [])])
 
 
 def test_a_minimal_automaton_has_no_two_equal_states():
-    lexicon = B.Lexicon(B.compile_lexicon({w.encode(): [1] for w in "tap taps top tops stop stops".split()}))
+    lexicon = B.Lexicon(B.compile_lexicon((w, [1]) for w in sorted(b"tap taps top tops stop stops".split())))
     states = set()
     for s in range(len(lexicon.finals)):
         own = lexicon.keys >> 8 == s
@@ -99,7 +102,7 @@ def test_counting_and_caching_in_small_steps(spark, monkeypatch):
     rows = [(i, "b b a c a b", "en", "a", 1) for i in range(5)]
     assert B.frequent_words(clashing(spark, rows), tokenizer_file(BYTE_BPE), limit=2) == [" a", " b"]
     tokenizer = B.Tokenizer(tokenizer_file(BYTE_BPE))
-    encoder = B.Encoder(tokenizer, B.Lexicon(B.compile_lexicon({b" two": tokenizer.encode_word(" two")})))
+    encoder = B.Encoder(tokenizer, B.Lexicon(B.compile_lexicon([(b" two", tokenizer.encode_word(" two"))])))
     for _ in range(2):
         assert encoder.encode("one two three one two") == [i for w in ("one", " two", " three", " one", " two")
                                                            for i in tokenizer.encode_word(w)]
