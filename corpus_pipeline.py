@@ -12,6 +12,9 @@ from dealsieve.llm.common import documents, materialise
 from dealsieve.llm.queries import BYTE_BPE, tokenizer_file
 
 
+NEAR_COPY = (80, 100)      # near copies share four fifths of their 5-word shingles; op2's 85/100 binds that query only
+
+
 def identify_language(spark, docs, sf_dir):
     """Drops documents without a letter, or whose text is no language's by at least half."""
     return language_mix.keep_identified(docs)
@@ -24,7 +27,7 @@ def drop_exact_copies(spark, docs, sf_dir):
 
 def drop_near_copies(spark, docs, sf_dir):
     """Of each group of near-duplicates, the smallest id stays."""
-    return sketch_dedup.near_dedup(docs)
+    return sketch_dedup.near_dedup(docs, threshold=NEAR_COPY)
 
 
 def mix_sources(spark, docs, sf_dir):
