@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from dealsieve.functions.finance import mixed_distance
 from dealsieve.operators.pairs import with_each
+from dealsieve.session import spread_for_cpu
 
 
 def nearest(items: DataFrame, references: DataFrame, id_col: str, numeric: Sequence[str],
@@ -26,7 +27,7 @@ def nearest(items: DataFrame, references: DataFrame, id_col: str, numeric: Seque
     """
     columns = [id_col, *numeric, *categorical]
     each = references.select(*[F.col(f"`{c}`").alias(f"ref_{c}") for c in columns])
-    pairs = with_each(items.select(*columns), each)
+    pairs = with_each(spread_for_cpu(items.select(*columns)), each)      # a broadcast join keeps the items' partitions
     dist = mixed_distance([(F.col(c), F.col(f"ref_{c}")) for c in numeric],
                           [(F.col(c), F.col(f"ref_{c}")) for c in categorical])
     scored = pairs.select(F.col(f"ref_{id_col}").alias("reference_id"), F.col(id_col).alias("item_id"),

@@ -385,6 +385,22 @@ def portfolio_similar(spark, sf_dir):
                                      suitable=F.col("size") <= 30)
 
 
+@query("nearest_companies_all")
+def nearest_companies_all(spark, sf_dir):
+    """The nearest parts of every queried part, not of three."""
+    return similar.nearest(V.similar_items(spark, sf_dir), V.similar_queries(spark, sf_dir), "p_partkey",
+                           SIMILAR_NUMERIC, SIMILAR_CATEGORICAL, V.NEAREST_K)
+
+
+@query("portfolio_similar_all")
+def portfolio_similar_all(spark, sf_dir):
+    """The nearest portfolio parts of every queried part, not of three."""
+    return similar.portfolio_similar(V.similar_items(spark, sf_dir), V.portfolio(spark, sf_dir),
+                                     V.similar_queries(spark, sf_dir), "p_partkey",
+                                     SIMILAR_NUMERIC, SIMILAR_CATEGORICAL, V.NEAREST_K,
+                                     suitable=F.col("size") <= 30)
+
+
 # ---------------------------------------------------------------- briefs, dossier
 
 from dealsieve.operators import briefs, coverage  # noqa: E402

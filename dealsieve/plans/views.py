@@ -450,7 +450,8 @@ FLAG_WORDS = ["not", "no", "nicht", "pas", "never"]
 FLAG_PATTERN = "licen"
 FIT_ROWS = 20_000        # labelled rows the classifier is fitted on, at most
 NEAREST_K = 5
-REFERENCE_COUNT = 3
+REFERENCE_COUNT = 3      # the SQL of nearest_companies and portfolio_similar has the same cap
+QUERY_STEP = 20          # a search asks for every row whose id is divisible by this
 
 
 def labelled_text(spark, sf_dir) -> DataFrame:
@@ -499,6 +500,11 @@ def similar_references(spark, sf_dir) -> DataFrame:
         .limit(REFERENCE_COUNT)
 
 
+def similar_queries(spark, sf_dir) -> DataFrame:
+    """Every part whose key is divisible by ``QUERY_STEP``, at any table size."""
+    return similar_items(spark, sf_dir).where(F.col("p_partkey") % QUERY_STEP == 0)
+
+
 def portfolio(spark, sf_dir) -> DataFrame:
     """Parts the firm has worked with: those on returned line items."""
     li = table(spark, sf_dir, "lineitem").select("l_partkey", "l_returnflag")
