@@ -44,28 +44,39 @@ def vocabulary(docs: DataFrame, text_col: str, size: int) -> list[str]:
 
 def fit_industry_classifier(labelled: DataFrame, text_col: str = "website_text", label_col: str = "industry_code",
                             vocab_size: int = MAXIMUM_VOCABULARY_SIZE,
-                            max_iter: int = MAXIMUM_ITERATIONS, fit_rows: int | None = None) -> PipelineModel:
+                            max_iter: int = MAXIMUM_ITERATIONS, fit_rows: int | None = None,
+                            id_col: str = "company_number") -> PipelineModel:
     """Fit tokeniser, vocabulary, smoothed TF-IDF and the multinomial model on labelled text.
 
-    ``fit_rows`` bounds the labelled rows that are fitted on (the first by md5
-    of their text, so the same rows on every run); None takes all.
+    Vocabulary, document frequencies and labels come from all labelled rows, by
+    partial aggregates.  ``fit_rows`` bounds only the rows of the logistic fit:
+    the first by md5 of ``id_col`` (the same rows on every run, and equal texts
+    do not travel together), and one more row of each label that has none of
+    them; None takes all.
     """
-    usable = labelled.where(F.col(text_col).isNotNull() & F.col(label_col).isNotNull())
+    usable = spread_for_cpu(labelled.where(F.col(text_col).isNotNull() & F.col(label_col).isNotNull()))
+    indexer = StringIndexer(inputCol=label_col, outputCol="_label", stringOrderType="alphabetAsc").fit(usable)
     if fit_rows is not None:
-        usable = usable.orderBy(F.md5(F.col(text_col)), text_col, label_col).limit(fit_rows)
-    data = stored(spread_for_cpu(usable.select(text_col, label_col)), "labelled-text")
+        key = F.struct(F.md5(F.col(id_col).cast("string")), F.col(text_col))
+        some = stored(usable.orderBy(key, label_col).limit(fit_rows).select(text_col, label_col), "sampled-text")
+        seen = [r[0] for r in some.select(F.col(label_col).cast("string")).distinct().collect()]
+        unseen = usable.where(~F.col(label_col).cast("string").isin(seen)).groupBy(label_col) \
+            .agg(F.min_by(text_col, key).alias(text_col)).select(text_col, label_col)
+        sample = some.unionAll(unseen) if len(seen) < len(indexer.labels) else some
+    else:
+        sample = usable.select(text_col, label_col)
+    data = stored(spread_for_cpu(sample), "labelled-text")
     n = data.count()
     tok = RegexTokenizer(inputCol=text_col, outputCol="_tokens", pattern=TOKEN_PATTERN, gaps=False, toLowercase=True)
-    cv = CountVectorizerModel.from_vocabulary(vocabulary(data, text_col, vocab_size), "_tokens", "_tf")
+    cv = CountVectorizerModel.from_vocabulary(vocabulary(usable, text_col, vocab_size), "_tokens", "_tf")
     front = PipelineModel(stages=[tok, cv])
-    # Tokenising is the costly pass; keep the term counts for the IDF and model fits,
-    # and release them as soon as the (eager) fits are done.
+    # Tokenising is the costly pass; keep the term counts of the rows fitted on for the
+    # model fit, and release them as soon as the (eager) fits are done.
     counted = front.transform(data).select(label_col, "_tf").persist(StorageLevel.MEMORY_AND_DISK)
-    idf = IDF(inputCol="_tf", outputCol="_idf").fit(counted)
+    idf = IDF(inputCol="_tf", outputCol="_idf").fit(front.transform(usable).select("_tf"))
     scale = ElementwiseProduct(scalingVec=Vectors.dense([w + 1.0 for w in idf.idf.toArray()]),
                                inputCol="_tf", outputCol="_w")
     norm = Normalizer(inputCol="_w", outputCol="_features", p=2.0)
-    indexer = StringIndexer(inputCol=label_col, outputCol="_label", stringOrderType="alphabetAsc").fit(data)
     lr = LogisticRegression(featuresCol="_features", labelCol="_label", family="multinomial",
                             maxIter=max_iter, regParam=1.0 / max(n, 1), elasticNetParam=0.0,
                             standardization=False, tol=STOPPING_TOLERANCE)
