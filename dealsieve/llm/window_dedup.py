@@ -14,6 +14,11 @@ super-k-mer once, from its earliest place, and marks the other places of its
 own at once.  Tasks work on a bounded size of text at a time, and the number
 of buckets follows the size of the texts.
 
+Hot minimisers are split: the bytes of the different super-k-mers under each
+minimiser are summed first, and where they pass a bucket's size (none below
+half of it), each window travels by itself to the bucket of the hash of all
+its words.  Equal windows still meet, and each is compared in full.
+
 Defined results: a null text has no words; rows are ordered by id, null ids
 last, and rows with the same id by their text's hash; a repeated row (same id
 and text) is the same document, so it is not a copy of itself; an empty table
@@ -124,8 +129,9 @@ def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (past - lengths), lengths) + np.arange(int(past[-1]) if len(past) else 0)
 
 
-def super_kmers(texts: list[bytes], docs: Documents, buckets: int) -> Iterator[tuple[int, bytes]]:
-    """(bucket, packed share) of a chunk of documents."""
+def cut_chunk(texts: list[bytes], docs: Documents, hot: np.ndarray):
+    """The super-k-mers of a chunk: strings, document, place, windows, minimiser, hash to deal by, whether its
+    minimiser is hot, whether the string is the chunk's first of its kind; None without any."""
     words: list[bytes] = []
     kept, counts, seen = [], [], set()
     for d in docs.order(np.zeros(len(texts), np.int64)).tolist():   # so that the first place seen is the earliest
@@ -137,10 +143,12 @@ def super_kmers(texts: list[bytes], docs: Documents, buckets: int) -> Iterator[t
             counts.append(len(own))
             words += own
     if not kept:
-        return
+        return None
     text = b" ".join(words) + b" "
     past = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)     # where each word's blank ends
-    minima = sliding_minima(sequence_hashes(word_hashes(words), MINI), WINDOW - MINI + 1)
+    hashes = word_hashes(words)
+    minima = sliding_minima(sequence_hashes(hashes, MINI), WINDOW - MINI + 1)
+    single = np.isin(minima, hot)
     del words
     ends = np.cumsum(counts)
     doc_start = ends - counts
@@ -149,12 +157,12 @@ def super_kmers(texts: list[bytes], docs: Documents, buckets: int) -> Iterator[t
         cut = ends - k
         inside[cut[cut < len(minima)]] = False
     fresh = inside.copy()
-    fresh[1:] &= (minima[1:] != minima[:-1]) | ~inside[:-1]
+    fresh[1:] &= (minima[1:] != minima[:-1]) | ~inside[:-1] | single[1:]
     starts = np.flatnonzero(fresh)
     windows = np.bincount(np.cumsum(fresh)[inside] - 1, minlength=len(starts))
     doc = np.searchsorted(ends, starts, "right")
-    bucket = (mixed(minima[starts]) % np.uint64(buckets)).astype(np.int64)
-
+    single, least = single[starts], minima[starts]
+    deal = np.where(single, sequence_hashes(hashes, WINDOW)[starts], least) if single.any() else least
     places = (starts - doc_start[doc]).astype(np.int64)
     of_doc = np.array(kept)[doc]
     begin = np.concatenate(([0], past))[starts].tolist()
@@ -162,7 +170,30 @@ def super_kmers(texts: list[bytes], docs: Documents, buckets: int) -> Iterator[t
     first_place: dict[bytes, int] = {}
     strings = [text[a:b] for a, b in zip(begin, end)]
     is_first = np.fromiter((first_place.setdefault(x, j) == j for j, x in enumerate(strings)), bool, len(strings))
-    del first_place
+    return strings, of_doc, places, windows, least, deal, single, is_first
+
+
+def minimiser_bytes(texts: list[bytes], docs: Documents, share: float) -> tuple[np.ndarray, np.ndarray]:
+    """(minimiser, bytes) of a chunk's different super-k-mers, where it has more bytes than ``share``."""
+    cut = cut_chunk(texts, docs, np.empty(0, np.uint64))
+    if cut is None:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    strings, *_, least, _, _, is_first = cut
+    found, number = np.unique(least, return_inverse=True)
+    size = np.bincount(number, np.fromiter(map(len, strings), np.int64, len(strings)) * is_first, len(found))
+    return found[size > share], size[size > share].astype(np.int64)
+
+
+def super_kmers(texts: list[bytes], docs: Documents, buckets: int,
+                hot: np.ndarray = np.empty(0, np.uint64)) -> Iterator[tuple[int, bytes]]:
+    """(bucket, packed share) of a chunk of documents."""
+    cut = cut_chunk(texts, docs, hot)
+    if cut is None:
+        return
+    strings, of_doc, places, windows, _, deal, single, is_first = cut
+    # Known copies are not compared again, so those of a hot minimiser go by their document.
+    deal = np.where(single & ~is_first, docs.hashes[of_doc].astype(np.int64).view(np.uint64), deal)
+    bucket = (mixed(deal) % np.uint64(buckets)).astype(np.int64)
     by_bucket = np.argsort(bucket, kind="stable")
     cuts = np.searchsorted(bucket[by_bucket], np.arange(buckets + 1))
     for b in range(buckets):
@@ -241,43 +272,71 @@ def bucket_marks(blobs: list[bytes]) -> dict[str, np.ndarray]:
 
 # ---------------------------------------------------------------- Spark jobs
 
-def marked_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text_hash, first, past): word spans covered by windows that also start earlier."""
+def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], Documents]]:
+    """Texts and order keys of about ``CHUNK_BYTES`` at a time."""
+    held, size = [], 0
+
+    def taken():
+        ids = [r[0] for r in held]
+        return [r[2] for r in held], Documents(np.array([i is None for i in ids]),
+                                               np.array([i or 0 for i in ids], np.int64),
+                                               np.array([r[1] for r in held], np.int64))
+    for batch in batches:
+        for doc_id, text_hash, text in zip(*batch.columns):
+            raw = text.as_buffer().to_pybytes()
+            held.append((doc_id.as_py(), text_hash.as_py(), raw))
+            size += len(raw)
+            if size >= CHUNK_BYTES:
+                yield taken()
+                held, size = [], 0
+    if held:
+        yield taken()
+
+
+def hot_minimisers(rows: DataFrame, total: int, bucket_bytes: int) -> np.ndarray:
+    """Minimisers whose different super-k-mers pass a bucket's size; at most a few for each bucket.
+
+    A chunk leaves out what is below its share of half a bucket, so what is
+    left out of a minimiser is less than half a bucket over all chunks.
+    """
+    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for texts, docs in chunks(batches):
+            found, size = minimiser_bytes(texts, docs, bucket_bytes / 2 * sum(map(len, texts)) / max(total, 1))
+            yield pa.RecordBatch.from_pydict({"minimiser": pa.array(found.view(np.int64), pa.int64()),
+                                              "n": pa.array(size, pa.int64())})
+    summed = rows.mapInArrow(sizes, "minimiser long, n long").groupBy("minimiser").agg(F.sum("n").alias("n"))
+    found = summed.where(F.col("n") > bucket_bytes // 2).select("minimiser").collect()
+    return np.array(sorted(r[0] for r in found), np.int64).view(np.uint64)
+
+
+def dealt_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(bucket, packed): the super-k-mers of all texts."""
     text = text_or_empty(text_col)
     total = docs.select(F.octet_length(text).cast("long").alias("n")).agg(F.sum("n")).first()[0] or 0
     buckets = max(16, math.ceil(total / BUCKET_BYTES))
 
+    rows = small_batches(docs).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"),
+                       text.alias("text"))
+    hot = hot_minimisers(rows, total, BUCKET_BYTES)
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-
-        def flush():
-            ids = [r[0] for r in held]
-            keys = Documents(np.array([i is None for i in ids]), np.array([i or 0 for i in ids], np.int64),
-                             np.array([r[1] for r in held], np.int64))
-            out = list(super_kmers([r[2] for r in held], keys, buckets))
-            held.clear()
-            return pa.RecordBatch.from_pydict({"bucket": pa.array([b for b, _ in out], pa.int32()),
-                                               "packed": pa.array([p for _, p in out], pa.binary())})
-        for batch in batches:
-            for doc_id, text_hash, text in zip(*batch.columns):
-                raw = text.as_buffer().to_pybytes()
-                held.append((doc_id.as_py(), text_hash.as_py(), raw))
-                size += len(raw)
-                if size >= CHUNK_BYTES:
-                    yield flush()
-                    size = 0
-        if held:
-            yield flush()
+        for texts, keys in chunks(batches):
+            out = list(super_kmers(texts, keys, buckets, hot))
+            yield pa.RecordBatch.from_pydict({"bucket": pa.array([b for b, _ in out], pa.int32()),
+                                              "packed": pa.array([p for _, p in out], pa.binary())})
+
+    return rows.mapInArrow(cut, ROWS_SCHEMA)
 
+
+def marked_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, text_hash, first, past): word spans covered by windows that also start earlier."""
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
         found = bucket_marks(pdf["packed"].tolist())
         ids = pd.Series(found["doc_id"], dtype="Int64").mask(found["null"] == 1)
         return pd.DataFrame({"doc_id": ids, "text_hash": found["text_hash"],
                              "first": found["first"], "past": found["past"]})
 
-    rows = small_batches(docs).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"),
-                       text.alias("text"))
-    return rows.mapInArrow(cut, ROWS_SCHEMA).groupBy("bucket").applyInPandas(count, MARKS_SCHEMA)
+    return dealt_windows(docs, id_col, text_col).groupBy("bucket").applyInPandas(count, MARKS_SCHEMA)
 
 
 def keep_unmarked(text: bytes, marks: list[dict]) -> tuple[bytes, int, int]:
