@@ -1,7 +1,8 @@
 """The registered queries of the training-data operators and their DuckDB SQL.
 
-Each query applies its operator with production parameters to the whole
-``documents`` table and derives the digest columns of its contract.
+Each query applies its operator with production parameters to its whole table
+(``documents``, or what its name says) and derives the digest columns of its
+contract.
 """
 
 from __future__ import annotations
@@ -11,8 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealsieve.llm import (bpe_lexicon, content_sort, host_rules, language_mix, license_templates, poisson_mix,
-                           sketch_dedup, slot_shards, token_files, window_dedup)
+from dealsieve.llm import (bpe_lexicon, content_sort, curve_clusters, host_rules, language_mix, license_templates,
+                           poisson_mix, sketch_dedup, slot_shards, token_files, window_dedup)
 from dealsieve.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -182,3 +183,37 @@ def op2_sketch_dedup(spark, sf_dir):
     """Near-duplicate components of all documents."""
     return sketch_dedup.near_duplicates(documents(spark, sf_dir)) \
         .select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _cluster_sql(clusters: int, rounds: int) -> str:
+    """Each round spelled out: distances to all centroids, the nearest, and the means rounded down."""
+    parts = [f"""
+v AS MATERIALIZED (SELECT vec_id, j, floor(256 * embedding[j + 1]::DOUBLE)::BIGINT AS x
+                   FROM (SELECT vec_id, embedding, unnest(generate_series(0, 63)) AS j FROM embeddings
+                         WHERE len(embedding) = 64
+                           AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)),
+f AS (SELECT vec_id, row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS k FROM (SELECT DISTINCT vec_id FROM v)),
+c0 AS MATERIALIZED (SELECT k, j, x FROM f JOIN v ON f.vec_id = v.vec_id WHERE k < {clusters})"""]
+    for i in range(rounds + 1):
+        parts.append(f"""
+a{i} AS MATERIALIZED (SELECT vec_id, min(d * 1000 + k) % 1000 AS k, min(d) AS d
+     FROM (SELECT r.vec_id, c.k, sum((r.x - c.x) * (r.x - c.x))::BIGINT AS d FROM v AS r JOIN c{i} AS c ON r.j = c.j
+           GROUP BY r.vec_id, c.k) GROUP BY vec_id)""")
+        if i < rounds:
+            parts.append(f"""
+c{i + 1} AS MATERIALIZED (SELECT c.k, c.j, coalesce(floor(m.s / m.n)::BIGINT, c.x) AS x FROM c{i} AS c
+     LEFT JOIN (SELECT a.k, r.j, sum(r.x)::DOUBLE AS s, count(*) AS n FROM a{i} AS a JOIN v AS r ON a.vec_id = r.vec_id
+                GROUP BY a.k, r.j) AS m ON m.k = c.k AND m.j = c.j)""")
+    return "WITH" + ",".join(parts) + f"""
+SELECT vec_id, a.k::INT AS cluster, d AS distance, sum(d) OVER (PARTITION BY a.k)::BIGINT AS cluster_inertia,
+       sum(d) OVER ()::BIGINT AS inertia, h.centroid_sha256
+FROM a{rounds} AS a JOIN (SELECT k, sha256(string_agg(x::VARCHAR, ',' ORDER BY j)) AS centroid_sha256
+                          FROM c{rounds} GROUP BY k) AS h ON a.k = h.k"""
+
+
+@query("op11_curve_clusters", oracle=_cluster_sql(40, 5))
+def op11_curve_clusters(spark, sf_dir):
+    """Five rounds from 40 centroids over the whole ``embeddings`` table, in blocks along a Hilbert curve."""
+    table = spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet")
+    return curve_clusters.cluster_vectors(table).select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
