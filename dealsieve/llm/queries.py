@@ -12,8 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealsieve.llm import (bpe_lexicon, content_sort, curve_clusters, host_rules, language_mix, license_templates,
-                           poisson_mix, sketch_dedup, slot_shards, token_files, window_dedup)
+from dealsieve.llm import (bpe_lexicon, content_sort, credential_links, curve_clusters, host_rules, language_mix,
+                           license_templates, poisson_mix, sketch_dedup, slot_shards, token_files, window_dedup)
 from dealsieve.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -217,3 +217,19 @@ def op11_curve_clusters(spark, sf_dir):
     table = spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet")
     return curve_clusters.cluster_vectors(table).select(
         "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+@query("op12_credential_links")
+def op12_credential_links(spark, sf_dir):
+    """Secrets of every whole text, and the weak parts that stand beside their complement."""
+    out = credential_links.scan_credentials(documents(spark, sf_dir))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x.kind, x.start, x.past)), ",")
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda x: x.kind == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda x: x.kind.isin(credential_links.BASE))
+    return out.select("doc_id", *[count(kind) for kind in credential_links.BASE], F.sha2(joined(base), 256).alias("base_sha256"),
+                      joined(F.col("spans")).alias("spans"), F.size("links").cast("long").alias("n_links"))
