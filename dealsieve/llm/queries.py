@@ -12,9 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealsieve.llm import (bpe_lexicon, content_sort, credential_links, curve_clusters, host_rules, language_mix,
-                           license_templates, poisson_mix, sketch_dedup, slot_shards, token_files, window_dedup)
-from dealsieve.llm.common import documents
+from dealsieve.llm import (bpe_lexicon, burst_trie, content_sort, credential_links, curve_clusters, host_rules,
+                           language_mix, license_templates, poisson_mix, sketch_dedup, slot_shards, token_files, window_dedup)
+from dealsieve.llm.common import documents, materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -233,3 +233,55 @@ def op12_credential_links(spark, sf_dir):
     base = F.filter("spans", lambda x: x.kind.isin(credential_links.BASE))
     return out.select("doc_id", *[count(kind) for kind in credential_links.BASE], F.sha2(joined(base), 256).alias("base_sha256"),
                       joined(F.col("spans")).alias("spans"), F.size("links").cast("long").alias("n_links"))
+
+
+FIRST_TURNS = 6      # a rebuilt conversation begins with fewer turns of its base than this
+
+
+def rebuilt_conversations(placed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Placed turns and ids of the rebuilt conversations: the first h turns of conversation c - c % 100, then c's
+    own turns after its first h, h being the checksum of c's digits modulo 6."""
+    conv = F.col("conv_id")
+    convs = placed.select("conv_id").distinct().select(
+        "conv_id", (conv - conv % 100).alias("base"), (F.crc32(conv.cast("string").cast("binary")) % FIRST_TURNS).alias("h"))
+    lead = placed.where((conv % 100 == 0) & (F.col("place") < FIRST_TURNS)).withColumnRenamed("conv_id", "base")
+    convs = materialise(convs.join(lead.groupBy("base").agg(F.count(F.lit(1)).alias("n")), "base", "left")
+                        .select("conv_id", "base", "h", F.least("h", F.coalesce("n", F.lit(0))).alias("led")), "conversations")
+    first = convs.join(lead, "base").where("place <= h").select("conv_id", "place", "turn_id", "size")
+    own = placed.join(convs, "conv_id").where("place > h") \
+        .select("conv_id", (F.col("place") - F.col("h") + F.col("led")).alias("place"), "turn_id", "size")
+    return first.unionByName(own), convs.select("conv_id")
+
+
+@query("op13_burst_trie", oracle="""
+WITH o AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p
+           FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, conv_id - conv_id % 100 AS base, xor(4294967295, list_reduce(
+        list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+        lambda a, b: list_reduce(generate_series(1, 8)::BIGINT[], lambda y, k:
+            CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384) ELSE y >> 1 END, xor(a, b)), 4294967295)) % 6 AS h
+      FROM (SELECT DISTINCT conv_id FROM o)),
+n AS (SELECT c.*, least(h, (SELECT count(*) FROM o WHERE o.conv_id = c.base)) AS led FROM c),
+t AS (SELECT n.conv_id, o.p, role, text FROM n JOIN o ON o.conv_id = n.base WHERE o.p <= h
+      UNION ALL SELECT n.conv_id, o.p - h + led, role, text FROM n JOIN o ON o.conv_id = n.conv_id WHERE o.p > h),
+x AS (SELECT n.conv_id, 0 AS depth, '' AS path, 0 AS size FROM n UNION ALL
+      SELECT conv_id, p, string_agg(md5(length(role) || ':' || role || text), '') OVER (PARTITION BY conv_id ORDER BY p), length(text)
+      FROM t),
+m AS (SELECT conv_id, max(depth) AS d FROM x GROUP BY conv_id),
+y AS MATERIALIZED (SELECT x.path, min(x.conv_id) AS conv_id, any_value(depth) AS depth, count(*) AS n_convs, any_value(size) AS size,
+             string_agg(x.conv_id::VARCHAR, ',' ORDER BY x.conv_id) FILTER (depth = d) AS ends
+      FROM x JOIN m ON x.conv_id = m.conv_id GROUP BY x.path),
+k AS MATERIALIZED (SELECT y.*, (SELECT count(*) FROM y AS z WHERE z.depth = y.depth + 1 AND starts_with(z.path, y.path)) AS n_children
+                   FROM y)
+SELECT k.conv_id, k.depth::BIGINT AS depth, u.conv_id AS parent_conv_id, k.n_convs, k.n_children,
+       (SELECT count(*) FROM k AS z WHERE starts_with(z.path, k.path) AND z.n_children = 0) AS n_leaves,
+       (SELECT sum((z.n_convs - 1) * z.size) FROM k AS z WHERE starts_with(z.path, k.path))::BIGINT AS saved_tokens,
+       sha256(coalesce(k.ends, '')) AS ends_sha256
+FROM k LEFT JOIN y AS u ON k.depth > 0 AND u.path = left(k.path, -32)
+""")
+def op13_burst_trie(spark, sf_dir):
+    """The prefix trie of all rebuilt conversations."""
+    table = spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet")
+    placed = materialise(burst_trie.number_turns(burst_trie.turn_rows(table)), "placed")
+    return burst_trie.build_trie(*rebuilt_conversations(placed))
