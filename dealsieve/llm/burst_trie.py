@@ -33,19 +33,21 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dealsieve.llm.common import materialise, ship_by_value, small_batches
 
-CONTAINER_TURNS = 1024
+CONTAINER_TURNS = 2048
 CELL = 256                  # places of a chain, or of a conversation's rows, that are numbered together
 PIECE_IDS = 1 << 14         # ids in a piece of the joined members
 ID_BYTES = 16
 
 NODE = ("conv_id long, depth long, parent_conv_id long, n_convs long, n_children long, n_leaves long, saved_tokens long, "
         "ends_sha256 string")
+NODE_COLUMNS = [c.split()[0] for c in NODE.split(", ")]
 NOTHING = hashlib.sha256(b"").hexdigest()
 
 
@@ -62,69 +64,103 @@ def turn_rows(turns: DataFrame) -> DataFrame:
 def number_turns(rows: DataFrame) -> DataFrame:
     """Adds place, from 1, to rows of (conv_id, turn, turn_id, size) by turn (null first), then turn id.
 
-    Rows are range-partitioned and counted per (range, conversation) first, so
-    a conversation with any number of turns is numbered in many tasks.
+    Rows are range-partitioned and numbered as each range's sorted rows stream
+    by, so a conversation with any number of turns is numbered in many tasks.
+    Only the first conversation of a range can have rows in an earlier one:
+    the rows of these conversations are counted per range, which gives at most
+    two counts a range, whatever the input.
     """
-    order = [F.asc_nulls_first("turn"), "turn_id", "nth"]
-    ranged = materialise(rows.withColumn("nth", F.monotonically_increasing_id())
-                         .repartitionByRange("conv_id", *order).withColumn("range", F.spark_partition_id()), "turns")
-    before = Window.partitionBy("conv_id").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    first = ranged.groupBy("conv_id", "range").agg(F.count(F.lit(1)).alias("n")) \
-        .select("conv_id", "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    inside = Window.partitionBy("conv_id", "range").orderBy(*order)
-    return ranged.withColumn("k", F.row_number().over(inside)).join(first, ["conv_id", "range"]) \
-        .select("conv_id", (F.col("first") + F.col("k")).alias("place"), "turn_id", "size")
+    def count_on(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, before = None, 0
+        for batch in batches:
+            conv = batch.column(0).to_numpy()
+            if not len(conv):
+                continue
+            new = np.concatenate([[conv[0] != last], conv[1:] != conv[:-1]])
+            begin = np.maximum.accumulate(np.where(new, np.arange(len(conv)), -before))
+            place = np.arange(1, len(conv) + 1) - begin
+            last, before = conv[-1], int(place[-1])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(place), batch.column(1), batch.column(2)],
+                                             ["conv_id", "k", "turn_id", "size"])
+
+    order = ["conv_id", F.asc_nulls_first("turn"), "turn_id", "nth"]
+    ranged = materialise(
+        rows.withColumn("nth", F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order)
+        .select("conv_id", "turn_id", "size").mapInArrow(count_on, "conv_id long, k long, turn_id binary, size long")
+        .withColumn("range", F.spark_partition_id()), "turns")
+    first = ranged.groupBy("range").agg(F.min("conv_id").alias("conv_id")).select("conv_id").distinct()
+    counts = ranged.join(first, "conv_id").groupBy("conv_id", "range").agg(F.max("k").alias("n")) \
+        .orderBy("conv_id", "range").collect()
+    offsets, before = [], {}
+    for r in counts:
+        offsets.append((r.conv_id, r.range, before.get(r.conv_id, 0)))
+        before[r.conv_id] = before.get(r.conv_id, 0) + r.n
+    table = rows.sparkSession.createDataFrame(offsets, "conv_id long, range int, first long")
+    return ranged.join(F.broadcast(table), ["conv_id", "range"], "left") \
+        .select("conv_id", (F.col("k") + F.coalesce("first", F.lit(0))).alias("place"), "turn_id", "size")
 
 
 def sequences(placed: DataFrame, members: DataFrame) -> DataFrame:
-    """One row a distinct sequence: its smallest conv_id, number of members, number of turns, hash of the members."""
+    """One row a distinct sequence: seq (its smallest conv_id), n members, n_turns, and ends, the SHA-256 of the
+    members' conv_ids in ascending order and joined by commas.
+
+    Ranges of (sequence, conv_id) join their ids in pieces; a sequence's
+    pieces are hashed in order as they stream by.
+    """
     def total(seed):
-        # A sum of 64-bit hashes in a decimal: no order, no overflow.
-        return F.sum(F.xxhash64("place", "turn_id", F.lit(seed)).cast("decimal(38,0)"))
-
-    whole = placed.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n_turns"), total(1).alias("a"), total(2).alias("b"))
-    keyed = materialise(members.select("conv_id").distinct().join(whole, "conv_id", "left").select(
-        "conv_id", F.coalesce("n_turns", F.lit(0)).alias("n_turns"),
-        F.xxhash64(F.coalesce("n_turns", F.lit(0)), F.coalesce("a", F.lit(0)).cast("string")).alias("a"),
-        F.xxhash64(F.coalesce("b", F.lit(0)).cast("string")).alias("b")), "members")
-    key = ["n_turns", "a", "b"]
-    groups = keyed.groupBy(*key).agg(F.min("conv_id").alias("seq"), F.count(F.lit(1)).alias("n"))
-    single = groups.where("n = 1").select("seq", "n", "n_turns", F.sha2(F.col("seq").cast("string"), 256).alias("ends"))
-    shared = groups.where("n > 1")
-    hashes = member_hashes(keyed.join(shared, key).select("seq", "conv_id"))
-    return single.unionByName(shared.join(hashes, "seq").select("seq", "n", "n_turns", "ends"))
-
-
-def member_hashes(members: DataFrame) -> DataFrame:
-    """seq and the SHA-256 of its conv_ids, in ascending order and joined by commas."""
-    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seq, ids = None, []
+        # A sum of 64-bit hashes in a decimal: no order, no overflow; null places (members) add nothing.
+        return F.coalesce(F.sum(F.when(F.col("place").isNotNull(), F.xxhash64("place", "turn_id", F.lit(seed)))
+                                .cast("decimal(38,0)")), F.lit(0)).cast("string")
+
+    rows = placed.select("conv_id", "place", "turn_id").unionByName(
+        members.select("conv_id", F.lit(None).cast("long").alias("place"), F.lit(None).cast("binary").alias("turn_id")))
+    keyed = rows.groupBy("conv_id").agg(F.count("place").alias("n_turns"), total(1).alias("a"), total(2).alias("b")) \
+        .select("conv_id", "n_turns", F.xxhash64("a", "n_turns").alias("a"), F.xxhash64("b").alias("b"))
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, ids, out = None, [], []
         for batch in batches:
-            for s, i in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if ids and (s != seq or len(ids) == PIECE_IDS):
-                    yield pa.RecordBatch.from_pydict({"seq": [seq], "first": [ids[0]], "ids": [",".join(map(str, ids))]})
+            for *k, i in zip(*(c.to_pylist() for c in batch.columns)):
+                if ids and (k != key or len(ids) == PIECE_IDS):
+                    out.append((*key, ids[0], len(ids), ",".join(map(str, ids))))
                     ids = []
-                seq = s
+                key = k
                 ids.append(i)
+            if out:
+                yield _batch(out, pieces)
+                out = []
         if ids:
-            yield pa.RecordBatch.from_pydict({"seq": [seq], "first": [ids[0]], "ids": [",".join(map(str, ids))]})
+            yield _batch([(*key, ids[0], len(ids), ",".join(map(str, ids)))], pieces)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seq, state = None, None
+        key, own, state, out = None, None, None, []
         for batch in batches:
-            for s, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
-                if s != seq:
+            for *k, first, n, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if k != key:
                     if state:
-                        yield pa.RecordBatch.from_pydict({"seq": [seq], "ends": [state.hexdigest()]})
-                    seq, state = s, hashlib.sha256(text.encode())
+                        out.append((*own, state.hexdigest()))
+                    key, own, state = k, [first, n, k[0]], hashlib.sha256(text.encode())
                 else:
+                    own[1] += n
                     state.update(b"," + text.encode())
+            if out:
+                yield _batch(out, kinds)
+                out = []
         if state:
-            yield pa.RecordBatch.from_pydict({"seq": [seq], "ends": [state.hexdigest()]})
+            yield _batch([(*own, state.hexdigest())], kinds)
+
+    pieces = [("n_turns", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("first", pa.int64()), ("n", pa.int64()),
+              ("ids", pa.string())]
+    kinds = [("seq", pa.int64()), ("n", pa.int64()), ("n_turns", pa.int64()), ("ends", pa.string())]
+    key, order = ["n_turns", "a", "b"], ["n_turns", "a", "b", "conv_id"]
+    cut = materialise(keyed, "members").repartitionByRange(*order).sortWithinPartitions(*order).select(*order) \
+        .mapInArrow(joined, "n_turns long, a long, b long, first long, n long, ids string")
+    return cut.repartition(*key).sortWithinPartitions(*key, "first") \
+        .mapInArrow(hashed, "seq long, n long, n_turns long, ends string")
+
 
-    order = ["seq", "conv_id"]
-    cut = members.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(pieces, "seq long, first long, ids string")
-    return cut.repartition("seq").sortWithinPartitions("seq", "first").mapInArrow(hashed, "seq long, ends string")
+def _batch(rows: list[tuple], kinds: list[tuple[str, pa.DataType]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows), kinds)], schema=pa.schema(kinds))
 
 
 def _following(turns: DataFrame, heads: DataFrame) -> DataFrame:
@@ -132,32 +168,34 @@ def _following(turns: DataFrame, heads: DataFrame) -> DataFrame:
     return turns.join(heads, "seq").where("place > depth")
 
 
-def _boxes(turns: DataFrame, held: DataFrame) -> DataFrame:
+def _boxes(turns: DataFrame, held: DataFrame, low: int, high: int) -> DataFrame:
     """Sequences (seq, n, n_turns, ends, depth, above, over) dealt into boxes by the turn below their head.
 
-    ``above`` is the box of the head and ``over`` its smallest conv_id.  Adds
-    box, and of the box: top (smallest conv_id), members, sequences and turns.
+    ``above`` is the box of the head, ``over`` its smallest conv_id; depths
+    lie between ``low`` and ``high``.
     """
-    nxt = held.where("n_turns > depth").join(turns.select("seq", (F.col("place") - 1).alias("depth"), "turn_id"), ["seq", "depth"])
-    boxed = nxt.withColumn("box", F.sha2(F.concat(F.col("above").cast("binary"), "turn_id"), 256)).drop("turn_id")
-    sums = boxed.groupBy("box").agg(F.min("seq").alias("top"), F.sum("n").alias("members"), F.count(F.lit(1)).alias("n_seqs"),
-                                    F.sum(F.col("n_turns") - F.col("depth")).alias("n_left"))
-    return boxed.join(sums, "box")
+    following = turns.where(F.col("place").between(low + 1, high + 1)) \
+        .select("seq", (F.col("place") - 1).alias("depth"), "turn_id")
+    return held.where("n_turns > depth").join(following, ["seq", "depth"]) \
+        .withColumn("box", F.sha2(F.concat(F.col("above").cast("binary"), "turn_id"), 256)).drop("turn_id")
 
 
-def _burst(turns: DataFrame, boxed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(box, last): the depth to which all sequences of a large box agree; and its chain (box, place, size).
+def _large(boxed: DataFrame) -> DataFrame:
+    """One row a box to burst: its head, smallest conv_id (top), members and number of sequences."""
+    return boxed.groupBy("box").agg(
+        F.first("above").alias("above"), F.first("over").alias("over"), F.first("depth").alias("depth"), F.min("seq").alias("top"),
+        F.sum("n").alias("members"), F.count(F.lit(1)).alias("n_seqs"), F.sum(F.col("n_turns") - F.col("depth")).alias("n_left")) \
+        .where(F.col("n_left") > CONTAINER_TURNS).drop("n_left")
 
-    A place belongs to the chain if every sequence of the box has a turn
-    there, always the same one, and so at every place above.
+
+def _paths(turns: DataFrame, held: DataFrame) -> DataFrame:
+    """(box, place, size, same): whether all sequences of a box to burst have one turn, the same one, at a place.
+
+    Where they do at a place, they do at every place above it.
     """
-    at = _following(turns, boxed.select("seq", "box", "depth", "n_seqs")).groupBy("box", "place").agg(
-        F.min("turn_id").alias("lo"), F.max("turn_id").alias("hi"), F.count(F.lit(1)).alias("k"),
-        F.first("n_seqs").alias("n_seqs"), F.min("size").alias("size"))
-    at = materialise(at.select("box", "place", "size", ((F.col("lo") == F.col("hi")) & (F.col("k") == F.col("n_seqs"))).alias("same")),
-                     "chain")
-    last = at.groupBy("box").agg(F.coalesce(F.min(F.when(~F.col("same"), F.col("place") - 1)), F.max("place")).alias("last"))
-    return last, at.join(last, "box").where("place <= last").select("box", "place", "size")
+    return _following(turns, held.select("seq", "box", "depth", "n_seqs")).groupBy("box", "place").agg(
+        F.min("size").alias("size"),
+        ((F.min("turn_id") == F.max("turn_id")) & (F.count(F.lit(1)) == F.first("n_seqs"))).alias("same"))
 
 
 def sweep(rows: list[tuple[bytes, list[int], int, int, str]], depth: int, over: int | None) -> list[tuple]:
@@ -199,30 +237,39 @@ def sweep(rows: list[tuple[bytes, list[int], int, int, str]], depth: int, over:
 
 
 def _swept(turns: DataFrame, small: DataFrame) -> DataFrame:
-    """Nodes of all small boxes, with their box: one bounded list a sequence, sorted and swept box by box."""
-    suffix = _following(turns, small.select("seq", "depth")).groupBy("seq") \
-        .agg(F.sort_array(F.collect_list(F.struct("place", "turn_id", "size"))).alias("t"))
-    rows = small.join(suffix, "seq").select("box", "depth", "over", "seq", "n", "ends", F.col("t.turn_id").alias("ids"),
-                                            F.col("t.size").alias("sizes"))
-    columns = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
-    kinds = pa.schema([("box", pa.string()), *[(c, pa.string() if c == "ends_sha256" else pa.int64()) for c in columns]])
+    """Nodes of all small boxes: one bounded list a sequence, sorted and swept box by box.
+
+    ``above`` is the head's box in a box's top node, else null.
+    """
+    carried = ["box", "above", "depth", "over", "n", "ends"]
+    rows = _following(turns, small.select("seq", *carried)).groupBy("seq").agg(
+        *[F.first(c).alias(c) for c in carried], F.sort_array(F.collect_list(F.struct("place", "turn_id", "size"))).alias("t")) \
+        .select(*carried, "seq", F.col("t.turn_id").alias("ids"), F.col("t.size").alias("sizes"))
+    kinds = [("above", pa.string()), *[(c, pa.string() if c == "ends_sha256" else pa.int64()) for c in NODE_COLUMNS]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        box, depth, over, held, out = None, 0, None, [], []
+        box, held, out = None, [], []
+
+        def done() -> None:
+            # A box's first node is its top.
+            for k, node in enumerate(sweep(held, box["depth"], box["over"])):
+                out.append((None if k else box["above"], *node))
+
         for batch in batches:
             for row in batch.to_pylist():
-                if row["box"] != box:
-                    out += [(box, *x) for x in sweep(held, depth, over)]
-                    box, depth, over, held = row["box"], row["depth"], row["over"], []
-                    if len(out) >= 1 << 12:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), kinds)], schema=kinds)
-                        out = []
+                if box and row["box"] != box["box"]:
+                    done()
+                    held = []
+                box = row
                 held.append((b"".join(row["ids"]), row["sizes"], row["seq"], row["n"], row["ends"]))
-        out += [(box, *x) for x in sweep(held, depth, over)]
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), kinds)], schema=kinds)
+            if out:
+                yield _batch(out, kinds)
+                out = []
+        if held:
+            done()
+            yield _batch(out, kinds)
 
-    return small_batches(rows).repartition("box").sortWithinPartitions("box").mapInArrow(run, "box string, " + NODE)
+    return small_batches(rows).repartition("box").sortWithinPartitions("box").mapInArrow(run, "above string, " + NODE)
 
 
 def _from_below(chain: DataFrame) -> DataFrame:
@@ -251,45 +298,45 @@ def build_trie(placed: DataFrame, members: DataFrame) -> DataFrame:
     if whole.n is None:
         return placed.sparkSession.createDataFrame([], NODE)
     held = seqs.withColumn("depth", F.lit(0).cast("long")).withColumn("above", F.lit("")).withColumn("over", F.lit(whole.seq))
+    low = high = 0
     rounds, small = [], None
     while True:
-        boxed = materialise(_boxes(turns, held), "boxes")
-        fits = F.col("n_left") <= CONTAINER_TURNS
-        part = boxed.where(fits)
+        boxed = materialise(_boxes(turns, held, low, high), "boxes")
+        large = materialise(_large(boxed), "large")
+        part = boxed.join(large.select("box"), "box", "left_anti")
         small = part if small is None else small.unionByName(part)
-        large = boxed.where(~fits)
         if not large.take(1):
             break
-        last, chain = _burst(turns, large)
-        last, chain = materialise(last, "last"), materialise(chain, "head-chain")
-        large = materialise(large.join(last, "box"), "large")
-        rounds.append((large, chain))
-        held = large.select("seq", "n", "n_turns", "ends", F.col("last").alias("depth"), F.col("box").alias("above"),
-                            F.col("top").alias("over"))
+        held = boxed.join(large.select("box", "top", "n_seqs"), "box")
+        path = materialise(_paths(turns, held), "paths")
+        last = materialise(path.groupBy("box").agg(
+            F.coalesce(F.min(F.when(~F.col("same"), F.col("place") - 1)), F.max("place")).alias("last")), "last")
+        low, high = last.agg(F.min("last"), F.max("last")).first()
+        held = held.join(last, "box")
+        ends = held.where("n_turns = last").select("box", "ends")
+        rounds.append((large.join(last, "box").join(ends, "box", "left"), path.join(last, "box").where("place <= last").drop("last")))
+        held = held.select("seq", "n", "n_turns", "ends", F.col("last").alias("depth"), F.col("box").alias("above"),
+                           F.col("top").alias("over"))
     nodes = materialise(_swept(turns, small), "swept")
-    tops = nodes.join(small.select("box", "above", (F.col("depth") + 1).alias("depth")).distinct(), ["box", "depth"]) \
-        .select("above", "n_leaves", "saved_tokens")
-    parts = [nodes.select(*[c.split()[0] for c in NODE.split(", ")])]
-    for large, chain in reversed(rounds):
-        heads = large.groupBy("box", "above", "over", "top", "members", "depth", "last").agg(
-            F.max(F.when(F.col("n_turns") == F.col("last"), F.col("ends"))).alias("ends"))
+    tops = nodes.where("above IS NOT NULL").select("above", "n_leaves", "saved_tokens")
+    parts = [nodes.select(*NODE_COLUMNS)]
+    for heads, chain in reversed(rounds):
         sums = tops.groupBy("above").agg(F.count(F.lit(1)).alias("n_children"), F.sum("n_leaves").alias("n_leaves"),
                                          F.sum("saved_tokens").alias("saved")).withColumnRenamed("above", "box")
         tall = materialise(heads.join(sums, "box", "left").withColumn("n_children", F.coalesce("n_children", F.lit(0)))
-                            .withColumn("n_leaves", F.coalesce("n_leaves", F.lit(1)))
-                            .withColumn("saved", F.coalesce("saved", F.lit(0))), "heads")
+                           .withColumn("n_leaves", F.coalesce("n_leaves", F.lit(1)))
+                           .withColumn("saved", F.coalesce("saved", F.lit(0))), "heads")
         line = _from_below(chain.join(tall.select("box", "members"), "box")).drop("members")
+        is_top, is_last = F.col("place") == F.col("depth") + 1, F.col("place") == F.col("last")
         made = materialise(line.join(tall, "box").select(
-            "box", "above", F.col("top").alias("conv_id"), F.col("place").alias("depth"),
-            F.when(F.col("place") == F.col("depth") + 1, F.col("over")).otherwise(F.col("top")).alias("parent_conv_id"),
-            F.col("members").alias("n_convs"),
-            F.when(F.col("place") == F.col("last"), F.col("n_children")).otherwise(F.lit(1)).cast("long").alias("n_children"),
-            "n_leaves", (F.col("saved") + F.col("below")).alias("saved_tokens"),
-            F.coalesce(F.when(F.col("place") == F.col("last"), F.col("ends")), F.lit(NOTHING)).alias("ends_sha256"),
-            (F.col("place") == F.col("depth") + 1).alias("is_top")), "head-nodes")
-        parts.append(made.select(*[c.split()[0] for c in NODE.split(", ")]))
+            F.when(is_top, F.col("above")).alias("above"), F.col("top").alias("conv_id"), F.col("place").alias("depth"),
+            F.when(is_top, F.col("over")).otherwise(F.col("top")).alias("parent_conv_id"), F.col("members").alias("n_convs"),
+            F.when(is_last, F.col("n_children")).otherwise(F.lit(1)).cast("long").alias("n_children"), "n_leaves",
+            (F.col("saved") + F.col("below")).alias("saved_tokens"),
+            F.coalesce(F.when(is_last, F.col("ends")), F.lit(NOTHING)).alias("ends_sha256")), "head-nodes")
+        parts.append(made.select(*NODE_COLUMNS))
         # What this round's boxes hold counts for the heads above them, beside the small boxes there.
-        tops = tops.unionByName(made.where("is_top").select("above", "n_leaves", "saved_tokens"))
+        tops = tops.unionByName(made.where("above IS NOT NULL").select("above", "n_leaves", "saved_tokens"))
     below = tops.where("above = ''").agg(F.count(F.lit(1)).alias("k"), F.sum("n_leaves").alias("leaves"),
                                          F.sum("saved_tokens").alias("saved")).first()
     root = placed.sparkSession.createDataFrame(
@@ -301,7 +348,7 @@ def build_trie(placed: DataFrame, members: DataFrame) -> DataFrame:
 
 def conversation_trie(turns: DataFrame) -> DataFrame:
     """The trie of a table of conversations (conv_id, turn, role, text)."""
-    placed = materialise(number_turns(turn_rows(turns)), "placed")
+    placed = number_turns(turn_rows(turns))
     return build_trie(placed, placed.select("conv_id"))
 
 

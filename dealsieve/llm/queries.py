@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from dealsieve.llm import (bpe_lexicon, burst_trie, content_sort, credential_links, curve_clusters, host_rules,
                            language_mix, license_templates, poisson_mix, sketch_dedup, slot_shards, token_files, window_dedup)
-from dealsieve.llm.common import documents, materialise
+from dealsieve.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -242,15 +242,15 @@ def rebuilt_conversations(placed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Placed turns and ids of the rebuilt conversations: the first h turns of conversation c - c % 100, then c's
     own turns after its first h, h being the checksum of c's digits modulo 6."""
     conv = F.col("conv_id")
-    convs = placed.select("conv_id").distinct().select(
-        "conv_id", (conv - conv % 100).alias("base"), (F.crc32(conv.cast("string").cast("binary")) % FIRST_TURNS).alias("h"))
+    based = placed.withColumn("base", conv - conv % 100) \
+        .withColumn("h", F.crc32(conv.cast("string").cast("binary")) % FIRST_TURNS)
     lead = placed.where((conv % 100 == 0) & (F.col("place") < FIRST_TURNS)).withColumnRenamed("conv_id", "base")
-    convs = materialise(convs.join(lead.groupBy("base").agg(F.count(F.lit(1)).alias("n")), "base", "left")
-                        .select("conv_id", "base", "h", F.least("h", F.coalesce("n", F.lit(0))).alias("led")), "conversations")
-    first = convs.join(lead, "base").where("place <= h").select("conv_id", "place", "turn_id", "size")
-    own = placed.join(convs, "conv_id").where("place > h") \
-        .select("conv_id", (F.col("place") - F.col("h") + F.col("led")).alias("place"), "turn_id", "size")
-    return first.unionByName(own), convs.select("conv_id")
+    first = based.select("conv_id", "base", "h").distinct().join(lead, "base").where("place <= h") \
+        .select("conv_id", "place", "turn_id", "size")
+    led = F.least("h", F.coalesce("n", F.lit(0)))
+    own = based.where("place > h").join(lead.groupBy("base").agg(F.count(F.lit(1)).alias("n")), "base", "left") \
+        .select("conv_id", (F.col("place") - F.col("h") + led).alias("place"), "turn_id", "size")
+    return first.unionByName(own), placed.select("conv_id")
 
 
 @query("op13_burst_trie", oracle="""
@@ -283,5 +283,5 @@ FROM k LEFT JOIN y AS u ON k.depth > 0 AND u.path = left(k.path, -32)
 def op13_burst_trie(spark, sf_dir):
     """The prefix trie of all rebuilt conversations."""
     table = spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet")
-    placed = materialise(burst_trie.number_turns(burst_trie.turn_rows(table)), "placed")
+    placed = burst_trie.number_turns(burst_trie.turn_rows(table))
     return burst_trie.build_trie(*rebuilt_conversations(placed))

@@ -106,8 +106,28 @@ def test_rounds_follow_branchings_not_turns(spark, monkeypatch):
     """Two conversations that agree for 600 turns burst twice: the shared path, then each tail."""
     monkeypatch.setattr(K, "CONTAINER_TURNS", 50)
     calls = []
-    burst = K._burst
-    monkeypatch.setattr(K, "_burst", lambda *a: calls.append(1) or burst(*a))
+    paths = K._paths
+    monkeypatch.setattr(K, "_paths", lambda *a: calls.append(1) or paths(*a))
     rows = [(c, i, "user", f"t{i}" if i < 600 else f"t{i} of {c}") for c in (1, 2) for i in range(700)]
     assert nodes(K.conversation_trie(spark.createDataFrame(rows, SCHEMA))) == plain_trie(sequences_of(rows))
     assert len(calls) == 2
+
+
+def test_arrow_batches_and_ranges_do_not_change_places(spark):
+    """Conversations that end with a batch, go on over several, or begin in an earlier range."""
+    rows = [(c, i, "user", f"t{i % 5}") for c in range(40) for i in range((0, 1, 4, 8, 90)[c % 5])]
+    want = plain_trie(sequences_of(rows))
+    key, n = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for size in (1, 8, 64):
+            spark.conf.set(key, size)
+            placed = K.number_turns(K.turn_rows(spark.createDataFrame(rows, SCHEMA).repartition(3)))
+            got = {}
+            for r in placed.collect():
+                got.setdefault(r.conv_id, []).append(r.place)
+            assert {c: sorted(v) for c, v in got.items()} == {c: list(range(1, len(v) + 1)) for c, v in sequences_of(rows).items()}
+        assert nodes(K.build_trie(placed, placed.select("conv_id"))) == want
+    finally:
+        spark.conf.set(key, n)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
