@@ -10,7 +10,8 @@ from tokenizers import Tokenizer
 from dealsieve.llm.queries import BYTE_BPE, tokenizer_file
 
 from .helpers import awkward_rows, clashing
-from .test_dedup import families, plain_components, smallest
+from .test_dedup import families, smallest
+from .test_near_threshold import components_at
 from .test_shards_mix import plain_count
 
 
@@ -35,7 +36,7 @@ def test_run_equals_plain_stages(spark, tmp_dir):
         groups[re.sub(r"[\x20\x09-\x0D]+", " ", r[1])].append(r)
     rows = [min(g, key=lambda r: r[0]) for g in groups.values()]
     # 3: of near copies, the smallest id.
-    component = {i: c for i, _, c in plain_components(rows)}
+    component = components_at(rows, *P.NEAR_COPY)
     rows = [r for r in rows if component[r[0]] == r[0]]
     # 4: Poisson counts.
     size = Counter()
