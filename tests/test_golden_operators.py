@@ -291,7 +291,7 @@ def test_a_name_below_the_signature_gate_is_resolved_by_its_score(spark):
     assert (out.outcome, out.matched_number) == ("resolved", "R1") and abs(out.score - 20 / 22) < 1e-12
 
 
-@pytest.mark.parametrize("threshold", [0.90, 0.95])
+@pytest.mark.parametrize("threshold", [0.82, 0.90, 0.95])
 def test_no_pair_at_or_above_the_threshold_is_lost(spark, threshold):
     """Brute force on the score rule: every pair of records, names of all lengths, fields held or not."""
     import difflib
@@ -343,7 +343,25 @@ def test_a_name_held_by_many_records_is_scored_once(spark):
 def test_thresholds_without_complete_blocking_are_refused(spark):
     classes = resolve.record_classes(record_frame(spark, [("1", "A", None, None, None)]))
     with pytest.raises(ValueError):
-        resolve.score_pairs(classes, classes, 0.5)
+        resolve.score_pairs(classes, classes, 0.80)
+
+
+def test_names_of_a_block_meet_by_length_and_letters(spark, tmp_dir):
+    """One block of 1,500 names: hardly more pairs are scored than match, and growth follows the matches."""
+    import random
+    rnd = random.Random(5)
+    sound = ["ba", "ke", "lo", "mi", "nu", "ra", "se", "to", "vi", "zu", " "]
+
+    def scored(n):
+        names = ["".join(rnd.choice(sound) for _ in range(rnd.randint(4, 40))).strip() for _ in range(n)]
+        rows = [(f"R{i}", x, "P1", "1", None) for i, x in enumerate(names)]
+        near = [(f"N{i}", x + "a", "P1", "1", None) for i, x in enumerate(names[:n // 10])]
+        out = resolve.score_pairs(resolve.record_classes(record_frame(spark, near)),
+                                  resolve.record_classes(record_frame(spark, rows)))
+        assert out.where("score >= 0.9").count() >= n // 10 - 1
+        return out.count()
+    few, many = scored(500), scored(1500)
+    assert many < 150 * 1500 / 20 and few > 0
 
 
 def test_awards_as_of_counts_only_known_awards(spark):
