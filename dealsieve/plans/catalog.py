@@ -371,30 +371,18 @@ def text_lift(spark, sf_dir):
 SIMILAR_NUMERIC, SIMILAR_CATEGORICAL = ["size", "price"], ["p_brand", "p_type"]
 
 
+@query("nearest_companies_all")
 @query("nearest_companies")
 def nearest_companies(spark, sf_dir):
-    return similar.nearest(V.similar_items(spark, sf_dir), V.similar_references(spark, sf_dir), "p_partkey",
-                           SIMILAR_NUMERIC, SIMILAR_CATEGORICAL, V.NEAREST_K)
-
-
-@query("portfolio_similar")
-def portfolio_similar(spark, sf_dir):
-    return similar.portfolio_similar(V.similar_items(spark, sf_dir), V.portfolio(spark, sf_dir),
-                                     V.similar_references(spark, sf_dir), "p_partkey",
-                                     SIMILAR_NUMERIC, SIMILAR_CATEGORICAL, V.NEAREST_K,
-                                     suitable=F.col("size") <= 30)
-
-
-@query("nearest_companies_all")
-def nearest_companies_all(spark, sf_dir):
-    """The nearest parts of every queried part, not of three."""
+    """The five nearest parts of every queried part."""
     return similar.nearest(V.similar_items(spark, sf_dir), V.similar_queries(spark, sf_dir), "p_partkey",
                            SIMILAR_NUMERIC, SIMILAR_CATEGORICAL, V.NEAREST_K)
 
 
 @query("portfolio_similar_all")
-def portfolio_similar_all(spark, sf_dir):
-    """The nearest portfolio parts of every queried part, not of three."""
+@query("portfolio_similar")
+def portfolio_similar(spark, sf_dir):
+    """The five nearest portfolio parts of every queried part."""
     return similar.portfolio_similar(V.similar_items(spark, sf_dir), V.portfolio(spark, sf_dir),
                                      V.similar_queries(spark, sf_dir), "p_partkey",
                                      SIMILAR_NUMERIC, SIMILAR_CATEGORICAL, V.NEAREST_K,

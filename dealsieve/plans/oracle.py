@@ -471,14 +471,13 @@ ITEMS_SQL = ("SELECT p_partkey, CASE WHEN p_partkey % 13 <> 0 THEN CAST(p_size A
              "p_retailprice / 100 AS price, p_brand, p_type FROM part")
 
 
-MOST_EXPENSIVE = f"SELECT * FROM i WHERE size IS NOT NULL ORDER BY price DESC, p_partkey LIMIT {V.REFERENCE_COUNT}"
 EVERY_QUERY = f"SELECT * FROM i WHERE size IS NOT NULL AND p_partkey % {V.QUERY_STEP} = 0"
 
 
-def _nearest_sql(pool: str, references: str = MOST_EXPENSIVE) -> str:
+def _nearest_sql(pool: str) -> str:
     return f"""
         WITH i AS ({ITEMS_SQL}),
-             refs AS ({references}),
+             refs AS ({EVERY_QUERY}),
              d AS (SELECT r.p_partkey AS reference_id, x.p_partkey AS item_id,
                           SQRT(0.0 + (x.size - r.size) * (x.size - r.size) + (x.price - r.price) * (x.price - r.price)
                                + CASE WHEN x.p_brand = r.p_brand THEN 0.0 ELSE 2.0 END
@@ -489,17 +488,13 @@ def _nearest_sql(pool: str, references: str = MOST_EXPENSIVE) -> str:
             FROM d) WHERE rank <= {V.NEAREST_K}"""
 
 
-register("nearest_companies", _nearest_sql("SELECT * FROM i"))
-register("portfolio_similar", f"""
-    SELECT n.*, i2.size <= 30 AS suitable
-    FROM ({_nearest_sql("SELECT * FROM i WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R')")}) n
-    JOIN ({ITEMS_SQL}) i2 ON n.item_id = i2.p_partkey""")
-register("nearest_companies_all", _nearest_sql("SELECT * FROM i", EVERY_QUERY))
-register("portfolio_similar_all", f"""
-    SELECT n.*, i2.size <= 30 AS suitable
-    FROM ({_nearest_sql("SELECT * FROM i WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R')",
-                        EVERY_QUERY)}) n
-    JOIN ({ITEMS_SQL}) i2 ON n.item_id = i2.p_partkey""")
+for twin in ("nearest_companies", "nearest_companies_all"):
+    register(twin, _nearest_sql("SELECT * FROM i"))
+for twin in ("portfolio_similar", "portfolio_similar_all"):
+    register(twin, f"""
+        SELECT n.*, i2.size <= 30 AS suitable
+        FROM ({_nearest_sql("SELECT * FROM i WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R')")}) n
+        JOIN ({ITEMS_SQL}) i2 ON n.item_id = i2.p_partkey""")
 
 
 # ---------------------------------------------------------------- briefs, dossier

@@ -450,7 +450,6 @@ FLAG_WORDS = ["not", "no", "nicht", "pas", "never"]
 FLAG_PATTERN = "licen"
 FIT_ROWS = 20_000        # labelled rows the classifier is fitted on, at most
 NEAREST_K = 5
-REFERENCE_COUNT = 3      # the SQL of nearest_companies and portfolio_similar has the same cap
 QUERY_STEP = 20          # a search asks for every row whose id is divisible by this
 
 
@@ -494,12 +493,6 @@ def similar_items(spark, sf_dir) -> DataFrame:
                     (F.col("p_retailprice") / 100).alias("price"), "p_brand", "p_type")
 
 
-def similar_references(spark, sf_dir) -> DataFrame:
-    """The companies under investigation: the most expensive parts (a top-k by construction)."""
-    return similar_items(spark, sf_dir).where(F.col("size").isNotNull()).orderBy(F.desc("price"), "p_partkey") \
-        .limit(REFERENCE_COUNT)
-
-
 def similar_queries(spark, sf_dir) -> DataFrame:
     """Every part whose key is divisible by ``QUERY_STEP``, at any table size."""
     return similar_items(spark, sf_dir).where(F.col("p_partkey") % QUERY_STEP == 0)

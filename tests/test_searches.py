@@ -7,7 +7,7 @@ import __spark_entry__ as E
 SF = "/root/testdata/sf0.01"
 
 
-@pytest.mark.parametrize("name", ["nearest_companies_all", "portfolio_similar_all"])
+@pytest.mark.parametrize("name", ["nearest_companies", "portfolio_similar"])
 def test_every_queried_part_is_answered(spark, name):
     parts = {r.p_partkey for r in spark.read.parquet(f"{SF}/part.parquet").select("p_partkey").collect()}
     asked = {k for k in parts if k % 20 == 0 and k % 13}      # every 13th part has no size, so no distance
