@@ -467,6 +467,61 @@ register("auc_exact", """
     SELECT (rs - CAST(p AS DOUBLE) * (CAST(p AS DOUBLE) + 1.0) / 2.0) / (CAST(p AS DOUBLE) * CAST(q AS DOUBLE)) AS auc,
            p AS positives, q AS negatives FROM a""")
 
+
+NEWTON_STEPS = 40      # the fit itself stops when it no longer moves
+
+
+def _newton_sql(name: str, features: int, steps: int) -> str:
+    """Recursive CTE ``name``(step, w0, w1, ...): Newton steps over ``train`` (x1, x2, ..., y), each system solved by
+    elimination, row by row, in nested selects."""
+    n = range(features + 1)
+    xs = ["1.0", *[f"x{j}" for j in n[1:]]]
+    z = " + ".join(["w0", *[f"w{j} * x{j}" for j in n[1:]]])
+    carried = ", ".join(f"w{j}" for j in n)
+    sums = [f"sum({xs[i]} * (y - p)) - {'0.0' if i == 0 else f'w{i}'} AS r{i}" for i in n]
+    sums += [f"sum({xs[i]} * {xs[j]} * p * (1.0 - p)) + {'1.0' if i == j > 0 else '0.0'} AS a{i}{j}" for i in n for j in n]
+    rows = f"SELECT *, 1.0 / (1.0 + exp(-least(greatest({z}, -30.0), 30.0))) AS p FROM train, {name} WHERE step < {steps}"
+    q = f"SELECT step, {carried}, {', '.join(sums)} FROM ({rows}) GROUP BY step, {carried}"
+    for k in n[:-1]:
+        done = [f"r{i} - a{i}{k} / a{k}{k} * r{k} AS r{i}" if i > k else f"r{i}" for i in n]
+        done += [f"a{i}{j} - a{i}{k} / a{k}{k} * a{k}{j} AS a{i}{j}" if i > k and j >= k else f"a{i}{j}" for i in n for j in n]
+        q = f"SELECT step, {carried}, {', '.join(done)} FROM ({q})"
+    for k in reversed(n):
+        known = "".join(f" - a{k}{j} * d{j}" for j in n[k + 1:])
+        q = f"SELECT *, (r{k}{known}) / a{k}{k} AS d{k} FROM ({q})"
+    q = f"SELECT *, {' + '.join(f'abs(d{j}) * m{j}' for j in n)} AS s FROM ({q}), (SELECT * FROM largest)"
+    moved = ", ".join(f"w{j} + d{j} * (CASE WHEN s < 1e-12 THEN 1.0 ELSE ln(1.0 + s) / s END)" for j in n)
+    return f"""{name}(step, {carried}) AS (
+        SELECT 0, {', '.join('0.0::DOUBLE' for _ in n)} UNION ALL SELECT step + 1, {moved} FROM ({q}))"""
+
+
+def _lift_auc_sql(name: str, features: int, steps: int) -> str:
+    z = " + ".join(["round(w0, 9)", *[f"round(w{j}, 9) * x{j}" for j in range(1, features + 1)]])
+    return f"""
+        SELECT (rs - p * (p + 1.0) / 2.0) / (p * q) FROM (
+            SELECT sum(CASE WHEN y = 1 THEN mr ELSE 0 END)::DOUBLE AS rs, sum(CASE WHEN y = 1 THEN 1 ELSE 0 END)::DOUBLE AS p,
+                   sum(CASE WHEN y = 1 THEN 0 ELSE 1 END)::DOUBLE AS q
+            FROM (SELECT y, rank() OVER (ORDER BY z) + (count(*) OVER (PARTITION BY z) - 1) / 2.0 AS mr
+                  FROM (SELECT y, {z} AS z FROM used, {name} WHERE is_test AND step = {steps})))"""
+
+
+register("text_lift", f"""
+    WITH RECURSIVE f AS ({TEXT_FEATURES_SQL}),
+    seen AS MATERIALIZED (
+        SELECT (1 - quality)::DOUBLE AS y, n_chars / 1000.0::DOUBLE AS x1, n_tokens::DOUBLE / nullif(n_chars, 0)::DOUBLE AS x2,
+               n_lines / 10.0::DOUBLE AS x3, report_negative_language_flag::DOUBLE AS x4, going_concern_flag::DOUBLE AS x5,
+               substr(md5(CAST(l.doc_id AS VARCHAR)), 1, 2) < '40' AS is_test
+        FROM labels l JOIN documents d ON l.doc_id = d.doc_id JOIN f ON f.doc_id = d.doc_id),
+    used AS MATERIALIZED (SELECT * FROM seen WHERE isfinite(y + x1 + x2 + x3 + x4 + x5)),
+    train AS MATERIALIZED (SELECT * FROM used WHERE NOT is_test),
+    largest AS (SELECT 1.0 AS m0, max(abs(x1)) AS m1, max(abs(x2)) AS m2, max(abs(x3)) AS m3, max(abs(x4)) AS m4,
+                       max(abs(x5)) AS m5 FROM train),
+    {_newton_sql('ratio', 3, NEWTON_STEPS)},
+    {_newton_sql('every', 5, NEWTON_STEPS)}
+    SELECT r AS ratio_only_auc, t AS with_text_auc, t - r AS text_feature_lift, (SELECT count(*) FROM used) AS rows_used,
+           (SELECT count(*) FROM seen) - (SELECT count(*) FROM used) AS rows_left_out
+    FROM (SELECT ({_lift_auc_sql('ratio', 3, NEWTON_STEPS)}) AS r, ({_lift_auc_sql('every', 5, NEWTON_STEPS)}) AS t)""")
+
 ITEMS_SQL = ("SELECT p_partkey, CASE WHEN p_partkey % 13 <> 0 THEN CAST(p_size AS DOUBLE) END AS size, "
              "p_retailprice / 100 AS price, p_brand, p_type FROM part")
 
