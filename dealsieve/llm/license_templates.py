@@ -36,7 +36,8 @@ PHRASES = {
     "mit license": "mit",
 }
 
-# License notices as template markup: (label, wording).
+# License notices and texts as template markup: (label, wording).  Mandatory wording stands in full; regions vary only
+# where the published texts do (names of works and holders, numbers of clauses, the third clause, an option).
 TEMPLATES = [
     ("gpl-notice", "<<beginOptional>>this work is<<endOptional>> licensed under the gnu general public license "
                    "<<beginOptional>>as published by the free software foundation<<endOptional>> "
@@ -46,10 +47,38 @@ TEMPLATES = [
     ("cc-by-nc-4.0", "licensed under <<beginOptional>>a creative commons<<endOptional>> cc by nc 4 0"),
     ("cc-by-4.0", "licensed under <<beginOptional>>a creative commons<<endOptional>> cc by 4 0"),
     ("mit-notice", "released under the <<var;max=2>> mit license"),
-    ("mit-grant", "permission is hereby granted free of charge to any person obtaining a copy of <<var;max=6>> "
-                  "and associated documentation files"),
-    ("bsd-terms", "redistribution and use in source and binary forms with or without modification are permitted "
-                  "provided that the following conditions are met"),
+    ("gpl-header", "this <<var;max=4>> is free software you can redistribute it and or modify it under the terms of the "
+                   "gnu general public license as published by the free software foundation either version <<var;max=1>> "
+                   "of the license <<beginOptional>>or <<beginOptional>>at your option<<endOptional>> any later version<<endOptional>> "
+                   "<<beginOptional>>this <<var;max=4>> is distributed in the hope that it will be useful but without any "
+                   "warranty without even the implied warranty of merchantability or fitness for a particular purpose "
+                   "see the gnu general public license for more details<<endOptional>>"),
+    ("mit-text", "permission is hereby granted free of charge to any person obtaining a copy of this <<var;max=4>> and "
+                 "associated documentation files <<beginOptional>>the <<var;max=2>><<endOptional>> to deal in the <<var;max=2>> "
+                 "without restriction including without limitation the rights to use copy modify merge publish distribute "
+                 "sublicense and or sell copies of the <<var;max=2>> and to permit persons to whom the <<var;max=2>> is furnished "
+                 "to do so subject to the following conditions the above copyright notice and this permission notice "
+                 "<<beginOptional>>including the next paragraph<<endOptional>> shall be included in all copies or substantial "
+                 "portions of the <<var;max=2>> the <<var;max=2>> is provided as is without warranty of any kind express or implied "
+                 "including but not limited to the warranties of merchantability fitness for a particular purpose and "
+                 "<<beginOptional>>non infringement<<endOptional>><<beginOptional>>noninfringement<<endOptional>> in no event shall "
+                 "<<var;max=16>> be liable for any claim damages or other liability whether in an action of contract tort or "
+                 "otherwise arising from out of or in connection with the <<var;max=2>> or the use or other dealings in the "
+                 "<<var;max=2>>"),
+    ("bsd-text", "redistribution and use in source and binary forms with or without modification are permitted provided that "
+                 "the following conditions are met <<beginOptional>>1<<endOptional>> redistributions of source code must retain the "
+                 "above copyright notice this list of conditions and the following disclaimer <<beginOptional>>2<<endOptional>> "
+                 "redistributions in binary form must reproduce the above copyright notice this list of conditions and the "
+                 "following disclaimer in the documentation and or other materials provided with the distribution "
+                 "<<beginOptional>><<beginOptional>>3<<endOptional>> neither the name of <<var;max=12>> nor the names of "
+                 "<<var;max=4>> contributors may be used to endorse or promote products derived from this software without specific "
+                 "prior written permission<<endOptional>> this software is provided by <<var;max=12>> as is and any express or "
+                 "implied warranties including but not limited to the implied warranties of merchantability and fitness for a "
+                 "particular purpose are disclaimed in no event shall <<var;max=16>> be liable for any direct indirect incidental "
+                 "special exemplary or consequential damages including but not limited to procurement of substitute goods or "
+                 "services loss of use data or profits or business interruption however caused and on any theory of liability "
+                 "whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use "
+                 "of this software even if advised of the possibility of such damage"),
 ]
 
 WORDS = re.compile(rb"[0-9a-z\x80-\xff]+")      # words of a text whose A-Z are lower-cased, as UTF-8 bytes
