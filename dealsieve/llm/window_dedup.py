@@ -17,7 +17,9 @@ of buckets follows the size of the texts.
 Hot minimisers are split: the bytes of the different super-k-mers under each
 minimiser are summed first, and where they pass a bucket's size (none below
 half of it), each window travels by itself to the bucket of the hash of all
-its words.  Equal windows still meet, and each is compared in full.
+its words.  Equal windows still meet, and each is compared in full.  Tasks know
+the hot ones by a map of 2 ** ``HOT_BITS`` bits, whatever the input: another
+minimiser that falls on a set bit is split as well, by every task alike.
 
 Defined results: a null text has no words; rows are ordered by id, null ids
 last, and rows with the same id by their text's hash; a repeated row (same id
@@ -48,6 +50,7 @@ MINI = 3                    # words of a minimiser's sequence
 CHUNK_BYTES = 4 << 20       # text bytes a task packs at a time
 BUCKET_BYTES = 3 << 20      # text bytes per bucket
 SLICE_ROWS = 500            # rows reduced at a time
+HOT_BITS = 22               # hot minimisers are marked in a map of 2 ** HOT_BITS places
 
 ROWS_SCHEMA = "bucket int, packed binary"
 MARKS_SCHEMA = "doc_id long, text_hash long, first long, past long"
@@ -129,7 +132,7 @@ def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (past - lengths), lengths) + np.arange(int(past[-1]) if len(past) else 0)
 
 
-def cut_chunk(texts: list[bytes], docs: Documents, hot: np.ndarray):
+def cut_chunk(texts: list[bytes], docs: Documents, hot: np.ndarray | None):
     """The super-k-mers of a chunk: strings, document, place, windows, minimiser, hash to deal by, whether its
     minimiser is hot, whether the string is the chunk's first of its kind; None without any."""
     words: list[bytes] = []
@@ -148,7 +151,7 @@ def cut_chunk(texts: list[bytes], docs: Documents, hot: np.ndarray):
     past = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)     # where each word's blank ends
     hashes = word_hashes(words)
     minima = sliding_minima(sequence_hashes(hashes, MINI), WINDOW - MINI + 1)
-    single = np.isin(minima, hot)
+    single = np.zeros(len(minima), bool) if hot is None else hot[hot_places(minima)]
     del words
     ends = np.cumsum(counts)
     doc_start = ends - counts
@@ -173,9 +176,14 @@ def cut_chunk(texts: list[bytes], docs: Documents, hot: np.ndarray):
     return strings, of_doc, places, windows, least, deal, single, is_first
 
 
+def hot_places(minimisers: np.ndarray) -> np.ndarray:
+    """Places of minimisers in the map of hot ones."""
+    return (mixed(minimisers) >> np.uint64(64 - HOT_BITS)).astype(np.int64)
+
+
 def minimiser_bytes(texts: list[bytes], docs: Documents, share: float) -> tuple[np.ndarray, np.ndarray]:
     """(minimiser, bytes) of a chunk's different super-k-mers, where it has more bytes than ``share``."""
-    cut = cut_chunk(texts, docs, np.empty(0, np.uint64))
+    cut = cut_chunk(texts, docs, None)
     if cut is None:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
     strings, *_, least, _, _, is_first = cut
@@ -185,7 +193,7 @@ def minimiser_bytes(texts: list[bytes], docs: Documents, share: float) -> tuple[
 
 
 def super_kmers(texts: list[bytes], docs: Documents, buckets: int,
-                hot: np.ndarray = np.empty(0, np.uint64)) -> Iterator[tuple[int, bytes]]:
+                hot: np.ndarray | None = None) -> Iterator[tuple[int, bytes]]:
     """(bucket, packed share) of a chunk of documents."""
     cut = cut_chunk(texts, docs, hot)
     if cut is None:
@@ -195,9 +203,8 @@ def super_kmers(texts: list[bytes], docs: Documents, buckets: int,
     deal = np.where(single & ~is_first, docs.hashes[of_doc].astype(np.int64).view(np.uint64), deal)
     bucket = (mixed(deal) % np.uint64(buckets)).astype(np.int64)
     by_bucket = np.argsort(bucket, kind="stable")
-    cuts = np.searchsorted(bucket[by_bucket], np.arange(buckets + 1))
-    for b in range(buckets):
-        own = by_bucket[cuts[b]:cuts[b + 1]]
+    present, first = np.unique(bucket[by_bucket], return_index=True)
+    for b, own in zip(present.tolist(), np.split(by_bucket, first[1:])):
         if len(own):
             sent, known = own[is_first[own]], own[~is_first[own]]
             yield b, pack(docs, of_doc[sent], places[sent], windows[sent],
@@ -294,7 +301,7 @@ def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], Doc
 
 
 def hot_minimisers(rows: DataFrame, total: int, bucket_bytes: int) -> np.ndarray:
-    """Minimisers whose different super-k-mers pass a bucket's size; at most a few for each bucket.
+    """The map of minimisers whose different super-k-mers pass a bucket's size, as 2 ** ``HOT_BITS`` flags.
 
     A chunk leaves out what is below its share of half a bucket, so what is
     left out of a minimiser is less than half a bucket over all chunks.
@@ -305,8 +312,17 @@ def hot_minimisers(rows: DataFrame, total: int, bucket_bytes: int) -> np.ndarray
             yield pa.RecordBatch.from_pydict({"minimiser": pa.array(found.view(np.int64), pa.int64()),
                                               "n": pa.array(size, pa.int64())})
     summed = rows.mapInArrow(sizes, "minimiser long, n long").groupBy("minimiser").agg(F.sum("n").alias("n"))
-    found = summed.where(F.col("n") > bucket_bytes // 2).select("minimiser").collect()
-    return np.array(sorted(r[0] for r in found), np.int64).view(np.uint64)
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = hot_places(batch.column(0).to_numpy().view(np.uint64))
+            yield pa.RecordBatch.from_pydict({"place": pa.array(at)})
+
+    # Places, not minimisers, reach the driver: at most 2 ** HOT_BITS of them.
+    found = summed.where(F.col("n") > bucket_bytes // 2).select("minimiser").mapInArrow(places, "place long").distinct().collect()
+    out = np.zeros(1 << HOT_BITS, bool)
+    out[[r.place for r in found]] = True
+    return out
 
 
 def dealt_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -317,11 +333,12 @@ def dealt_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     rows = small_batches(docs).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"),
                        text.alias("text"))
-    hot = hot_minimisers(rows, total, BUCKET_BYTES)
+    hot = np.packbits(hot_minimisers(rows, total, BUCKET_BYTES))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marked = np.unpackbits(hot).astype(bool)
         for texts, keys in chunks(batches):
-            out = list(super_kmers(texts, keys, buckets, hot))
+            out = list(super_kmers(texts, keys, buckets, marked))
             yield pa.RecordBatch.from_pydict({"bucket": pa.array([b for b, _ in out], pa.int32()),
                                               "packed": pa.array([p for _, p in out], pa.binary())})
 
