@@ -3,10 +3,12 @@
 Each document gets its base counts from array functions inside its own row (no
 explode, no shuffle of words).  Failures of four rules are summed by host
 (``source``) with a partial aggregate.  A beta prior is fitted to the hosts'
-failure rates by moments, each host's rate is shrunk towards it, and a host
-whose shrunk rate of any rule passes ``HOST_LIMIT`` is rejected: small hosts
-need more evidence, large ones stand on their own figures.  The host table is
-joined back to the slim document table.
+failure rates by moments, and each host's rate is shrunk towards it.  A host is
+rejected if for some rule the lower bound of its shrunk rate, ``BOUND``
+standard deviations of its beta distribution below the mean, passes
+``HOST_LIMIT``: small hosts need more evidence, large ones stand on their own
+figures, and bad hosts do not shift the limit by widening the prior.  The host
+table is joined back to the slim document table.
 
 Rules: fewer than 50 words; more than 50 % of words in repeated 3-word
 windows (these two decide ``base_failed``); more than 10 symbols per 100 word
@@ -25,7 +27,8 @@ from pyspark.sql import functions as F
 from dealsieve.llm.common import WHITE, materialise, text_or_empty
 
 SYMBOLS = "#*$%&|<>"     # counted symbols (fixed value)
-HOST_LIMIT = 0.9         # shrunk failure rate above which a host is rejected
+HOST_LIMIT = 0.3         # a host whose failure rate may lie below this is not rejected
+BOUND = 1.645            # standard deviations to a bound: one side, 95 % of a normal distribution
 RULES = ["short", "repeats", "symbols", "dup_lines"]
 
 
@@ -92,16 +95,15 @@ def host_verdicts(counts: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
     rate = {r: F.col(f"fails_{r}") / F.col("host_docs") for r in RULES}
     moments = hosts.agg(*[F.avg(rate[r]).alias(f"m_{r}") for r in RULES],
                         *[F.var_pop(rate[r]).alias(f"v_{r}") for r in RULES]).first()
-    shrunk = []
+    shrunk, ok = [], F.lit(True)
     for r in RULES:
         m, v = moments[f"m_{r}"] or 0.0, moments[f"v_{r}"] or 0.0
         strength = min(max(m * (1 - m) / v - 1, 1.0), 1000.0) if v > 0 else 1000.0
-        shrunk.append(((F.col(f"fails_{r}") + F.lit(m * strength)) / (F.col("host_docs") + F.lit(strength)))
-                      .alias(f"rate_{r}"))
-    ok = F.lit(True)
-    for r in RULES:
-        ok = ok & (F.col(f"rate_{r}") <= F.lit(limit))
-    return hosts.select("_host", "host_docs", *shrunk).withColumn("host_ok", ok)
+        weight = F.col("host_docs") + F.lit(strength)
+        mean = (F.col(f"fails_{r}") + F.lit(m * strength)) / weight
+        shrunk.append(mean.alias(f"rate_{r}"))
+        ok = ok & (mean - BOUND * F.sqrt(mean * (1 - mean) / (weight + 1)) <= F.lit(limit))
+    return hosts.select("_host", "host_docs", *shrunk, ok.alias("host_ok"))
 
 
 def judge_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",

@@ -63,7 +63,8 @@ h AS (SELECT source, count(*) AS n, unnest([1, 2, 3, 4]) AS r,
       FROM f GROUP BY source),
 m AS (SELECT r, avg(k / n) AS m, var_pop(k / n) AS v FROM h GROUP BY r),
 p AS (SELECT r, m, CASE WHEN v > 0 THEN least(greatest(m * (1 - m) / v - 1, 1.0), 1000.0) ELSE 1000.0 END AS s FROM m),
-ok AS (SELECT source, bool_and((k + m * s) / (n + s) <= 0.9) AS host_ok FROM h JOIN p ON h.r = p.r GROUP BY source)
+e AS (SELECT source, n + s AS w, (k + m * s) / (n + s) AS rate FROM h JOIN p ON h.r = p.r),
+ok AS (SELECT source, bool_and(rate - 1.645 * sqrt(rate * (1 - rate) / (w + 1)) <= 0.3) AS host_ok FROM e GROUP BY source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (f1 OR f2) AS base_failed,
        (NOT (f1 OR f2) AND host_ok) AS kept
 FROM f JOIN ok ON f.source IS NOT DISTINCT FROM ok.source
