@@ -8,6 +8,7 @@ keeps the payload untouched.  Failed pulls are appended to a text log, one
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -47,7 +48,7 @@ def parse_failure_log(lines: DataFrame, sources: Sequence[str], spaced_key_sourc
     against the expected keys.  Lines of any other form, or with a time that
     is none, are returned as (line).
     """
-    alternatives = "|".join(sorted({*sources, *spaced_key_sources}, key=len, reverse=True))
+    alternatives = "|".join(re.escape(x) for x in sorted({*sources, *spaced_key_sources}, key=lambda x: (-len(x), x)))
     pattern = rf"^(\d{{8}}T\d{{6}}Z) ({alternatives}) (.*)$"
     at = F.try_to_timestamp(F.regexp_extract(value, pattern, 1), F.lit(PULL_STAMP_FORMAT)).cast("timestamp_ntz")
     parsed = lines.select(F.col(value).alias("line"), at.alias("failed_at"),

@@ -165,3 +165,10 @@ def test_briefs_and_dispatch_log_round_trip(spark, tmp_dir):
     assert log.columns == ["sent_at", "recipient", "brief", "outcome"]
     assert sorted((r.recipient, r.brief, r.outcome) for r in log.collect()) == 2 * [("a@x", "1", "queued")] + 2 * [
         ("none", "2", "skipped_abstained")]
+
+
+def test_source_names_are_taken_literally(spark):
+    lines = spark.createDataFrame([("20240101T000000Z a.b(c)+ 7 timed out",), ("20240101T000000Z axb(c)+ 7 timed out",)], "value string")
+    fails, broken = landing.parse_failure_log(lines, ["a.b(c)+", "a"])
+    assert [(r.source, r.record_key, r.reason) for r in fails.collect()] == [("a.b(c)+", "7", "timed out")]
+    assert broken.count() == 1
