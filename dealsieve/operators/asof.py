@@ -5,7 +5,7 @@ For every (company, decision_date) keep the fact with the greatest
 caller's tie keys (descending), then by the remaining fact columns, so the
 answer is deterministic.
 
-Both strategies first pre-aggregate the facts per (company, fact_date).  The
+Both strategies of ``as_of`` first pre-aggregate the facts per (company, fact_date).  The
 pick is a ``max`` over a struct whose first field is the fact date, which is
 associative, so this is exact and Spark runs it as a partial (map-side)
 aggregate: a company that owns a third of all fact rows is combined on the
@@ -20,11 +20,17 @@ map side before it is shuffled.
   computed in two levels: inside (company, month) partitions, plus a prefix
   max over the per-month maxima of earlier months.  Work grows as facts +
   dates, independent of how many dates each company has.
+
+``decision_rows`` asks for several fact tables at once.  Its ``merge``
+strategy makes one pass for all of them: facts and decisions become one
+stream of events, exchanged once by (company, month), and each table has its
+own running struct max over that one sorted stream.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -133,21 +139,94 @@ def assert_no_future_facts(df: DataFrame, fact_date: str = "fact_date",
 def decision_rows(decisions: DataFrame, fact_tables: Mapping[str, tuple[DataFrame, Sequence[str]]],
                   key: str = "company_number", decision_date: str = "decision_date",
                   fact_date: str = "fact_date", order: Sequence[str] = FACT_TABLE_ORDER,
-                  strategy: str = "join") -> DataFrame:
+                  strategy: str = "merge", bucket: str = "month") -> DataFrame:
     """One row per input decision row with every fact table's as-of columns.
 
     ``fact_tables`` maps table name -> (facts, tie_keys).  Absent tables are
     skipped; every fact column comes out as ``<table>__<column>`` so nothing
-    collides.  Decision rows survive by left join, so rows out = rows in.
+    collides.  Rows out = rows in: repeated decisions stay, and those without
+    a company or a date have no facts.  ``merge`` reads all tables in one
+    pass; ``join`` and ``scan`` make one as-of join per table.
     """
+    present = {name: fact_tables[name] for name in order if fact_tables.get(name) is not None}
+    if strategy == "merge":
+        return _merged_rows(decisions, present, key, decision_date, fact_date, bucket)
     out = decisions
-    for name in order:
-        if name not in fact_tables or fact_tables[name] is None:
-            continue
-        facts, tie_keys = fact_tables[name]
+    for name, (facts, tie_keys) in present.items():
         latest = as_of(facts, decisions, key, fact_date, decision_date, tie_keys, strategy)
         renamed = latest.select(key, decision_date, *[
             F.col(f"`{c}`").alias(f"{name}__{c}") for c in latest.columns if c not in (key, decision_date)
         ])
         out = out.join(renamed, [key, decision_date], "left")
     return out
+
+
+def _merged_rows(decisions: DataFrame, tables: Mapping[str, tuple[DataFrame, Sequence[str]]],
+                 key: str, decision_date: str, fact_date: str, bucket: str) -> DataFrame:
+    """The ``merge`` strategy of ``decision_rows``.
+
+    An event is (company, month, one best fact per table, decision row).  The
+    facts of all tables are first combined per (company, time) by one partial
+    aggregate.  The exchange by (company, month) then feeds two readers: the
+    running max inside each month, and one summary row per company and month,
+    whose running max over the earlier months is joined back.  No task sorts
+    more than one month of one company.
+    """
+    if not tables:
+        return decisions
+    k, month, row = "_key", "_month", "_row"
+    slots = {name: f"_best_{i}" for i, name in enumerate(tables)}
+    payloads, tagged = {}, []
+    for name, (facts, tie_keys) in tables.items():
+        for c in (key, fact_date, *tie_keys):
+            if c not in facts.columns:
+                raise ValueError(f"facts of {name!r} lack column {c!r}")
+        payload, payloads[name] = _fact_struct(facts, key, fact_date, tie_keys)
+        at = F.col(f"`{fact_date}`")
+        tagged.append((name, facts.where(at.isNotNull()).select(
+            F.col(f"`{key}`").alias(k), at.alias("_at"), F.struct(at.alias("d"), payload.alias("f")).alias("_v"))))
+    kinds = {name: t.schema["_v"].dataType for name, t in tagged}
+
+    def event(df, own=None):
+        """``df`` with one column per table: its own fact in its own column, nulls elsewhere."""
+        return [(F.col("_v") if name == own else F.lit(None).cast(kinds[name])).alias(slots[name]) for name in tables]
+
+    facts = reduce(DataFrame.unionByName, [t.select(k, "_at", *event(t, name)) for name, t in tagged])
+    facts = facts.groupBy(k, "_at").agg(*[F.max(slot).alias(slot) for slot in slots.values()])
+    row_struct = F.struct(*[F.col(f"`{c}`") for c in decisions.columns])
+    dated = F.col(f"`{key}`").isNotNull() & F.col(f"`{decision_date}`").isNotNull()
+    rows = decisions.where(dated).select(F.col(f"`{key}`").alias(k), F.col(f"`{decision_date}`").alias("_at"),
+                                         row_struct.alias(row))
+    events = (facts.withColumn(row, F.lit(None).cast(rows.schema[row].dataType))
+              .unionByName(rows.select(k, "_at", row, *event(rows)))
+              .select(k, F.date_trunc(bucket, F.col("_at")).alias(month), row, *slots.values())
+              .where(F.col(k).isNotNull() & F.col(month).isNotNull())
+              .repartition(k, month))
+
+    # The time of an event is that of its decision or of its facts, which all share it; facts come before
+    # decisions of the same time.  Both readers use the same columns, so that one exchange serves both.
+    at = F.coalesce(F.col(f"{row}.`{decision_date}`"), *[F.col(slot)["d"] for slot in slots.values()])
+    running = Window.partitionBy(k, month).orderBy(at, F.col(row).isNotNull()) \
+        .rowsBetween(Window.unboundedPreceding, 0)
+    within = (events.select(k, month, row, *[F.max(slot).over(running).alias(slot) for slot in slots.values()])
+              .where(F.col(row).isNotNull()))
+    months = events.groupBy(k, month).agg(F.max(F.col(row).isNotNull()).alias("_asked"),
+                                          *[F.max(slot).alias(slot) for slot in slots.values()])
+    earlier = Window.partitionBy(k).orderBy(month).rowsBetween(Window.unboundedPreceding, -1)
+    prior = (months.select(k, month, "_asked",
+                           *[F.max(slot).over(earlier).alias(f"_prior{slot}") for slot in slots.values()])
+             .where("_asked").drop("_asked"))
+
+    best = within.join(prior, [k, month]).select(
+        row, *[F.greatest(slot, f"_prior{slot}").alias(slot) for slot in slots.values()])
+    columns = [F.col(f"{row}.`{c}`").alias(c) for c in decisions.columns]
+    for name, slot in slots.items():
+        columns.append(F.col(slot)["d"].alias(f"{name}__{fact_date}"))
+        columns += [F.col(slot)["f"][c].alias(f"{name}__{c}") for c in payloads[name]]
+    out = best.select(*columns)
+    for name in tables:
+        out = guard_no_future_facts(out, f"{name}__{fact_date}", decision_date)
+    undated = decisions.where(~dated).select(
+        *[F.col(f"`{c}`") for c in decisions.columns],
+        *[F.lit(None).cast(out.schema[c].dataType).alias(c) for c in out.columns[len(decisions.columns):]])
+    return out.unionByName(undated)
