@@ -4,16 +4,17 @@ Inputs are (company_number, payload) tables: payload is the JSON document as
 landed (see ``sources.landing``).  Parsing uses ``from_json`` with explicit
 schemas; flattening uses higher-order array functions and ``explode``, so
 every step stays in the JVM and runs per row with no grouping, except the
-award summary, which is one partial aggregate per company.
+award tables, which start from one partial aggregate per company and authority.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dealsieve import schemas as S
+from dealsieve.session import stored
 
 # Register kind that marks a corporate controller (fixed value).
 CORPORATE_CONTROLLER_KIND = "corporate-entity-person-with-significant-control"
@@ -117,16 +118,26 @@ def notices(notice_docs: DataFrame) -> DataFrame:
         .select("company_number", "item.awardedDate", "item.organisationName")
 
 
+def _authority_awards(notice_rows: DataFrame) -> DataFrame:
+    """(company, authority) pairs with their awards and latest award date: a partial aggregate, so a company
+    with a huge history is combined before its rows travel, and pairs travel by both names."""
+    awarded = notice_rows.where(F.col("awardedDate").isNotNull() & (F.col("awardedDate") != ""))
+    return awarded.select("company_number", "awardedDate", F.coalesce("organisationName", F.lit("")).alias("authority")) \
+        .groupBy("company_number", "authority") \
+        .agg(F.count(F.lit(1)).alias("award_count"), F.max("awardedDate").alias("most_recent_award_date"))
+
+
 def award_summary(companies: DataFrame, notice_rows: DataFrame) -> DataFrame:
     """Per company: awards (non-empty award date), latest award date (string order),
     sorted distinct buying authorities (missing name -> '').  Companies with no
-    award keep 0 / null / [].
+    award keep 0 / null / [].  The list is made of the distinct pairs, never of
+    notices; ``award_authorities`` is its form as a table, for companies whose
+    list is too long for one row.
     """
-    awarded = notice_rows.where(F.col("awardedDate").isNotNull() & (F.col("awardedDate") != ""))
-    per = awarded.groupBy("company_number").agg(
-        F.count(F.lit(1)).alias("award_count"),
-        F.max("awardedDate").alias("most_recent_award_date"),
-        F.sort_array(F.collect_set(F.coalesce("organisationName", F.lit("")))).alias("buying_authorities"))
+    per = _authority_awards(notice_rows).groupBy("company_number").agg(
+        F.sum("award_count").alias("award_count"),
+        F.max("most_recent_award_date").alias("most_recent_award_date"),
+        F.sort_array(F.collect_list("authority")).alias("buying_authorities"))
     return companies.select("company_number", "company_name").join(per, "company_number", "left").select(
         "company_number", "company_name",
         F.coalesce("award_count", F.lit(0).cast("long")).alias("award_count"),
@@ -134,6 +145,28 @@ def award_summary(companies: DataFrame, notice_rows: DataFrame) -> DataFrame:
         F.coalesce("buying_authorities", F.array().cast("array<string>")).alias("buying_authorities"))
 
 
+def award_authorities(notice_rows: DataFrame) -> DataFrame:
+    """Membership table of buying authorities: (company_number, place, authority, award_count,
+    most_recent_award_date), ``place`` counting a company's authorities from 0 in name order.
+
+    Two levels, so that no task ranks a whole company: the distinct pairs are
+    dealt into ranges of (company, authority) and stored, places are counted
+    inside each range, and a company's earlier ranges are added from one
+    count per company and range.  Notices without a company are left out.
+    """
+    pairs = _authority_awards(notice_rows.where(F.col("company_number").isNotNull()))
+    dealt = stored(pairs.repartitionByRange("company_number", "authority")
+                   .withColumn("_range", F.spark_partition_id()), "award-authorities")
+    held = dealt.groupBy("company_number", "_range").agg(F.count(F.lit(1)).alias("_held"))
+    before = Window.partitionBy("company_number").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = held.select("company_number", "_range", F.coalesce(F.sum("_held").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("company_number", "_range").orderBy("authority")
+    return dealt.withColumn("_place", F.row_number().over(inside) - 1) \
+        .join(offsets, ["company_number", "_range"]) \
+        .select("company_number", (F.col("_before") + F.col("_place")).alias("place"), "authority",
+                "award_count", "most_recent_award_date")
+
+
 # Accepted forms of an award date, besides ISO times with or without an offset (which Spark reads itself).
 AWARD_TIME_FORMATS = ["yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd"]
 

@@ -7,6 +7,7 @@ oracle SQL uses.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -107,7 +108,8 @@ def validation_report(spark, sf_dir):
 # ---------------------------------------------------------------- facts, landing, candidates, web
 
 from dealsieve.operators import facts, web  # noqa: E402
-from dealsieve.sources import landing, register as reg  # noqa: E402
+from dealsieve.session import checkpoint_dir  # noqa: E402
+from dealsieve.sources import landing, packed, register as reg  # noqa: E402
 
 
 @query("filing_records")
@@ -131,11 +133,39 @@ def award_summary(spark, sf_dir):
     return facts.award_summary(V.companies(spark, sf_dir), facts.notices(V.notice_docs(spark, sf_dir)))
 
 
+@query("award_authorities")
+def award_authorities(spark, sf_dir):
+    """Every company's buying authorities as rows, with their place in the company's list."""
+    return facts.award_authorities(facts.notices(V.notice_docs(spark, sf_dir)))
+
+
 @query("latest_pull")
 def latest_pull(spark, sf_dir):
     return landing.latest_pull(V.raw_pulls(spark, sf_dir))
 
 
+def _container(spark, sf_dir):
+    """The raw pulls in a new packed container in the shared folder."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/container-{uuid.uuid4().hex}"
+    packed.pack(V.raw_pulls(spark, sf_dir).withColumn("content", F.col("payload").cast("binary")), path)
+    return path
+
+
+@query("packed_pulls")
+def packed_pulls(spark, sf_dir):
+    """Every pull packed into a container and read back, with its bytes and their hash."""
+    return packed.read_packed(spark, _container(spark, sf_dir)).select(
+        "source", "record_key", "pulled_at", F.decode("content", "UTF-8").alias("payload"), "sha256")
+
+
+@query("packed_latest")
+def packed_latest(spark, sf_dir):
+    """The latest packed document of every source and key, with its number of bytes."""
+    return packed.latest_packed(packed.read_packed(spark, _container(spark, sf_dir))).select(
+        "source", "record_key", "pulled_at", F.length("content").cast("long").alias("n_bytes"),
+        F.decode("content", "UTF-8").alias("payload"))
+
+
 @query("pull_changes")
 def pull_changes(spark, sf_dir):
     return landing.pull_changes(V.raw_pulls(spark, sf_dir))

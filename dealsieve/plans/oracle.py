@@ -299,6 +299,16 @@ register("award_summary", f"""
            COALESCE(a.auth, {EMPTY}) AS buying_authorities
     FROM customer c LEFT JOIN a ON CAST(c.c_custkey AS VARCHAR) = a.company_number""")
 
+register("award_authorities", f"""
+    WITH n AS (SELECT CAST(user_id AS VARCHAR) AS company_number,
+                      CASE WHEN event_type IN ('purchase', 'signup') THEN {AWARD_FORM_SQL} END AS awarded,
+                      CASE WHEN event_type <> 'signup' THEN 'Authority ' || json_extract_string(props, '$.k')
+                           ELSE '' END AS authority
+               FROM events)
+    SELECT company_number, ROW_NUMBER() OVER (PARTITION BY company_number ORDER BY authority) - 1 AS place, authority,
+           COUNT(*) AS award_count, MAX(awarded) AS most_recent_award_date
+    FROM n WHERE awarded IS NOT NULL AND awarded <> '' GROUP BY company_number, authority""")
+
 SOURCES_SQL = ", ".join(f"'{s}'" for s in V.LANDING_SOURCES)
 PULLS_SQL = (f"SELECT event_type AS source, CAST(user_id AS VARCHAR) AS record_key, ts AS pulled_at, "
              f"props AS payload FROM events WHERE event_type IN ({SOURCES_SQL})")
@@ -308,6 +318,13 @@ register("latest_pull", f"""
         SELECT *, ROW_NUMBER() OVER (PARTITION BY source, record_key ORDER BY pulled_at DESC, payload DESC) AS rn
         FROM ({PULLS_SQL})) WHERE rn = 1""")
 
+register("packed_pulls", f"SELECT *, sha256(payload) AS sha256 FROM ({PULLS_SQL})")
+
+register("packed_latest", f"""
+    SELECT source, record_key, pulled_at, CAST(strlen(payload) AS BIGINT) AS n_bytes, payload FROM (
+        SELECT *, ROW_NUMBER() OVER (PARTITION BY source, record_key ORDER BY pulled_at DESC, payload DESC) AS rn
+        FROM ({PULLS_SQL})) WHERE rn = 1""")
+
 register("pull_changes", f"""
     SELECT source, record_key, pulled_at, h AS payload_hash, prev IS NULL AS first_pull,
            COALESCE(prev <> h, FALSE) AS changed
