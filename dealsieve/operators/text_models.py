@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dealsieve.functions.text import TOKEN_PATTERN, tokens
+from dealsieve.operators.hotcold import lookup_by_frequency
 from dealsieve.session import spread_for_cpu, stored
 
 # Classifier settings and the review rule (fixed values).
@@ -107,14 +108,15 @@ def term_weights(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, term, tf, df, weight) with smoothed idf and L2-normalised weights per document.
 
     Term frequency and document frequency are partial aggregates; the document
-    count is one scalar action.
+    count is one scalar action.  Terms held by most documents take their
+    document frequency from a small map instead of meeting in one task.
     """
     n = docs.count()
     terms = docs.select(id_col, F.explode_outer(tokens(text_col)).alias("term")).where(F.col("term").isNotNull())
     tf = terms.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
     df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log((F.lit(1.0) + F.lit(float(n))) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
-    w = tf.join(df, "term").withColumn("raw", F.col("tf") * idf)
+    w = lookup_by_frequency(tf, df, "term", "df").withColumn("raw", F.col("tf") * idf)
     norm = Window.partitionBy(id_col)
     return w.withColumn("weight", F.col("raw") / F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(norm)))
 
