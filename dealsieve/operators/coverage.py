@@ -1,4 +1,4 @@
-"""Company dossier (every signal on one row) and signal coverage.
+"""Company dossier (every signal on one row), company page (every record) and signal coverage.
 
 Module outputs are optional: ``None`` means the module has not run, which is
 a normal state and reads differently from "ran but holds no record".
@@ -7,10 +7,13 @@ a normal state and reads differently from "ran but holds no record".
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dealsieve.sources.tables import write_bucketed
+
 NOT_RUN, NO_RECORD, PRESENT = "not run", "no record", "present"
 
 
@@ -46,6 +49,55 @@ def dossier(companies: DataFrame, modules: Mapping[str, tuple[DataFrame | None,
     return out
 
 
+def store_modules(companies: DataFrame, modules: Mapping[str, tuple[DataFrame | None, Mapping[str, str]]],
+                  folder: str, prefix: str, buckets: int):
+    """(companies, modules) as tables bucketed by company number under ``folder``, named ``<prefix>_<module>``.
+
+    What ``dossier`` and ``signal_coverage`` read then has one layout, so a
+    page over stored modules is joined without an exchange, and a module that
+    several pages use is computed once.  Modules that have not run stay None.
+    """
+    place = folder.rstrip("/")
+    kept = write_bucketed(companies, f"{prefix}_companies", f"{place}/companies", "company_number", buckets)
+    tables = {}
+    for name, (table, columns) in modules.items():
+        stored_table = None if table is None else write_bucketed(
+            table.select("company_number", *columns), f"{prefix}_{name}", f"{place}/module-{name}",
+            "company_number", buckets)
+        tables[name] = (stored_table, columns)
+    return kept, tables
+
+
+def company_page(companies: DataFrame, modules: Mapping[str, tuple[DataFrame | None, Mapping[str, str]]]) -> DataFrame:
+    """Every record that every module holds of each company, one row per record.
+
+    ``modules`` maps a name to (table or None, columns to show with their
+    types); unlike ``dossier`` a table may hold any number of rows per
+    company.  Rows are (company columns, module, state, ``<module>__<column>``
+    of all modules), where the other modules' columns are null; a company
+    without a record of a module has one row that says so, and so has each
+    company for a module that has not run.  Repeated records stay, records of
+    companies that are not listed (or of none) are left out.  Select companies
+    before the call for the page of a few.
+    """
+    shown = [(name, c, kind) for name, (_, columns) in modules.items() for c, kind in columns.items()]
+    listed = [F.col(f"`{c}`") for c in companies.columns]
+    pages = []
+    for name, (table, columns) in modules.items():
+        rows, state = companies, F.lit(NOT_RUN)
+        if table is not None:
+            held = table.select("company_number", F.struct(
+                F.lit(True).alias("_hit"), *[F.col(f"`{c}`").cast(kind).alias(c) for c, kind in columns.items()])
+                .alias("_record"))
+            rows = companies.join(held, "company_number", "left").select(*listed, "_record")
+            state = F.when(F.col("_record").isNotNull(), F.lit(PRESENT)).otherwise(F.lit(NO_RECORD))
+        pages.append(rows.select(
+            *listed, F.lit(name).alias("module"), state.alias("state"),
+            *[(F.col("_record")[c] if own == name and table is not None else F.lit(None).cast(kind)).alias(f"{own}__{c}")
+              for own, c, kind in shown]))
+    return reduce(DataFrame.unionByName, pages)
+
+
 def signal_coverage(companies: DataFrame, modules: Mapping[str, DataFrame | None]) -> DataFrame:
     """Per module: rows, companies covered, and the share of companies without a record.
 

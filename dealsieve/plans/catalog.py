@@ -108,7 +108,7 @@ def validation_report(spark, sf_dir):
 # ---------------------------------------------------------------- facts, landing, candidates, web
 
 from dealsieve.operators import facts, web  # noqa: E402
-from dealsieve.session import checkpoint_dir  # noqa: E402
+from dealsieve.session import checkpoint_dir, cpu_partitions  # noqa: E402
 from dealsieve.sources import landing, packed, register as reg  # noqa: E402
 
 
@@ -486,6 +486,32 @@ def company_dossier(spark, sf_dir):
     return coverage.dossier(V.companies(spark, sf_dir), _modules(spark, sf_dir))
 
 
+@query("dossier_stored")
+def dossier_stored(spark, sf_dir):
+    """The company page's nine modules stored as bucketed tables, then read and joined as stored."""
+    run = uuid.uuid4().hex
+    listed, modules = coverage.store_modules(V.companies(spark, sf_dir), _modules(spark, sf_dir),
+                                             f"{checkpoint_dir(spark).rstrip('/')}/modules-{run}",
+                                             f"dossier_{run}", cpu_partitions(spark))
+    return coverage.dossier(listed, modules)
+
+
+@query("company_page")
+def company_page(spark, sf_dir):
+    """Every charge, award, register record and ownership record of every company, one row each."""
+    awards = facts.notices(V.notice_docs(spark, sf_dir)) \
+        .where(F.col("awardedDate").isNotNull() & (F.col("awardedDate") != ""))
+    return coverage.company_page(V.companies(spark, sf_dir), {
+        "charges": (facts.charges(V.charge_docs(spark, sf_dir)),
+                    {"created_on": "string", "status": "string", "description": "string"}),
+        "tenders": (awards, {"awardedDate": "string", "organisationName": "string"}),
+        "filings": (facts.filing_records(V.profile_docs(spark, sf_dir), V.officer_docs(spark, sf_dir),
+                                         V.filing_history_docs(spark, sf_dir)),
+                    {"registered_postcode": "string", "filing_count": "bigint"}),
+        "ownership": (facts.ownership(V.controller_docs(spark, sf_dir)), {"part_of_group": "boolean"}),
+        "comparables": (None, {"multiple": "double"})})
+
+
 @query("dossier_before_modelling")
 def dossier_before_modelling(spark, sf_dir):
     """The page while the modelled modules have not run: their columns are null and keep their types."""

@@ -664,8 +664,38 @@ def _dossier_sql(not_run: tuple[str, ...] = ()) -> str:
 
 
 register("company_dossier", _dossier_sql())
+register("dossier_stored", _dossier_sql())
 register("dossier_before_modelling", _dossier_sql(("distress", "industry", "valuation", "revenue")))
 
+# Module -> (all records or None, columns shown, their types).
+PAGE_SQL = {
+    "charges": (ORACLE["charges_flatten"], ["created_on", "status", "description"], ["VARCHAR"] * 3),
+    "tenders": (f"""SELECT CAST(user_id AS VARCHAR) AS company_number, {AWARD_FORM_SQL} AS awardedDate,
+                           CASE WHEN event_type <> 'signup' THEN 'Authority ' || json_extract_string(props, '$.k') END
+                               AS organisationName
+                    FROM events WHERE event_type IN ('purchase', 'signup')""",
+                ["awardedDate", "organisationName"], ["VARCHAR"] * 2),
+    "filings": (ORACLE["filing_records"], ["registered_postcode", "filing_count"], ["VARCHAR", "BIGINT"]),
+    "ownership": (ORACLE["ownership_flags"], ["part_of_group"], ["BOOLEAN"]),
+    "comparables": (None, ["multiple"], ["DOUBLE"]),
+}
+
+
+def _page_sql() -> str:
+    parts = []
+    for name, (sql, _, _) in PAGE_SQL.items():
+        state = ("'not run'" if sql is None else
+                 "CASE WHEN m.company_number IS NULL THEN 'no record' ELSE 'present' END")
+        columns = ", ".join(f"{f'm.{c}' if own == name and sql else f'CAST(NULL AS {t})'} AS {own}__{c}"
+                            for own, (_, carried, types) in PAGE_SQL.items() for c, t in zip(carried, types))
+        join = f"LEFT JOIN ({sql}) m ON m.company_number = c.company_number" if sql else ""
+        parts.append(f"SELECT c.company_number, c.company_name, '{name}' AS module, {state} AS state, {columns} "
+                     f"FROM ({COMPANIES_SQL}) c {join}")
+    return " UNION ALL ".join(parts)
+
+
+register("company_page", _page_sql())
+
 register("signal_coverage", " UNION ALL ".join(
     [f"""SELECT '{name}' AS module, (SELECT COUNT(*) FROM ({sql})) AS row_count,
                 (SELECT COUNT(DISTINCT company_number) FROM ({sql})

@@ -30,6 +30,19 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     writer.parquet(path)
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int) -> DataFrame:
+    """Overwrite a result table bucketed by ``key`` and register it as ``name``; returns the table.
+
+    Rows are dealt by the bucket rule before the write, so a bucket is one
+    file.  Tables with the same key and number of buckets are joined on that
+    key without an exchange.  For tables of about one row per key: a hot
+    key's bucket is one task, which a join through an exchange could split.
+    """
+    df.repartition(buckets, F.col(key)).write.mode("overwrite").option("path", path) \
+        .bucketBy(buckets, key).sortBy(key).format("parquet").saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 CORRUPT = "_corrupt"
 
 
