@@ -114,7 +114,8 @@ def term_weights(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     n = docs.count()
     terms = docs.select(id_col, F.explode_outer(tokens(text_col)).alias("term")).where(F.col("term").isNotNull())
     tf = terms.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
-    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # Counting on tf keeps that column, so both readers of tf have the same columns and share its exchange.
+    df = tf.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
     idf = F.log((F.lit(1.0) + F.lit(float(n))) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
     w = lookup_by_frequency(tf, df, "term", "df").withColumn("raw", F.col("tf") * idf)
     norm = Window.partitionBy(id_col)
