@@ -18,11 +18,13 @@ from pyspark.sql import functions as F
 
 from dealsieve.operators.quantiles import exact_quantiles
 from dealsieve.schemas import nan_to_null, require_columns
+from dealsieve.session import cpu_partitions
 
 # Widening rule and reported quantiles (fixed values).
 FINEST_CODE_LENGTH = 3
 MINIMUM_PEER_COUNT = 8
 DISTRIBUTION_QUANTILES = [0.10, 0.25, 0.50, 0.75, 0.90]
+BLOCK_ROWS = 4096       # rows of one key, on either side, that meet in one block of the value distribution
 
 
 def _peer_keys(peers: DataFrame, finest: int) -> DataFrame:
@@ -75,15 +77,18 @@ def peer_widening(targets: DataFrame, peers: DataFrame, finest: int = FINEST_COD
         "company_number", "industry_code", "code_length_used", "peer_count", "key_length", "key_prefix")
 
 
+def _keyed_multiples(peers: DataFrame, finest: int) -> DataFrame:
+    return _peer_keys(nan_to_null(peers), finest).withColumnRenamed("plen", "key_length") \
+        .withColumnRenamed("prefix", "key_prefix")
+
+
 def key_multiples(targets: DataFrame, peers: DataFrame, finest: int = FINEST_CODE_LENGTH) -> DataFrame:
     """(key_length, key_prefix, multiple): the peers of every key that a ``widened`` target uses.
 
     With the targets' keys this is the whole of the value distributions in
     peers + targets rows; ``value_distribution`` expands it.
     """
-    keyed = _peer_keys(nan_to_null(peers), finest).withColumnRenamed("plen", "key_length") \
-        .withColumnRenamed("prefix", "key_prefix")
-    return keyed.join(targets.select("key_length", "key_prefix").distinct(), ["key_length", "key_prefix"], "left_semi")
+    return _keyed_multiples(peers, finest).join(targets.select("key_length", "key_prefix").distinct(), ["key_length", "key_prefix"], "left_semi")
 
 
 def value_distribution(targets: DataFrame, peers: DataFrame, finest: int = FINEST_CODE_LENGTH,
@@ -91,17 +96,36 @@ def value_distribution(targets: DataFrame, peers: DataFrame, finest: int = FINES
     """Every peer multiple applied to the target's scaling value, kept whole (one row per target row and peer).
 
     The output is targets x their peers; ``requested`` (company_number) limits
-    it to the companies asked for before anything is expanded.
+    it to the companies asked for before anything is expanded.  Targets and
+    peers of a key are dealt into blocks, and each pair of blocks meets on its
+    own, so a key that very many rows use (such as all peers) is the work of
+    many tasks.
     """
     require_columns(targets, ["company_number", "industry_code", "scaling_value"], "targets")
     rows = widened(nan_to_null(targets), peers, finest, minimum)
     if requested is not None:
         rows = rows.join(requested.select("company_number").distinct(), "company_number", "left_semi")
-    return rows.join(key_multiples(rows, peers, finest), ["key_length", "key_prefix"]).select(
+    key, block = ["key_length", "key_prefix"], ["_target_block", "_peer_block"]
+    blocks = rows.groupBy(*key).agg(_blocks(F.count(F.lit(1))).alias("_target_blocks"),
+                                    _blocks(F.max("peer_count")).alias("_peer_blocks"))
+
+    def dealt(side: DataFrame, own: str, other: str) -> DataFrame:
+        """Each row in one block of its own side, copied to every block of the other one."""
+        met = side.withColumn("_row", F.monotonically_increasing_id()).join(blocks, key)
+        return met.withColumn(f"_{own}_block", F.pmod("_row", F.col(f"_{own}_blocks"))) \
+            .withColumn(f"_{other}_block", F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"_{other}_blocks") - 1))) \
+            .repartition(cpu_partitions(side.sparkSession), *key, *block)
+    one = dealt(rows.select(*key, "company_number", "code_length_used", "scaling_value"), "target", "peer")
+    two = dealt(_keyed_multiples(peers, finest), "peer", "target")
+    return one.join(two.select(*key, *block, "multiple"), [*key, *block]).select(
         "company_number", "code_length_used", "multiple",
         (F.col("scaling_value") * F.col("multiple")).alias("estimated_value"))
 
 
+def _blocks(rows):
+    return F.greatest(F.ceil(rows / F.lit(BLOCK_ROWS)), F.lit(1)).cast("long")
+
+
 def valuation_quantiles(targets: DataFrame, peers: DataFrame, finest: int = FINEST_CODE_LENGTH,
                         minimum: int = MINIMUM_PEER_COUNT,
                         quantiles: list[float] = DISTRIBUTION_QUANTILES) -> DataFrame:
