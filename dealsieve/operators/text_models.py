@@ -30,6 +30,7 @@ from dealsieve.session import spread_for_cpu, stored
 MAXIMUM_VOCABULARY_SIZE = 5000
 MAXIMUM_ITERATIONS = 1000
 CONFIDENCE_REVIEW_THRESHOLD = 0.60
+HASH_PREFIX = 4               # hexadecimal digits of an id's hash that are counted (65,536 prefixes at most)
 STOPPING_TOLERANCE = 1e-4     # the common solver default for this objective
 
 
@@ -59,7 +60,8 @@ def fit_industry_classifier(labelled: DataFrame, text_col: str = "website_text",
     indexer = StringIndexer(inputCol=label_col, outputCol="_label", stringOrderType="alphabetAsc").fit(usable)
     if fit_rows is not None:
         key = F.struct(F.md5(F.col(id_col).cast("string")), F.col(text_col))
-        some = stored(usable.orderBy(key, label_col).limit(fit_rows).select(text_col, label_col), "sampled-text")
+        some = stored(_smallest_hashes(usable, id_col, fit_rows).orderBy(key, label_col).limit(fit_rows)
+                      .select(text_col, label_col), "sampled-text")
         seen = [r[0] for r in some.select(F.col(label_col).cast("string")).distinct().collect()]
         unseen = usable.where(~F.col(label_col).cast("string").isin(seen)).groupBy(label_col) \
             .agg(F.min_by(text_col, key).alias(text_col)).select(text_col, label_col)
@@ -87,6 +89,22 @@ def fit_industry_classifier(labelled: DataFrame, text_col: str = "website_text",
     return PipelineModel(stages=[*front.stages, *back.stages, to_label])
 
 
+def _smallest_hashes(rows: DataFrame, id_col: str, n: int) -> DataFrame:
+    """The rows whose id hash starts with one of the smallest prefixes, as many prefixes as hold ``n`` rows.
+
+    The first ``n`` rows by hash are among them.  The prefixes are counted on
+    the ids alone, so no more than about ``n`` texts meet for the final order,
+    however many partitions the table has.
+    """
+    prefix = F.coalesce(F.substring(F.md5(F.col(id_col).cast("string")), 1, HASH_PREFIX), F.lit(""))
+    held, last = 0, None
+    for r in rows.groupBy(prefix.alias("p")).agg(F.count(F.lit(1)).alias("n")).orderBy("p").collect():
+        if held >= n:
+            break
+        held, last = held + r.n, r.p
+    return rows if last is None else rows.where(prefix <= last)
+
+
 def classify(model: PipelineModel, companies: DataFrame, text_col: str = "website_text") -> DataFrame:
     """Predicted code and its probability (the confidence) per row."""
     scored = model.transform(companies.withColumn(text_col, F.coalesce(F.col(text_col), F.lit(""))))
