@@ -4,7 +4,8 @@ Texts are range-partitioned by document id, encoded, and written in ascending
 id order as shards of about ``SHARD_IDS`` ids.  A shard is one binary blob
 (one row of a Parquet table, so Spark's commit protocol guards it): frequent
 neighbouring pairs of symbols are repeatedly replaced by nonterminals, in
-rounds that take the most frequent pairs at once, and the rules are stored
+rounds that take the most frequent pairs at once, until no pair pays
+for its rule, and the rules are stored
 with the length each nonterminal expands to.  No pair crosses the end of a
 document, so a document, or a range of its ids, is decoded without the rest
 of its shard: the expansion lengths say which symbols hold the range.
@@ -40,10 +41,9 @@ from dealsieve.llm.common import new_path, ship_by_value, small_batches, text_or
 
 END_ID = 1
 SHARD_IDS = 1 << 19      # ids after which a shard is closed
-ROUNDS = 4               # rounds of pair replacement
-ROUND_RULES = 2048       # most new nonterminals in a round
-SLOT_BITS = 16           # hash slots that count a round's pairs (2 ** SLOT_BITS)
-LEAST_COUNT = 16         # a pair seen less often is not replaced
+RULE_BYTES = 12          # a rule's two symbols and its expansion length in the blob
+SLOT_BITS = 17           # hash slots that bound a round's counts (2 ** SLOT_BITS)
+STEP = 16                # a round takes pairs down to this part of the highest count
 WORD_MEMORY = 300_000    # distinct pieces a task remembers at once
 STEP_BYTES = 4 << 20     # text bytes encoded at once
 
@@ -54,28 +54,35 @@ SHARD_SCHEMA = "part int, seq int, n_docs long, n_ids long, blob binary"
 
 # ---------------------------------------------------------------- grammar
 
-def _frequent_pairs(keys: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rank of each place's pair among the round's pairs (``ROUND_RULES`` where it is none), and the pairs.
+def _frequent_pairs(keys: np.ndarray, inside: np.ndarray, least: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rank of each place's pair among the round's pairs (their number where it is none), and the pairs.
 
-    Places are counted by a hash of their pair; each of the fullest slots
-    stands for the last pair that fell into it, and that pair's places are
-    then counted exactly.  No sort of all places is needed.
+    A round takes the pairs that are at least about a sixteenth as frequent as the most
+    frequent one (or seen ``most`` times) and that pay for their rule.  A count by a hash of
+    the pair, never below the pair's own, tells which places to sort; their
+    pairs are then counted exactly, and the bound is lowered until a pair is
+    found or none can be left.
     """
-    slot = (keys * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
-    counts = np.bincount(slot[inside], minlength=1 << SLOT_BITS)
-    top = np.argpartition(counts, -ROUND_RULES)[-ROUND_RULES:]
-    stands = np.zeros(1 << SLOT_BITS, np.uint64)
-    stands[slot[inside]] = keys[inside]
-    place = np.full(1 << SLOT_BITS, -1, np.int32)
-    place[top] = np.arange(len(top), dtype=np.int32)
-    own = place[slot]
-    own[(keys != stands[slot]) | ~inside] = -1
-    exact = np.bincount(own[own >= 0], minlength=len(top))
-    order = np.lexsort((stands[top], -exact))
-    order = order[exact[order] >= LEAST_COUNT]
-    rank_of = np.full(len(top) + 1, ROUND_RULES, np.int32)      # the last entry serves place -1
-    rank_of[order] = np.arange(len(order), dtype=np.int32)
-    return rank_of[own], stands[top][order]
+    at = np.flatnonzero(inside)
+    slot = (keys[at] * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
+    bounds = np.bincount(slot, minlength=1 << SLOT_BITS)
+    bound = max(least, min(int(bounds.max()) // STEP, most))
+    while True:
+        some = at[bounds[slot] >= bound]
+        order = np.argsort(keys[some])
+        own = keys[some][order]
+        begins = np.flatnonzero(np.concatenate((np.ones(min(len(own), 1), bool), own[1:] != own[:-1])))
+        counts = np.diff(np.append(begins, len(own)))
+        chosen = np.flatnonzero(counts >= bound)
+        if len(chosen) or bound == least:
+            break
+        bound = max(least, bound // STEP)
+    chosen = chosen[np.argsort(-counts[chosen], kind="stable")]         # on ties the smaller pair
+    rank_of = np.full(len(counts), len(chosen), np.int32)
+    rank_of[chosen] = np.arange(len(chosen), dtype=np.int32)
+    rank = np.full(len(keys), len(chosen), np.int32)
+    rank[some[order]] = np.repeat(rank_of, counts)
+    return rank, own[begins[chosen]]
 
 
 def compress(symbols: np.ndarray, ends: np.ndarray, alphabet: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -83,17 +90,19 @@ def compress(symbols: np.ndarray, ends: np.ndarray, alphabet: int) -> tuple[np.n
 
     Symbols below ``alphabet`` are terminals, ``alphabet + i`` expands to rule
     i.  ``ends`` marks the last symbol of each document.  Where chosen pairs
-    overlap, the more frequent one (on ties the left one) is replaced.
+    overlap, the more frequent one (on ties the left one) is replaced.  Rounds
+    go on until no pair pays: until none is replaced so often that the symbols
+    saved take more bytes than the rule.
     """
-    rules = np.empty((0, 2), np.uint32)
-    for _ in range(ROUNDS):
-        if len(symbols) < 2:
-            break
+    rules, most = np.empty((0, 2), np.uint32), len(symbols)
+    while len(symbols) >= 2:
         keys = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:]
-        rank, pairs = _frequent_pairs(keys, ~ends[:-1])
+        width = 2 if alphabet + len(rules) <= 1 << 16 else 4
+        least = RULE_BYTES // width + 1
+        rank, pairs = _frequent_pairs(keys, ~ends[:-1], least, most)
         if not len(pairs):
             break
-        hit = rank < ROUND_RULES
+        hit = rank < len(pairs)
         hit[1:] &= rank[1:] <= rank[:-1]
         hit[:-1] &= rank[:-1] <= rank[1:]
         at = np.flatnonzero(hit)
@@ -101,12 +110,16 @@ def compress(symbols: np.ndarray, ends: np.ndarray, alphabet: int) -> tuple[np.n
         begins = np.concatenate(([True], np.diff(at) != 1)) if len(at) else at
         take = at[(at - at[np.maximum.accumulate(np.where(begins, np.arange(len(at)), 0))]) % 2 == 0]
         used = np.bincount(rank[take], minlength=len(pairs))
-        number = np.cumsum(used > 1) - 1                    # a pair taken once would only cost a rule
-        take = take[used[rank[take]] > 1]
+        number = np.cumsum(used >= least) - 1               # a pair taken less often would only cost a rule
+        take = take[used[rank[take]] >= least]
         if not len(take):
-            break
+            if most == least:
+                break
+            most = least                                    # runs hide the less frequent pairs: take all at once
+            continue
+        most = len(symbols)
         fresh = alphabet + len(rules) + number[rank[take]]
-        new = pairs[used > 1]
+        new = pairs[used >= least]
         rules = np.concatenate((rules, np.stack((new >> np.uint64(32), new & np.uint64(0xFFFFFFFF)), 1)
                                 .astype(np.uint32)))
         symbols = symbols.copy()
