@@ -54,8 +54,9 @@ SHARD_SCHEMA = "part int, seq int, n_docs long, n_ids long, blob binary"
 
 # ---------------------------------------------------------------- grammar
 
-def _frequent_pairs(keys: np.ndarray, inside: np.ndarray, least: int, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rank of each place's pair among the round's pairs (their number where it is none), and the pairs.
+def _frequent_pairs(keys: np.ndarray, least: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rank of each pair among the round's pairs (their number where it is none), which pairs may still pay, and
+    the round's pairs.
 
     A round takes the pairs that are at least about a sixteenth as frequent as the most
     frequent one (or seen ``most`` times) and that pay for their rule.  A count by a hash of
@@ -63,12 +64,11 @@ def _frequent_pairs(keys: np.ndarray, inside: np.ndarray, least: int, most: int)
     pairs are then counted exactly, and the bound is lowered until a pair is
     found or none can be left.
     """
-    at = np.flatnonzero(inside)
-    slot = (keys[at] * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
-    bounds = np.bincount(slot, minlength=1 << SLOT_BITS)
-    bound = max(least, min(int(bounds.max()) // STEP, most))
+    slot = (keys * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+    held = np.bincount(slot, minlength=1 << SLOT_BITS)[slot]
+    bound = max(least, min(int(held.max(initial=0)) // STEP, most))
     while True:
-        some = at[bounds[slot] >= bound]
+        some = np.flatnonzero(held >= bound)
         order = np.argsort(keys[some])
         own = keys[some][order]
         begins = np.flatnonzero(np.concatenate((np.ones(min(len(own), 1), bool), own[1:] != own[:-1])))
@@ -77,12 +77,14 @@ def _frequent_pairs(keys: np.ndarray, inside: np.ndarray, least: int, most: int)
         if len(chosen) or bound == least:
             break
         bound = max(least, bound // STEP)
+    may_pay = held >= least
+    may_pay[some[order]] = np.repeat(counts >= least, counts)
     chosen = chosen[np.argsort(-counts[chosen], kind="stable")]         # on ties the smaller pair
     rank_of = np.full(len(counts), len(chosen), np.int32)
     rank_of[chosen] = np.arange(len(chosen), dtype=np.int32)
     rank = np.full(len(keys), len(chosen), np.int32)
     rank[some[order]] = np.repeat(rank_of, counts)
-    return rank, own[begins[chosen]]
+    return rank, may_pay, own[begins[chosen]]
 
 
 def compress(symbols: np.ndarray, ends: np.ndarray, alphabet: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -93,43 +95,60 @@ def compress(symbols: np.ndarray, ends: np.ndarray, alphabet: int) -> tuple[np.n
     overlap, the more frequent one (on ties the left one) is replaced.  Rounds
     go on until no pair pays: until none is replaced so often that the symbols
     saved take more bytes than the rule.
+
+    No later round finds a pair of old symbols more often than this one, so a
+    place whose pair is too rare to pay is not looked at again until a rule
+    changes one of its two symbols.
     """
-    rules, most = np.empty((0, 2), np.uint32), len(symbols)
-    while len(symbols) >= 2:
-        keys = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:]
-        width = 2 if alphabet + len(rules) <= 1 << 16 else 4
+    rules, most = [np.empty((0, 2), np.uint32)], len(symbols)
+    symbols, ends = symbols.copy(), ends.copy()
+    n_rules, places = 0, np.flatnonzero(~ends[:-1])         # places whose pair may pay, ascending
+    while len(places):
+        width = 2 if alphabet + n_rules <= 1 << 16 else 4
         least = RULE_BYTES // width + 1
-        rank, pairs = _frequent_pairs(keys, ~ends[:-1], least, most)
+        keys = (symbols[places].astype(np.uint64) << np.uint64(32)) | symbols[places + 1]
+        rank, may_pay, pairs = _frequent_pairs(keys, least, most)
         if not len(pairs):
             break
-        hit = rank < len(pairs)
-        hit[1:] &= rank[1:] <= rank[:-1]
-        hit[:-1] &= rank[:-1] <= rank[1:]
-        at = np.flatnonzero(hit)
+        some = rank < len(pairs)
+        at, ranks = places[some], rank[some]
+        places = places[may_pay]
+        beside = np.diff(at) == 1
+        hit = np.ones(len(at), bool)
+        hit[1:] &= ~beside | (ranks[1:] <= ranks[:-1])
+        hit[:-1] &= ~beside | (ranks[:-1] <= ranks[1:])
+        at, ranks = at[hit], ranks[hit]
         # Neighbouring hits have one rank (a run of one symbol): every other place of the run is taken.
-        begins = np.concatenate(([True], np.diff(at) != 1)) if len(at) else at
-        take = at[(at - at[np.maximum.accumulate(np.where(begins, np.arange(len(at)), 0))]) % 2 == 0]
-        used = np.bincount(rank[take], minlength=len(pairs))
+        begins = np.concatenate(([True], np.diff(at) != 1))[:len(at)]
+        odd = (at - at[np.maximum.accumulate(np.where(begins, np.arange(len(at)), 0))]) % 2 == 0
+        at, ranks = at[odd], ranks[odd]
+        used = np.bincount(ranks, minlength=len(pairs))
         number = np.cumsum(used >= least) - 1               # a pair taken less often would only cost a rule
-        take = take[used[rank[take]] >= least]
+        paid = used[ranks] >= least
+        take, fresh = at[paid], alphabet + n_rules + number[ranks[paid]]
         if not len(take):
             if most == least:
                 break
             most = least                                    # runs hide the less frequent pairs: take all at once
             continue
         most = len(symbols)
-        fresh = alphabet + len(rules) + number[rank[take]]
         new = pairs[used >= least]
-        rules = np.concatenate((rules, np.stack((new >> np.uint64(32), new & np.uint64(0xFFFFFFFF)), 1)
-                                .astype(np.uint32)))
-        symbols = symbols.copy()
+        rules.append(np.stack((new >> np.uint64(32), new & np.uint64(0xFFFFFFFF)), 1).astype(np.uint32))
+        n_rules += len(new)
+        # Looked at next: the places that may pay, the changed symbols and those before them (where one of these
+        # goes, the symbol before it is a changed one).
+        look = np.zeros(len(symbols), bool)
+        look[places] = look[take] = True
+        look[np.maximum(take, 1) - 1] = True
         symbols[take] = fresh
-        ends = ends.copy()
         ends[take] = ends[take + 1]
         stay = np.ones(len(symbols), bool)
         stay[take + 1] = False
-        symbols, ends = symbols[stay], ends[stay]
-    return symbols, ends, rules
+        symbols, ends, look = symbols[stay], ends[stay], look[stay]
+        look &= ~ends
+        look[-1] = False
+        places = np.flatnonzero(look)
+    return symbols, ends, np.concatenate(rules)
 
 
 def expansions(alphabet: int, rules: np.ndarray) -> np.ndarray:
