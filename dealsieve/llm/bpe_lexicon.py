@@ -14,7 +14,7 @@
    BPE model).  Decoding concatenates the ids' bytes.
 
 Special tokens in a text get their own id, as the tokenizer's library does by
-default.  Counters are emptied at a fixed size.  The automaton has a fixed number of words, so neither
+default.  Words are counted by bounded steps of text.  The automaton has a fixed number of words, so neither
 the driver's share nor what a task remembers grows with the input.
 
 Defined results: a null text counts as empty (no ids); an empty table gives an
@@ -48,8 +48,9 @@ from pyspark.sql import types as T
 from dealsieve.llm.common import materialise, ship_by_value, small_batches, text_or_empty
 
 LEXICON_WORDS = 1 << 19     # words in the automaton, at most
-COUNTER_WORDS = 400_000     # distinct words after which a counting task passes its counts on
 STEP_BYTES = 2 << 20        # text bytes encoded at once
+COUNTER_WORDS = 1 << 16     # counted words that a counting task passes on at once
+ROW_WORDS = 1 << 16         # words of the automaton that an encoder of whole rows keeps between steps
 KNOWN_PIECES = 1 << 14      # pieces of words outside the automaton whose ids are remembered
 
 # The tokenizer's cut into pieces (fixed value), and our coarser cut at white space.
@@ -223,22 +224,14 @@ def frequent_words(docs: DataFrame, tokenizer_path: str, text_col: str = "text",
     """The words above the smallest count that at most ``limit`` words reach, over all texts."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = Tokenizer(tokenizer_path)
-        seen: dict[str, int] = {}
-
-        def flush():
-            out = pa.RecordBatch.from_pydict({"word": pa.array(list(seen), pa.string()),
-                                              "n": pa.array(list(seen.values()), pa.int64())})
-            seen.clear()
-            return out
         for batch in batches:
             for _, texts in steps(batch, 0):
                 words = pa.array(list(chain.from_iterable(map(tokenizer.cut, texts))), pa.large_string())
-                counts = words.value_counts()
-                for word, n in zip(counts.field("values").to_pylist(), counts.field("counts").to_pylist()):
-                    seen[word] = seen.get(word, 0) + n
-                if len(seen) > COUNTER_WORDS:
-                    yield flush()
-        yield flush()
+                counts = words.value_counts()       # Spark's partial aggregate adds up the counts of a task
+                for at in range(0, len(counts), COUNTER_WORDS):
+                    some = counts.slice(at, COUNTER_WORDS)
+                    yield pa.RecordBatch.from_arrays([some.field("values").cast(pa.string()), some.field("counts")],
+                                                     names=["word", "n"])
 
     counted = materialise(small_batches(docs).select(text_or_empty(text_col).alias("text")).mapInArrow(count, "word string, n long")
                           .groupBy("word").agg(F.sum("n").alias("n")).where("n > 1"), "word-counts")
@@ -272,12 +265,16 @@ class Encoder:
     """Encodes whole texts many at a time.
 
     Each known word is an entry: its ids in one pool, their decimal form and
-    their bytes.  Words of the automaton stay known (their number is bounded);
-    other words are rare, so they are known for one call only.
+    their bytes (without ``digests`` no decimal form).  Words of the automaton
+    stay known until they are more than ``words``; other words are rare, so
+    they are known for one call only.
     """
 
-    def __init__(self, tokenizer: Tokenizer, lexicon: Lexicon):
-        self.tokenizer, self.lexicon = tokenizer, lexicon
+    def __init__(self, tokenizer: Tokenizer, lexicon: Lexicon, words: int = LEXICON_WORDS, digests: bool = True):
+        self.tokenizer, self.lexicon, self.words, self.digests = tokenizer, lexicon, words, digests
+        self._forget()
+
+    def _forget(self) -> None:
         self.index: dict[str, int] = {}
         self.pool, self.starts, self.sizes = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
         self.decimals: list[bytes] = []
@@ -299,13 +296,16 @@ class Encoder:
         self.sizes = np.concatenate((self.sizes, sizes))
         self.pool = np.concatenate((self.pool, np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum()))))
         piece = self.tokenizer.bytes_of
-        self.decimals += ["".join([f",{i}" for i in ids]).encode() for ids in found]
+        if self.digests:
+            self.decimals += ["".join([f",{i}" for i in ids]).encode() for ids in found]
         self.raw += [b"".join([piece[i] for i in ids]) for ids in found]
         self.index.update(zip(words, range(len(self.index), len(self.index) + len(words))))
 
     def entries(self, texts: list[str]) -> list[np.ndarray]:
         """The entries of each text's words, in order; they hold until the next call."""
         self._forget_rare()
+        if len(self.index) > self.words:
+            self._forget()
         cut = [self.tokenizer.cut(t) for t in texts]
         words = pa.array(list(chain.from_iterable(cut)), pa.large_string()).dictionary_encode()
         different = words.dictionary.to_pylist()
@@ -354,7 +354,7 @@ def with_tokens(docs: DataFrame, tokenizer_path: str, text_col: str = "text",
                        text_or_empty(text_col).alias("_text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(Tokenizer(tokenizer_path), Lexicon.map_file(SparkFiles.get(lexicon_name)))
+        encoder = Encoder(Tokenizer(tokenizer_path), Lexicon.map_file(SparkFiles.get(lexicon_name)), ROW_WORDS, False)
         for batch in batches:
             for some, texts in steps(batch, 1):
                 found = encoder.entries(texts)
