@@ -8,10 +8,14 @@
    transducer: words share prefixes and suffixes, and the number of words
    that sort before a word (summed along its path) is the place of its ids
    in one pool.  It is stored as one flat file and sent to every node.
-3. Encode.  Tasks memory-map the file and walk it for many words at a time.  A
-   word the automaton does not hold is cut by the tokenizer's pattern, and the
-   pieces are merged exactly by the tokenizer's own merge table (the library's
-   BPE model).  Decoding concatenates the ids' bytes.
+3. Encode.  Tasks memory-map the file and walk it for many words at a time.
+   A word the automaton does not hold is cut by the tokenizer's pattern, and
+   the pieces of many words at a time are merged exactly by the tokenizer's own
+   merge table (the library's BPE model).  A worker keeps its encoder from task
+   to task.  Decoding concatenates the ids' bytes.
+
+Texts are cut into words on whole arrays of bytes; texts with a special token
+or with white space outside ASCII are cut by the pattern.
 
 Special tokens in a text get their own id, as the tokenizer's library does by
 default.  Words are counted by bounded steps of text.  The automaton has a fixed number of words, so neither
@@ -45,18 +49,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dealsieve.llm.common import materialise, ship_by_value, small_batches, text_or_empty
+from dealsieve.llm.common import (from_worker, materialise, ship_by_value, small_batches, text_or_empty,
+                                  to_worker)
 
 LEXICON_WORDS = 1 << 19     # words in the automaton, at most
 STEP_BYTES = 2 << 20        # text bytes encoded at once
 COUNTER_WORDS = 1 << 16     # counted words that a counting task passes on at once
 ROW_WORDS = 1 << 16         # words of the automaton that an encoder of whole rows keeps between steps
+JOINED_WORDS = 500          # words that the library encodes as one text
+JOINED_TEXTS = 64           # such texts at once
 KNOWN_PIECES = 1 << 14      # pieces of words outside the automaton whose ids are remembered
 
 # The tokenizer's cut into pieces (fixed value), and our coarser cut at white space.
 PIECES = regex.compile(r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 _W = "\\x09-\\x0d\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 WORDS = re.compile(f" ?[^{_W}]+|[{_W}]+(?![^{_W}])|[{_W}]+")
+WIDE_WHITE = "[\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+IS_WHITE = np.zeros(256, bool)      # by byte, for texts without white space outside ASCII
+IS_WHITE[[*range(9, 14), 32]] = True
+
+
+def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers start, start + 1, ... of every span, one after the other."""
+    past = np.cumsum(lengths)
+    return np.repeat(starts - (past - lengths), lengths) + np.arange(int(past[-1]) if len(past) else 0)
 
 
 class Tokenizer:
@@ -64,8 +80,12 @@ class Tokenizer:
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer as Library
+        from tokenizers.pre_tokenizers import WhitespaceSplit
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         library = Library.from_file(path)
         self.model = library.model
+        self.pieces = Library(library.model)        # the merges alone
+        self.pieces.pre_tokenizer = WhitespaceSplit()
         # Printable stand-ins of the 256 bytes: themselves where printable, else the next code points from 256.
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in set(shown)]
@@ -75,8 +95,11 @@ class Tokenizer:
         vocabulary = library.get_vocab(with_added_tokens=False)
         self.bytes_of = {i: bytes(byte_of[c] for c in token) for token, i in vocabulary.items()}
         self.bytes_of |= {i: s.encode() for s, i in self.special.items()}
+        self.width = np.zeros(max(self.bytes_of) + 1, np.int64)     # bytes of each id
+        self.width[list(self.bytes_of)] = [*map(len, self.bytes_of.values())]
         self.special_cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))
                                          + ")") if self.special else None
+        self.odd = "|".join([WIDE_WHITE, *map(re.escape, self.special)])
         self.merge = lru_cache(maxsize=KNOWN_PIECES)(self._merge)       # full stops and the like come often
 
     def _merge(self, piece: str) -> list[int]:
@@ -92,6 +115,67 @@ class Tokenizer:
             return self._merge(word)
         return [i for piece in PIECES.findall(word) for i in self.merge(piece)]
 
+    def _shown(self, word: bytes) -> str:
+        """The word's pieces in the stand-ins of their bytes, with blanks between them (no stand-in is one)."""
+        text = word.decode("utf-8")
+        pieces = [text] if text.lstrip(" ").isalpha() else PIECES.findall(text)
+        if text.isascii() and text.isprintable():
+            return " ".join([p.replace(" ", self.stand_in[32]) for p in pieces])
+        return " ".join(["".join([self.stand_in[b] for b in p.encode("utf-8")]) for p in pieces])
+
+    def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, each word's number of ids) of words without a special token, many at a time.
+
+        The pieces go to the library's model; the bytes of the ids tell where each word ends.
+        """
+        ids, sizes = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
+        for at in range(0, len(words), JOINED_WORDS * JOINED_TEXTS):
+            some = words[at:at + JOINED_WORDS * JOINED_TEXTS]
+            shown = [*map(self._shown, some)]
+            texts = [" ".join(shown[i:i + JOINED_WORDS]) for i in range(0, len(shown), JOINED_WORDS)]
+            own = np.concatenate([np.array(e.ids, np.int32) for e in
+                                  self.pieces.encode_batch_fast(texts, add_special_tokens=False)])
+            ends = np.cumsum(np.fromiter(map(len, some), np.int64, len(some)))
+            sizes.append(np.diff(np.searchsorted(np.cumsum(self.width[own]), ends) + 1, prepend=0))
+            ids.append(own)
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def cut_arrays(self, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+        """The words of all texts as one array of bytes, and each text's number of words."""
+        column = pa.array(texts, pa.large_string())
+        odd = pc.match_substring_regex(column, self.odd).to_numpy(zero_copy_only=False).astype(bool) \
+            if len(texts) else np.empty(0, bool)
+        plain = column.filter(pa.array(~odd)) if odd.any() else column
+        ends = np.frombuffer(plain.buffers()[1], np.int64, len(plain) + 1, plain.offset * 8) if len(plain) \
+            else np.zeros(1, np.int64)
+        data = np.frombuffer(plain.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]] if len(plain) \
+            else np.empty(0, np.uint8)
+        ends = ends - ends[0]
+        white = IS_WHITE[data]
+        first = np.zeros(len(data) + 1, bool)       # begins a text
+        first[ends] = True
+        # A word begins where a text does, where white space does, at the last of some white space before other
+        # characters, and at these unless a blank stands before them.
+        begins = first[:-1].copy()
+        begins[1:] |= white[1:] & ~white[:-1]
+        begins[:-1] |= white[:-1] & ~white[1:] & ~first[1:-1]
+        begins[1:] |= ~white[1:] & white[:-1] & (data[:-1] != 32)
+        starts = np.flatnonzero(begins)
+        words = pa.Array.from_buffers(pa.large_binary(), len(starts), [
+            None, pa.py_buffer(np.append(starts, len(data)).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
+        number = np.zeros(len(texts), np.int64)
+        number[~odd] = np.diff(np.searchsorted(starts, ends))
+        if not odd.any():
+            return words, number
+        cut = [self.cut(texts[k]) for k in np.flatnonzero(odd).tolist()]
+        number[odd] = [*map(len, cut)]
+        both = pa.chunked_array([words, pa.array([w.encode() for w in chain.from_iterable(cut)], pa.large_binary())]) \
+            .combine_chunks()
+        at = np.empty(len(texts), np.int64)         # a text's first word among those cut here, then those by pattern
+        order = np.concatenate((np.flatnonzero(~odd), np.flatnonzero(odd)))
+        at[order] = np.cumsum(number[order]) - number[order]
+        return both.take(pa.array(spans(at, number))), number
+
     def cut(self, text: str) -> list[str]:
         """Words and special tokens of a text, in order; together they are the text."""
         if self.special_cut is None or not any(s in text for s in self.special):
@@ -223,15 +307,16 @@ def frequent_words(docs: DataFrame, tokenizer_path: str, text_col: str = "text",
                    limit: int = LEXICON_WORDS) -> list[str]:
     """The words above the smallest count that at most ``limit`` words reach, over all texts."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = Tokenizer(tokenizer_path)
+        tokenizer = from_worker("byte-tokenizer", tokenizer_path) or Tokenizer(tokenizer_path)
         for batch in batches:
             for _, texts in steps(batch, 0):
-                words = pa.array(list(chain.from_iterable(map(tokenizer.cut, texts))), pa.large_string())
+                words, _ = tokenizer.cut_arrays(texts)
                 counts = words.value_counts()       # Spark's partial aggregate adds up the counts of a task
                 for at in range(0, len(counts), COUNTER_WORDS):
                     some = counts.slice(at, COUNTER_WORDS)
                     yield pa.RecordBatch.from_arrays([some.field("values").cast(pa.string()), some.field("counts")],
                                                      names=["word", "n"])
+        to_worker("byte-tokenizer", tokenizer_path, tokenizer)
 
     counted = materialise(small_batches(docs).select(text_or_empty(text_col).alias("text")).mapInArrow(count, "word string, n long")
                           .groupBy("word").agg(F.sum("n").alias("n")).where("n > 1"), "word-counts")
@@ -253,7 +338,10 @@ def publish_lexicon(docs: DataFrame, tokenizer_path: str, text_col: str = "text"
     """Count, compile and send the lexicon to every node; returns the name to ask Spark's files for."""
     tokenizer = Tokenizer(tokenizer_path)
     words = frequent_words(docs, tokenizer_path, text_col, limit)
-    data = compile_lexicon((w.encode("utf-8"), tokenizer.encode_word(w)) for w in words if w not in tokenizer.special)
+    words = [w.encode("utf-8") for w in words if w not in tokenizer.special]
+    ids, sizes = tokenizer.encode_words(words)
+    ends = np.cumsum(sizes).tolist()
+    data = compile_lexicon((w, ids[end - n:end].tolist()) for w, end, n in zip(words, ends, sizes.tolist()))
     path = os.path.join(tempfile.mkdtemp(prefix="lexicon-"), f"lexicon-{uuid.uuid4().hex}.bin")
     with open(path, "wb") as f:
         f.write(data)
@@ -261,6 +349,13 @@ def publish_lexicon(docs: DataFrame, tokenizer_path: str, text_col: str = "text"
     return os.path.basename(path)
 
 
+def joined_parts(ids: np.ndarray, sizes: np.ndarray, part_of: dict[int, bytes], width: np.ndarray) -> list[bytes]:
+    """Each word's parts (one of every id) joined, ``width`` being the parts' lengths."""
+    whole = b"".join(map(part_of.__getitem__, ids.tolist()))
+    ends = np.concatenate(([0], np.cumsum(width[ids])))[np.concatenate(([0], np.cumsum(sizes)))].tolist()
+    return [whole[a:b] for a, b in zip(ends, ends[1:])]
+
+
 class Encoder:
     """Encodes whole texts many at a time.
 
@@ -272,6 +367,9 @@ class Encoder:
 
     def __init__(self, tokenizer: Tokenizer, lexicon: Lexicon, words: int = LEXICON_WORDS, digests: bool = True):
         self.tokenizer, self.lexicon, self.words, self.digests = tokenizer, lexicon, words, digests
+        self.decimal_of = {i: b",%d" % i for i in tokenizer.bytes_of} if digests else {}
+        self.decimal_width = np.zeros(len(tokenizer.width), np.int64)
+        self.decimal_width[list(self.decimal_of)] = [*map(len, self.decimal_of.values())]
         self._forget()
 
     def _forget(self) -> None:
@@ -290,15 +388,13 @@ class Encoder:
         self.pool = self.pool[:int(self.sizes.sum())]
         self.rare = []
 
-    def _learn(self, words: list[str], found: list[list[int]]) -> None:
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
+    def _learn(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
         self.starts = np.concatenate((self.starts, len(self.pool) + np.cumsum(sizes) - sizes))
         self.sizes = np.concatenate((self.sizes, sizes))
-        self.pool = np.concatenate((self.pool, np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum()))))
-        piece = self.tokenizer.bytes_of
+        self.pool = np.concatenate((self.pool, ids))
         if self.digests:
-            self.decimals += ["".join([f",{i}" for i in ids]).encode() for ids in found]
-        self.raw += [b"".join([piece[i] for i in ids]) for ids in found]
+            self.decimals += joined_parts(ids, sizes, self.decimal_of, self.decimal_width)
+        self.raw += joined_parts(ids, sizes, self.tokenizer.bytes_of, self.tokenizer.width)
         self.index.update(zip(words, range(len(self.index), len(self.index) + len(words))))
 
     def entries(self, texts: list[str]) -> list[np.ndarray]:
@@ -306,29 +402,31 @@ class Encoder:
         self._forget_rare()
         if len(self.index) > self.words:
             self._forget()
-        cut = [self.tokenizer.cut(t) for t in texts]
-        words = pa.array(list(chain.from_iterable(cut)), pa.large_string()).dictionary_encode()
-        different = words.dictionary.to_pylist()
+        cut, number = self.tokenizer.cut_arrays(texts)
+        words = cut.dictionary_encode()
+        different = words.dictionary.cast(pa.large_string()).to_pylist()
         fresh = [w for w in different if w not in self.index]
         if fresh:
             tokenizer, lexicon = self.tokenizer, self.lexicon
             places = lexicon.places([w.encode("utf-8") for w in fresh])
-            common = np.flatnonzero(places >= 0).tolist()
-            self._learn([fresh[k] for k in common],
-                        [lexicon.ids[lexicon.starts[p]:lexicon.starts[p + 1]].tolist() for p in places[common].tolist()])
-            self.rare = [fresh[k] for k in np.flatnonzero(places < 0).tolist()]
-            self._learn(self.rare, [[tokenizer.special[w]] if w in tokenizer.special else tokenizer.encode_word(w)
-                                    for w in self.rare])
+            common = places[places >= 0]
+            sizes = (lexicon.starts[common + 1] - lexicon.starts[common]).astype(np.int64)
+            self._learn([fresh[k] for k in np.flatnonzero(places >= 0).tolist()],
+                        lexicon.ids[spans(lexicon.starts[common].astype(np.int64), sizes)].astype(np.int32), sizes)
+            rare = [fresh[k] for k in np.flatnonzero(places < 0).tolist()]
+            special = [w for w in rare if w in tokenizer.special]
+            if special:
+                rare = [w for w in rare if w not in tokenizer.special]
+                self._learn(special, np.array([tokenizer.special[w] for w in special], np.int32),
+                            np.ones(len(special), np.int64))
+            self._learn(rare, *tokenizer.encode_words([w.encode("utf-8") for w in rare]))
+            self.rare = special + rare
         of_word = np.fromiter(map(self.index.__getitem__, different), np.int64, len(different))
         flat = of_word[words.indices.to_numpy()]
-        ends = np.cumsum(np.fromiter(map(len, cut), np.int64, len(cut)))
-        return np.split(flat, ends[:-1]) if len(ends) else []
+        return np.split(flat, np.cumsum(number)[:-1]) if len(number) else []
 
     def ids(self, entries: np.ndarray) -> np.ndarray:
-        lengths = self.sizes[entries]
-        past = np.cumsum(lengths)
-        total = int(past[-1]) if len(past) else 0
-        return self.pool[np.repeat(self.starts[entries] - (past - lengths), lengths) + np.arange(total)]
+        return self.pool[spans(self.starts[entries], self.sizes[entries])]
 
     def encode(self, text: str) -> list[int]:
         return self.ids(self.entries([text])[0]).tolist()
@@ -354,7 +452,9 @@ def with_tokens(docs: DataFrame, tokenizer_path: str, text_col: str = "text",
                        text_or_empty(text_col).alias("_text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(Tokenizer(tokenizer_path), Lexicon.map_file(SparkFiles.get(lexicon_name)), ROW_WORDS, False)
+        encoder = from_worker("row-encoder", lexicon_name) or Encoder(
+            from_worker("byte-tokenizer", tokenizer_path) or Tokenizer(tokenizer_path),
+            Lexicon.map_file(SparkFiles.get(lexicon_name)), ROW_WORDS, False)
         for batch in batches:
             for some, texts in steps(batch, 1):
                 found = encoder.entries(texts)
@@ -366,6 +466,7 @@ def with_tokens(docs: DataFrame, tokenizer_path: str, text_col: str = "text",
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids)))
                 yield pa.RecordBatch.from_arrays([some.column(0), lists, pa.array(sizes), pa.array(exact, pa.bool_())],
                                                  names=["_row", *made])
+        to_worker("row-encoder", lexicon_name, encoder)
 
     encoded = rows.mapInArrow(encode, T.StructType([
         rows.schema["_row"], T.StructField("token_ids", T.ArrayType(T.IntegerType())),
@@ -379,7 +480,9 @@ def token_digests(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     lexicon_name = publish_lexicon(docs, tokenizer_path, text_col, limit)
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(Tokenizer(tokenizer_path), Lexicon.map_file(SparkFiles.get(lexicon_name)))
+        encoder = from_worker("digest-encoder", lexicon_name) or Encoder(
+            from_worker("byte-tokenizer", tokenizer_path) or Tokenizer(tokenizer_path),
+            Lexicon.map_file(SparkFiles.get(lexicon_name)))
         for batch in batches:
             counts, hashes, decoded = [], [], []
             for _, texts in steps(batch, 1):
@@ -392,6 +495,7 @@ def token_digests(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column(0), "n_tokens": pa.array(counts, pa.int64()),
                 "ids_sha256": pa.array(hashes, pa.string()), "decoded_sha256": pa.array(decoded, pa.string())})
+        to_worker("digest-encoder", lexicon_name, encoder)
 
     return small_batches(docs).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")) \
         .mapInArrow(digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
