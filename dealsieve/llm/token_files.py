@@ -10,8 +10,9 @@ with the length each nonterminal expands to.  No pair crosses the end of a
 document, so a document, or a range of its ids, is decoded without the rest
 of its shard: the expansion lengths say which symbols hold the range.
 
-Texts are cut into the tokenizer's pieces, and each distinct piece of a task
-is encoded once by the tokenizer's library.
+Texts are cut into the tokenizer's pieces, and each distinct piece that a
+worker remembers is encoded once by the tokenizer's library; a worker keeps
+its encoder from task to task.
 
 Blob layout (little-endian): magic, counts, then arrays - alphabet ids,
 rules (two symbols each), expansion length per symbol, first symbol of each
@@ -37,14 +38,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dealsieve.llm.common import new_path, ship_by_value, small_batches, text_or_empty
+from dealsieve.llm.common import from_worker, new_path, ship_by_value, small_batches, text_or_empty, to_worker
 
 END_ID = 1
 SHARD_IDS = 1 << 19      # ids after which a shard is closed
 RULE_BYTES = 12          # a rule's two symbols and its expansion length in the blob
 SLOT_BITS = 17           # hash slots that bound a round's counts (2 ** SLOT_BITS)
 STEP = 16                # a round takes pairs down to this part of the highest count
-WORD_MEMORY = 300_000    # distinct pieces a task remembers at once
+WORD_MEMORY = 300_000    # distinct pieces a worker remembers at once
 STEP_BYTES = 4 << 20     # text bytes encoded at once
 
 MAGIC = b"REPAIR01"
@@ -264,13 +265,14 @@ def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 class WordEncoder:
-    """Encodes texts with the tokenizer's library, each distinct piece of a task once.
+    """Encodes texts with the tokenizer's library, each distinct piece that is remembered once.
 
     New pieces go to the library's model many at a time; a piece's ids end
     with the first id whose token carries the word end.  Texts without an
     apostrophe are cut on whole arrays, texts with one by the pattern, and
     texts with other characters or a special token are encoded by the library
-    as a whole.  A bounded number of pieces is remembered.
+    as a whole.  A bounded number of pieces is remembered: when they are too
+    many, those met in one call only are forgotten.
     """
 
     def __init__(self, tokenizer_path: str):
@@ -289,13 +291,22 @@ class WordEncoder:
         hidden = [b for b in range(256) if b not in set(shown)]
         stand_in = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
         self.stand_in = [stand_in[b] for b in range(256)]
-        self.forget()
-
-    def forget(self) -> None:
         self.index: dict[bytes, int] = {}
         self.pool = np.empty(0, np.uint32)
         self.starts = np.empty(0, np.int64)
         self.sizes = np.empty(0, np.int64)
+        self.calls = np.empty(0, np.int32)      # calls that met the piece, halved whenever pieces are forgotten
+
+    def forget(self) -> None:
+        """Keep the pieces met in several calls, of these at most half of what is remembered."""
+        kept = np.flatnonzero(self.calls > 1)
+        if len(kept) > WORD_MEMORY // 2:
+            kept = np.sort(kept[np.argsort(-self.calls[kept], kind="stable")[:WORD_MEMORY // 2]])
+        pieces = list(self.index)
+        self.index = dict(zip(map(pieces.__getitem__, kept.tolist()), range(len(kept))))
+        self.sizes, starts = self.sizes[kept], self.starts[kept]
+        self.pool = self.pool[spans(starts, self.sizes)]
+        self.starts, self.calls = np.cumsum(self.sizes) - self.sizes, self.calls[kept] // 2
 
     def _learn(self, pieces: list[bytes]) -> None:
         shown = [p.decode() if p.isalnum() else "".join(map(self.stand_in.__getitem__, p)) for p in pieces]
@@ -306,6 +317,7 @@ class WordEncoder:
         self.index.update(zip(pieces, range(len(self.index), len(self.index) + len(pieces))))
         self.starts = np.concatenate((self.starts, len(self.pool) + np.cumsum(sizes) - sizes))
         self.sizes = np.concatenate((self.sizes, sizes))
+        self.calls = np.concatenate((self.calls, np.zeros(len(pieces), np.int32)))
         self.pool = np.concatenate((self.pool, ids))
 
     def _entries(self, pieces: pa.Array) -> np.ndarray:
@@ -315,7 +327,9 @@ class WordEncoder:
         fresh = [p for p in different if p not in self.index]
         if fresh:
             self._learn(fresh)
-        return np.fromiter(map(self.index.__getitem__, different), np.int64, len(different))[coded.indices.to_numpy()]
+        entries = np.fromiter(map(self.index.__getitem__, different), np.int64, len(different))
+        self.calls[entries] += 1
+        return entries[coded.indices.to_numpy()]
 
     def _cut_plain(self, texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
         """Pieces of lower-cased texts without an apostrophe, and each text's number of pieces."""
@@ -369,7 +383,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, id_col: str =
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = WordEncoder(tokenizer_path)
+        encoder = from_worker("word-encoder", tokenizer_path) or WordEncoder(tokenizer_path)
         part, seq = TaskContext.get().partitionId(), 0
         doc_ids, pieces, lengths, held = [], [], [], 0
 
@@ -399,6 +413,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, id_col: str =
                     yield close()
         if doc_ids:
             yield close()
+        to_worker("word-encoder", tokenizer_path, encoder)
 
     ordered = small_batches(docs).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")) \
         .repartitionByRange(F.col("doc_id").asc_nulls_last()) \
