@@ -136,14 +136,20 @@ def term_weights(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     df = tf.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
     idf = F.log((F.lit(1.0) + F.lit(float(n))) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
     w = lookup_by_frequency(tf, df, "term", "df").withColumn("raw", F.col("tf") * idf)
-    norm = Window.partitionBy(id_col)
+    # The order of key_terms: the norm and the rank then share one sort.
+    norm = _by_weight(id_col).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return w.withColumn("weight", F.col("raw") / F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(norm)))
 
 
+def _by_weight(id_col: str):
+    """The terms of a document from the heaviest on, ties by term."""
+    return Window.partitionBy(id_col).orderBy(F.desc("raw"), "term")
+
+
 def key_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5) -> DataFrame:
     """Top-k terms per document by TF-IDF weight (ties by term); a per-group top-k, limited map-side."""
     w = term_weights(docs, id_col, text_col)
-    rank = F.row_number().over(Window.partitionBy(id_col).orderBy(F.desc("raw"), "term"))
+    rank = F.row_number().over(_by_weight(id_col))
     return w.withColumn("rank", rank).where(F.col("rank") <= k).select(id_col, "term", "rank", "weight")
 
 
