@@ -27,23 +27,32 @@ def parse(docs: DataFrame, schema: T.StructType, payload: str = "payload", alias
     functions below skip such documents instead of defaulting their fields;
     ``unreadable`` returns them.
     """
-    return docs.withColumn(alias, _document(payload, schema)).drop(payload)
+    return docs.withColumn(alias, F.get(_document(payload, schema), F.lit(0))).drop(payload)
+
+
+def readable(docs: DataFrame, schema: T.StructType, payload: str = "payload", alias: str = "doc") -> DataFrame:
+    """The documents that parse, as ``parse`` gives them.  A filter on the parsed column would parse again."""
+    return docs.withColumn(alias, F.explode(_document(payload, schema))).drop(payload)
 
 
 CORRUPT = "_corrupt"
 
 
 def _document(payload: str, schema: T.StructType):
-    """The parsed document, null where the payload is missing, cut off or not of the schema's types."""
+    """The parsed document in an array, empty where the payload is missing, cut off or not of the schema's types.
+
+    The text is parsed once: the lambdas look at the parsed record, where
+    conditions on ``from_json`` itself parse the text for each of their uses.
+    """
     checked = F.from_json(F.col(payload), T.StructType([*schema.fields, T.StructField(CORRUPT, S.S)]),
                           {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    parsed = F.struct(*[checked[f.name].alias(f.name) for f in schema.fields])
-    return F.when(checked.isNotNull() & checked[CORRUPT].isNull() & F.col(payload).rlike(r"^\s*\{"), parsed)
+    whole = F.filter(F.array(checked), lambda c: c.isNotNull() & c[CORRUPT].isNull() & F.col(payload).rlike(r"^\s*\{"))
+    return F.transform(whole, lambda c: F.struct(*[c[f.name].alias(f.name) for f in schema.fields]))
 
 
 def unreadable(docs: DataFrame, schema: T.StructType, payload: str = "payload") -> DataFrame:
     """The documents that do not parse, payload untouched (the quarantine of a document table)."""
-    return docs.where(_document(payload, schema).isNull())
+    return docs.where(F.size(_document(payload, schema)) == 0)
 
 
 def filing_records(profiles: DataFrame, officers: DataFrame | None = None,
@@ -54,7 +63,7 @@ def filing_records(profiles: DataFrame, officers: DataFrame | None = None,
     Each input holds one document per company; officers and filing history
     are optional left joins on the company number.
     """
-    prof = parse(profiles, S.PROFILE_PAYLOAD, alias="p").where(F.col("p").isNotNull())
+    prof = readable(profiles, S.PROFILE_PAYLOAD, alias="p")
     out = prof.select(
         "company_number",
         F.col("p.company_name").alias("company_name"),
@@ -83,7 +92,7 @@ def filing_records(profiles: DataFrame, officers: DataFrame | None = None,
 
 def charges(charge_docs: DataFrame) -> DataFrame:
     """One row per charge; persons-entitled names default to ''; no charge, no row."""
-    doc = parse(charge_docs, S.CHARGES_PAYLOAD, alias="d")
+    doc = readable(charge_docs, S.CHARGES_PAYLOAD, alias="d")
     item = doc.select("company_number", F.explode("d.items").alias("c"))
     persons = F.transform(F.coalesce(F.col("c.persons_entitled"), F.array()),
                           lambda p: F.coalesce(p["name"], F.lit("")))
@@ -101,7 +110,7 @@ def ownership(controller_docs: DataFrame, corporate_kind: str = CORPORATE_CONTRO
 
     An unreadable document says nothing about the company, so it gives no row.
     """
-    doc = parse(controller_docs, S.CONTROLLERS_PAYLOAD, alias="d").where(F.col("d").isNotNull())
+    doc = readable(controller_docs, S.CONTROLLERS_PAYLOAD, alias="d")
     items = F.coalesce(F.col("d.items"), F.array().cast(S.CONTROLLERS_PAYLOAD["items"].dataType))
     names = F.transform(F.filter(items, lambda x: x["kind"] == corporate_kind), lambda x: x["name"])
     return doc.select("company_number", names.alias("corporate_controllers")) \
@@ -110,7 +119,7 @@ def ownership(controller_docs: DataFrame, corporate_kind: str = CORPORATE_CONTRO
 
 def notices(notice_docs: DataFrame) -> DataFrame:
     """One row per notice, unwrapped: the ``item`` record when present, else the notice itself."""
-    doc = parse(notice_docs, S.NOTICES_PAYLOAD, alias="d")
+    doc = readable(notice_docs, S.NOTICES_PAYLOAD, alias="d")
     n = doc.select("company_number", F.explode("d.noticeList").alias("n"))
     unwrapped = F.coalesce(F.col("n.item"), F.struct(F.col("n.awardedDate").alias("awardedDate"),
                                                      F.col("n.organisationName").alias("organisationName")))
