@@ -29,7 +29,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -152,11 +152,21 @@ def compress(symbols: np.ndarray, ends: np.ndarray, alphabet: int) -> tuple[np.n
     return symbols, ends, np.concatenate(rules)
 
 
+def rule_runs(alphabet: int, rules: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs (first rule, rule after the last) of consecutive rules that use symbols from before their run only."""
+    latest = np.maximum.accumulate(rules.max(axis=1).astype(np.int64)) if len(rules) else np.empty(0, np.int64)
+    at = 0
+    while at < len(rules):
+        past = int(np.searchsorted(latest, alphabet + at))
+        yield at, past
+        at = past
+
+
 def expansions(alphabet: int, rules: np.ndarray) -> np.ndarray:
     """Terminals that each symbol expands to (rules only use earlier symbols)."""
     lengths = np.ones(alphabet + len(rules), np.int64)
-    for i, (a, b) in enumerate(rules.tolist()):
-        lengths[alphabet + i] = lengths[a] + lengths[b]
+    for at, past in rule_runs(alphabet, rules):
+        lengths[alphabet + at:alphabet + past] = lengths[rules[at:past]].sum(axis=1)
     return lengths
 
 
@@ -190,10 +200,9 @@ class Shard:
             starts = np.concatenate(([0], np.cumsum(self.lengths, dtype=np.int64)))
             pool = np.empty(starts[-1], np.uint32)
             pool[:n] = self.alphabet
-            for i, (a, b) in enumerate(self.rules.tolist()):
-                at, cut = starts[n + i], starts[n + i] + self.lengths[a]
-                pool[at:cut] = pool[starts[a]:starts[a + 1]]
-                pool[cut:starts[n + i + 1]] = pool[starts[b]:starts[b + 1]]
+            for at, past in rule_runs(n, self.rules):
+                two = self.rules[at:past].ravel()
+                pool[starts[n + at]:starts[n + past]] = pool[spans(starts[two], self.lengths[two].astype(np.int64))]
             self._pool = pool, starts
         return self._pool
 
@@ -264,6 +273,13 @@ def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (past - lengths), lengths) + np.arange(int(past[-1]) if len(past) else 0)
 
 
+def byte_strings(array: pa.Array) -> list[bytes]:
+    """The values of a large_binary array without nulls."""
+    offsets = np.frombuffer(array.buffers()[1], np.int64, len(array) + 1, 8 * array.offset).tolist() if len(array) else []
+    data = array.buffers()[2].to_pybytes() if array.buffers()[2] else b""
+    return [data[a:b] for a, b in pairwise(offsets)]
+
+
 class WordEncoder:
     """Encodes texts with the tokenizer's library, each distinct piece that is remembered once.
 
@@ -323,11 +339,12 @@ class WordEncoder:
     def _entries(self, pieces: pa.Array) -> np.ndarray:
         """Pool entry of every piece; unknown pieces are learned."""
         coded = pieces.dictionary_encode()
-        different = coded.dictionary.to_pylist()
-        fresh = [p for p in different if p not in self.index]
-        if fresh:
-            self._learn(fresh)
-        entries = np.fromiter(map(self.index.__getitem__, different), np.int64, len(different))
+        different = byte_strings(coded.dictionary)
+        entries = np.fromiter(map(self.index.get, different, repeat(-1)), np.int64, len(different))
+        fresh = np.flatnonzero(entries < 0)
+        if len(fresh):
+            entries[fresh] = len(self.index) + np.arange(len(fresh))
+            self._learn([different[i] for i in fresh.tolist()])
         self.calls[entries] += 1
         return entries[coded.indices.to_numpy()]
 

@@ -168,3 +168,19 @@ def test_empty_tables(spark):
     empty = clashing(spark, awkward_rows()).limit(0)
     assert B.token_digests(empty, tokenizer_file(BYTE_BPE)).count() == 0
     assert T.token_files(empty, tokenizer_file(WORD_BPE)).count() == 0
+
+
+def test_rules_expand_in_runs():
+    # Rules 2 and 3 use rules 0 and 1, rule 4 uses rule 3: three runs.
+    rules = np.array([[0, 1], [1, 2], [3, 4], [3, 0], [6, 6]], np.uint32)
+    assert list(T.rule_runs(3, rules)) == [(0, 2), (2, 4), (4, 5)]
+    assert list(T.rule_runs(3, rules[:0])) == []
+    assert T.expansions(3, rules).tolist() == [1, 1, 1, 2, 2, 4, 3, 6]
+
+
+def test_byte_strings_of_a_slice():
+    values = [b"", b"ab", b"\xc3\xa9", b"", b"c"]
+    array = pa.array(values, pa.large_binary())
+    assert T.byte_strings(array) == values
+    assert T.byte_strings(array[1:4]) == values[1:4]
+    assert T.byte_strings(array[:0]) == T.byte_strings(pa.array([], pa.large_binary())) == []
