@@ -18,7 +18,6 @@ from pyspark.ml.feature import (CountVectorizerModel, ElementwiseProduct, IDF, I
                                 RegexTokenizer, StringIndexer)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,14 +49,18 @@ def fit_industry_classifier(labelled: DataFrame, text_col: str = "website_text",
                             id_col: str = "company_number") -> PipelineModel:
     """Fit tokeniser, vocabulary, smoothed TF-IDF and the multinomial model on labelled text.
 
-    Vocabulary, document frequencies and labels come from all labelled rows, by
-    partial aggregates.  ``fit_rows`` bounds only the rows of the logistic fit:
-    the first by md5 of ``id_col`` (the same rows on every run, and equal texts
-    do not travel together), and one more row of each label that has none of
-    them; None takes all.
+    Everything comes from all labelled rows: vocabulary, document frequencies
+    and labels by partial aggregates, the logistic model by passes over the
+    term counts, which are stored once.  A caller may bound the rows of the
+    logistic fit alone by ``fit_rows``: the first by md5 of ``id_col`` (the
+    same rows on every run, and equal texts do not travel together), and one
+    more row of each label that has none of them.
     """
     usable = spread_for_cpu(labelled.where(F.col(text_col).isNotNull() & F.col(label_col).isNotNull()))
     indexer = StringIndexer(inputCol=label_col, outputCol="_label", stringOrderType="alphabetAsc").fit(usable)
+    tok = RegexTokenizer(inputCol=text_col, outputCol="_tokens", pattern=TOKEN_PATTERN, gaps=False, toLowercase=True)
+    cv = CountVectorizerModel.from_vocabulary(vocabulary(usable, text_col, vocab_size), "_tokens", "_tf")
+    front = PipelineModel(stages=[tok, cv])
     if fit_rows is not None:
         key = F.struct(F.md5(F.col(id_col).cast("string")), F.col(text_col))
         some = stored(_smallest_hashes(usable, id_col, fit_rows).orderBy(key, label_col).limit(fit_rows)
@@ -66,17 +69,13 @@ def fit_industry_classifier(labelled: DataFrame, text_col: str = "website_text",
         unseen = usable.where(~F.col(label_col).cast("string").isin(seen)).groupBy(label_col) \
             .agg(F.min_by(text_col, key).alias(text_col)).select(text_col, label_col)
         sample = some.unionAll(unseen) if len(seen) < len(indexer.labels) else some
+        counted = stored(front.transform(spread_for_cpu(sample)).select(label_col, "_tf"), "term-counts")
+        idf = IDF(inputCol="_tf", outputCol="_idf").fit(front.transform(usable).select("_tf"))
     else:
-        sample = usable.select(text_col, label_col)
-    data = stored(spread_for_cpu(sample), "labelled-text")
-    n = data.count()
-    tok = RegexTokenizer(inputCol=text_col, outputCol="_tokens", pattern=TOKEN_PATTERN, gaps=False, toLowercase=True)
-    cv = CountVectorizerModel.from_vocabulary(vocabulary(usable, text_col, vocab_size), "_tokens", "_tf")
-    front = PipelineModel(stages=[tok, cv])
-    # Tokenising is the costly pass; keep the term counts of the rows fitted on for the
-    # model fit, and release them as soon as the (eager) fits are done.
-    counted = front.transform(data).select(label_col, "_tf").persist(StorageLevel.MEMORY_AND_DISK)
-    idf = IDF(inputCol="_tf", outputCol="_idf").fit(front.transform(usable).select("_tf"))
+        # Tokenising is the costly pass; the fits read the stored counts.
+        counted = stored(front.transform(usable).select(label_col, "_tf"), "term-counts")
+        idf = IDF(inputCol="_tf", outputCol="_idf").fit(counted)
+    n = counted.count()
     scale = ElementwiseProduct(scalingVec=Vectors.dense([w + 1.0 for w in idf.idf.toArray()]),
                                inputCol="_tf", outputCol="_w")
     norm = Normalizer(inputCol="_w", outputCol="_features", p=2.0)
@@ -84,7 +83,6 @@ def fit_industry_classifier(labelled: DataFrame, text_col: str = "website_text",
                             maxIter=max_iter, regParam=1.0 / max(n, 1), elasticNetParam=0.0,
                             standardization=False, tol=STOPPING_TOLERANCE)
     back = Pipeline(stages=[scale, norm, indexer, lr]).fit(counted)
-    counted.unpersist()
     to_label = IndexToString(inputCol="prediction", outputCol="predicted_code", labels=indexer.labels)
     return PipelineModel(stages=[*front.stages, *back.stages, to_label])
 
