@@ -99,7 +99,8 @@ def value_distribution(targets: DataFrame, peers: DataFrame, finest: int = FINES
     it to the companies asked for before anything is expanded.  Targets and
     peers of a key are dealt into blocks, and each pair of blocks meets on its
     own, so a key that very many rows use (such as all peers) is the work of
-    many tasks.
+    many tasks.  Equal multiples of a key travel as one row and its count and
+    are written side by side, where they and their values compress.
     """
     require_columns(targets, ["company_number", "industry_code", "scaling_value"], "targets")
     rows = widened(nan_to_null(targets), peers, finest, minimum)
@@ -109,17 +110,22 @@ def value_distribution(targets: DataFrame, peers: DataFrame, finest: int = FINES
     blocks = rows.groupBy(*key).agg(_blocks(F.count(F.lit(1))).alias("_target_blocks"),
                                     _blocks(F.max("peer_count")).alias("_peer_blocks"))
 
-    def dealt(side: DataFrame, own: str, other: str) -> DataFrame:
+    def dealt(side: DataFrame, own: str, other: str, place) -> DataFrame:
         """Each row in one block of its own side, copied to every block of the other one."""
-        met = side.withColumn("_row", F.monotonically_increasing_id()).join(blocks, key)
-        return met.withColumn(f"_{own}_block", F.pmod("_row", F.col(f"_{own}_blocks"))) \
+        return side.join(blocks, key).withColumn(f"_{own}_block", F.pmod(place, F.col(f"_{own}_blocks"))) \
             .withColumn(f"_{other}_block", F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"_{other}_blocks") - 1))) \
             .repartition(cpu_partitions(side.sparkSession), *key, *block)
-    one = dealt(rows.select(*key, "company_number", "code_length_used", "scaling_value"), "target", "peer")
-    two = dealt(_keyed_multiples(peers, finest), "peer", "target")
-    return one.join(two.select(*key, *block, "multiple"), [*key, *block]).select(
+    one = dealt(rows.select(*key, "company_number", "code_length_used", "scaling_value")
+                .withColumn("_row", F.monotonically_increasing_id()), "target", "peer", F.col("_row"))
+    # A multiple that very many peers have is cut into pieces, which go to blocks of their own.
+    counted = _keyed_multiples(peers, finest).groupBy(*key, "multiple").agg(F.count(F.lit(1)).alias("_n"))
+    pieces = counted.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("long"), _blocks(F.col("_n")) - 1))) \
+        .withColumn("_n", F.least(F.lit(BLOCK_ROWS), F.col("_n") - F.col("_piece") * BLOCK_ROWS).cast("int"))
+    two = dealt(pieces, "peer", "target", F.xxhash64("multiple", "_piece")) \
+        .select(*key, *block, "multiple", F.array_repeat(F.lit(0).cast("byte"), F.col("_n")).alias("_copies"))
+    return one.join(two, [*key, *block]).select(
         "company_number", "code_length_used", "multiple",
-        (F.col("scaling_value") * F.col("multiple")).alias("estimated_value"))
+        (F.col("scaling_value") * F.col("multiple")).alias("estimated_value"), F.explode("_copies").alias("_copy")).drop("_copy")
 
 
 def _blocks(rows):
